@@ -120,6 +120,14 @@ def with_star(body: str, ctes: str = "") -> str:
     return f"WITH {STAR.strip()}{extra}\n{body.strip()}"
 
 
+def body_of(sql: str) -> str:
+    """The final SELECT of a ``with_star`` text that has no extra CTEs."""
+    prefix = f"WITH {STAR.strip()}\n"
+    if not sql.startswith(prefix):
+        raise ValueError("not a plain with_star text")
+    return sql[len(prefix):]
+
+
 ON_TIME = "count(CASE WHEN actual_delivery_date <= expected_delivery_date THEN 1 END)"
 RECEIVED = "count(actual_delivery_date)"
 VAR = "datediff('day', expected_delivery_date, actual_delivery_date)"
