@@ -21,13 +21,17 @@ def _on_star(builder) -> Callable[[SparkSession, str], DataFrame]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _on_star(fn) for name, fn in RESULTS.items()}
     from .extras import EXTRA_QUERIES
+    from .streams import STREAM_QUERIES
     out.update(EXTRA_QUERIES)
+    out.update(STREAM_QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
     from .extras import EXTRA_ORACLE
+    from .streams import STREAM_ORACLE
     out = dict(ORACLE)
     out.update(EXTRA_ORACLE)
+    out.update(STREAM_ORACLE)
     return out

@@ -96,12 +96,17 @@ def status_of(linestatus, returnflag) -> "F.Column":
 
 
 def conform_purchase_orders(raw: Raw) -> DataFrame:
-    li = raw.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                             "l_extendedprice", "l_returnflag", "l_linestatus")
-    o = raw.orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
+    return purchase_orders_from(raw.lineitem, raw.orders, n_suppliers(raw))
+
+
+def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFrame) -> DataFrame:
+    """Order lines of the star from lineitem rows (batch or streaming)."""
+    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                         "l_extendedprice", "l_returnflag", "l_linestatus")
+    o = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
     # lineitem ⋈ orders is the one large-large join of the star (shuffle on the
     # order key; AQE splits a hot order key).
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).crossJoin(fixed_broadcast(n_suppliers(raw)))
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).crossJoin(fixed_broadcast(n_supp))
     supplier_id = product_supplier(F.col("l_partkey"), F.col("__n_supp"))
     expected = F.date_add(F.col("order_date"),
                           lead_time_of(supplier_id)
