@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _on_star(fn) for name, fn in RESULTS.items()}
     from .extras import EXTRA_QUERIES
     from .streams import STREAM_QUERIES
+    from .sqlfunc_queries import SQLFUNC_QUERIES
+    out.update(SQLFUNC_QUERIES)
     out.update(EXTRA_QUERIES)
     out.update(STREAM_QUERIES)
     return out
@@ -31,7 +33,9 @@ def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
     from .extras import EXTRA_ORACLE
     from .streams import STREAM_ORACLE
+    from .sqlfunc_queries import SQLFUNC_ORACLE
     out = dict(ORACLE)
+    out.update(SQLFUNC_ORACLE)
     out.update(EXTRA_ORACLE)
     out.update(STREAM_ORACLE)
     return out
