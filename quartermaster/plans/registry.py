@@ -23,7 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .extras import EXTRA_QUERIES
     from .streams import STREAM_QUERIES
     from .sqlfunc_queries import SQLFUNC_QUERIES
+    from .setup_queries import SETUP_QUERIES
     out.update(SQLFUNC_QUERIES)
+    out.update(SETUP_QUERIES)
     out.update(EXTRA_QUERIES)
     out.update(STREAM_QUERIES)
     return out
@@ -34,7 +36,9 @@ def oracle_sql() -> dict[str, str]:
     from .extras import EXTRA_ORACLE
     from .streams import STREAM_ORACLE
     from .sqlfunc_queries import SQLFUNC_ORACLE
+    from .setup_queries import SETUP_ORACLE
     out = dict(ORACLE)
+    out.update(SETUP_ORACLE)
     out.update(SQLFUNC_ORACLE)
     out.update(EXTRA_ORACLE)
     out.update(STREAM_ORACLE)
