@@ -122,8 +122,8 @@ def data_dictionary(spark: SparkSession, ns: Namespace) -> DataFrame:
     Reads catalog metadata only (table and column descriptions), no data.
     """
     rows = []
-    for t in spark.catalog.listTables(f"{ns.catalog}.{ns.schema}"):
-        for c in spark.catalog.listColumns(t.name, f"{ns.catalog}.{ns.schema}"):
+    for t in spark.catalog.listTables(ns.schema):
+        for c in spark.catalog.listColumns(t.name, ns.schema):
             rows.append((t.name, c.name, c.dataType, c.description, t.description))
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, "
                                        "comment string, table_comment string")
