@@ -129,8 +129,7 @@ def e_score_run(spark, sf_dir) -> DataFrame:
 
 
 def _both_runs(spark, sf_dir) -> DataFrame:
-    star = _star(spark, sf_dir)
-    return _scores(star, 1).unionByName(_scores(star, 2))
+    return B.scored_runs(_star(spark, sf_dir), (1, 2))
 
 
 def e_run_summary(spark, sf_dir) -> DataFrame:
@@ -140,8 +139,8 @@ def e_run_summary(spark, sf_dir) -> DataFrame:
 
 def e_compare_runs(spark, sf_dir) -> DataFrame:
     """Which questions the tuned run fixed."""
-    star = _star(spark, sf_dir)
-    return E.compare_runs(_scores(star, 1), _scores(star, 2))
+    runs = _both_runs(spark, sf_dir)
+    return E.compare_runs(runs.where("run_id = 1"), runs.where("run_id = 2"))
 
 
 def e_feedback_summary(spark, sf_dir) -> DataFrame:

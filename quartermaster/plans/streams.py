@@ -17,7 +17,7 @@ def r_refresh_kpi(spark, sf_dir) -> DataFrame:
     """Region KPIs maintained by the order stream (equals the batch values)."""
     star = load_star(spark, sf_dir)
     run = R.new_run_dir(spark, "kpi")
-    q = R.refresh_stream(R.order_stream(spark, sf_dir), supplier_dim(star), f"{run}/out", f"{run}/ckpt")
+    q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out", f"{run}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{run}/out")
 
@@ -25,7 +25,7 @@ def r_refresh_kpi(spark, sf_dir) -> DataFrame:
 def r_daily_counts(spark, sf_dir) -> DataFrame:
     """R2: daily order counts per status emitted by the 7-day watermark."""
     run = R.new_run_dir(spark, "daily")
-    q = R.run_daily_counts(R.order_stream(spark, sf_dir), f"{run}/out", f"{run}/ckpt")
+    q = R.run_daily_counts(R.star_order_stream(load_star(spark, sf_dir)), f"{run}/out", f"{run}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{run}/out")
 
@@ -36,7 +36,7 @@ def r_alert_stream(spark, sf_dir) -> DataFrame:
     run = R.new_run_dir(spark, "alerts")
     rules = spark.createDataFrame(list(STREAM_ALERT_RULES), "measure string, op string, threshold double")
     cb = R.alert_sink(rules, f"{run}/alerts")
-    q = R.refresh_stream(R.order_stream(spark, sf_dir), supplier_dim(star), f"{run}/out",
+    q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out",
                          f"{run}/ckpt", on_batch=cb)
     q.awaitTermination()
     try:

@@ -123,6 +123,8 @@ def data_dictionary(spark: SparkSession, ns: Namespace) -> DataFrame:
     """
     rows = []
     for t in spark.catalog.listTables(ns.schema):
+        if t.isTemporary:
+            continue
         for c in spark.catalog.listColumns(t.name, ns.schema):
             rows.append((t.name, c.name, c.dataType, c.description, t.description))
     return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, "

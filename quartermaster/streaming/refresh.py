@@ -45,6 +45,22 @@ def order_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return purchase_orders_from(stream, raw.orders, n_suppliers(raw))
 
 
+def fact_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
+    """Order lines arriving as parquet files in ``folder`` (the star's fact feed)."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(folder)
+
+
+def star_order_stream(star, max_files: int | None = None) -> DataFrame:
+    """The fact feed of a star: its written order-line files when the star is
+    materialised (no per-batch join), else the conformance of lineitem files."""
+    if star.path:
+        return fact_stream(star.spark, f"{star.path}/purchase_orders", star.purchase_orders.schema, max_files)
+    return order_stream(star.spark, star.source, max_files)
+
+
 def kpi_measures():
     return [M.order_count("total_orders"), M.on_time_rate("on_time_pct", scale=1, digits=3),
             M.total_spend()]
