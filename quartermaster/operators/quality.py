@@ -30,26 +30,39 @@ def check_domain(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
 def path_mismatches(star) -> DataFrame:
     """Order lines whose direct supplier differs from the product's supplier.
 
-    One row: lines checked, mismatching lines, lines whose product is unknown.
+    The fact is first reduced to distinct (product, supplier) pairs with their
+    line counts (partial aggregation absorbs a hot product), so the join with
+    products carries one row per pair. One row out: lines checked, mismatching
+    lines, lines whose product is unknown.
     """
+    pairs = (star.purchase_orders.groupBy("product_id", "supplier_id")
+             .agg(F.count(F.lit(1)).alias("__n")))
     p = star.products.select("product_id", F.col("supplier_id").alias("__via_product"))
-    j = star.purchase_orders.select("product_id", "supplier_id").join(p, "product_id", "left")
-    return j.agg(F.count(F.lit(1)).alias("checked_rows"),
-                 F.count(F.when(F.col("__via_product").isNotNull()
-                                & ~F.col("supplier_id").eqNullSafe(F.col("__via_product")), 1))
-                 .alias("mismatches"),
-                 F.count(F.when(F.col("__via_product").isNull(), 1)).alias("unknown_product"))
+    j = pairs.join(F.broadcast(p) if star.small("products") else p, "product_id", "left")
+    known = F.col("__via_product").isNotNull()
+    return j.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("checked_rows"),
+                 F.coalesce(F.sum(F.when(known & ~F.col("supplier_id").eqNullSafe(F.col("__via_product")),
+                                         F.col("__n"))), F.lit(0)).alias("mismatches"),
+                 F.coalesce(F.sum(F.when(~known, F.col("__n"))), F.lit(0)).alias("unknown_product"))
 
 
 def orphan_report(star) -> DataFrame:
-    """Orphan counts for each declared many-to-one relationship."""
+    """Orphan counts for each declared many-to-one relationship.
+
+    Fact keys are aggregated first (one row per key with its row count), then
+    anti-joined with the dimension keys and the counts summed: the join never
+    sees a hot key's rows one by one.
+    """
     rels = [("purchase_orders->suppliers", star.purchase_orders, star.suppliers, "supplier_id"),
             ("purchase_orders->products", star.purchase_orders, star.products, "product_id"),
             ("inventory_snapshots->products", star.inventory_snapshots, star.products, "product_id"),
             ("products->suppliers", star.products, star.suppliers, "supplier_id")]
-    parts = [orphans(fact.select(key), dim, key).agg(F.count(F.lit(1)).alias("orphan_rows"))
-             .select(F.lit(name).alias("relationship"), "orphan_rows")
-             for name, fact, dim, key in rels]
+    parts = []
+    for name, fact, dim, key in rels:
+        keys = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+        lost = orphans(keys, dim, key)
+        parts.append(lost.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"))
+                     .select(F.lit(name).alias("relationship"), "orphan_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 

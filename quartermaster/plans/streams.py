@@ -17,7 +17,8 @@ def r_refresh_kpi(spark, sf_dir) -> DataFrame:
     """Region KPIs maintained by the order stream (equals the batch values)."""
     star = load_star(spark, sf_dir)
     run = R.new_run_dir(spark, "kpi")
-    q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out", f"{run}/ckpt")
+    q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out", f"{run}/ckpt",
+                         small_dim=star.small("suppliers"))
     q.awaitTermination()
     return spark.read.parquet(f"{run}/out")
 
@@ -37,7 +38,7 @@ def r_alert_stream(spark, sf_dir) -> DataFrame:
     rules = spark.createDataFrame(list(STREAM_ALERT_RULES), "measure string, op string, threshold double")
     cb = R.alert_sink(rules, f"{run}/alerts")
     q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out",
-                         f"{run}/ckpt", on_batch=cb)
+                         f"{run}/ckpt", on_batch=cb, small_dim=star.small("suppliers"))
     q.awaitTermination()
     try:
         return R.read_alerts(spark, f"{run}/alerts").drop("epoch")

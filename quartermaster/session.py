@@ -61,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: the star, "
+                               "stream state and benchmark runs are written there")
         path = tempfile.mkdtemp(prefix="qm-ckpt-", dir=os.environ.get("QM_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():

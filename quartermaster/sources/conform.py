@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY
-from ..operators.joins import fixed_broadcast, is_bounded
+from ..operators.joins import fixed_broadcast, is_bounded, join_dim
 from .raw import Raw
 
 # ---- fixed values (must stay as written) -------------------------------------
@@ -61,13 +61,14 @@ def lead_time_of(supplier_id) -> "F.Column":
 
 
 def conform_suppliers(raw: Raw) -> DataFrame:
-    # nation (25 rows) and region (5 rows) are fixed-size by the TPC-H schema.
-    geo = (raw.nation.select("n_nationkey", "n_name", "n_regionkey")
-           .join(fixed_broadcast(raw.region.select("r_regionkey", "r_name")),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
+    # nation and region are 25 and 5 rows in TPC-H; they are still broadcast
+    # only after the row-count check (join_dim), like every other dimension.
+    r = raw.region.select("r_regionkey", "r_name")
+    geo = (join_dim(raw.nation.select("n_nationkey", "n_name", "n_regionkey"), r,
+                    F.col("n_regionkey") == F.col("r_regionkey"))
            .select("n_nationkey", F.col("n_name").alias("country"), F.col("r_name").alias("region")))
     s = raw.supplier.select("s_suppkey", "s_name", "s_nationkey")
-    return (s.join(fixed_broadcast(geo), s["s_nationkey"] == geo["n_nationkey"])
+    return (join_dim(s, geo, s["s_nationkey"] == geo["n_nationkey"])
              .select(F.col("s_suppkey").alias("supplier_id"),
                      F.col("s_name").alias("supplier_name"),
                      "region", "country",

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import evaluate as E
 from ..operators import metrics as M
+from ..operators.joins import is_bounded
 from ..session import scratch_path
 from ..sources.conform import n_suppliers, purchase_orders_from
 from ..sources.raw import Raw
@@ -67,14 +68,19 @@ def kpi_measures():
 
 
 def refresh_stream(stream: DataFrame, suppliers: DataFrame, sink: str, checkpoint: str,
-                   measures=None, by=("region",), on_batch=None) -> StreamingQuery:
+                   measures=None, by=("region",), on_batch=None,
+                   small_dim: bool | None = None) -> StreamingQuery:
     """KPI per ``by`` kept current from the order stream.
 
-    ``suppliers`` is the static supplier dimension (broadcast: the check was
-    made by the caller). ``on_batch(df, epoch)`` runs after each write (R3).
+    ``suppliers`` is the static supplier dimension, broadcast to every
+    micro-batch when it passes the size check (``small_dim``; checked here when
+    not given), else shuffle-joined. ``on_batch(df, epoch)`` runs after each
+    write (R3).
     """
     measures = measures or kpi_measures()
-    rows = stream.join(F.broadcast(suppliers), "supplier_id")
+    if small_dim is None:
+        small_dim = is_bounded(suppliers)
+    rows = stream.join(F.broadcast(suppliers) if small_dim else suppliers, "supplier_id")
     agg = M.metrics(rows, measures, list(by), keep_empty=True)
 
     def write(batch: DataFrame, epoch: int) -> None:
