@@ -82,6 +82,11 @@ def h_global_filter_top10(spark, sf_dir) -> DataFrame:
     return ds["top_products_by_spend"]
 
 
+def h_top10_refiltered(spark, sf_dir) -> DataFrame:
+    """T6 option: the region selection applied before the Top-10 limit."""
+    return RESULTS["top_products_by_spend"](_star(spark, sf_dir), regions=GLOBAL_PICK)
+
+
 def h_cross_filter(spark, sf_dir) -> DataFrame:
     """H3/H4: two widgets on the shared orders dataset; picking a region bar in
     one filters the status widget bound to the same dataset."""
@@ -169,6 +174,7 @@ EXTRA_QUERIES = {
     "e_setup_verification": e_setup_verification,
     "h_global_filter": h_global_filter,
     "h_global_filter_top10": h_global_filter_top10,
+    "h_top10_refiltered": h_top10_refiltered,
     "h_cross_filter": h_cross_filter,
     "h_counter_filtered": h_counter_filtered,
     "h_tidy_wide": h_tidy_wide,
@@ -261,6 +267,15 @@ EXTRA_ORACLE = {
                                 JOIN products p ON po.product_id = p.product_id
         WHERE s.region = '{CROSS_PICK['region']}' GROUP BY status"""),
     "h_counter_filtered": O._counter_sql(COUNTER_PICK),
+    "h_top10_refiltered": O.with_star(f"""
+        SELECT s.region, p.product_name, p.category, s.supplier_name,
+               CAST(sum(po.quantity) AS BIGINT) AS total_quantity,
+               {O.money('sum(po.quantity * po.unit_cost)')} AS total_spend
+        FROM purchase_orders po JOIN products p ON po.product_id = p.product_id
+                                JOIN suppliers s ON po.supplier_id = s.supplier_id
+        WHERE po.status != 'cancelled' AND s.region IN {_in(GLOBAL_PICK)}
+        GROUP BY s.region, p.product_name, p.category, s.supplier_name
+        ORDER BY total_spend DESC, product_name, supplier_name, region, category LIMIT 10"""),
     "h_tidy_wide": O.with_star(f"""
         SELECT {O.MONTH} AS order_month,
                {", ".join(f"CAST(sum(CASE WHEN status = '{s}' THEN 1 END) AS BIGINT) AS {s}" for s in STATUSES)}

@@ -311,6 +311,31 @@ def _counter_sql(values=None) -> str:
               GROUP BY GROUPING SETS ((region), ()))""")
 
 
+def _volume_price_sql() -> str:
+    base = f"order_date >= {_month(BASE_MONTH)} AND order_date < {_next_month(BASE_MONTH)}"
+    cmp_ = f"order_date >= {_month(COMPARE_FIRST)} AND order_date < {_next_month(COMPARE_LAST)}"
+    return with_star(f"""
+        SELECT a.product_id, p.product_name, p.category, {money('sb')} AS base_spend,
+               {money('sc')} AS compare_spend,
+               CASE WHEN qb = 0 THEN {money('sc')}
+                    ELSE {rdiv(cents('sb') + ' * (qc - qb)', 'qb', 2, 2)} END AS volume_effect,
+               CASE WHEN qb = 0 THEN {money('sc - sc')}
+                    ELSE {rdiv(f"({cents('sc - sb')}) * qb - {cents('sb')} * (qc - qb)", 'qb', 2, 2)} END
+                 AS price_effect
+        FROM (SELECT product_id,
+                     coalesce(sum(CASE WHEN {base} THEN {VALUE} END), 0) AS sb,
+                     coalesce(sum(CASE WHEN {cmp_} THEN {VALUE} END), 0) AS sc,
+                     coalesce(sum(CASE WHEN {base} THEN quantity END), 0) AS qb,
+                     coalesce(sum(CASE WHEN {cmp_} THEN quantity END), 0) AS qc
+              FROM purchase_orders WHERE status != 'cancelled' AND ({base} OR {cmp_})
+              GROUP BY product_id) a
+        JOIN products p ON a.product_id = p.product_id""")
+
+
 ORACLE["q_spend_drivers"] = _drivers_sql()
+ORACLE["x_spend_volume_price"] = _volume_price_sql()
+ORACLE["q_region_lead_weighted"] = with_star(f"""
+    SELECT region, {rdiv('sum(lead_time_days)', 'count(lead_time_days)', 1)} AS avg_contracted_lead_days
+    FROM pos GROUP BY region""")
 ORACLE["x_spend_mom_change"] = _mom_sql()
 ORACLE["x_counter_all_regions"] = _counter_sql()

@@ -100,10 +100,13 @@ def delivery_by_supplier(star) -> DataFrame:
             .orderBy("avg_days_variance", "supplier_name"))
 
 
-def top_products_by_spend(star, n: int = 10) -> DataFrame:
+def top_products_by_spend(star, n: int = 10, regions=None) -> DataFrame:
+    """O4. ``regions`` (T6 ``refilter_before_limit``) filters before the limit, so
+    a region selection still yields the top ``n`` of that selection."""
     agg = _orders(star, [M.total_quantity(), M.total_spend()],
                   ["region", "product_name", "category", "supplier_name"],
-                  where=M.NOT_CANCELLED())
+                  where=M.NOT_CANCELLED(),
+                  dim_where={"suppliers": X.member_of("region", regions)} if regions else None)
     return top_n(agg, [F.col("total_spend").desc(), "product_name", "supplier_name", "region",
                        "category"], n)
 
@@ -200,6 +203,44 @@ def q_spend_drivers(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST)
             .orderBy(F.col("delta_spend").desc(), "region", "category"))
 
 
+def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST)) -> DataFrame:
+    """V1 extra split: per product, spend change = volume effect + price effect.
+
+    volume = (q_compare - q_base) x base average price; price = the rest, i.e.
+    (compare average price - base average price) x q_compare. Totals per
+    window (no per-month scaling); a product new in the compare window is all
+    volume effect.
+    """
+    def part(name, cond, key, expr, fn="sum"):
+        return M.measure(name, {"v": (fn, expr)}, lambda p: p("v"),
+                         where=M.NOT_CANCELLED() & cond, where_key=key)
+    wb, wc = X.in_month("order_date", base), X.in_months("order_date", *compare)
+    agg = M.metrics(star.purchase_orders,
+                    [part("__sb", wb, "b", X.order_value()), part("__sc", wc, "c", X.order_value()),
+                     part("__qb", wb, "bq", F.col("quantity").cast("bigint")),
+                     part("__qc", wc, "cq", F.col("quantity").cast("bigint"))],
+                    ["product_id"], where=X.in_months("order_date", base, compare[1]))
+    zero = F.lit(0).cast("decimal(38,2)")
+    sb, sc = F.coalesce("__sb", zero), F.coalesce("__sc", zero)
+    qb, qc = F.coalesce("__qb", F.lit(0)), F.coalesce("__qc", F.lit(0))
+    vol = F.when(qb == 0, sc).otherwise(
+        F.try_divide((sb * (qc - qb)).cast("decimal(38,18)"), qb.cast("decimal(38,0)")))
+    out = agg.select("product_id", sb.alias("__b"), sc.alias("__c"), vol.alias("__v"))
+    from ..operators.enrich import product_dim
+    pd_ = product_dim(star).select("product_id", "product_name", "category")
+    out = out.join(F.broadcast(pd_) if star.small("products") else pd_, "product_id")
+    return out.select("product_id", "product_name", "category",
+                      X.money_out("__b").alias("base_spend"), X.money_out("__c").alias("compare_spend"),
+                      F.round("__v", 2).cast("double").alias("volume_effect"),
+                      F.round(F.col("__c") - F.col("__b") - F.col("__v"), 2).cast("double")
+                      .alias("price_effect"))
+
+
+def q_region_lead_weighted(star) -> DataFrame:
+    """T9 option: contracted lead time weighted by orders (supplier grain is the default)."""
+    return _orders(star, [M.avg_contracted_lead_days()], ["region"])
+
+
 def _months_between(first: str, last: str) -> int:
     y0, m0 = map(int, first.split("-"))
     y1, m1 = map(int, last.split("-"))
@@ -273,4 +314,6 @@ RESULTS = {
     "q_warehouse_low_stock_all": q_warehouse_low_stock_all,
     "x_spend_mom_change": x_spend_mom_change,
     "x_counter_all_regions": x_counter_all_regions,
+    "x_spend_volume_price": x_spend_volume_price,
+    "q_region_lead_weighted": q_region_lead_weighted,
 }
