@@ -257,7 +257,7 @@ def load_star(spark: SparkSession, sf_dir: str, materialize: bool | None = None)
     """
     if materialize is None:
         materialize = spark.conf.get("quartermaster.star.materialize", "true").lower() == "true"
-    key = (id(spark), sf_dir.rstrip("/"), materialize)
+    key = (spark, sf_dir.rstrip("/"), materialize)
     if key not in _STARS:
         star = lazy_star(spark, sf_dir)
         if materialize:

@@ -93,12 +93,17 @@ def refresh_stream(stream: DataFrame, suppliers: DataFrame, sink: str, checkpoin
 
 
 def daily_counts_stream(stream: DataFrame, delay: str = "7 days") -> DataFrame:
-    """R2: order lines per order day and status, finalised by the watermark."""
-    ts = stream.withColumn("order_ts", F.col("order_date").cast("timestamp"))
+    """R2: order lines per order day and status, finalised by the watermark.
+
+    The event time is the order day's UTC midnight built from epoch seconds, so
+    one-day windows line up with calendar days whatever the session time zone.
+    """
+    ts = stream.withColumn("order_ts", F.timestamp_seconds(F.unix_date("order_date").cast("bigint") * 86400))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("day.start")) / 86400).cast("int"))
     return (ts.withWatermark("order_ts", delay)
               .groupBy(F.window("order_ts", "1 day").alias("day"), "status")
               .agg(F.count(F.lit(1)).alias("order_count"))
-              .select(F.col("day.start").cast("date").alias("order_day"), "status", "order_count"))
+              .select(day.alias("order_day"), "status", "order_count"))
 
 
 def run_daily_counts(stream: DataFrame, sink: str, checkpoint: str, delay: str = "7 days"):
