@@ -1,9 +1,8 @@
 """Result-shaping operators: top-N, month-over-month, drivers, ranking, counters.
 
 All of them run on already-aggregated frames. None uses an un-partitioned
-window: totals come from a one-row aggregate joined back (broadcast of one
-row), the previous month from a join on ``add_months`` - so no step gathers a
-whole frame into one task.
+window: totals are scalar subqueries, the previous month comes from a join on
+``add_months`` - so no step gathers a whole frame into one task.
 """
 
 from __future__ import annotations
@@ -49,14 +48,12 @@ def mom_change(monthly: DataFrame, month: str, value: str, digits: int = 1) -> D
 def share_exact(df: DataFrame, value: str, name: str, digits: int = 4) -> DataFrame:
     """``value / sum(value)`` over the whole frame, HALF_UP at ``digits``.
 
-    The total is a one-row aggregate joined back (broadcast of one row), not a
-    window without PARTITION BY.
+    The total is an uncorrelated scalar subquery (one partial-then-final
+    aggregate), not a window without PARTITION BY.
     """
-    tot = df.agg(F.sum(F.col(value)).alias("__total"))
-    q = F.try_divide(F.col(value).cast("decimal(38,18)"), F.col("__total").cast("decimal(38,2)"))
-    return (df.crossJoin(F.broadcast(tot))
-              .withColumn(name, F.round(q, digits).cast("double"))
-              .drop("__total"))
+    total = df.agg(F.sum(F.col(value))).scalar()
+    q = F.try_divide(F.col(value).cast("decimal(38,18)"), total.cast("decimal(38,2)"))
+    return df.withColumn(name, F.round(q, digits).cast("double"))
 
 
 def drivers(agg: DataFrame, by: Sequence[str], base: str, compare: str,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY
-from ..operators.joins import fixed_broadcast, is_bounded, join_dim
+from ..operators.joins import is_bounded, join_dim
 from .raw import Raw
 
 # ---- fixed values (must stay as written) -------------------------------------
@@ -51,6 +51,11 @@ def n_suppliers(raw: Raw) -> DataFrame:
     return raw.supplier.agg(F.count(F.lit(1)).alias("__n_supp"))
 
 
+def n_suppliers_value(n_supp: DataFrame) -> "F.Column":
+    """The supplier count as an uncorrelated scalar subquery (evaluated once)."""
+    return n_supp.select("__n_supp").scalar()
+
+
 def product_supplier(partkey, n_supp) -> "F.Column":
     """The single supplier of a product: ``partkey mod #suppliers``."""
     return F.pmod(partkey, n_supp)
@@ -79,7 +84,8 @@ def conform_suppliers(raw: Raw) -> DataFrame:
 
 def conform_products(raw: Raw) -> DataFrame:
     p = raw.part.select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
-    return (p.crossJoin(fixed_broadcast(n_suppliers(raw)))
+    n_supp = n_suppliers_value(n_suppliers(raw))
+    return (p.withColumn("__n_supp", n_supp)
              .select(F.col("p_partkey").alias("product_id"),
                      F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string"))
                      .alias("product_name"),
@@ -107,7 +113,8 @@ def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFra
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
     # lineitem ⋈ orders is the one large-large join of the star (shuffle on the
     # order key; AQE splits a hot order key).
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).crossJoin(fixed_broadcast(n_supp))
+    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+           .withColumn("__n_supp", n_suppliers_value(n_supp)))
     supplier_id = product_supplier(F.col("l_partkey"), F.col("__n_supp"))
     expected = F.date_add(F.col("order_date"),
                           lead_time_of(supplier_id)

@@ -127,11 +127,11 @@ def gen_products(spark: SparkSession, suppliers: DataFrame, n: int = 30, seed: i
     slots = _category_rows()
     cfg = spark.createDataFrame(slots, "k int, category string, base_name string, c_lo double, "
                                        "c_hi double, w_lo double, w_hi double")
-    n_sup = suppliers.agg(F.count(F.lit(1)).alias("__n_sup"))
+    n_sup = suppliers.agg(F.count(F.lit(1))).scalar()
     ids = spark.range(n).withColumn("k", (F.col("id") % len(slots)).cast("int"))
     name = F.when(F.col("id") < len(slots), F.col("base_name")) \
             .otherwise(F.concat_ws(" #", F.col("base_name"), (F.col("id") + 1).cast("string")))
-    return (ids.join(F.broadcast(cfg), "k").crossJoin(F.broadcast(n_sup))
+    return (ids.join(F.broadcast(cfg), "k").withColumn("__n_sup", n_sup)
                .select(key("PROD", 3, F.col("id")).alias("product_id"),
                        name.alias("product_name"), "category",
                        uniform(F.col("c_lo"), F.col("c_hi"), u(seed, "prod.cost", F.col("id")), 2)
@@ -192,9 +192,9 @@ def gen_purchase_orders(spark: SparkSession, products: DataFrame, suppliers: Dat
                         n: int = 800, seed: int = SEED, start=ORDER_START, end=ORDER_END,
                         month_weights=MONTH_WEIGHTS) -> DataFrame:
     """Orders: seasonal date, uniform product, its supplier's lead time, status mix."""
-    n_prod = products.agg(F.count(F.lit(1)).alias("__n_prod"))
+    n_prod = products.agg(F.count(F.lit(1))).scalar()
     rid = F.col("id")
-    o = (spark.range(n).crossJoin(F.broadcast(n_prod))
+    o = (spark.range(n).withColumn("__n_prod", n_prod)
          .select(rid, key("PO", 5, rid).alias("order_id"),
                  key("PROD", 3, F.floor(u(seed, "po.prod", rid) * F.col("__n_prod"))).alias("product_id"),
                  seasonal_date(u(seed, "po.month", rid), u(seed, "po.day", rid), start, end,
