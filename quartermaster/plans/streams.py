@@ -31,6 +31,11 @@ def r_daily_counts(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{run}/out")
 
 
+def r_monthly_counts(spark, sf_dir) -> DataFrame:
+    """R2: the watermarked daily counts rolled up to months in batch."""
+    return R.rollup_daily_to_month(r_daily_counts(spark, sf_dir))
+
+
 def r_alert_stream(spark, sf_dir) -> DataFrame:
     """On-time alerts fired by the refreshed KPI stream."""
     star = load_star(spark, sf_dir)
@@ -48,7 +53,7 @@ def r_alert_stream(spark, sf_dir) -> DataFrame:
 
 
 STREAM_QUERIES = {"r_refresh_kpi": r_refresh_kpi, "r_daily_counts": r_daily_counts,
-                  "r_alert_stream": r_alert_stream}
+                  "r_monthly_counts": r_monthly_counts, "r_alert_stream": r_alert_stream}
 
 
 def _oracles() -> dict:
@@ -69,6 +74,11 @@ def _oracles() -> dict:
             SELECT order_date AS order_day, status, count(*) AS order_count FROM purchase_orders
             WHERE CAST(order_date + 1 AS DATE) <= CAST((SELECT max(order_date) FROM purchase_orders) - 7 AS DATE)
             GROUP BY ALL"""),
+        "r_monthly_counts": O.with_star(f"""
+            SELECT {O.MONTH} AS order_month, status, CAST(count(*) AS BIGINT) AS order_count
+            FROM purchase_orders
+            WHERE CAST(order_date + 1 AS DATE) <= CAST((SELECT max(order_date) FROM purchase_orders) - 7 AS DATE)
+            GROUP BY ALL"""),
         "r_alert_stream": O.with_star(f"""
             SELECT r.measure, k.region, CAST(k.on_time_pct AS DOUBLE) AS value, r.op, r.threshold,
                    true AS fired

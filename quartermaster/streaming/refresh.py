@@ -113,6 +113,13 @@ def run_daily_counts(stream: DataFrame, sink: str, checkpoint: str, delay: str =
     return q
 
 
+def rollup_daily_to_month(daily: DataFrame) -> DataFrame:
+    """R2 batch step: finalised daily counts rolled up to order month and status."""
+    return (daily.withColumn("order_month", F.trunc("order_day", "month"))
+                 .groupBy("order_month", "status")
+                 .agg(F.sum("order_count").alias("order_count")))
+
+
 def alert_sink(rules: DataFrame, sink: str, measures=("on_time_pct",), key: str = "region"):
     """A ``foreachBatch`` callback evaluating ``rules`` on each KPI batch.
 

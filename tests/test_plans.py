@@ -45,3 +45,12 @@ def test_all_dataset_plans_are_python_free(spark):
     for name, fn in R.RESULTS.items():
         p = fn(star)._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in p and "EvalPython" not in p, name
+
+
+def test_many_measures_one_scan(spark):
+    """Measures with different filters fold into one aggregation over one scan."""
+    star = load_star(spark, SF_SMALL)
+    df = M.metrics(star.purchase_orders, [M.order_count(), M.total_spend(), M.on_time_rate(),
+                                          M.delayed_count(), M.avg_days_late()], ["status"])
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert p.count("purchase_orders") == 1
