@@ -249,11 +249,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+# Bumped whenever a conformance formula changes, so a persistent checkpoint
+# folder never serves a star written by older code.
+STAR_VERSION = 3
+
+
 def star_path(spark: SparkSession, sf_dir: str) -> str:
     import hashlib
     from ..session import scratch_path
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return scratch_path(spark, f"star/{tag}")
+    return scratch_path(spark, f"star/v{STAR_VERSION}-{tag}")
 
 
 def load_star(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> Star:
