@@ -218,12 +218,20 @@ def materialize_star(star: Star, path: str) -> Star:
     spark = star.spark
     done = f"{path}/_STAR_COMPLETE"
     if not _exists(spark, done):
-        star.suppliers.write.mode("overwrite").parquet(f"{path}/suppliers")
-        star.products.write.mode("overwrite").parquet(f"{path}/products")
-        (_spread(star.purchase_orders).sortWithinPartitions("order_date")
-             .write.mode("overwrite").parquet(f"{path}/purchase_orders"))
-        (_spread(star.inventory_snapshots).write.mode("overwrite").partitionBy("snapshot_date")
-             .parquet(f"{path}/inventory_snapshots"))
+        writes = [
+            lambda: star.suppliers.write.mode("overwrite").parquet(f"{path}/suppliers"),
+            lambda: star.products.write.mode("overwrite").parquet(f"{path}/products"),
+            lambda: (_spread(star.purchase_orders).sortWithinPartitions("order_date")
+                     .write.mode("overwrite").parquet(f"{path}/purchase_orders")),
+            lambda: (_spread(star.inventory_snapshots).write.mode("overwrite")
+                     .partitionBy("snapshot_date").parquet(f"{path}/inventory_snapshots")),
+        ]
+        # Four independent jobs submitted together: the small dimension jobs
+        # run while the fact is written instead of after it.
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for f in [pool.submit(w) for w in writes]:
+                f.result()
         spark.createDataFrame([(star.source,)], "source string").write.mode("overwrite").json(done)
     inv = spark.read.parquet(f"{path}/inventory_snapshots")
     return Star(spark=spark,

@@ -71,3 +71,12 @@ def test_mom_change_uses_calendar_months(golden):
     assert got[10] == (None, None, None)
     assert got[11] == (100.0, 359.95, 360.0)
     assert got[12] == (459.95, 0.05, 0.0)
+
+
+def test_latest_only_global_and_per_key(spark):
+    from quartermaster.operators.joins import latest_only
+    import datetime as dt
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 8)
+    df = spark.createDataFrame([("a", d1, 1), ("a", d2, 2), ("b", d1, 3)], "k string, d date, v int")
+    assert rows(latest_only(df, "d"), "k", "v") == [("a", 2)]          # global latest (T17)
+    assert rows(latest_only(df, "d", per=["k"]), "k", "v") == [("a", 2), ("b", 3)]
