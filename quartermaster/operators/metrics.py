@@ -133,7 +133,7 @@ def metrics(df: DataFrame, measures: Sequence[Measure], by: Sequence = (),
     rows = df.where(rows_where) if rows_where is not None else df
     by = list(by)
     agg = rows.groupBy(*by).agg(*_partials(ms, fold))
-    if fold and not keep_empty:
+    if fold and not keep_empty and by:      # a global aggregate always has its one row
         agg = _keep_nonempty(agg, ms)
     if parts_only:
         return Parts(agg, ms, fold, by)
@@ -182,6 +182,8 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
         if used or d.name in dim_where:
             needed.append(d)
     fact_by = [c for c in by if not any(c in d.columns for d in needed)]
+    if not needed:                          # nothing to join: one aggregation
+        return metrics(fact, measures, by, where, keep_empty, parts_only)
 
     def dim_frame(d: DimSpec) -> DataFrame:
         f = d.frame(star)
@@ -209,7 +211,7 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
     for d in needed:
         pre = pre.join(dim_frame(d), d.key)
     agg = pre.groupBy(*by).agg(*_merges(ms, fold))
-    if fold and not keep_empty:
+    if fold and not keep_empty and by:
         agg = _keep_nonempty(agg, ms)
     if parts_only:
         return Parts(agg, ms, fold, by)

@@ -80,3 +80,10 @@ def test_latest_only_global_and_per_key(spark):
     df = spark.createDataFrame([("a", d1, 1), ("a", d2, 2), ("b", d1, 3)], "k string, d date, v int")
     assert rows(latest_only(df, "d"), "k", "v") == [("a", 2)]          # global latest (T17)
     assert rows(latest_only(df, "d", per=["k"]), "k", "v") == [("a", 2), ("b", 3)]
+
+
+def test_global_aggregate_keeps_its_row(spark):
+    df = spark.createDataFrame([("a", "cancelled", 1, Decimal("1.00"))],
+                               "k string, status string, quantity int, unit_cost decimal(12,2)")
+    got = M.metrics(df, [M.total_spend(), M.delayed_count()]).collect()
+    assert len(got) == 1 and got[0].total_spend is None and got[0].delayed_orders == 0
