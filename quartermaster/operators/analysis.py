@@ -74,7 +74,9 @@ def drivers(agg: DataFrame, by: Sequence[str], base: str, compare: str,
     return d.select(*by,
                     X.money_out("__b").alias("base_spend"),
                     X.money_out("__c").alias("compare_spend"),
-                    F.round(F.col("__d") / (bm * cm), 2).cast("double").alias("delta_spend"),
+                    F.round(F.try_divide(F.col("__d").cast("decimal(38,18)"),
+                                         F.lit(bm * cm).cast("decimal(38,0)")), 2)
+                    .cast("double").alias("delta_spend"),
                     "share_of_change")
 
 

@@ -223,17 +223,20 @@ def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_
     zero = F.lit(0).cast("decimal(38,2)")
     sb, sc = F.coalesce("__sb", zero), F.coalesce("__sc", zero)
     qb, qc = F.coalesce("__qb", F.lit(0)), F.coalesce("__qc", F.lit(0))
-    vol = F.when(qb == 0, sc).otherwise(
-        F.try_divide((sb * (qc - qb)).cast("decimal(38,18)"), qb.cast("decimal(38,0)")))
-    out = agg.select("product_id", sb.alias("__b"), sc.alias("__c"), vol.alias("__v"))
+    # Each effect is one exact division rounded once (no intermediate rounding):
+    # volume = sb*(qc-qb)/qb, price = ((sc-sb)*qb - sb*(qc-qb))/qb.
+    def once(num):
+        return F.round(F.try_divide(num.cast("decimal(38,18)"), qb.cast("decimal(38,0)")), 2)
+    vol = F.when(qb == 0, F.round(sc, 2)).otherwise(once(sb * (qc - qb)))
+    price = F.when(qb == 0, F.round(sc - sc, 2)).otherwise(once((sc - sb) * qb - sb * (qc - qb)))
+    out = agg.select("product_id", sb.alias("__b"), sc.alias("__c"), vol.alias("__v"), price.alias("__p"))
     from ..operators.enrich import product_dim
     pd_ = product_dim(star).select("product_id", "product_name", "category")
     out = out.join(F.broadcast(pd_) if star.small("products") else pd_, "product_id")
     return out.select("product_id", "product_name", "category",
                       X.money_out("__b").alias("base_spend"), X.money_out("__c").alias("compare_spend"),
-                      F.round("__v", 2).cast("double").alias("volume_effect"),
-                      F.round(F.col("__c") - F.col("__b") - F.col("__v"), 2).cast("double")
-                      .alias("price_effect"))
+                      F.col("__v").cast("double").alias("volume_effect"),
+                      F.col("__p").cast("double").alias("price_effect"))
 
 
 def q_region_lead_weighted(star) -> DataFrame:
