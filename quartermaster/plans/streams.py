@@ -31,6 +31,18 @@ def r_daily_counts(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{run}/out")
 
 
+def r_refresh_upsert(spark, sf_dir) -> DataFrame:
+    """R1 with changing orders: two feeds of order-line versions (before and
+    after delivery) upserted by key into a current-state table; the final
+    region KPIs equal the batch values on the final star."""
+    from ..streaming import upsert as U
+    star = load_star(spark, sf_dir)
+    run = R.new_run_dir(spark, "upsert")
+    keys = ["order_id", "line_number", "product_id", "quantity", "unit_cost"]
+    return U.run_two_feeds(spark, star.purchase_orders, supplier_dim(star), run, keys,
+                           small_dim=star.small("suppliers"))
+
+
 def r_monthly_counts(spark, sf_dir) -> DataFrame:
     """R2: the watermarked daily counts rolled up to months in batch."""
     return R.rollup_daily_to_month(r_daily_counts(spark, sf_dir))
@@ -53,7 +65,8 @@ def r_alert_stream(spark, sf_dir) -> DataFrame:
 
 
 STREAM_QUERIES = {"r_refresh_kpi": r_refresh_kpi, "r_daily_counts": r_daily_counts,
-                  "r_monthly_counts": r_monthly_counts, "r_alert_stream": r_alert_stream}
+                  "r_monthly_counts": r_monthly_counts, "r_alert_stream": r_alert_stream,
+                  "r_refresh_upsert": r_refresh_upsert}
 
 
 def _oracles() -> dict:
@@ -68,6 +81,7 @@ def _oracles() -> dict:
                                for m, op, t in STREAM_ALERT_RULES)
     return {
         "r_refresh_kpi": O.with_star(region_kpi),
+        "r_refresh_upsert": O.with_star(region_kpi),
         # A day is emitted once the watermark (latest order day - 7 days) has
         # passed the end of its one-day window.
         "r_daily_counts": O.with_star("""
