@@ -31,3 +31,19 @@ def test_late_rows_are_dropped_after_the_watermark(spark):
     assert d + dt.timedelta(days=19) in got             # closed once the watermark passed it
     assert d + dt.timedelta(days=40) not in got         # newest day still open
     assert os.path.isdir(f"{out}/ckpt")
+
+
+def test_upsert_keeps_newest_version_in_any_order(spark):
+    from pyspark.sql import functions as F
+
+    from quartermaster.streaming.upsert import merge_into_state
+    state = tempfile.mkdtemp(prefix="qm-state-", dir=spark.conf.get("spark.checkpoint.dir")) + "/s"
+    d = dt.date(2025, 1, 3)
+    schema = "k long, order_date date, status string, version int"
+    newer = spark.createDataFrame([(1, d, "delivered", 2), (2, d, "in_transit", 1)], schema)
+    older = spark.createDataFrame([(1, d, "in_transit", 1), (1, d, "in_transit", 1)], schema)
+    for b in (newer, older, newer):                     # out of order, and a replay
+        merge_into_state(b.withColumn("order_month", F.trunc("order_date", "month")),
+                         state, ["k"], "version", "order_month")
+    got = sorted((r.k, r.status, r.version) for r in spark.read.parquet(state).collect())
+    assert got == [(1, "delivered", 2), (2, "in_transit", 1)]
