@@ -193,6 +193,7 @@ class Star:
 
 
 _STARS: dict[tuple, Star] = {}
+_STARS_LOCK = __import__("threading").Lock()
 
 
 def lazy_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -278,9 +279,10 @@ def load_star(spark: SparkSession, sf_dir: str, materialize: bool | None = None)
     if materialize is None:
         materialize = spark.conf.get("quartermaster.star.materialize", "true").lower() == "true"
     key = (spark, sf_dir.rstrip("/"), materialize)
-    if key not in _STARS:
-        star = lazy_star(spark, sf_dir)
-        if materialize:
-            star = materialize_star(star, star_path(spark, sf_dir))
-        _STARS[key] = star
-    return _STARS[key]
+    with _STARS_LOCK:       # concurrent callers build a star once
+        if key not in _STARS:
+            star = lazy_star(spark, sf_dir)
+            if materialize:
+                star = materialize_star(star, star_path(spark, sf_dir))
+            _STARS[key] = star
+        return _STARS[key]
