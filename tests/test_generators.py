@@ -50,3 +50,10 @@ def test_chronically_low_products(spark):
                    F.count("*").alias("m")).collect())
     assert len(per) == 5 and all(r.n == r.m for r in per)
     assert inv.agg(F.max("snapshot_date")).first()[0] == dt.date(2025, 2, 24)
+
+
+def test_on_time_share_near_four_in_fourteen(spark):
+    po = G.build_all(spark, scale=50)["purchase_orders"]
+    rec = po.where("actual_delivery_date IS NOT NULL")
+    share = rec.where("actual_delivery_date <= expected_delivery_date").count() / rec.count()
+    assert abs(share - 4 / 14) < 0.02

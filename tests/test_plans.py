@@ -54,3 +54,12 @@ def test_many_measures_one_scan(spark):
                                           M.delayed_count(), M.avg_days_late()], ["status"])
     p = df._jdf.queryExecution().executedPlan().toString()
     assert p.count("purchase_orders") == 1
+
+
+def test_aggregation_is_partial_before_every_shuffle(spark):
+    star = load_star(spark, SF_SMALL)
+    for strategy in ("broadcast", "eager"):
+        df = M.star_metrics(star, star.purchase_orders, ORDER_DIMS,
+                            [M.total_spend(), M.on_time_rate()], ["region"], strategy=strategy)
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "partial_sum" in p and "partial_count" in p, strategy
