@@ -2,13 +2,13 @@
 
 Only sides whose row count has been *checked* are broadcast: ``is_bounded``
 runs one ``LIMIT n+1`` count (it stops reading once the limit is hit), and a
-side that fails the check is joined with a shuffle instead. Fixed-size inputs
-(enumerations, calendars, one-row aggregates) are broadcast without a check.
+side that fails the check is joined with a shuffle instead. Literal lists
+(warehouses, rules) are the only inputs broadcast without a check.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension (rows) that may be broadcast. 2M narrow rows is ~100 MB;
@@ -35,11 +35,6 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return fact.join(F.broadcast(dim) if small else dim, on, how)
 
 
-def fixed_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast an input whose size is fixed by construction (literal lists, 1-row aggs)."""
-    return F.broadcast(df)
-
-
 # -- J8: cardinality guard ---------------------------------------------------
 def assert_unique(df: DataFrame, key) -> DataFrame:
     """Keys that occur more than once (empty when ``key`` is unique)."""
@@ -82,6 +77,3 @@ def latest_only(df: DataFrame, date_col: str, per: list[str] | None = None) -> D
     last = df.groupBy(*per).agg(F.max(date_col).alias("__latest"))
     return (df.join(last, per).where(F.col(date_col) == F.col("__latest")).drop("__latest"))
 
-
-def eq_null_safe_mismatch(a: Column, b: Column) -> Column:
-    return ~a.eqNullSafe(b)

@@ -15,7 +15,7 @@ expression over the merged parts. That split is what lets
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
