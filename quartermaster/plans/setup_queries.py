@@ -14,10 +14,14 @@ from . import oracle as O
 
 
 def a_data_dictionary(spark, sf_dir) -> DataFrame:
-    """Write the star to a fresh namespace, describe it, read
-    the descriptions back."""
+    """The written star as described catalog tables in a
+    fresh namespace, descriptions read back from the catalog."""
     ns = C.Namespace(schema=f"qm_{uuid.uuid4().hex[:10]}")
-    C.save_star(load_star(spark, sf_dir), ns)
+    star = load_star(spark, sf_dir)
+    if star.path:
+        C.register_star(star, ns)
+    else:
+        C.save_star(star, ns)
     return C.data_dictionary(spark, ns)
 
 

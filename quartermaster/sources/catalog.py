@@ -116,6 +116,23 @@ def save_star(star, ns: Namespace) -> None:
                    layout.get(name, ()))
 
 
+def register_star(star, ns: Namespace) -> None:
+    """A11 over a written star: expose its parquet folders as external catalog
+    tables (no data is copied) and attach the descriptions."""
+    if not star.path:
+        raise ValueError("the star is not written; use save_star")
+    spark = star.spark
+    ensure_schema(spark, ns)
+    partitioned = {"inventory_snapshots": ("snapshot_date",)}
+    for name in star.tables():
+        spark.catalog.createTable(f"{ns.schema}.{name}", path=f"{star.path}/{name}", source="parquet")
+        if name in partitioned:              # register the existing partition folders
+            spark.sql(f"ALTER TABLE {ns.fq(name)} RECOVER PARTITIONS")
+        cols = {k: v for k, v in COLUMN_COMMENTS.get(name, {}).items()
+                if k not in partitioned.get(name, ())}
+        describe_table(spark, ns, name, TABLE_COMMENTS.get(name), cols)
+
+
 def data_dictionary(spark: SparkSession, ns: Namespace) -> DataFrame:
     """(table_name, column_name, data_type, comment) of every table in ``ns``.
 
