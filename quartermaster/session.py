@@ -72,6 +72,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint dir for tables this engine writes itself."""
+    """A sub-folder of the checkpoint dir for tables this engine writes itself.
+
+    ``quartermaster.run.tag`` (set by tests and the bench) puts a run's files in
+    their own folder, so a run never reuses or clears another run's files.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    tag = spark.conf.get("quartermaster.run.tag", "")
+    return f"{base}/quartermaster/{tag + '/' if tag else ''}{name}"

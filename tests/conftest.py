@@ -1,7 +1,7 @@
 import datetime as dt
 import os
 import sys
-import tempfile
+import uuid
 from decimal import Decimal
 
 import pytest
@@ -16,9 +16,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    scratch = tempfile.mkdtemp(prefix="qm-test-")
+    # spark.checkpoint.dir comes from the environment when configured (set by
+    # get_spark only where unset); each test run writes under its own tag.
     s = get_spark("local[4]", shuffle_partitions=4,
-                  extra={"spark.checkpoint.dir": scratch, "spark.driver.memory": "4g"})
+                  extra={"spark.driver.memory": "4g",
+                         "quartermaster.run.tag": f"test-{uuid.uuid4().hex[:12]}"})
     yield s
     s.stop()
 

@@ -1,17 +1,17 @@
 """Streaming: the watermark finalises days and drops late rows across batches."""
 
 import datetime as dt
-import os
-import tempfile
+import uuid
 
+from quartermaster.session import scratch_path
 from quartermaster.streaming import refresh as R
 
 SCHEMA = "order_date date, status string"
 
 
 def test_late_rows_are_dropped_after_the_watermark(spark):
-    src = tempfile.mkdtemp(prefix="qm-src-", dir=spark.conf.get("spark.checkpoint.dir"))
-    out = tempfile.mkdtemp(prefix="qm-out-", dir=spark.conf.get("spark.checkpoint.dir"))
+    src = scratch_path(spark, f"src-{uuid.uuid4().hex[:8]}")
+    out = scratch_path(spark, f"out-{uuid.uuid4().hex[:8]}")
     d = dt.date(2025, 1, 1)
     first = [(d + dt.timedelta(days=i), "delivered") for i in range(20)]
     spark.createDataFrame(first, SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{src}/b1")
@@ -30,14 +30,13 @@ def test_late_rows_are_dropped_after_the_watermark(spark):
     assert got[d] == 1                                  # the late copy of day 1 was dropped
     assert d + dt.timedelta(days=19) in got             # closed once the watermark passed it
     assert d + dt.timedelta(days=40) not in got         # newest day still open
-    assert os.path.isdir(f"{out}/ckpt")
 
 
 def test_upsert_keeps_newest_version_in_any_order(spark):
     from pyspark.sql import functions as F
 
     from quartermaster.streaming.upsert import merge_into_state
-    state = tempfile.mkdtemp(prefix="qm-state-", dir=spark.conf.get("spark.checkpoint.dir")) + "/s"
+    state = scratch_path(spark, f"state-{uuid.uuid4().hex[:8]}")
     d = dt.date(2025, 1, 3)
     schema = "k long, order_date date, status string, version int"
     newer = spark.createDataFrame([(1, d, "delivered", 2), (2, d, "in_transit", 1)], schema)
