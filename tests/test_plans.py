@@ -53,7 +53,7 @@ def test_many_measures_one_scan(spark):
     df = M.metrics(star.purchase_orders, [M.order_count(), M.total_spend(), M.on_time_rate(),
                                           M.delayed_count(), M.avg_days_late()], ["status"])
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert p.count("purchase_orders") == 1
+    assert p.count("FileScan parquet") == 1
 
 
 def test_aggregation_is_partial_before_every_shuffle(spark):
