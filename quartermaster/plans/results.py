@@ -240,8 +240,21 @@ def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_
 
 
 def q_region_lead_weighted(star) -> DataFrame:
-    """T9 option: contracted lead time weighted by orders (supplier grain is the default)."""
-    return _orders(star, [M.avg_contracted_lead_days()], ["region"])
+    """T9 option: contracted lead time weighted by orders (supplier grain is the default).
+
+    Orders are counted per supplier first (partial aggregation), so the join
+    with suppliers carries one row per supplier; the weighted mean is
+    sum(lead x orders) / sum(orders).
+    """
+    from ..operators.enrich import supplier_dim
+    per_supplier = star.purchase_orders.groupBy("supplier_id").agg(F.count(F.lit(1)).alias("__n"))
+    dim = supplier_dim(star).select("supplier_id", "region", "lead_time_days")
+    rows = per_supplier.join(F.broadcast(dim) if star.small("suppliers") else dim, "supplier_id")
+    weighted = M.measure("avg_contracted_lead_days",
+                         {"d": ("sum", F.col("lead_time_days").cast("bigint") * F.col("__n")),
+                          "n": ("sum", F.col("__n"))},
+                         lambda p: X.avg_exact(p("d"), p("n"), 1))
+    return M.metrics(rows, [weighted], ["region"])
 
 
 def _months_between(first: str, last: str) -> int:
