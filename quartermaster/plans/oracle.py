@@ -332,6 +332,13 @@ def _volume_price_sql() -> str:
         JOIN products p ON a.product_id = p.product_id""")
 
 
+ORACLE["bm_best_suppliers_all"] = with_star(f"""
+    SELECT n.supplier_name, n.reliability_rating, r.on_time_pct
+    FROM (SELECT DISTINCT supplier_name, reliability_rating FROM suppliers) n
+    LEFT JOIN (SELECT supplier_name, reliability_rating, {_on_time_pct()} AS on_time_pct
+               FROM pos WHERE actual_delivery_date IS NOT NULL
+               GROUP BY supplier_name, reliability_rating) r
+      ON n.supplier_name = r.supplier_name AND n.reliability_rating = r.reliability_rating""")
 ORACLE["q_spend_drivers"] = _drivers_sql()
 ORACLE["x_spend_volume_price"] = _volume_price_sql()
 ORACLE["q_region_lead_weighted"] = with_star(f"""

@@ -138,11 +138,21 @@ def bm_monthly_spend(star) -> DataFrame:
             .orderBy("order_month"))
 
 
-def bm_best_suppliers(star) -> DataFrame:
+def bm_best_suppliers(star, include_unreceived: bool = False) -> DataFrame:
+    """W2/T13 ranking; T12 option ``include_unreceived`` keeps suppliers with no
+    receipt (rate NULL, ranked last) by left-joining the supplier list."""
     agg = _orders(star, [M.on_time_rate("on_time_pct")], ["supplier_name", "reliability_rating"])
+    if include_unreceived:
+        names = star.suppliers.select("supplier_name", "reliability_rating").distinct()
+        agg = names.join(agg, ["supplier_name", "reliability_rating"], "left")
     return rank_suppliers(agg)
 
 
+def bm_best_suppliers_all(star) -> DataFrame:
+    """T12 option: every supplier, those without receipts last with a NULL rate."""
+    return bm_best_suppliers(star, include_unreceived=True)
+
+
 # ---- tutorial / common questions -------------------------------------------------
 def q_order_count(star) -> DataFrame:
     return M.metrics(star.purchase_orders, [M.order_count()])
@@ -317,6 +327,7 @@ RESULTS = {
     "bm_worst_warehouse": bm_worst_warehouse,
     "bm_monthly_spend": bm_monthly_spend,
     "bm_best_suppliers": bm_best_suppliers,
+    "bm_best_suppliers_all": bm_best_suppliers_all,
     "q_order_count": q_order_count,
     "q_overall_on_time": q_overall_on_time,
     "q_most_delayed_supplier": q_most_delayed_supplier,

@@ -94,3 +94,8 @@ def test_worst_warehouse_tie_break(golden):
     # Chicago and Seattle tie at one low row: the name breaks the tie.
     assert rows(R.bm_worst_warehouse(golden)) == [(1, "Chicago")] or \
         rows(R.bm_worst_warehouse(golden)) == [("Chicago", 1)]
+
+
+def test_best_suppliers_including_unreceived(golden):
+    got = [(r.supplier_name, r.on_time_pct) for r in R.bm_best_suppliers_all(golden).collect()]
+    assert got == [("Beta", 100.0), ("Alpha", 50.0), ("Gamma", None)]
