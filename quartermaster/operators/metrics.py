@@ -208,8 +208,9 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
     rows = fact.where(rows_where) if rows_where is not None else fact
     fks = [d.key for d in needed]
     pre = rows.groupBy(*(fact_by + [k for k in fks if k not in fact_by])).agg(*_partials(ms, fold))
-    for d in needed:
-        pre = pre.join(dim_frame(d), d.key)
+    for d in needed:       # one row per key now; a dimension that passes the check is broadcast
+        f = dim_frame(d)
+        pre = pre.join(F.broadcast(f) if star.small(d.name) else f, d.key)
     agg = pre.groupBy(*by).agg(*_merges(ms, fold))
     if fold and not keep_empty and by:
         agg = _keep_nonempty(agg, ms)
