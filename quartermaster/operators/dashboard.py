@@ -46,6 +46,13 @@ def apply_global_filter(ds: Mapping[str, DataFrame], col: str, values: Sequence)
     return {n: df.where(X.member_of(col, values)) for n, df in ds.items()}
 
 
+def date_filtered_datasets(star, first_month: str, last_month: str) -> dict[str, DataFrame]:
+    """T15 date filter: every dataset recomputed over orders placed in
+    ``first_month``..``last_month`` (the filter applies to order rows before
+    aggregation, so counters and ratios stay correct)."""
+    return datasets(star.restrict(orders_where=X.in_months("order_date", first_month, last_month)))
+
+
 def cross_filter(ds: Mapping[str, DataFrame], bindings: Mapping[str, str], dataset: str,
                  picks: Mapping[str, object]) -> dict:
     """H3: a selection on a widget of ``dataset`` filters every widget bound to

@@ -24,6 +24,7 @@ from .results import RESULTS
 GLOBAL_PICK = ("ASIA", "EUROPE")
 CROSS_PICK = {"region": "EUROPE"}
 COUNTER_PICK = ("AMERICA", "EUROPE")
+DATE_PICK = ("2000-01", "2000-06")
 # Alert rules: the reference's example (low-stock count above 10) plus an
 # on-time floor; evaluated per region and for all regions.
 ALERT_RULES = (("low_stock_count", ">", 10.0), ("on_time_pct", "<", 0.3))
@@ -82,6 +83,17 @@ def h_global_filter_top10(spark, sf_dir) -> DataFrame:
     return ds["top_products_by_spend"]
 
 
+def h_date_filter(spark, sf_dir) -> DataFrame:
+    """A date-range filter on order rows applied to every dataset (spend shown)."""
+    ds = D.date_filtered_datasets(_star(spark, sf_dir), *DATE_PICK)
+    return ds["spend_by_region"]
+
+
+def h_date_filter_otd(spark, sf_dir) -> DataFrame:
+    """The on-time KPI under the same date filter (ratio over kept rows)."""
+    return D.date_filtered_datasets(_star(spark, sf_dir), *DATE_PICK)["kpi_on_time_rate"]
+
+
 def h_top10_refiltered(spark, sf_dir) -> DataFrame:
     """T6 option: the region selection applied before the Top-10 limit."""
     return RESULTS["top_products_by_spend"](_star(spark, sf_dir), regions=GLOBAL_PICK)
@@ -171,6 +183,8 @@ EXTRA_QUERIES = {
     "h_global_filter": h_global_filter,
     "h_global_filter_top10": h_global_filter_top10,
     "h_top10_refiltered": h_top10_refiltered,
+    "h_date_filter": h_date_filter,
+    "h_date_filter_otd": h_date_filter_otd,
     "h_cross_filter": h_cross_filter,
     "h_counter_filtered": h_counter_filtered,
     "h_tidy_wide": h_tidy_wide,
@@ -263,6 +277,14 @@ EXTRA_ORACLE = {
                                 JOIN products p ON po.product_id = p.product_id
         WHERE s.region = '{CROSS_PICK['region']}' GROUP BY status"""),
     "h_counter_filtered": O._counter_sql(COUNTER_PICK),
+    "h_date_filter": O.with_star(f"""
+        SELECT region, {O.money(f'sum({O.VALUE})')} AS total_spend FROM pos
+        WHERE status != 'cancelled' AND order_date >= DATE '{DATE_PICK[0]}-01'
+          AND order_date < {O._next_month(DATE_PICK[1])} GROUP BY region"""),
+    "h_date_filter_otd": O.with_star(f"""
+        SELECT region, {O.rdiv(O.ON_TIME, O.RECEIVED, 3)} AS on_time_pct FROM pos
+        WHERE actual_delivery_date IS NOT NULL AND order_date >= DATE '{DATE_PICK[0]}-01'
+          AND order_date < {O._next_month(DATE_PICK[1])} GROUP BY region"""),
     "h_top10_refiltered": O.with_star(f"""
         SELECT s.region, p.product_name, p.category, s.supplier_name,
                CAST(sum(po.quantity) AS BIGINT) AS total_quantity,

@@ -187,6 +187,18 @@ class Star:
             self._bounded[name] = is_bounded(getattr(self, name))
         return self._bounded[name]
 
+    def restrict(self, orders_where=None, inventory_where=None) -> "Star":
+        """The same star with row filters on its facts (dashboard date filters).
+
+        Every result built on the returned star sees only the kept rows; the
+        predicates reach the parquet scans. Dimensions and size checks are shared.
+        """
+        from dataclasses import replace as _replace
+        po = self.purchase_orders if orders_where is None else self.purchase_orders.where(orders_where)
+        inv = (self.inventory_snapshots if inventory_where is None
+               else self.inventory_snapshots.where(inventory_where))
+        return _replace(self, purchase_orders=po, inventory_snapshots=inv, _bounded=self._bounded)
+
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(prefix + name)
