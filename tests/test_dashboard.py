@@ -42,3 +42,10 @@ def test_guards_on_golden(golden, spark):
     assert dc[("purchase_orders", "actual_date_iff_delivered")] == 0
     # stock is only on order for items below their reorder point
     assert dc[("inventory_snapshots", "on_order_while_not_low")] == 0
+
+
+def test_date_filter_applies_before_aggregation(golden):
+    ds = D.date_filtered_datasets(golden, "2024-11", "2024-11")
+    assert rows(ds["spend_by_region"]) == [("Europe", 249.95), ("North America", 210.0)]
+    # on-time over November orders only: Alpha's PO-00002 late, Beta's PO-00003 early
+    assert rows(ds["kpi_on_time_rate"]) == [("Europe", 1.0), ("North America", 0.0)]
