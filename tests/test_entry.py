@@ -44,3 +44,12 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(dcols) == cols
     b = sorted((tuple(_norm(dict(zip(dcols, r))[c]) for c in cols) for r in rel.fetchall()), key=repr)
     assert a == b
+
+
+def test_trusted_questions_map_to_registered_queries(spark):
+    from quartermaster.plans.trusted import TRUSTED, answer, trusted_key
+    assert set(TRUSTED.values()) <= set(E.queries())
+    assert trusted_key("  who are our BEST suppliers ") == "bm_best_suppliers"
+    assert answer(spark, SF_SMALL, "How many purchase orders do we have?").first().order_count > 0
+    with pytest.raises(KeyError):
+        trusted_key("what is the meaning of life?")
