@@ -1,7 +1,8 @@
 """Dimension joins with a checked broadcast, plus join guards.
 
-Only sides whose row count has been *checked* are broadcast: ``is_bounded``
-runs one ``LIMIT n+1`` count (it stops reading once the limit is hit), and a
+Only sides whose size has been *checked* are broadcast: ``is_bounded`` runs
+one ``LIMIT n+1`` count (it stops reading once the limit is hit), where ``n``
+is the row cap lowered by a byte budget over the estimated row width, and a
 side that fails the check is joined with a shuffle instead. Literal lists
 (warehouses, rules) are the only inputs broadcast without a check.
 """
@@ -11,14 +12,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) that may be broadcast. 2M narrow rows is ~100 MB;
-# override per session with ``quartermaster.broadcast.maxRows``.
+# Largest dimension that may be broadcast: at most this many rows and this
+# many estimated bytes (rows x estimated row width of the projected columns).
+# Override per session with ``quartermaster.broadcast.maxRows`` / ``.maxBytes``.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+# Estimated in-memory bytes per value by type (strings: a short-name average).
+_WIDTH = {"string": 48, "binary": 48, "decimal": 16, "timestamp": 8, "timestamp_ntz": 8,
+          "date": 4, "int": 4, "integer": 4, "bigint": 8, "long": 8, "double": 8, "float": 4,
+          "boolean": 1, "smallint": 2, "short": 2, "tinyint": 1, "byte": 1}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row of ``df``'s columns (plus a fixed row overhead)."""
+    width = 16
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        width += _WIDTH.get(t, 64)
+    return width
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("quartermaster.broadcast.maxRows", None)
-    return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
+    conf = df.sparkSession.conf
+    rows = int(conf.get("quartermaster.broadcast.maxRows", None) or DEFAULT_MAX_BROADCAST_ROWS)
+    budget = int(conf.get("quartermaster.broadcast.maxBytes", None) or DEFAULT_MAX_BROADCAST_BYTES)
+    return max(0, min(rows, budget // row_width(df)))
 
 
 def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:

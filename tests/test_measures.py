@@ -87,3 +87,13 @@ def test_global_aggregate_keeps_its_row(spark):
                                "k string, status string, quantity int, unit_cost decimal(12,2)")
     got = M.metrics(df, [M.total_spend(), M.delayed_count()]).collect()
     assert len(got) == 1 and got[0].total_spend is None and got[0].delayed_orders == 0
+
+
+def test_broadcast_check_counts_bytes(spark):
+    from quartermaster.operators.joins import is_bounded, max_broadcast_rows
+    df = spark.range(100).selectExpr("id", "repeat('x', 10) AS s")
+    s2 = spark.newSession()
+    s2.conf.set("quartermaster.broadcast.maxBytes", "1000")
+    narrow = s2.range(100).selectExpr("id", "repeat('x', 10) AS s")
+    assert max_broadcast_rows(df) > 100 and is_bounded(df)
+    assert max_broadcast_rows(narrow) < 100 and not is_bounded(narrow)
