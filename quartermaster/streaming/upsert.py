@@ -43,9 +43,12 @@ def merge_into_state(batch: DataFrame, state_path: str, keys: Sequence[str], ver
     new = latest_versions(batch, keys, version)
     # (dynamic partition overwrite writes no root _SUCCESS marker)
     if _exists(spark, state_path):
-        old = spark.read.parquet(state_path).select(*new.columns)
-        touched = new.select(partition).distinct()
-        old = old.join(touched, partition, "left_semi")
+        # The touched months as one scalar-subquery array: Spark evaluates it
+        # before the scan and prunes the state's partition folders with it (a
+        # semi join would read every partition). One value per touched month.
+        touched = new.agg(F.collect_set(partition)).scalar()
+        old = (spark.read.parquet(state_path).select(*new.columns)
+                    .where(F.array_contains(touched, F.col(partition))))
         # Cut the lineage before overwriting the files just read: the merged
         # months are written as a staging table next to the state (shared
         # storage) and read back.
