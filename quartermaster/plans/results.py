@@ -172,9 +172,12 @@ def q_monthly_spend_by_category(star) -> DataFrame:
             .orderBy("order_month", "category"))
 
 
-def q_below_reorder_now(star) -> DataFrame:
+def q_below_reorder_now(star, per_item: bool = False) -> DataFrame:
+    """M3+M4 rows now. ``per_item`` (T17 option): each product-warehouse's own
+    latest snapshot instead of the global latest date."""
     inv = enrich_inventory(star, dims=("products",), synonyms=False)
-    return (latest_only(inv, "snapshot_date").where(M.LOW_STOCK())
+    latest = latest_only(inv, "snapshot_date", per=["product_id", "warehouse"] if per_item else None)
+    return (latest.where(M.LOW_STOCK())
             .select("snapshot_date", "product_id", "product_name", "warehouse", "quantity_on_hand",
                     "reorder_point", "quantity_on_order")
             .orderBy("product_id", "warehouse"))

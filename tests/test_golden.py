@@ -99,3 +99,10 @@ def test_worst_warehouse_tie_break(golden):
 def test_best_suppliers_including_unreceived(golden):
     got = [(r.supplier_name, r.on_time_pct) for r in R.bm_best_suppliers_all(golden).collect()]
     assert got == [("Beta", 100.0), ("Alpha", 50.0), ("Gamma", None)]
+
+
+def test_below_reorder_now_global_vs_per_item(golden):
+    glob = rows(R.q_below_reorder_now(golden), "product_id", "warehouse")
+    per = rows(R.q_below_reorder_now(golden, per_item=True), "product_id", "warehouse")
+    assert glob == [("PROD-001", "Chicago"), ("PROD-003", "Seattle")]
+    assert per == glob        # every item has a row at the latest date in the fixture
