@@ -208,12 +208,29 @@ _STARS: dict[tuple, Star] = {}
 _STARS_LOCK = __import__("threading").Lock()
 
 
-def lazy_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star as lazy views over the raw tables (nothing written)."""
+class _Spread:
+    """Raw tables with ``lineitem`` and ``part`` spread over the cluster's cores
+    when stored in fewer splits (see ``_spread``)."""
+
+    def __init__(self, raw: Raw):
+        self._raw = raw
+
+    def __getattr__(self, name: str) -> DataFrame:
+        df = getattr(self._raw, name)
+        return _spread(df) if name in ("lineitem", "part") else df
+
+
+def lazy_star(spark: SparkSession, sf_dir: str, spread: bool = False) -> Star:
+    """The star as lazy views over the raw tables (nothing written).
+
+    ``spread`` (used when the star is written) round-robins the large raw
+    tables first if they are stored in fewer splits than there are cores.
+    """
     raw = Raw(spark, sf_dir)
-    products = conform_products(raw)
+    src = _Spread(raw) if spread else raw
+    products = conform_products(src)
     return Star(spark=spark, suppliers=conform_suppliers(raw), products=products,
-                purchase_orders=conform_purchase_orders(raw),
+                purchase_orders=purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw)),
                 inventory_snapshots=inventory_panel(products), source=sf_dir)
 
 
@@ -234,9 +251,9 @@ def materialize_star(star: Star, path: str) -> Star:
         writes = [
             lambda: star.suppliers.write.mode("overwrite").parquet(f"{path}/suppliers"),
             lambda: star.products.write.mode("overwrite").parquet(f"{path}/products"),
-            lambda: (_spread(star.purchase_orders).sortWithinPartitions("order_date")
+            lambda: (star.purchase_orders.sortWithinPartitions("order_date")
                      .write.mode("overwrite").parquet(f"{path}/purchase_orders")),
-            lambda: (_spread(star.inventory_snapshots).write.mode("overwrite")
+            lambda: (star.inventory_snapshots.write.mode("overwrite")
                      .partitionBy("snapshot_date").parquet(f"{path}/inventory_snapshots")),
         ]
         # Four independent jobs submitted together: the small dimension jobs
@@ -258,7 +275,12 @@ def materialize_star(star: Star, path: str) -> Star:
 def _spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows when the input has fewer splits than the cluster
     has cores (a small table stored as one row group); a large input already
-    has thousands of splits and is left alone (no extra shuffle)."""
+    has thousands of splits and is left alone (no extra shuffle).
+
+    Only called on plain file scans: their partition count comes from file
+    listing alone, no job runs (on a plan with exchanges, asking for the RDD
+    could make adaptive execution run shuffle stages).
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
@@ -293,7 +315,7 @@ def load_star(spark: SparkSession, sf_dir: str, materialize: bool | None = None)
     key = (spark, sf_dir.rstrip("/"), materialize)
     with _STARS_LOCK:       # concurrent callers build a star once
         if key not in _STARS:
-            star = lazy_star(spark, sf_dir)
+            star = lazy_star(spark, sf_dir, spread=bool(materialize))
             if materialize:
                 star = materialize_star(star, star_path(spark, sf_dir))
             _STARS[key] = star

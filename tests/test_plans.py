@@ -63,3 +63,17 @@ def test_aggregation_is_partial_before_every_shuffle(spark):
                             [M.total_spend(), M.on_time_rate()], ["region"], strategy=strategy)
         p = df._jdf.queryExecution().executedPlan().toString()
         assert "partial_sum" in p and "partial_count" in p, strategy
+
+
+def test_spread_check_runs_no_job(spark):
+    """The single-split check asks a plain file scan for its partitions: no job."""
+    from quartermaster.sources.conform import _spread
+    from quartermaster.sources.raw import Raw
+    li = Raw(spark, SF_SMALL).lineitem
+    sc = spark.sparkContext
+    sc.setJobGroup("qm-spread-probe", "probe")
+    try:
+        _spread(li)
+        assert sc.statusTracker().getJobIdsForGroup("qm-spread-probe") == []
+    finally:
+        sc.setJobGroup("", "")
