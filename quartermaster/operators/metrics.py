@@ -354,3 +354,14 @@ CATALOGUE = {
     "low_stock_count": low_stock_count, "delayed_orders": delayed_count,
     "total_quantity": total_quantity, "avg_quantity": avg_quantity,
 }
+
+
+def measure_for(term: str) -> Measure:
+    """The catalogue measure named by ``term`` or one of its synonyms
+    (case-insensitive exact match; a dictionary lookup, not a parser)."""
+    t = term.strip().lower()
+    for name, build in CATALOGUE.items():
+        m = build()
+        if t == name.lower() or t in (s.lower() for s in m.synonyms):
+            return m
+    raise KeyError(term)

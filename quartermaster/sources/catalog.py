@@ -26,6 +26,13 @@ class Namespace:
     def fq(self, table: str) -> str:
         return f"`{self.catalog}`.`{self.schema}`.`{table}`"
 
+    @classmethod
+    def from_conf(cls, spark: SparkSession) -> "Namespace":
+        """A1: the namespace from ``quartermaster.catalog`` / ``quartermaster.schema``
+        (the reference reads its catalog name from a notebook parameter)."""
+        return cls(schema=spark.conf.get("quartermaster.schema", cls.schema),
+                   catalog=spark.conf.get("quartermaster.catalog", cls.catalog))
+
 
 # Table and column descriptions of the star (our wording of the reference's
 # descriptions; purchase_orders is described too).

@@ -97,3 +97,20 @@ def test_broadcast_check_counts_bytes(spark):
     narrow = s2.range(100).selectExpr("id", "repeat('x', 10) AS s")
     assert max_broadcast_rows(df) > 100 and is_bounded(df)
     assert max_broadcast_rows(narrow) < 100 and not is_bounded(narrow)
+
+
+def test_measure_synonyms():
+    assert M.measure_for("OTD rate").name == "on_time_delivery_rate"
+    assert M.measure_for("Total Cost").name == "total_spend"
+    assert M.measure_for("at-risk items").name == "low_stock_count"
+    import pytest
+    with pytest.raises(KeyError):
+        M.measure_for("happiness")
+
+
+def test_namespace_from_conf(spark):
+    from quartermaster.sources.catalog import Namespace
+    s2 = spark.newSession()
+    s2.conf.set("quartermaster.schema", "lab")
+    assert Namespace.from_conf(s2).fq("t") == "`spark_catalog`.`lab`.`t`"
+    assert Namespace.from_conf(spark).schema == "supply_chain"
