@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,8 @@ from ..functions import expr as X
 from ..operators import metrics as M
 from ..operators.analysis import top_n
 from ..operators.enrich import ORDER_DIMS
+from ..operators.evaluate import score_run
+from ..session import path_exists
 from . import oracle as O
 from .results import RESULTS
 
@@ -104,14 +107,11 @@ def cases(star, run_id: int) -> list[tuple]:
 def scored_runs(star, run_ids=(1, 2)) -> DataFrame:
     """Both benchmark runs scored; written once next to a materialised star
     (the recorded benchmark result), lazy otherwise."""
-    from ..operators.evaluate import score_run
-    from functools import reduce
     lazy = reduce(DataFrame.unionByName, [score_run(r, cases(star, r)) for r in run_ids])
     if not star.path:
         return lazy
-    from ..sources.conform import _exists
     path = f"{star.path}/benchmark_runs_{'_'.join(map(str, run_ids))}"
-    if not _exists(star.spark, f"{path}/_SUCCESS"):
+    if not path_exists(star.spark, f"{path}/_SUCCESS"):
         lazy.coalesce(1).write.mode("overwrite").parquet(path)
     return star.spark.read.parquet(path)
 

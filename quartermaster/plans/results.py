@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..operators import metrics as M
 from ..operators.analysis import drivers, mom_change, rank_suppliers, top_n
-from ..operators.enrich import INVENTORY_DIMS, ORDER_DIMS, enrich_inventory
+from ..operators.enrich import (INVENTORY_DIMS, ORDER_DIMS, enrich_inventory, product_dim,
+                                supplier_dim)
 from ..operators.joins import latest_only, zero_fill
 from ..sources.conform import (BASE_MONTH, BENCH_REGION, COMPARE_FIRST, COMPARE_LAST,
                                ETA_MONTH, WAREHOUSES)
@@ -243,7 +244,6 @@ def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_
     vol = F.when(qb == 0, F.round(sc, 2)).otherwise(once(sb * (qc - qb)))
     price = F.when(qb == 0, F.round(sc - sc, 2)).otherwise(once((sc - sb) * qb - sb * (qc - qb)))
     out = agg.select("product_id", sb.alias("__b"), sc.alias("__c"), vol.alias("__v"), price.alias("__p"))
-    from ..operators.enrich import product_dim
     pd_ = product_dim(star).select("product_id", "product_name", "category")
     out = out.join(F.broadcast(pd_) if star.small("products") else pd_, "product_id")
     return out.select("product_id", "product_name", "category",
@@ -259,7 +259,6 @@ def q_region_lead_weighted(star) -> DataFrame:
     with suppliers carries one row per supplier; the weighted mean is
     sum(lead x orders) / sum(orders).
     """
-    from ..operators.enrich import supplier_dim
     per_supplier = star.purchase_orders.groupBy("supplier_id").agg(F.count(F.lit(1)).alias("__n"))
     dim = supplier_dim(star).select("supplier_id", "region", "lead_time_days")
     rows = per_supplier.join(F.broadcast(dim) if star.small("suppliers") else dim, "supplier_id")

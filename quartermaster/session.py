@@ -71,6 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return str(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on the (shared) file system of the session."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint dir for tables this engine writes itself.
 

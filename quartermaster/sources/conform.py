@@ -21,13 +21,17 @@ Mapping (README "Star mapping" lists the reasons):
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+import hashlib
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY
 from ..operators.joins import is_bounded, join_dim
+from ..session import path_exists, scratch_path
 from .raw import Raw
 
 # ---- fixed values (must stay as written) -------------------------------------
@@ -193,11 +197,10 @@ class Star:
         Every result built on the returned star sees only the kept rows; the
         predicates reach the parquet scans. Dimensions and size checks are shared.
         """
-        from dataclasses import replace as _replace
         po = self.purchase_orders if orders_where is None else self.purchase_orders.where(orders_where)
         inv = (self.inventory_snapshots if inventory_where is None
                else self.inventory_snapshots.where(inventory_where))
-        return _replace(self, purchase_orders=po, inventory_snapshots=inv, _bounded=self._bounded)
+        return replace(self, purchase_orders=po, inventory_snapshots=inv, _bounded=self._bounded)
 
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.tables().items():
@@ -205,7 +208,7 @@ class Star:
 
 
 _STARS: dict[tuple, Star] = {}
-_STARS_LOCK = __import__("threading").Lock()
+_STARS_LOCK = threading.Lock()
 
 
 class _Spread:
@@ -247,7 +250,7 @@ def materialize_star(star: Star, path: str) -> Star:
     """
     spark = star.spark
     done = f"{path}/_STAR_COMPLETE"
-    if not _exists(spark, done):
+    if not path_exists(spark, done):
         writes = [
             lambda: star.suppliers.write.mode("overwrite").parquet(f"{path}/suppliers"),
             lambda: star.products.write.mode("overwrite").parquet(f"{path}/products"),
@@ -258,7 +261,6 @@ def materialize_star(star: Star, path: str) -> Star:
         ]
         # Four independent jobs submitted together: the small dimension jobs
         # run while the fact is written instead of after it.
-        from concurrent.futures import ThreadPoolExecutor
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for f in [pool.submit(w) for w in writes]:
                 f.result()
@@ -285,21 +287,12 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 # Bumped whenever a conformance formula changes, so a persistent checkpoint
 # folder never serves a star written by older code.
 STAR_VERSION = 3
 
 
 def star_path(spark: SparkSession, sf_dir: str) -> str:
-    import hashlib
-    from ..session import scratch_path
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     return scratch_path(spark, f"star/v{STAR_VERSION}-{tag}")
 

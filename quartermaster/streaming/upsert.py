@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics as M
-from ..sources.conform import _exists
+from ..session import path_exists
 
 
 def latest_versions(rows: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
@@ -42,7 +42,7 @@ def merge_into_state(batch: DataFrame, state_path: str, keys: Sequence[str], ver
     spark = batch.sparkSession
     new = latest_versions(batch, keys, version)
     # (dynamic partition overwrite writes no root _SUCCESS marker)
-    if _exists(spark, state_path):
+    if path_exists(spark, state_path):
         # The touched months as one scalar-subquery array: Spark evaluates it
         # before the scan and prunes the state's partition folders with it (a
         # semi join would read every partition). One value per touched month.
