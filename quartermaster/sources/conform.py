@@ -115,10 +115,7 @@ def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFra
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                          "l_extendedprice", "l_returnflag", "l_linestatus")
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
-    # lineitem ⋈ orders is the one large-large join of the star (shuffle on the
-    # order key; AQE splits a hot order key).
-    j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-           .withColumn("__n_supp", n_suppliers_value(n_supp)))
+    j = join_orders(li, o).withColumn("__n_supp", n_suppliers_value(n_supp))
     supplier_id = product_supplier(F.col("l_partkey"), F.col("__n_supp"))
     expected = F.date_add(F.col("order_date"),
                           lead_time_of(supplier_id)
@@ -142,6 +139,29 @@ def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFra
                     "status")
 
 
+def join_orders(li: DataFrame, o: DataFrame) -> DataFrame:
+    """lineitem ⋈ orders on the order key: the one large-large join of the star.
+
+    With AQE skew-join splitting on (the default) this is a plain equi-join:
+    Spark broadcasts ``o`` when its size estimate is small and otherwise splits
+    a hot order key's partition at run time. Without it, a hot key is split by
+    salting: each line gets a hash salt in [0, S) and the two-column order side
+    is replicated once per salt value (S = ``quartermaster.join.salts``, 8), so
+    one order key's lines spread over S tasks.
+    """
+    spark = li.sparkSession
+    aqe_skew = (spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+                and spark.conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+    if aqe_skew or li.isStreaming:
+        return li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    salts = int(spark.conf.get("quartermaster.join.salts", "8"))
+    ls = li.withColumn("__salt", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey",
+                                                   "l_extendedprice"), F.lit(salts)))
+    os_ = o.withColumn("__osalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return (ls.join(os_, (ls["l_orderkey"] == os_["o_orderkey"]) & (ls["__salt"] == os_["__osalt"]))
+              .drop("__salt", "__osalt"))
+
+
 def inventory_panel(products: DataFrame, start: _dt.date = SNAPSHOT_START,
                     weeks: int = SNAPSHOT_WEEKS, warehouses=WAREHOUSES) -> DataFrame:
     """Weekly product x warehouse stock panel of the conformed star.
