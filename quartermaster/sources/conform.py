@@ -309,7 +309,7 @@ def _spread(df: DataFrame) -> DataFrame:
 
 # Bumped whenever a conformance formula changes, so a persistent checkpoint
 # folder never serves a star written by older code.
-STAR_VERSION = 3
+STAR_VERSION = 4
 
 
 def star_path(spark: SparkSession, sf_dir: str) -> str:
