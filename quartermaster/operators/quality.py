@@ -67,10 +67,13 @@ def orphan_report(star) -> DataFrame:
 
 
 def uniqueness_report(star) -> DataFrame:
-    """Duplicate-key counts for every dimension (must all be 0)."""
-    dims = [("suppliers", star.suppliers, "supplier_id"), ("products", star.products, "product_id")]
-    parts = [assert_unique(df.select(key), key).agg(F.count(F.lit(1)).alias("duplicate_keys"))
-             .select(F.lit(name).alias("table_name"), F.lit(key).alias("key"), "duplicate_keys")
+    """Duplicate-key counts for every dimension and the snapshot grain (all 0)."""
+    dims = [("suppliers", star.suppliers, ["supplier_id"]), ("products", star.products, ["product_id"]),
+            ("inventory_snapshots", star.inventory_snapshots,
+             ["snapshot_date", "product_id", "warehouse"])]          # the snapshot grain
+    parts = [assert_unique(df.select(*key), key).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+             .select(F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key"),
+                     "duplicate_keys")
              for name, df, key in dims]
     return reduce(DataFrame.unionByName, parts)
 

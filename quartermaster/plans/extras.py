@@ -56,6 +56,11 @@ def n_status_domain(spark, sf_dir) -> DataFrame:
     return Q.check_domain(_star(spark, sf_dir).purchase_orders, "status", STATUSES)
 
 
+def n_warehouse_domain(spark, sf_dir) -> DataFrame:
+    """Warehouses outside the four allowed ones (empty when clean)."""
+    return Q.check_domain(_star(spark, sf_dir).inventory_snapshots, "warehouse", WAREHOUSES)
+
+
 def e_setup_verification(spark, sf_dir) -> DataFrame:
     """Star row counts against counts expected from the raw tables."""
     star, raw = _star(spark, sf_dir), Raw(spark, sf_dir)
@@ -178,6 +183,7 @@ EXTRA_QUERIES = {
     "j_orphans": j_orphans,
     "j_path_equivalence": j_path_equivalence,
     "n_status_domain": n_status_domain,
+    "n_warehouse_domain": n_warehouse_domain,
     "e_domain_checks": e_domain_checks,
     "e_setup_verification": e_setup_verification,
     "h_global_filter": h_global_filter,
@@ -210,7 +216,10 @@ EXTRA_ORACLE = {
         SELECT 'suppliers' AS table_name, 'supplier_id' AS key, count(*) AS duplicate_keys
         FROM (SELECT supplier_id FROM suppliers GROUP BY 1 HAVING count(*) > 1)
         UNION ALL SELECT 'products', 'product_id', count(*)
-        FROM (SELECT product_id FROM products GROUP BY 1 HAVING count(*) > 1)"""),
+        FROM (SELECT product_id FROM products GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'inventory_snapshots', 'snapshot_date,product_id,warehouse', count(*)
+        FROM (SELECT snapshot_date, product_id, warehouse FROM inventory_snapshots
+              GROUP BY ALL HAVING count(*) > 1)"""),
     "j_orphans": O.with_star("""
         SELECT 'purchase_orders->suppliers' AS relationship, count(*) AS orphan_rows FROM purchase_orders
           WHERE supplier_id NOT IN (SELECT supplier_id FROM suppliers WHERE supplier_id IS NOT NULL)
@@ -229,6 +238,9 @@ EXTRA_ORACLE = {
     "n_status_domain": O.with_star(f"""
         SELECT status, count(*) AS rows FROM purchase_orders
         WHERE status NOT IN {_STATUS_IN} OR status IS NULL GROUP BY status"""),
+    "n_warehouse_domain": O.with_star(f"""
+        SELECT warehouse, count(*) AS rows FROM inventory_snapshots
+        WHERE warehouse NOT IN {_WH_IN} OR warehouse IS NULL GROUP BY warehouse"""),
     "e_domain_checks": O.with_star(f"""
         SELECT 'purchase_orders' AS table_name, c AS "check", CAST(v AS BIGINT) AS violations FROM (
           SELECT count(CASE WHEN status NOT IN {_STATUS_IN} OR status IS NULL THEN 1 END) AS status_not_allowed,
