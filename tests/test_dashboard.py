@@ -49,3 +49,16 @@ def test_date_filter_applies_before_aggregation(golden):
     assert rows(ds["spend_by_region"]) == [("Europe", 249.95), ("North America", 210.0)]
     # on-time over November orders only: Alpha's PO-00002 late, Beta's PO-00003 early
     assert rows(ds["kpi_on_time_rate"]) == [("Europe", 1.0), ("North America", 0.0)]
+
+
+def test_restrict_inventory_and_tidy_and_publish(golden, spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    early = golden.restrict(inventory_where=F.col("snapshot_date") < F.lit(dt.date(2024, 11, 11)))
+    # only the 2024-11-04 snapshot is left: it is the latest, PROD-001 Chicago is low
+    assert rows(R.kpi_low_stock(early)) == [("North America", 1)]
+    t = D.tidy(R.orders_over_time(golden), "order_month", "order_count", "status")
+    assert t.columns == ["order_month", "status", "order_count"]
+    D.publish({"spend": R.spend_by_region(golden)}, prefix="qm_test_")
+    assert spark.sql("SELECT count(*) AS n FROM qm_test_spend").first().n == 3
