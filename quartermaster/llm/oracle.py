@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, url_filter
+from . import licenses, secrets, url_filter
 
 
 def _sql(s: str) -> str:
@@ -102,4 +102,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_rep AS BIGINT
 FROM judged"""
 
 
-LLM_ORACLE = {f.__name__: f() for f in (op3_url_filter, op5_license_scan, op7_quality_rules)}
+def op10_secret_scan() -> str:
+    found = " UNION ALL ".join(f"""
+  SELECT r, {rank} AS rank, '{x.kind}' AS kind, i, len(groups[i]) AS n,
+         CAST(coalesce(list_sum([length(y) FOR y IN gaps[1:i]]), 0)
+              + coalesce(list_sum([length(y) FOR y IN hits[1:i - 1]]), 0) AS BIGINT) AS s, length(hits[i]) AS l
+  FROM (SELECT r, gaps, hits, groups, unnest(range(1, len(hits) + 1)) AS i
+        FROM (SELECT r, string_split_regex(text, {_sql(x.pattern)}) AS gaps,
+                     regexp_extract_all(text, {_sql(x.pattern)}, 0) AS hits,
+                     regexp_extract_all(text, {_sql(x.pattern)}, {x.group}) AS groups FROM rows) a) b
+  WHERE len(groups[i]) >= {x.least}""" for rank, x in enumerate(secrets.RULES))
+    return f"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found}),
+each AS (SELECT r, rank, kind, s, kind || ':' || s || ':' || (s + l) AS span FROM found),
+lists AS (
+  SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         coalesce(string_agg(span, ',' ORDER BY s, rank) FILTER (WHERE rank < {len(secrets.BASE)}), '') AS base,
+         string_agg(span, ',' ORDER BY s, rank) AS spans
+  FROM each GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM rows LEFT JOIN lists USING (r)"""
+
+
+LLM_ORACLE = {f.__name__: f() for f in (op3_url_filter, op5_license_scan, op7_quality_rules, op10_secret_scan)}

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality_rules, url_filter
+from . import licenses, mixing, quality_rules, secrets, url_filter
 from .common import table
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's share of the mix: its size and the words taken of it."""
+    return mixing.mix(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page URL judged by the fixed rules and the vocabulary."""
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("url")
@@ -26,4 +32,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.plan(docs))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op3_url_filter, op5_license_scan, op7_quality_rules)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets, as spans of code points."""
+    found = secrets.scan(spark, table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["rank"] < len(secrets.BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in secrets.BASE],
+                        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (
+    op2_source_mixing, op3_url_filter, op5_license_scan, op7_quality_rules, op10_secret_scan)}
