@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, quality_rules, secrets, url_filter
+from . import decontaminate, licenses, mixing, quality_rules, secrets, simhash, url_filter
 from .common import table
 
 
@@ -32,6 +32,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.plan(docs))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds: where its tokens are and how many are equal."""
+    return decontaminate.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the least document that its links reach."""
+    found = simhash.dedup(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets, as spans of code points."""
     found = secrets.scan(spark, table(spark, sf_dir, "documents"))
@@ -43,4 +55,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_source_mixing, op3_url_filter, op5_license_scan, op7_quality_rules, op10_secret_scan)}
+    op2_source_mixing, op3_url_filter, op5_license_scan, op7_quality_rules, op8_decontamination,
+    op9_simhash_dedup, op10_secret_scan)}
