@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, quality_rules, secrets, simhash, url_filter
+from . import (decontaminate, langid, licenses, mixing, quality_rules, ranker, secrets, simhash,
+               url_filter)
 from .common import table
 
 
+def _fold(n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share of the mix: its size and the words taken of it."""
     return mixing.mix(spark, table(spark, sf_dir, "documents")).select(
@@ -20,12 +26,29 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op4_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = ranker.train(docs, table(spark, sf_dir, "labels").where(_fold(3) != 1))
+    return ranker.score(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "score",
+                                            (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's canonical digest, its licence and the licence notices in it."""
     return (licenses.scan(spark, table(spark, sf_dir, "documents"))
             .withColumn("notices", F.array_join("notices", ",")))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(spark, docs.where(_fold(5) != 0))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (_fold(5) == 0).alias("held_out"), langid.predicted(F.col("lang")).alias("lang_pred"),
+                        "score", "cross_entropy", "accepted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base statistics and the cascade's verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -55,5 +78,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_source_mixing, op3_url_filter, op5_license_scan, op7_quality_rules, op8_decontamination,
-    op9_simhash_dedup, op10_secret_scan)}
+    op2_source_mixing, op3_url_filter, op4_quality_ranker, op5_license_scan, op6_language_id, op7_quality_rules,
+    op8_decontamination, op9_simhash_dedup, op10_secret_scan)}
