@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, langid, licenses, mixing, quality_rules, ranker, secrets, simhash,
-               url_filter)
+from . import (decontaminate, html_extract, langid, licenses, mixing, quality_rules, ranker, secrets,
+               simhash, url_filter)
 from .common import table
 
 
@@ -15,6 +15,12 @@ def _fold(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return (html_extract.extract(spark, table(spark, sf_dir, "pages"))
+            .withColumn("n_chars", F.length("text").cast("long")))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share of the mix: its size and the words taken of it."""
     return mixing.mix(spark, table(spark, sf_dir, "documents")).select(
@@ -78,5 +84,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_source_mixing, op3_url_filter, op4_quality_ranker, op5_license_scan, op6_language_id, op7_quality_rules,
-    op8_decontamination, op9_simhash_dedup, op10_secret_scan)}
+    op1_html_extraction, op2_source_mixing, op3_url_filter, op4_quality_ranker, op5_license_scan,
+    op6_language_id, op7_quality_rules, op8_decontamination, op9_simhash_dedup, op10_secret_scan)}

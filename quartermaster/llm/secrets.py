@@ -178,7 +178,7 @@ def scan(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_i
          keep_rows: bool = False) -> DataFrame:
     """Every row's id and ``spans``: array of (start, end, rank, kind) by start, then rule order.
 
-    With ``keep_rows`` the input's columns stay and ``spans`` is added.
+    With ``keep_rows`` the input's columns stay and ``spans_col`` is added.
     """
     found = materialise(spark, candidates(index(docs, rules, id_col, text_col), rules), "secret-candidates")
     small = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
@@ -190,7 +190,7 @@ def scan(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_i
     for rank, rule in enumerate(rules):
         may = F.col(f"may_{rule.kind}") if f"may_{rule.kind}" in found.columns else text.rlike(rule.pattern)
         parts.append(F.when(F.coalesce(may, F.lit(False)), spans_of(text, rule, rank)).otherwise(none))
-    spans = F.array_sort(F.concat(*parts)).alias("spans")
+    spans = F.array_sort(F.concat(*parts)).alias(spans_col)
     if keep_rows:
         return rows.select(*[docs[c] for c in docs.columns], spans)
     return rows.select(docs[id_col], spans)
@@ -214,3 +214,15 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     done = F.aggregate(spans, start, step)
     rest = F.substring(text, done["at"] + 1, F.length(text))
     return F.when(F.size(spans) > 0, F.concat(done["out"], rest)).otherwise(text)
+
+
+def redacted(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
+             chars_col: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
+    """The rows, with all their columns, every secret in the text replaced; its length follows."""
+    found = scan(spark, docs, rules, id_col, text_col, keep_rows=True, spans_col="__spans")
+    text = redact(F.col(text_col), F.col("__spans"), mark)
+    new = {text_col: text}
+    if chars_col in docs.columns:
+        changed = F.length(text).cast(docs.schema[chars_col].dataType)
+        new[chars_col] = F.when(F.size("__spans") > 0, changed).otherwise(F.col(chars_col))
+    return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -250,3 +250,20 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     label = named.join(least, "root").select(F.col("fp").alias("node"), "component")
     return fps.join(label, fps.fp == label.node).select(F.col("id").alias(id_col), "fp", "component")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows, with all their columns, of each component's least id.
+
+    Of rows that repeat that id one stays. Rows without an id can't be named and stay.
+    """
+    found = materialise(spark, dedup(spark, docs, id_col, text_col, shingle, max_bits), "simhash-found")
+    gone = found.where(F.col(id_col) != F.col("component")).select(id_col).distinct()
+    kept = docs.join(gone, id_col, "left_anti")
+    repeated = found.groupBy(id_col).count().where(f"count > 1 and `{id_col}` is not null").select(id_col)
+    repeated = materialise(spark, repeated, "simhash-repeated")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.join(repeated, id_col, "left_anti").unionByName(once)
