@@ -175,7 +175,7 @@ def spans_of(text: Column, rule: Rule, rank: int) -> Column:
 
 
 def scan(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
-         keep_rows: bool = False) -> DataFrame:
+         keep_rows: bool = False, spans_col: str = "spans") -> DataFrame:
     """Every row's id and ``spans``: array of (start, end, rank, kind) by start, then rule order.
 
     With ``keep_rows`` the input's columns stay and ``spans_col`` is added.
