@@ -25,11 +25,14 @@ def _defs(p: str) -> list[str]:
             RETURNS DECIMAL(23,2)
             RETURN CAST(quantity AS DECIMAL(10,0)) * unit_cost""",
         # Trusted query 1 as a table function; cancelled orders excluded unless asked.
+        # Lines are summed per supplier before the join, so a hot supplier's
+        # lines never meet in one task.
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {p}spend_by_region(exclude_cancelled BOOLEAN)
             RETURNS TABLE (region STRING, total_spend DOUBLE)
-            RETURN SELECT s.region,
-                          CAST(ROUND(SUM({p}order_value(po.quantity, po.unit_cost)), 2) AS DOUBLE)
-                   FROM {p}purchase_orders po JOIN {p}suppliers s ON po.supplier_id = s.supplier_id
+            RETURN SELECT s.region, CAST(ROUND(SUM(po.spend), 2) AS DOUBLE)
+                   FROM (SELECT supplier_id, status, SUM({p}order_value(quantity, unit_cost)) AS spend
+                         FROM {p}purchase_orders GROUP BY supplier_id, status) po
+                   JOIN {p}suppliers s ON po.supplier_id = s.supplier_id
                    WHERE NOT exclude_cancelled OR po.status != 'cancelled'
                    GROUP BY s.region""",
         # Trusted query 2 as a table function.
@@ -37,18 +40,19 @@ def _defs(p: str) -> list[str]:
             RETURNS TABLE (order_month DATE, status STRING, order_count BIGINT)
             RETURN SELECT TRUNC(order_date, 'MM'), status, COUNT(*)
                    FROM {p}purchase_orders GROUP BY 1, 2""",
-        # Low-stock rows per warehouse at the latest snapshot on or before d.
-        # Counts are aggregated per (snapshot, warehouse) first (a parameter can
-        # only be used at the top level of the body), then max_by picks the
-        # latest snapshot's count; warehouses with none low get 0.
+        # Low-stock rows per warehouse at the latest snapshot on or before d, one
+        # date for all warehouses. A function's parameter can only be used at the
+        # top level of its body, so the counts of every date are made first;
+        # LOW_STOCK_AS_OF below reads one date only.
         f"""CREATE OR REPLACE TEMPORARY FUNCTION {p}low_stock_as_of(d DATE)
             RETURNS TABLE (warehouse STRING, low_stock_count BIGINT)
-            RETURN SELECT warehouse, MAX_BY(n_low, snapshot_date)
-                   FROM (SELECT snapshot_date, warehouse,
-                                COUNT_IF(quantity_on_hand < reorder_point) AS n_low
-                         FROM {p}inventory_snapshots GROUP BY snapshot_date, warehouse)
-                   WHERE snapshot_date <= d
-                   GROUP BY warehouse""",
+            RETURN SELECT EXPLODE(MAX_BY(counts, snapshot_date)) AS (warehouse, low_stock_count)
+                   FROM (SELECT snapshot_date, MAP_FROM_ENTRIES(COLLECT_LIST(STRUCT(warehouse, n_low))) AS counts
+                         FROM (SELECT snapshot_date, warehouse,
+                                      COUNT_IF(quantity_on_hand < reorder_point) AS n_low
+                               FROM {p}inventory_snapshots GROUP BY snapshot_date, warehouse)
+                         GROUP BY snapshot_date)
+                   WHERE snapshot_date <= d""",
     ]
 
 
@@ -57,3 +61,17 @@ def register(spark: SparkSession, star, prefix: str = PREFIX) -> None:
     star.register_views(prefix)
     for ddl in _defs(prefix):
         spark.sql(ddl)
+
+
+# The same as a parameterised query: the date is known when it is planned, so the
+# scalar subquery lists the folders up to it and the scan opens the latest one.
+LOW_STOCK_AS_OF = """
+    SELECT warehouse, COUNT_IF(quantity_on_hand < reorder_point) AS low_stock_count
+    FROM {p}inventory_snapshots
+    WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM {p}inventory_snapshots WHERE snapshot_date <= :as_of)
+    GROUP BY warehouse"""
+
+
+def low_stock_as_of(spark: SparkSession, as_of, prefix: str = PREFIX):
+    """Low-stock rows per warehouse at the latest snapshot on or before ``as_of``."""
+    return spark.sql(LOW_STOCK_AS_OF.format(p=prefix), args={"as_of": as_of})

@@ -50,7 +50,8 @@ def date_filtered_datasets(star, first_month: str, last_month: str) -> dict[str,
     """T15 date filter: every dataset recomputed over orders placed in
     ``first_month``..``last_month`` (the filter applies to order rows before
     aggregation, so counters and ratios stay correct)."""
-    return datasets(star.restrict(orders_where=X.in_months("order_date", first_month, last_month)))
+    return datasets(star.restrict(orders_where=X.in_months("order_date", first_month, last_month),
+                                  months=(first_month, last_month)))
 
 
 def cross_filter(ds: Mapping[str, DataFrame], bindings: Mapping[str, str], dataset: str,

@@ -44,7 +44,8 @@ ORDER_DIMS = (
 )
 
 INVENTORY_DIMS = (
-    # sized like products: the check uses the products table.
+    # one row per product, but as wide as products and suppliers together: the
+    # broadcast check is made on this joined frame
     DimSpec("products", "product_id", PRODUCT_COLS + ("supplier_id",) + SUPPLIER_COLS,
             product_supplier_dim),
 )
@@ -72,14 +73,15 @@ def enrich_orders(star, dims=("suppliers", "products"), synonyms: bool = True) -
     for d in ORDER_DIMS:
         if d.name in dims:
             f = d.frame(star)
-            rows = rows.join(F.broadcast(f) if star.small(d.name) else f, d.key)
+            rows = rows.join(F.broadcast(f) if star.small_frame(d.name, f) else f, d.key)
     return with_synonyms(rows) if synonyms else rows
 
 
-def enrich_inventory(star, dims=("products", "suppliers"), synonyms: bool = True) -> DataFrame:
-    """Inventory rows with product (and, through it, supplier) attributes."""
-    rows = star.inventory_snapshots
+def enrich_inventory(star, dims=("products", "suppliers"), synonyms: bool = True, rows: DataFrame | None = None
+                     ) -> DataFrame:
+    """Inventory rows (all, or those given) with product and, through it, supplier attributes."""
+    rows = star.inventory_snapshots if rows is None else rows
     if "products" in dims or "suppliers" in dims:
         f = product_supplier_dim(star) if "suppliers" in dims else product_dim(star)
-        rows = rows.join(F.broadcast(f) if star.small("products") else f, "product_id")
+        rows = rows.join(F.broadcast(f) if star.small_frame("products", f) else f, "product_id")
     return with_synonyms(rows) if synonyms else rows

@@ -18,32 +18,44 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-# Estimated in-memory bytes per value by type (strings: a short-name average).
-_WIDTH = {"string": 48, "binary": 48, "decimal": 16, "timestamp": 8, "timestamp_ntz": 8,
+# In-memory bytes of a value by type; the length of strings is measured.
+_WIDTH = {"decimal": 16, "timestamp": 8, "timestamp_ntz": 8,
           "date": 4, "int": 4, "integer": 4, "bigint": 8, "long": 8, "double": 8, "float": 4,
           "boolean": 1, "smallint": 2, "short": 2, "tinyint": 1, "byte": 1}
+_VARIABLE = ("string", "binary", "char", "varchar")
+ROW_BYTES = 16
 
 
 def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row of ``df``'s columns (plus a fixed row overhead)."""
-    width = 16
-    for f in df.schema.fields:
-        t = f.dataType.typeName()
-        width += _WIDTH.get(t, 64)
-    return width
+    """Least bytes per row of ``df``'s columns: fixed widths and a row overhead, strings empty."""
+    types = [f.dataType.typeName() for f in df.schema.fields]
+    return ROW_BYTES + sum(8 if t in _VARIABLE else _WIDTH.get(t, 64) for t in types)
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
     conf = df.sparkSession.conf
     rows = int(conf.get("quartermaster.broadcast.maxRows", None) or DEFAULT_MAX_BROADCAST_ROWS)
-    budget = int(conf.get("quartermaster.broadcast.maxBytes", None) or DEFAULT_MAX_BROADCAST_BYTES)
-    return max(0, min(rows, budget // row_width(df)))
+    return max(0, min(rows, max_broadcast_bytes(df) // row_width(df)))
+
+
+def max_broadcast_bytes(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("quartermaster.broadcast.maxBytes", None) or DEFAULT_MAX_BROADCAST_BYTES)
 
 
 def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one short-circuiting job)."""
-    limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    return df.limit(limit + 1).count() <= limit
+    """True when ``df`` has few enough rows and bytes to be broadcast (one short-circuiting job).
+
+    The rows read stop at the limit; the bytes of their strings are measured.
+    With ``max_rows`` given, only the number of rows is checked.
+    """
+    if max_rows is not None:
+        return df.limit(max_rows + 1).count() <= max_rows
+    limit = max_broadcast_rows(df)
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+               if f.dataType.typeName() in _VARIABLE]
+    text = F.coalesce(F.sum(sum(strings, F.lit(0)).cast("long")), F.lit(0))
+    got = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), text.alias("text")).first()
+    return got.n <= limit and got.n * row_width(df) + got.text <= max_broadcast_bytes(df)
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

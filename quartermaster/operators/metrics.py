@@ -93,10 +93,17 @@ def _finals(measures: Sequence[Measure]) -> list[Column]:
     return [m.final(lambda p, m=m: F.col(m.col(p))).alias(m.name) for m in measures]
 
 
-def _plan_filters(measures: Sequence[Measure], where: Column | None):
-    """Hoist a filter shared by every measure into a row filter (pushdown)."""
+def _plan_filters(measures: Sequence[Measure], where: Column | None, keep_empty: bool = False):
+    """Hoist a filter shared by every measure into a row filter (pushdown).
+
+    Not when empty groups are kept: a group without a qualifying row has to stay.
+    """
+    by_key: dict[str, str] = {}
+    for m in measures:
+        if m.where_key is not None and by_key.setdefault(m.where_key, str(m.where)) != str(m.where):
+            raise ValueError(f"two filters under the name {m.where_key!r}")
     keys = {m.where_key for m in measures}
-    if len(keys) == 1 and None not in keys:
+    if len(keys) == 1 and None not in keys and not keep_empty:
         shared = measures[0].where
         rows_where = shared if where is None else (where & shared)
         return rows_where, [replace(m, where=None, where_key=None) for m in measures], False
@@ -129,7 +136,7 @@ def metrics(df: DataFrame, measures: Sequence[Measure], by: Sequence = (),
     Groups in which no measure saw a qualifying row are dropped unless
     ``keep_empty`` (T21: matches filter-first SQL).
     """
-    rows_where, ms, fold = _plan_filters(measures, where)
+    rows_where, ms, fold = _plan_filters(measures, where, keep_empty)
     rows = df.where(rows_where) if rows_where is not None else df
     by = list(by)
     agg = rows.groupBy(*by).agg(*_partials(ms, fold))
@@ -192,7 +199,7 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
         return f
 
     if strategy == "auto":
-        all_small = all(star.small(d.name) for d in needed)
+        all_small = all(star.small_frame(d.name, d.frame(star)) for d in needed)
         reads_dims = any(m.needs for m in measures)
         strategy = "broadcast" if all_small else ("shuffle" if reads_dims else "eager")
 
@@ -204,13 +211,13 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
         return metrics(rows, measures, by, where, keep_empty, parts_only)
 
     # eager: partial aggregation at (fact keys + foreign keys), then join, then merge.
-    rows_where, ms, fold = _plan_filters(measures, where)
+    rows_where, ms, fold = _plan_filters(measures, where, keep_empty)
     rows = fact.where(rows_where) if rows_where is not None else fact
     fks = [d.key for d in needed]
     pre = rows.groupBy(*(fact_by + [k for k in fks if k not in fact_by])).agg(*_partials(ms, fold))
     for d in needed:       # one row per key now; a dimension that passes the check is broadcast
         f = dim_frame(d)
-        pre = pre.join(F.broadcast(f) if star.small(d.name) else f, d.key)
+        pre = pre.join(F.broadcast(f) if star.small_frame(d.name, f) else f, d.key)
     agg = pre.groupBy(*by).agg(*_merges(ms, fold))
     if fold and not keep_empty and by:
         agg = _keep_nonempty(agg, ms)

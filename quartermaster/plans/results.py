@@ -7,6 +7,7 @@ catalogue (``operators.metrics``) so a measure is defined once.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from ..operators.enrich import (INVENTORY_DIMS, ORDER_DIMS, enrich_inventory, pr
                                 supplier_dim)
 from ..operators.joins import latest_only, zero_fill
 from ..sources.conform import (BASE_MONTH, BENCH_REGION, COMPARE_FIRST, COMPARE_LAST,
-                               ETA_MONTH, WAREHOUSES)
+                               ETA_MONTH, MAX_LEAD_DAYS, WAREHOUSES)
 
 
 def _orders(star, measures, by=(), where=None, dim_where=None, fact=None, keep_empty=False):
@@ -176,9 +177,9 @@ def q_monthly_spend_by_category(star) -> DataFrame:
 def q_below_reorder_now(star, per_item: bool = False) -> DataFrame:
     """M3+M4 rows now. ``per_item`` (T17 option): each product-warehouse's own
     latest snapshot instead of the global latest date."""
-    inv = enrich_inventory(star, dims=("products",), synonyms=False)
-    latest = latest_only(inv, "snapshot_date", per=["product_id", "warehouse"] if per_item else None)
-    return (latest.where(M.LOW_STOCK())
+    latest = latest_only(star.inventory_snapshots, "snapshot_date",
+                         per=["product_id", "warehouse"] if per_item else None)
+    return (enrich_inventory(star, dims=("products",), synonyms=False, rows=latest.where(M.LOW_STOCK()))
             .select("snapshot_date", "product_id", "product_name", "warehouse", "quantity_on_hand",
                     "reorder_point", "quantity_on_order")
             .orderBy("product_id", "warehouse"))
@@ -199,8 +200,8 @@ def q_region_lead_vs_delivery(star) -> DataFrame:
 
 
 def q_spend_drivers(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST),
-                    normalise: str = "per_month") -> DataFrame:
-    """V1: spend change base month -> compare months by region and category.
+                    normalise: str = "per_month", by=("region", "category")) -> DataFrame:
+    """V1: spend change base month -> compare months by region and category (or by one of them).
 
     The two window totals are two filtered measures of one aggregation, so the
     star is scanned once and, with large dimensions, pre-aggregated per key.
@@ -210,11 +211,11 @@ def q_spend_drivers(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST)
                          where=M.NOT_CANCELLED() & cond, where_key=key)
     agg = _orders(star, [window_sum("__base", X.in_month("order_date", base), "base"),
                          window_sum("__cmp", X.in_months("order_date", *compare), "cmp")],
-                  ["region", "category"],
-                  where=X.in_months("order_date", base, compare[1]))
+                  list(by), where=X.in_months("order_date", base, compare[1]),
+                  fact=star.orders_of(base, compare[1]))
     n_cmp = _months_between(compare[0], compare[1])
-    return (drivers(agg, ["region", "category"], "__base", "__cmp", 1, n_cmp, normalise)
-            .orderBy(F.col("delta_spend").desc(), "region", "category"))
+    return (drivers(agg, list(by), "__base", "__cmp", 1, n_cmp, normalise)
+            .orderBy(F.col("delta_spend").desc(), *by))
 
 
 def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST)) -> DataFrame:
@@ -229,7 +230,7 @@ def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_
         return M.measure(name, {"v": (fn, expr)}, lambda p: p("v"),
                          where=M.NOT_CANCELLED() & cond, where_key=key)
     wb, wc = X.in_month("order_date", base), X.in_months("order_date", *compare)
-    agg = M.metrics(star.purchase_orders,
+    agg = M.metrics(star.orders_of(base, compare[1]),
                     [part("__sb", wb, "b", X.order_value()), part("__sc", wc, "c", X.order_value()),
                      part("__qb", wb, "bq", F.col("quantity").cast("bigint")),
                      part("__qc", wc, "cq", F.col("quantity").cast("bigint"))],
@@ -286,14 +287,17 @@ def q_worst_suppliers(star) -> DataFrame:
 
 
 def q_order_value_by_eta_month(star, month: str = ETA_MONTH) -> DataFrame:
-    return M.metrics(star.purchase_orders, [M.order_value_total("order_value")],
+    # an order is expected within MAX_LEAD_DAYS of its date (conform's formula), so
+    # only the order months that reach into the ETA month are opened
+    first = dt.date.fromisoformat(month + "-01") - dt.timedelta(days=MAX_LEAD_DAYS)
+    return M.metrics(star.orders_of(f"{first:%Y-%m}", month), [M.order_value_total("order_value")],
                      where=X.in_month("expected_delivery_date", month))
 
 
 def q_warehouse_low_stock_all(star, warehouses=WAREHOUSES) -> DataFrame:
     members = star.spark.createDataFrame([(w,) for w in warehouses], "warehouse string")
     agg = M.metrics(_latest_inventory(star), [M.low_stock_count()], ["warehouse"])
-    return zero_fill(F.broadcast(members), agg, "warehouse", 0).orderBy("warehouse")
+    return zero_fill(members, agg, "warehouse", 0).orderBy("warehouse")
 
 
 # ---- extensions (X) ------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 
 from ..functions import sqlfuncs
@@ -29,11 +31,11 @@ def f_order_value_all_statuses(spark, sf_dir) -> DataFrame:
 def f_otd_rate_by_supplier(spark, sf_dir) -> DataFrame:
     p = _ready(spark, sf_dir)
     return spark.sql(f"""
-        SELECT s.supplier_name,
-               {p}otd_rate(COUNT_IF(po.actual_delivery_date <= po.expected_delivery_date),
-                           COUNT(po.actual_delivery_date)) AS on_time_pct
-        FROM {p}purchase_orders po JOIN {p}suppliers s ON po.supplier_id = s.supplier_id
-        WHERE po.actual_delivery_date IS NOT NULL
+        SELECT s.supplier_name, {p}otd_rate(SUM(po.on_time), SUM(po.received)) AS on_time_pct
+        FROM (SELECT supplier_id, COUNT_IF(actual_delivery_date <= expected_delivery_date) AS on_time,
+                     COUNT(actual_delivery_date) AS received
+              FROM {p}purchase_orders WHERE actual_delivery_date IS NOT NULL GROUP BY supplier_id) po
+        JOIN {p}suppliers s ON po.supplier_id = s.supplier_id
         GROUP BY s.supplier_name""")
 
 
@@ -43,6 +45,11 @@ def f_monthly_orders_by_status(spark, sf_dir) -> DataFrame:
 
 
 def f_low_stock_as_of(spark, sf_dir) -> DataFrame:
+    return sqlfuncs.low_stock_as_of(spark, dt.date.fromisoformat(AS_OF), _ready(spark, sf_dir))
+
+
+def f_low_stock_function(spark, sf_dir) -> DataFrame:
+    """The same through the SQL table function."""
     p = _ready(spark, sf_dir)
     return spark.sql(f"SELECT * FROM {p}low_stock_as_of(DATE'{AS_OF}')")
 
@@ -53,6 +60,7 @@ SQLFUNC_QUERIES = {
     "f_otd_rate_by_supplier": f_otd_rate_by_supplier,
     "f_monthly_orders_by_status": f_monthly_orders_by_status,
     "f_low_stock_as_of": f_low_stock_as_of,
+    "f_low_stock_function": f_low_stock_function,
 }
 
 SQLFUNC_ORACLE = {
@@ -70,3 +78,4 @@ SQLFUNC_ORACLE = {
                                WHERE snapshot_date <= DATE '{AS_OF}')
         GROUP BY warehouse"""),
 }
+SQLFUNC_ORACLE["f_low_stock_function"] = SQLFUNC_ORACLE["f_low_stock_as_of"]

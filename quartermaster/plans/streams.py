@@ -14,54 +14,50 @@ from . import oracle as O
 STREAM_ALERT_RULES = (("on_time_pct", "<", 0.3),)
 
 
+def _refreshed(spark, sf_dir, kind: str, on_batch=None) -> str:
+    """Run the KPI refresh over the order files; the run's folder."""
+    star, run = load_star(spark, sf_dir), R.new_run_dir(spark, kind)
+    R.refresh_stream(R.order_stream(spark, sf_dir, run), supplier_dim(star), f"{run}/out", f"{run}/ckpt",
+                     on_batch=on_batch(run) if on_batch else None,
+                     small_dim=star.small("suppliers")).awaitTermination()
+    return run
+
+
 def r_refresh_kpi(spark, sf_dir) -> DataFrame:
     """Region KPIs maintained by the order stream (equals the batch values)."""
-    star = load_star(spark, sf_dir)
-    run = R.new_run_dir(spark, "kpi")
-    q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out", f"{run}/ckpt",
-                         small_dim=star.small("suppliers"))
-    q.awaitTermination()
-    return spark.read.parquet(f"{run}/out")
+    return spark.read.parquet(f"{_refreshed(spark, sf_dir, 'kpi')}/out")
 
 
-def r_daily_counts(spark, sf_dir) -> DataFrame:
-    """R2: daily order counts per status emitted by the 7-day watermark."""
+def _daily(spark, sf_dir) -> DataFrame:
     run = R.new_run_dir(spark, "daily")
-    q = R.run_daily_counts(R.star_order_stream(load_star(spark, sf_dir)), f"{run}/out", f"{run}/ckpt")
-    q.awaitTermination()
+    R.run_daily_counts(R.order_stream(spark, sf_dir, run), f"{run}/out", f"{run}/ckpt").awaitTermination()
     return spark.read.parquet(f"{run}/out")
 
 
+def r_daily_counts(spark, sf_dir) -> DataFrame:
+    """R2: order counts of every day and status, the last seven days marked as open."""
+    return R.mark_open(_daily(spark, sf_dir))
+
+
 def r_refresh_upsert(spark, sf_dir) -> DataFrame:
     """R1 with changing orders: two feeds of order-line versions (before and
-    after delivery) upserted by key into a current-state table; the final
-    region KPIs equal the batch values on the final star."""
+    after delivery) in an append-only log; the KPIs of its newest versions equal
+    the batch values on the final star."""
     star = load_star(spark, sf_dir)
-    run = R.new_run_dir(spark, "upsert")
-    keys = ["order_id", "line_number", "product_id", "quantity", "unit_cost"]
-    return U.run_two_feeds(spark, star.purchase_orders, supplier_dim(star), run, keys,
+    return U.run_two_feeds(spark, star.purchase_orders, supplier_dim(star), R.new_run_dir(spark, "upsert"),
                            small_dim=star.small("suppliers"))
 
 
 def r_monthly_counts(spark, sf_dir) -> DataFrame:
-    """R2: the watermarked daily counts rolled up to months in batch."""
-    return R.rollup_daily_to_month(r_daily_counts(spark, sf_dir))
+    """R2: the streamed daily counts rolled up to months in batch."""
+    return R.rollup_daily_to_month(_daily(spark, sf_dir))
 
 
 def r_alert_stream(spark, sf_dir) -> DataFrame:
-    """On-time alerts fired by the refreshed KPI stream."""
-    star = load_star(spark, sf_dir)
-    run = R.new_run_dir(spark, "alerts")
+    """On-time alerts that stand after the last refresh of the KPI stream."""
     rules = spark.createDataFrame(list(STREAM_ALERT_RULES), "measure string, op string, threshold double")
-    cb = R.alert_sink(rules, f"{run}/alerts")
-    q = R.refresh_stream(R.star_order_stream(load_star(spark, sf_dir)), supplier_dim(star), f"{run}/out",
-                         f"{run}/ckpt", on_batch=cb, small_dim=star.small("suppliers"))
-    q.awaitTermination()
-    try:
-        return R.read_alerts(spark, f"{run}/alerts").drop("epoch")
-    except Exception:  # noqa: BLE001 - no alert fired: no file was written
-        return spark.createDataFrame([], "measure string, region string, value double, op string, "
-                                         "threshold double, fired boolean")
+    run = _refreshed(spark, sf_dir, "alerts", lambda run: R.alert_sink(rules, f"{run}/alerts"))
+    return R.read_alerts(spark, f"{run}/alerts", latest=True).drop("epoch")
 
 
 STREAM_QUERIES = {"r_refresh_kpi": r_refresh_kpi, "r_daily_counts": r_daily_counts,
@@ -81,17 +77,11 @@ def _oracles() -> dict:
     return {
         "r_refresh_kpi": O.with_star(region_kpi),
         "r_refresh_upsert": O.with_star(region_kpi),
-        # A day is emitted once the watermark (latest order day - 7 days) has
-        # passed the end of its one-day window.
         "r_daily_counts": O.with_star("""
-            SELECT order_date AS order_day, status, count(*) AS order_count FROM purchase_orders
-            WHERE CAST(order_date + 1 AS DATE) <= CAST((SELECT max(order_date) FROM purchase_orders) - 7 AS DATE)
-            GROUP BY ALL"""),
-        "r_monthly_counts": O.with_star(f"""
-            SELECT {O.MONTH} AS order_month, status, CAST(count(*) AS BIGINT) AS order_count
-            FROM purchase_orders
-            WHERE CAST(order_date + 1 AS DATE) <= CAST((SELECT max(order_date) FROM purchase_orders) - 7 AS DATE)
-            GROUP BY ALL"""),
+            SELECT order_date AS order_day, status, count(*) AS order_count,
+                   CAST(order_date + 7 AS DATE) > (SELECT max(order_date) FROM purchase_orders) AS is_open
+            FROM purchase_orders GROUP BY order_date, status"""),
+        "r_monthly_counts": O.ORACLE["monthly_orders_by_status"],
         "r_alert_stream": O.with_star(f"""
             SELECT r.measure, k.region, CAST(k.on_time_pct AS DOUBLE) AS value, r.op, r.threshold,
                    true AS fired

@@ -79,6 +79,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def input_state(spark: SparkSession, path: str) -> str:
+    """Size, file count and modification time of a table's path, as one text.
+
+    Two calls to the file system whatever the number of files: a folder's own
+    time changes when a file of it is added, removed or replaced.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    summary = fs.getContentSummary(p)
+    return f"{summary.getLength()}-{summary.getFileCount()}-{fs.getFileStatus(p).getModificationTime()}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint dir for tables this engine writes itself.
 

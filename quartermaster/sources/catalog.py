@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .conform import ORDER_MONTH
 
 
 @dataclass(frozen=True)
@@ -130,7 +131,7 @@ def register_star(star, ns: Namespace) -> None:
         raise ValueError("the star is not written; use save_star")
     spark = star.spark
     ensure_schema(spark, ns)
-    partitioned = {"inventory_snapshots": ("snapshot_date",)}
+    partitioned = {"inventory_snapshots": ("snapshot_date",), "purchase_orders": (ORDER_MONTH,)}
     for name in star.tables():
         spark.catalog.createTable(f"{ns.schema}.{name}", path=f"{star.path}/{name}", source="parquet")
         if name in partitioned:              # register the existing partition folders

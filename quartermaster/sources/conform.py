@@ -23,15 +23,16 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import threading
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable
+from copy import copy
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import MONEY
-from ..operators.joins import is_bounded, join_dim
-from ..session import path_exists, scratch_path
+from ..operators.joins import is_bounded, join_dim, max_broadcast_rows
+from ..session import input_state, path_exists, scratch_path
 from .raw import Raw
 
 # ---- fixed values (must stay as written) -------------------------------------
@@ -48,6 +49,8 @@ COMPARE_FIRST, COMPARE_LAST = "2000-11", "2000-12"
 ETA_MONTH = "2001-01"
 # Region used by the "suppliers in a region" benchmark question.
 BENCH_REGION = "ASIA"
+# Most days from order to expected delivery under the formulas below: lead 3..30, offset -2..5.
+MAX_LEAD_DAYS = 35
 
 
 def n_suppliers(raw: Raw) -> DataFrame:
@@ -187,40 +190,85 @@ def inventory_panel(products: DataFrame, start: _dt.date = SNAPSHOT_START,
                           .otherwise(F.lit(0)).cast("int")))
 
 
+class Deferred:
+    """A table that is built on first use, once, whichever thread asks first."""
+
+    def __init__(self, build: Callable[[], DataFrame]):
+        self._build, self._lock, self._df = build, threading.Lock(), None
+
+    def get(self) -> DataFrame:
+        with self._lock:
+            if self._df is None:
+                self._df = self._build()
+            return self._df
+
+
 @dataclass
 class Star:
-    """The four conformed tables plus memoised size checks for their dims."""
+    """The four conformed tables plus memoised size checks for their dims.
+
+    A table may be ``Deferred``: reading the attribute builds it. A written star
+    so writes each table when the first query needs it.
+    """
 
     spark: SparkSession
-    suppliers: DataFrame
-    products: DataFrame
-    purchase_orders: DataFrame
-    inventory_snapshots: DataFrame
+    suppliers: DataFrame | Deferred
+    products: DataFrame | Deferred
+    purchase_orders: DataFrame | Deferred
+    inventory_snapshots: DataFrame | Deferred
     source: str = ""
     path: str | None = None           # folder of the written star (None: lazy views)
+    months: Callable[[str, str], DataFrame] | None = None     # order lines of whole months, where stored by month
     _bounded: dict = field(default_factory=dict)
 
+    def __getattribute__(self, name: str):
+        value = object.__getattribute__(self, name)
+        return value.get() if isinstance(value, Deferred) else value
+
     def tables(self) -> dict[str, DataFrame]:
         return {"suppliers": self.suppliers, "products": self.products,
                 "purchase_orders": self.purchase_orders,
                 "inventory_snapshots": self.inventory_snapshots}
 
+    def orders_of(self, first: str, last: str) -> DataFrame:
+        """Order lines, of which those placed outside months ``first``..``last`` (YYYY-MM) may be missing.
+
+        Only the folders of these months are opened where the star is stored by
+        month; the caller's own predicate on the order date still decides.
+        """
+        return self.months(first, last) if self.months else self.purchase_orders
+
     def small(self, name: str) -> bool:
         """Checked once per star: may dimension ``name`` be broadcast?"""
         if name not in self._bounded:
             self._bounded[name] = is_bounded(getattr(self, name))
         return self._bounded[name]
 
-    def restrict(self, orders_where=None, inventory_where=None) -> "Star":
+    def small_frame(self, name: str, frame: DataFrame) -> bool:
+        """May ``frame``, dimension ``name`` with columns joined to each row, be broadcast?
+
+        The rows are the dimension's, the row width is that of the frame sent.
+        """
+        key = (name, tuple(frame.columns))
+        if key not in self._bounded:
+            self._bounded[key] = is_bounded(getattr(self, name), max_broadcast_rows(frame)) and is_bounded(frame)
+        return self._bounded[key]
+
+    def restrict(self, orders_where=None, inventory_where=None, months: tuple[str, str] | None = None) -> "Star":
         """The same star with row filters on its facts (dashboard date filters).
 
         Every result built on the returned star sees only the kept rows; the
         predicates reach the parquet scans. Dimensions and size checks are shared.
+        ``months`` names the order months that ``orders_where`` can keep.
         """
-        po = self.purchase_orders if orders_where is None else self.purchase_orders.where(orders_where)
-        inv = (self.inventory_snapshots if inventory_where is None
-               else self.inventory_snapshots.where(inventory_where))
-        return replace(self, purchase_orders=po, inventory_snapshots=inv, _bounded=self._bounded)
+        out = copy(self)
+        if orders_where is not None:
+            out.purchase_orders = Deferred(
+                lambda: (self.orders_of(*months) if months else self.purchase_orders).where(orders_where))
+            out.months = None
+        if inventory_where is not None:
+            out.inventory_snapshots = Deferred(lambda: self.inventory_snapshots.where(inventory_where))
+        return out
 
     def register_views(self, prefix: str = "") -> None:
         for name, df in self.tables().items():
@@ -251,47 +299,74 @@ def lazy_star(spark: SparkSession, sf_dir: str, spread: bool = False) -> Star:
     """
     raw = Raw(spark, sf_dir)
     src = _Spread(raw) if spread else raw
-    products = conform_products(src)
-    return Star(spark=spark, suppliers=conform_suppliers(raw), products=products,
-                purchase_orders=purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw)),
-                inventory_snapshots=inventory_panel(products), source=sf_dir)
+    return Star(spark=spark, suppliers=Deferred(lambda: conform_suppliers(raw)),
+                products=Deferred(lambda: conform_products(src)),
+                purchase_orders=Deferred(lambda: purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw))),
+                inventory_snapshots=Deferred(lambda: inventory_panel(conform_products(src))), source=sf_dir)
+
+
+def dense_suppliers(spark: SparkSession, sf_dir: str) -> None:
+    """Fails unless the supplier keys are 0..n-1, which ``product -> supplier`` needs.
+
+    With other keys some supplier ids would have no row and the inner joins
+    would drop their orders without a word.
+    """
+    k = Raw(spark, sf_dir).supplier.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s_suppkey").alias("d"),
+                                        F.min("s_suppkey").alias("lo"), F.max("s_suppkey").alias("hi")).first()
+    if k.n and (k.d, k.lo, k.hi) != (k.n, 0, k.n - 1):
+        raise ValueError(f"supplier keys must be 0..{k.n - 1}, each once; found {k.lo}..{k.hi}, {k.d} distinct of {k.n}")
 
 
 def materialize_star(star: Star, path: str) -> Star:
-    """Write the star once as parquet under ``path`` and return a star reading it.
+    """A star whose tables are written as parquet under ``path`` on first use.
 
     This is the reference's own flow (build the tables, then query them) and
     cuts the conformance lineage: every later query scans real columns, so
     status and date predicates reach the parquet reader as pushed filters, and
     a lost executor costs a re-read of files instead of a recompute of the
-    lineitem x orders join. Order lines are sorted by order date inside each
-    file, so row-group statistics skip data for month filters; inventory is
-    partitioned by snapshot date, so the latest-snapshot filter reads one folder.
+    lineitem x orders join. Order lines are stored by order month and inventory
+    by snapshot date, so a month window or the latest snapshot opens only its
+    own folders. Rows of a folder meet through an adaptive rebalance: small
+    folders are few files, and a folder with a third of all rows is split.
     """
     spark = star.spark
-    done = f"{path}/_STAR_COMPLETE"
-    if not path_exists(spark, done):
-        writes = [
-            lambda: star.suppliers.write.mode("overwrite").parquet(f"{path}/suppliers"),
-            lambda: star.products.write.mode("overwrite").parquet(f"{path}/products"),
-            lambda: (star.purchase_orders.sortWithinPartitions("order_date")
-                     .write.mode("overwrite").parquet(f"{path}/purchase_orders")),
-            lambda: (star.inventory_snapshots.write.mode("overwrite")
-                     .partitionBy("snapshot_date").parquet(f"{path}/inventory_snapshots")),
-        ]
-        # Four independent jobs submitted together: the small dimension jobs
-        # run while the fact is written instead of after it.
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            for f in [pool.submit(w) for w in writes]:
-                f.result()
-        spark.createDataFrame([(star.source,)], "source string").write.mode("overwrite").json(done)
-    inv = spark.read.parquet(f"{path}/inventory_snapshots")
-    return Star(spark=spark,
-                suppliers=spark.read.parquet(f"{path}/suppliers"),
-                products=spark.read.parquet(f"{path}/products"),
-                purchase_orders=spark.read.parquet(f"{path}/purchase_orders"),
-                inventory_snapshots=inv.select(*star.inventory_snapshots.columns),
-                source=star.source, path=path)
+
+    def stored(name: str, write: Callable[[DataFrame, str], None]) -> DataFrame:
+        folder = f"{path}/{name}"
+        if not path_exists(spark, f"{folder}/_SUCCESS"):
+            write(getattr(star, name), folder)
+        return spark.read.parquet(folder)
+
+    def plain(df: DataFrame, folder: str) -> None:
+        df.write.mode("overwrite").parquet(folder)
+
+    def by_month(df: DataFrame, folder: str) -> None:
+        (df.withColumn(ORDER_MONTH, F.date_format("order_date", "yyyy-MM")).hint("rebalance", F.col(ORDER_MONTH))
+         .sortWithinPartitions(ORDER_MONTH, "order_date")
+         .write.mode("overwrite").partitionBy(ORDER_MONTH).parquet(folder))
+
+    def by_snapshot(df: DataFrame, folder: str) -> None:
+        (df.hint("rebalance", F.col("snapshot_date")).sortWithinPartitions("snapshot_date")
+         .write.mode("overwrite").partitionBy("snapshot_date").parquet(folder))
+
+    def inventory() -> DataFrame:
+        # read from the stored products: the panel is a narrow function of them
+        star.inventory_snapshots = inventory_panel(out.products)
+        df = stored("inventory_snapshots", by_snapshot)
+        return df.select(*star.inventory_snapshots.columns)
+
+    orders = Deferred(lambda: stored("purchase_orders", by_month))
+    columns = ("order_id", "line_number", "product_id", "supplier_id", "order_date", "expected_delivery_date",
+               "actual_delivery_date", "quantity", "unit_cost", "status")
+    out = Star(spark=spark,
+               suppliers=Deferred(lambda: stored("suppliers", plain)),
+               products=Deferred(lambda: stored("products", plain)),
+               purchase_orders=Deferred(lambda: orders.get().select(*columns)),
+               inventory_snapshots=Deferred(inventory),
+               months=lambda first, last: (orders.get().where(F.col(ORDER_MONTH).between(first, last))
+                                           .select(*columns)),
+               source=star.source, path=path)
+    return out
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -307,29 +382,38 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-# Bumped whenever a conformance formula changes, so a persistent checkpoint
-# folder never serves a star written by older code.
-STAR_VERSION = 4
+# Bumped whenever a conformance formula or the layout changes, so a persistent
+# checkpoint folder never serves a star written by older code.
+STAR_VERSION = 5
+# The folder column of the stored order lines.
+ORDER_MONTH = "stored_month"
+# What the star is made of: a change of any of these files is another star.
+STAR_INPUTS = ("region", "nation", "supplier", "part", "orders", "lineitem")
 
 
 def star_path(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    raw = Raw(spark, sf_dir)
+    state = "|".join(f"{n}:{input_state(spark, raw.path(n))}" for n in STAR_INPUTS)
+    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{state}".encode()).hexdigest()[:16]
     return scratch_path(spark, f"star/v{STAR_VERSION}-{tag}")
 
 
 def load_star(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> Star:
-    """The conformed star of ``sf_dir``, memoised per session.
+    """The conformed star of ``sf_dir``, memoised per session and state of its inputs.
 
     ``materialize`` (default: conf ``quartermaster.star.materialize``, true)
-    writes the star once to the checkpoint dir and reads it back.
+    writes each table once to the checkpoint dir, when it is first used, and
+    reads it back. When an input file changes, the next call gives a new star.
     """
     if materialize is None:
         materialize = spark.conf.get("quartermaster.star.materialize", "true").lower() == "true"
-    key = (spark, sf_dir.rstrip("/"), materialize)
+    path = star_path(spark, sf_dir)
+    key = (spark, path, materialize)
     with _STARS_LOCK:       # concurrent callers build a star once
         if key not in _STARS:
+            if not path_exists(spark, f"{path}/_KEYS_CHECKED"):
+                dense_suppliers(spark, sf_dir)
+                spark.range(1).write.mode("overwrite").parquet(f"{path}/_KEYS_CHECKED")
             star = lazy_star(spark, sf_dir, spread=bool(materialize))
-            if materialize:
-                star = materialize_star(star, star_path(spark, sf_dir))
-            _STARS[key] = star
+            _STARS[key] = materialize_star(star, path) if materialize else star
         return _STARS[key]

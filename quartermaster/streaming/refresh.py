@@ -1,13 +1,12 @@
 """Incremental refresh with Structured Streaming.
 
-* ``order_stream``: order lines of the star arriving as parquet files; the
+* ``order_stream``: order lines conformed from arriving ``lineitem`` files; the
   static order header and supplier count are joined to each micro-batch.
 * ``refresh_stream`` (R1): the batch measure builders applied to the stream;
   complete-mode result written idempotently by ``foreachBatch`` (each epoch
   overwrites the whole, small KPI table, so a replayed epoch writes the same
   bytes).
-* ``daily_counts_stream`` (R2): order counts per day and status with an
-  event-time watermark; append mode emits a day once it can no longer change.
+* ``run_daily_counts`` (R2): order counts per day and status, kept for every day.
 * ``alert_sink`` (R3): threshold rules evaluated on every refreshed KPI batch.
 
 State and output live under the session's checkpoint dir (shared storage on a
@@ -29,39 +28,33 @@ from ..session import scratch_path
 from ..sources.conform import n_suppliers, purchase_orders_from
 from ..sources.raw import Raw
 
+# Micro-batches that a feed is read in, at least.
+BATCHES = 4
+
 
 def new_run_dir(spark: SparkSession, kind: str) -> str:
     return scratch_path(spark, f"streams/{kind}-{uuid.uuid4().hex[:12]}")
 
 
-def order_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """Streaming order lines (lineitem files) conformed to the star's schema."""
+def order_stream(spark: SparkSession, sf_dir: str, run: str, batches: int = BATCHES) -> DataFrame:
+    """Order lines of the ``lineitem`` files, arriving in ``batches`` micro-batches.
+
+    A table of enough files is read where it is, an equal number of files at a
+    time. One of fewer files is first landed as ``batches`` files in ``run``.
+    """
     raw = Raw(spark, sf_dir)
-    reader = spark.readStream.schema(raw.lineitem.schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    # A file stream source watches a folder or a glob; the glob keeps the
-    # table file as the only input of the folder.
-    stream = reader.parquet(f"{sf_dir.rstrip('/')}/lineitem.parque[t]")
+    files = len(raw.lineitem.inputFiles())
+    if files >= batches:
+        # a file stream watches a folder or a glob; the glob is of the table alone
+        folder, per_trigger = f"{sf_dir.rstrip('/')}/lineitem.parque[t]", -(-files // batches)
+    else:
+        folder, per_trigger = f"{run}/feed", 1
+        raw.lineitem.repartition(batches).write.mode("overwrite").parquet(folder)
+    stream = (spark.readStream.schema(raw.lineitem.schema).option("maxFilesPerTrigger", per_trigger)
+              .parquet(folder))
     return purchase_orders_from(stream, raw.orders, n_suppliers(raw))
 
 
-def fact_stream(spark: SparkSession, folder: str, schema, max_files: int | None = None) -> DataFrame:
-    """Order lines arriving as parquet files in ``folder`` (the star's fact feed)."""
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
-
-
-def star_order_stream(star, max_files: int | None = None) -> DataFrame:
-    """The fact feed of a star: its written order-line files when the star is
-    materialised (no per-batch join), else the conformance of lineitem files."""
-    if star.path:
-        return fact_stream(star.spark, f"{star.path}/purchase_orders", star.purchase_orders.schema, max_files)
-    return order_stream(star.spark, star.source, max_files)
-
-
 def kpi_measures():
     return [M.order_count("total_orders"), M.on_time_rate("on_time_pct", scale=1, digits=3),
             M.total_spend()]
@@ -92,49 +85,62 @@ def refresh_stream(stream: DataFrame, suppliers: DataFrame, sink: str, checkpoin
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def daily_counts_stream(stream: DataFrame, delay: str = "7 days") -> DataFrame:
-    """R2: order lines per order day and status, finalised by the watermark.
+def run_daily_counts(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """R2: order lines per order day and status, every line counted in whatever batch it comes.
 
-    The event time is the order day's UTC midnight built from epoch seconds, so
-    one-day windows line up with calendar days whatever the session time zone.
+    An order's file may arrive long after later days' files, so no watermark
+    closes a day: the state is one number per day and status, bounded by the
+    calendar and not by the orders. Each epoch writes all counts anew, which
+    makes a replay harmless.
     """
-    ts = stream.withColumn("order_ts", F.timestamp_seconds(F.unix_date("order_date").cast("bigint") * 86400))
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("day.start")) / 86400).cast("int"))
-    return (ts.withWatermark("order_ts", delay)
-              .groupBy(F.window("order_ts", "1 day").alias("day"), "status")
-              .agg(F.count(F.lit(1)).alias("order_count"))
-              .select(day.alias("order_day"), "status", "order_count"))
+    counts = stream.groupBy(F.col("order_date").alias("order_day"), "status").agg(
+        F.count(F.lit(1)).alias("order_count"))
 
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(sink)        # days x statuses rows
+
+    return (counts.writeStream.outputMode("complete").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
-def run_daily_counts(stream: DataFrame, sink: str, checkpoint: str, delay: str = "7 days"):
-    q = (daily_counts_stream(stream, delay).writeStream.outputMode("append").format("parquet")
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    return q
+
+def mark_open(daily: DataFrame, days: int = 7) -> DataFrame:
+    """Daily counts with ``is_open``: days within ``days`` of the latest one may still grow."""
+    latest = daily.agg(F.max("order_day")).scalar()
+    return daily.withColumn("is_open", F.date_add("order_day", days) > latest)
 
 
 def rollup_daily_to_month(daily: DataFrame) -> DataFrame:
-    """R2 batch step: finalised daily counts rolled up to order month and status."""
+    """R2 batch step: daily counts rolled up to order month and status."""
     return (daily.withColumn("order_month", F.trunc("order_day", "month"))
                  .groupBy("order_month", "status")
                  .agg(F.sum("order_count").alias("order_count")))
 
 
+ALERT_SCHEMA = "measure string, {key} string, value double, op string, threshold double, fired boolean"
+
+
 def alert_sink(rules: DataFrame, sink: str, measures=("on_time_pct",), key: str = "region"):
     """A ``foreachBatch`` callback evaluating ``rules`` on each KPI batch.
 
-    Fired alerts are appended with their epoch id; a replayed epoch first
-    removes nothing and appends again, so readers de-duplicate on
-    (epoch, key, measure) - ``read_alerts`` does.
+    Every epoch has its own folder, overwritten by a replay and written even if
+    no alert fires, so what is read is what was evaluated.
     """
     def on_batch(batch: DataFrame, epoch: int) -> None:
         values = batch.select(key, *[F.col(m).cast("double").alias(m) for m in measures]) \
                       .unpivot([key], list(measures), "measure", "value")
-        fired = E.alerts(values, rules).where("fired").withColumn("epoch", F.lit(epoch))
-        fired.write.mode("append").parquet(sink)
+        fired = E.alerts(values, rules).where("fired").select("measure", key, "value", "op", "threshold", "fired")
+        fired.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
     return on_batch
 
 
-def read_alerts(spark: SparkSession, sink: str, key: str = "region") -> DataFrame:
-    df = spark.read.parquet(sink)
-    return df.dropDuplicates(["epoch", key, "measure"])
+def read_alerts(spark: SparkSession, sink: str, key: str = "region", latest: bool = False) -> DataFrame:
+    """The fired alerts with their epoch; ``latest``: those of the last epoch alone.
+
+    A sink that can't be read is an error; one without alerts is an empty frame.
+    """
+    df = spark.read.schema(ALERT_SCHEMA.format(key=key) + ", epoch int").parquet(sink)
+    if latest:
+        path = F.regexp_extract(F.col("path"), r"/epoch=(\d+)/", 1).cast("int")
+        files = spark.read.format("binaryFile").load(f"{sink}/epoch=*/*.parquet").select("path")
+        df = df.where(F.col("epoch") == files.agg(F.max(path)).scalar())
+    return df

@@ -1,19 +1,11 @@
-"""Upsert-by-key refresh.
+"""Changing orders: a refresh over an append-only log of row versions.
 
 An order line changes over time (in transit -> delivered with a receipt date),
-so an append-only refresh would count both versions. Here every micro-batch of
-row versions is merged into a *current-state* table:
-
-* the newest version per key wins (``max_by`` on the version column - a
-  partial-then-final aggregation, so a hot key is combined map-side);
-* only the partitions (order months) the batch touches are read and rewritten
-  (dynamic partition overwrite);
-* the merged rows are written to a staging table in the shared folder (cutting
-  the lineage) before they overwrite the files they were read from;
-* replaying an epoch or receiving versions out of order gives the same state,
-  because the merge keeps the maximum version, not the last one seen.
-
-KPIs are recomputed from the state after each batch with the batch measures.
+so counting arrivals would count both versions. Every micro-batch is written as
+it came, into a folder of its own epoch; nothing is ever rewritten or deleted, a
+replayed epoch overwrites its own folder with the same rows, and a crash leaves
+the earlier epochs whole. The current state is a view of the log: the newest
+version per key. KPIs are computed from that view with the batch measures.
 """
 
 from __future__ import annotations
@@ -21,99 +13,73 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics as M
-from ..session import path_exists
+
+ORDER_KEYS = ("order_id", "line_number", "product_id", "occurrence")
 
 
 def latest_versions(rows: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """One row per key: the one with the highest ``version``."""
-    others = [c for c in rows.columns if c not in keys]
-    return (rows.groupBy(*keys)
-                .agg(F.max_by(F.struct(*others), F.col(version)).alias("__r"))
-                .select(*keys, "__r.*"))
-
-
-def merge_into_state(batch: DataFrame, state_path: str, keys: Sequence[str], version: str,
-                     partition: str) -> None:
-    """Merge a batch of row versions into the partitioned state table."""
-    spark = batch.sparkSession
-    new = latest_versions(batch, keys, version)
-    # (dynamic partition overwrite writes no root _SUCCESS marker)
-    if path_exists(spark, state_path):
-        # The touched months as one scalar-subquery array: Spark evaluates it
-        # before the scan and prunes the state's partition folders with it (a
-        # semi join would read every partition). One value per touched month.
-        touched = new.agg(F.collect_set(partition)).scalar()
-        old = (spark.read.parquet(state_path).select(*new.columns)
-                    .where(F.array_contains(touched, F.col(partition))))
-        # Cut the lineage before overwriting the files just read: the merged
-        # months are written as a staging table next to the state (shared
-        # storage) and read back.
-        staging = f"{state_path}__staging"
-        (latest_versions(old.unionByName(new), keys, version)
-            .write.mode("overwrite").parquet(staging))
-        merged = spark.read.parquet(staging)
-    else:
-        merged = new
-    # Range-partition on (partition column, key): each task writes few months,
-    # and a month holding a third of the rows is still split across tasks.
-    (merged.repartitionByRange(partition, *keys)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition).parquet(state_path))
-
-
-def upsert_refresh(stream: DataFrame, suppliers: DataFrame, state_path: str, kpi_path: str,
-                   checkpoint: str, keys: Sequence[str], version: str = "version",
-                   partition: str = "order_month", measures=None, by=("region",),
-                   small_dim: bool = True) -> StreamingQuery:
-    """Keep ``state_path`` (current order lines) and ``kpi_path`` (KPIs) current."""
-    measures = measures or [M.order_count("total_orders"),
-                            M.on_time_rate("on_time_pct", scale=1, digits=3), M.total_spend()]
+    """One row per key: the one with the highest ``version`` (of equal ones, any)."""
+    newest = rows.groupBy(*keys).agg(F.max(version).alias("__newest"))
+    return (rows.join(newest, list(keys)).where(F.col(version) == F.col("__newest")).drop("__newest")
+            .dropDuplicates(list(keys)))
 
+
+def upsert_refresh(stream: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
+    """Append every micro-batch of row versions to the log, one folder per epoch."""
     def on_batch(batch: DataFrame, epoch: int) -> None:
-        # No emptiness probe (it would read the batch twice): an empty batch
-        # touches no month, so the dynamic overwrite leaves the state as it is.
-        merge_into_state(batch.withColumn(partition, F.trunc("order_date", "month")),
-                         state_path, keys, version, partition)
-        state = batch.sparkSession.read.parquet(state_path)
-        rows = state.join(F.broadcast(suppliers) if small_dim else suppliers, "supplier_id")
-        M.metrics(rows, measures, list(by), keep_empty=True).write.mode("overwrite").parquet(kpi_path)
+        batch.write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
 
     return (stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
                   .trigger(availableNow=True).start())
 
 
+def current_state(spark: SparkSession, log_path: str, schema, keys: Sequence[str],
+                  version: str = "version") -> DataFrame:
+    """The newest version of every key in the log."""
+    return latest_versions(spark.read.schema(schema).parquet(f"{log_path}/epoch=*"), keys, version)
+
+
+def with_occurrence(orders: DataFrame) -> DataFrame:
+    """Order lines with a number among those of the same order, line and product.
+
+    The given orders repeat (order_id, line_number); quantity and price are
+    values that may be corrected, so they can't be part of a key.
+    """
+    same = W.partitionBy("order_id", "line_number", "product_id").orderBy("quantity", "unit_cost")
+    return orders.withColumn("occurrence", F.row_number().over(same))
+
+
 def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two feeds of order-line versions derived from final order lines.
 
     Version 1 is every line as it stood before delivery (delivered lines still
-    in transit, no receipt date); version 2 carries the delivered lines' final
-    state. Applying both must give back the final lines.
+    in transit, no receipt date, at a first price); version 2 carries the
+    delivered lines' final state. Applying both must give back the final lines.
     """
     delivered = F.col("status") == "delivered"
-    v1 = orders.select(*[F.when(delivered, F.lit("in_transit")).otherwise(F.col(c)).alias(c)
-                         if c == "status" else
-                         (F.when(delivered, F.lit(None).cast("date")).otherwise(F.col(c)).alias(c)
-                          if c == "actual_delivery_date" else F.col(c))
+    before = {"status": F.lit("in_transit"), "actual_delivery_date": F.lit(None).cast("date"),
+              "unit_cost": (F.col("unit_cost") + 1).cast(orders.schema["unit_cost"].dataType)}
+    v1 = orders.select(*[F.when(delivered, before[c]).otherwise(F.col(c)).alias(c) if c in before else F.col(c)
                          for c in orders.columns]).withColumn("version", F.lit(1))
     v2 = orders.where(delivered).withColumn("version", F.lit(2))
     return v1, v2
 
 
 def run_two_feeds(spark: SparkSession, orders: DataFrame, suppliers: DataFrame, run: str,
-                  keys: Sequence[str], small_dim: bool = True) -> DataFrame:
-    """Drive ``upsert_refresh`` with the two version feeds, one trigger each."""
-    v1, v2 = order_versions(orders)
-    schema = v1.schema
-    v1.write.mode("overwrite").parquet(f"{run}/feed/v1")
-    for feed in ("v1", "v2"):
-        if feed == "v2":
-            v2.write.mode("overwrite").parquet(f"{run}/feed/v2")
-        stream = spark.readStream.schema(schema).parquet(f"{run}/feed/v*")
-        q = upsert_refresh(stream, suppliers, f"{run}/state", f"{run}/kpi", f"{run}/ckpt", keys,
-                           small_dim=small_dim)
-        q.awaitTermination()
-    return spark.read.parquet(f"{run}/kpi")
+                  small_dim: bool = True, measures=None, by=("region",)) -> DataFrame:
+    """KPIs of the state after both version feeds, the newer one arriving in a trigger of its own."""
+    v1, v2 = order_versions(with_occurrence(orders))
+    for name, feed in (("v1", v1), ("v2", v2)):
+        feed.write.mode("overwrite").parquet(f"{run}/feed/{name}")
+        stream = spark.readStream.schema(v1.schema).parquet(f"{run}/feed/v*")
+        upsert_refresh(stream, f"{run}/log", f"{run}/ckpt").awaitTermination()
+    state = current_state(spark, f"{run}/log", v1.schema, ORDER_KEYS)
+    rows = state.join(F.broadcast(suppliers) if small_dim else suppliers, "supplier_id")
+    measures = measures or [M.order_count("total_orders"),
+                            M.on_time_rate("on_time_pct", scale=1, digits=3), M.total_spend()]
+    return M.metrics(rows, measures, list(by), keep_empty=True)
