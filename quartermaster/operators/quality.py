@@ -27,19 +27,21 @@ def check_domain(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
     return counts.join(F.broadcast(ok), col, "left_anti")
 
 
-def path_mismatches(star) -> DataFrame:
+def path_mismatches(star, orders: DataFrame | None = None) -> DataFrame:
     """Order lines whose direct supplier differs from the product's supplier.
 
-    The fact is first reduced to distinct (product, supplier) pairs with their
-    line counts (partial aggregation absorbs a hot product), so the join with
-    products carries one row per pair. One row out: lines checked, mismatching
-    lines, lines whose product is unknown.
+    ``orders`` (default: the star's) has product_id and supplier_id. It is first
+    reduced to distinct (product, supplier) pairs with their line counts (partial
+    aggregation absorbs a hot product), so the join with products carries one row
+    per pair. One row out: lines checked, mismatching lines, lines whose product
+    is unknown.
     """
-    pairs = (star.purchase_orders.groupBy("product_id", "supplier_id")
-             .agg(F.count(F.lit(1)).alias("__n")))
-    p = star.products.select("product_id", F.col("supplier_id").alias("__via_product"))
+    lines = star.purchase_orders if orders is None else orders
+    pairs = lines.groupBy("product_id", "supplier_id").agg(F.count(F.lit(1)).alias("__n"))
+    p = star.products.select("product_id", F.col("supplier_id").alias("__via_product"),
+                             F.lit(True).alias("__known"))
     j = pairs.join(F.broadcast(p) if star.small("products") else p, "product_id", "left")
-    known = F.col("__via_product").isNotNull()
+    known = F.coalesce("__known", F.lit(False))
     return j.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("checked_rows"),
                  F.coalesce(F.sum(F.when(known & ~F.col("supplier_id").eqNullSafe(F.col("__via_product")),
                                          F.col("__n"))), F.lit(0)).alias("mismatches"),
@@ -47,7 +49,7 @@ def path_mismatches(star) -> DataFrame:
 
 
 def orphan_report(star) -> DataFrame:
-    """Orphan counts for each declared many-to-one relationship.
+    """Orphan counts for each declared many-to-one relationship (a NULL key is an orphan).
 
     Fact keys are aggregated first (one row per key with its row count), then
     anti-joined with the dimension keys and the counts summed: the join never
@@ -67,14 +69,17 @@ def orphan_report(star) -> DataFrame:
 
 
 def uniqueness_report(star) -> DataFrame:
-    """Duplicate-key counts for every dimension and the snapshot grain (all 0)."""
-    dims = [("suppliers", star.suppliers, ["supplier_id"]), ("products", star.products, ["product_id"]),
+    """Duplicate-key counts of every dimension, the snapshot grain and the declared order key."""
+    keys = [("suppliers", star.suppliers, ["supplier_id"]), ("products", star.products, ["product_id"]),
             ("inventory_snapshots", star.inventory_snapshots,
-             ["snapshot_date", "product_id", "warehouse"])]          # the snapshot grain
-    parts = [assert_unique(df.select(*key), key).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+             ["snapshot_date", "product_id", "warehouse"]),
+            ("purchase_orders", star.purchase_orders, ["order_id", "line_number"])]
+    parts = [assert_unique(df.select(*key), key)
+             .agg(F.count(F.lit(1)).alias("duplicate_keys"),
+                  F.coalesce(F.sum("occurrences"), F.lit(0)).alias("rows_of_duplicates"))
              .select(F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key"),
-                     "duplicate_keys")
-             for name, df, key in dims]
+                     "duplicate_keys", "rows_of_duplicates")
+             for name, df, key in keys]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -87,26 +92,25 @@ def _as_rows(agg: DataFrame, table: str) -> DataFrame:
 
 def domain_checks(star, statuses: Sequence[str], warehouses: Sequence[str]) -> DataFrame:
     """One pass per table counting rule violations; rows (table, check, n)."""
-    po = star.purchase_orders
-    po_agg = po.agg(
-        F.count(F.when(~F.col("status").isin(list(statuses)) | F.col("status").isNull(), 1))
-        .alias("status_not_allowed"),
-        F.count(F.when((F.col("status") == "delivered") != F.col("actual_delivery_date").isNotNull(), 1))
-        .alias("actual_date_iff_delivered"),
-        F.count(F.when(F.col("quantity") <= 0, 1)).alias("quantity_not_positive"),
-        F.count(F.when(F.col("unit_cost") <= 0, 1)).alias("unit_cost_not_positive"),
-        F.count(F.when(F.col("expected_delivery_date") < F.col("order_date"), 1))
-        .alias("expected_before_order"))
-    s_agg = star.suppliers.agg(
-        F.count(F.when(~F.col("reliability_rating").between(1.0, 5.0), 1)).alias("rating_out_of_range"),
-        F.count(F.when(F.col("lead_time_days") <= 0, 1)).alias("lead_time_not_positive"),
-        F.count(F.when(F.col("region").isNull(), 1)).alias("region_missing"))
-    i_agg = star.inventory_snapshots.agg(
-        F.count(F.when(~F.col("warehouse").isin(list(warehouses)), 1)).alias("warehouse_not_allowed"),
-        F.count(F.when(F.col("quantity_on_hand") < 0, 1)).alias("on_hand_negative"),
-        F.count(F.when((F.col("quantity_on_order") > 0)
-                       & (F.col("quantity_on_hand") >= F.col("reorder_point")), 1))
-        .alias("on_order_while_not_low"))
+    def violations(**rules):
+        """Rows in which a rule doesn't hold; one that is NULL doesn't hold."""
+        return [F.count(F.when(~F.coalesce(holds, F.lit(False)), 1)).alias(name) for name, holds in rules.items()]
+
+    c = F.col
+    po_agg = star.purchase_orders.agg(*violations(
+        status_not_allowed=c("status").isin(list(statuses)),
+        actual_date_iff_delivered=(c("status") == "delivered") == c("actual_delivery_date").isNotNull(),
+        quantity_not_positive=c("quantity") > 0,
+        unit_cost_not_positive=c("unit_cost") > 0,
+        expected_before_order=c("expected_delivery_date") >= c("order_date")))
+    s_agg = star.suppliers.agg(*violations(
+        rating_out_of_range=c("reliability_rating").between(1.0, 5.0),
+        lead_time_not_positive=c("lead_time_days") > 0,
+        region_missing=c("region").isNotNull()))
+    i_agg = star.inventory_snapshots.agg(*violations(
+        warehouse_not_allowed=c("warehouse").isin(list(warehouses)),
+        on_hand_negative=c("quantity_on_hand") >= 0,
+        on_order_while_not_low=(c("quantity_on_order") <= 0) | (c("quantity_on_hand") < c("reorder_point"))))
     return reduce(DataFrame.unionByName, [_as_rows(po_agg, "purchase_orders"),
                                           _as_rows(s_agg, "suppliers"),
                                           _as_rows(i_agg, "inventory_snapshots")])

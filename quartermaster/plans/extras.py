@@ -6,14 +6,17 @@ picks, rules, run dates) are small literal inputs applied to that data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
 from ..operators import dashboard as D
 from ..operators import evaluate as E
 from ..operators import metrics as M
 from ..operators import quality as Q
-from ..operators.enrich import ORDER_DIMS
+from ..operators.enrich import ORDER_DIMS, enrich_orders
 from ..sources.conform import STATUSES, WAREHOUSES, load_star
 from ..sources.raw import Raw
 from . import benchmark as B
@@ -44,7 +47,14 @@ def j_orphans(spark, sf_dir) -> DataFrame:
 
 
 def j_path_equivalence(spark, sf_dir) -> DataFrame:
-    return Q.path_mismatches(_star(spark, sf_dir))
+    """The supplier each given order line names against its product's supplier.
+
+    The star's own supplier_id is made from the product (conform), so comparing
+    that would compare a formula with itself; the given l_suppkey is independent.
+    """
+    given = Raw(spark, sf_dir).lineitem.select(F.col("l_partkey").alias("product_id"),
+                                               F.col("l_suppkey").alias("supplier_id"))
+    return Q.path_mismatches(_star(spark, sf_dir), given)
 
 
 def e_domain_checks(spark, sf_dir) -> DataFrame:
@@ -178,6 +188,78 @@ def e_alerts(spark, sf_dir) -> DataFrame:
     return E.alerts(values, rules)
 
 
+def e_review_queue(spark, sf_dir) -> DataFrame:
+    """E5: the thumbs-down answers that nobody has reviewed yet."""
+    return E.review_queue(B.feedback_frame(_both_runs(spark, sf_dir), reviewed_runs=()))
+
+
+# ---- other grains, displays and options ------------------------------------------
+def x_orders_by_quarter(spark, sf_dir) -> DataFrame:
+    """Order counts and spend by calendar quarter."""
+    return _by_grain(_star(spark, sf_dir), "quarter")
+
+
+def x_orders_by_week(spark, sf_dir) -> DataFrame:
+    """Order counts and spend by week (Mondays)."""
+    return _by_grain(_star(spark, sf_dir), "week")
+
+
+def _by_grain(star, unit: str) -> DataFrame:
+    rows = star.purchase_orders.withColumn("period", X.time_bucket("order_date", unit).cast("date"))
+    return M.metrics(rows, [M.order_count(), M.total_spend()], ["period"])
+
+
+def h_format_rates(spark, sf_dir) -> DataFrame:
+    """P20: the on-time KPI as a fraction shown in percent, and suppliers' percents."""
+    star = _star(spark, sf_dir)
+    fraction = D.format_measures(RESULTS["kpi_on_time_rate"](star), {"on_time_pct": "fraction"})
+    percent = D.format_measures(RESULTS["bm_best_suppliers"](star).select(
+        F.col("supplier_name").alias("region"), "on_time_pct"), {"on_time_pct": "percent"})
+    return fraction.select("region", "on_time_pct", "on_time_pct_display").unionByName(
+        percent.select("region", "on_time_pct", "on_time_pct_display"))
+
+
+def n_synonyms(spark, sf_dir) -> DataFrame:
+    """A question in business terms - order value, price, ETA, received date, OTD."""
+    rows = enrich_orders(_star(spark, sf_dir), dims=("suppliers",))
+    otd = M.metrics(rows, [M.measure_for("OTD rate").alias("otd_rate")], ["region"])
+    terms = rows.groupBy("region").agg(
+        X.money_out(F.sum("order_value")).alias("order_value"),
+        F.max("price").cast("double").alias("highest_price"),
+        F.max("eta").alias("last_eta"), F.max("received_date").alias("last_received"))
+    return terms.join(otd, "region")
+
+
+def x_spend_driver_margins(spark, sf_dir) -> DataFrame:
+    """V1: the change in spend by region alone and by category alone."""
+    star = _star(spark, sf_dir)
+    one = lambda by: RESULTS["q_spend_drivers"](star, by=(by,)).select(
+        F.lit(by).alias("dimension"), F.col(by).alias("member"), "base_spend", "compare_spend", "delta_spend",
+        "share_of_change")
+    return one("region").unionByName(one("category"))
+
+
+def _dataset_totals(ds: dict) -> DataFrame:
+    """One row per dataset: its rows and the sum of its main value (exact cents or counts)."""
+    value = {"kpi_total_orders": "total_orders", "kpi_on_time_rate": "on_time_pct", "kpi_total_spend": "total_spend",
+             "kpi_low_stock": "low_stock_count", "spend_by_region": "total_spend", "orders_over_time": "order_count",
+             "delivery_by_supplier": "avg_days_variance", "top_products_by_spend": "total_spend"}
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"),
+                    F.sum(F.col(value[name]).cast("decimal(20,3)")).cast("double").alias("total"))
+             .select(F.lit(name).alias("dataset"), "rows", "total") for name, df in ds.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def h_global_filter_all(spark, sf_dir) -> DataFrame:
+    """H2: all eight datasets under the region filter, as rows and totals."""
+    return _dataset_totals(D.apply_global_filter(D.datasets(_star(spark, sf_dir)), "region", GLOBAL_PICK))
+
+
+def h_date_filter_all(spark, sf_dir) -> DataFrame:
+    """All eight datasets under the date filter, as rows and totals."""
+    return _dataset_totals(D.date_filtered_datasets(_star(spark, sf_dir), *DATE_PICK))
+
+
 EXTRA_QUERIES = {
     "j_uniqueness": j_uniqueness,
     "j_orphans": j_orphans,
@@ -201,6 +283,14 @@ EXTRA_QUERIES = {
     "e_compare_runs": e_compare_runs,
     "e_feedback_summary": e_feedback_summary,
     "e_alerts": e_alerts,
+    "e_review_queue": e_review_queue,
+    "x_orders_by_quarter": x_orders_by_quarter,
+    "x_orders_by_week": x_orders_by_week,
+    "h_format_rates": h_format_rates,
+    "n_synonyms": n_synonyms,
+    "x_spend_driver_margins": x_spend_driver_margins,
+    "h_global_filter_all": h_global_filter_all,
+    "h_date_filter_all": h_date_filter_all,
 }
 
 
@@ -213,28 +303,32 @@ _WH_IN = _in(WAREHOUSES)
 
 EXTRA_ORACLE = {
     "j_uniqueness": O.with_star("""
-        SELECT 'suppliers' AS table_name, 'supplier_id' AS key, count(*) AS duplicate_keys
-        FROM (SELECT supplier_id FROM suppliers GROUP BY 1 HAVING count(*) > 1)
-        UNION ALL SELECT 'products', 'product_id', count(*)
-        FROM (SELECT product_id FROM products GROUP BY 1 HAVING count(*) > 1)
-        UNION ALL SELECT 'inventory_snapshots', 'snapshot_date,product_id,warehouse', count(*)
-        FROM (SELECT snapshot_date, product_id, warehouse FROM inventory_snapshots
-              GROUP BY ALL HAVING count(*) > 1)"""),
+        SELECT 'suppliers' AS table_name, 'supplier_id' AS key, count(*) AS duplicate_keys,
+               CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_of_duplicates
+        FROM (SELECT count(*) AS n FROM suppliers GROUP BY supplier_id HAVING count(*) > 1)
+        UNION ALL SELECT 'products', 'product_id', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM products GROUP BY product_id HAVING count(*) > 1)
+        UNION ALL SELECT 'inventory_snapshots', 'snapshot_date,product_id,warehouse', count(*),
+                         CAST(coalesce(sum(n), 0) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM inventory_snapshots GROUP BY snapshot_date, product_id, warehouse
+              HAVING count(*) > 1)
+        UNION ALL SELECT 'purchase_orders', 'order_id,line_number', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM purchase_orders GROUP BY order_id, line_number HAVING count(*) > 1)"""),
     "j_orphans": O.with_star("""
-        SELECT 'purchase_orders->suppliers' AS relationship, count(*) AS orphan_rows FROM purchase_orders
-          WHERE supplier_id NOT IN (SELECT supplier_id FROM suppliers WHERE supplier_id IS NOT NULL)
-        UNION ALL SELECT 'purchase_orders->products', count(*) FROM purchase_orders
-          WHERE product_id NOT IN (SELECT product_id FROM products WHERE product_id IS NOT NULL)
-        UNION ALL SELECT 'inventory_snapshots->products', count(*) FROM inventory_snapshots
-          WHERE product_id NOT IN (SELECT product_id FROM products WHERE product_id IS NOT NULL)
-        UNION ALL SELECT 'products->suppliers', count(*) FROM products
-          WHERE supplier_id NOT IN (SELECT supplier_id FROM suppliers WHERE supplier_id IS NOT NULL)"""),
+        SELECT 'purchase_orders->suppliers' AS relationship, count(*) AS orphan_rows FROM purchase_orders po
+          WHERE NOT EXISTS (SELECT 1 FROM suppliers s WHERE s.supplier_id = po.supplier_id)
+        UNION ALL SELECT 'purchase_orders->products', count(*) FROM purchase_orders po
+          WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.product_id = po.product_id)
+        UNION ALL SELECT 'inventory_snapshots->products', count(*) FROM inventory_snapshots i
+          WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.product_id = i.product_id)
+        UNION ALL SELECT 'products->suppliers', count(*) FROM products p
+          WHERE NOT EXISTS (SELECT 1 FROM suppliers s WHERE s.supplier_id = p.supplier_id)"""),
     "j_path_equivalence": O.with_star("""
         SELECT count(*) AS checked_rows,
-               count(CASE WHEN p.supplier_id IS NOT NULL
-                          AND po.supplier_id IS DISTINCT FROM p.supplier_id THEN 1 END) AS mismatches,
-               count(CASE WHEN p.supplier_id IS NULL THEN 1 END) AS unknown_product
-        FROM purchase_orders po LEFT JOIN products p ON po.product_id = p.product_id"""),
+               count(CASE WHEN p.product_id IS NOT NULL
+                          AND l.l_suppkey IS DISTINCT FROM p.supplier_id THEN 1 END) AS mismatches,
+               count(CASE WHEN p.product_id IS NULL THEN 1 END) AS unknown_product
+        FROM lineitem l LEFT JOIN products p ON l.l_partkey = p.product_id"""),
     "n_status_domain": O.with_star(f"""
         SELECT status, count(*) AS rows FROM purchase_orders
         WHERE status NOT IN {_STATUS_IN} OR status IS NULL GROUP BY status"""),
@@ -243,25 +337,25 @@ EXTRA_ORACLE = {
         WHERE warehouse NOT IN {_WH_IN} OR warehouse IS NULL GROUP BY warehouse"""),
     "e_domain_checks": O.with_star(f"""
         SELECT 'purchase_orders' AS table_name, c AS "check", CAST(v AS BIGINT) AS violations FROM (
-          SELECT count(CASE WHEN status NOT IN {_STATUS_IN} OR status IS NULL THEN 1 END) AS status_not_allowed,
-                 count(CASE WHEN (status = 'delivered') != (actual_delivery_date IS NOT NULL) THEN 1 END)
+          SELECT count(*) FILTER (WHERE (status IN {_STATUS_IN}) IS NOT TRUE) AS status_not_allowed,
+                 count(*) FILTER (WHERE ((status = 'delivered') = (actual_delivery_date IS NOT NULL)) IS NOT TRUE)
                    AS actual_date_iff_delivered,
-                 count(CASE WHEN quantity <= 0 THEN 1 END) AS quantity_not_positive,
-                 count(CASE WHEN unit_cost <= 0 THEN 1 END) AS unit_cost_not_positive,
-                 count(CASE WHEN expected_delivery_date < order_date THEN 1 END) AS expected_before_order
+                 count(*) FILTER (WHERE (quantity > 0) IS NOT TRUE) AS quantity_not_positive,
+                 count(*) FILTER (WHERE (unit_cost > 0) IS NOT TRUE) AS unit_cost_not_positive,
+                 count(*) FILTER (WHERE (expected_delivery_date >= order_date) IS NOT TRUE) AS expected_before_order
           FROM purchase_orders) UNPIVOT (v FOR c IN (status_not_allowed, actual_date_iff_delivered,
                  quantity_not_positive, unit_cost_not_positive, expected_before_order))
         UNION ALL
         SELECT 'suppliers', c, CAST(v AS BIGINT) FROM (
-          SELECT count(CASE WHEN NOT (reliability_rating BETWEEN 1.0 AND 5.0) THEN 1 END) AS rating_out_of_range,
-                 count(CASE WHEN lead_time_days <= 0 THEN 1 END) AS lead_time_not_positive,
-                 count(CASE WHEN region IS NULL THEN 1 END) AS region_missing
+          SELECT count(*) FILTER (WHERE (reliability_rating BETWEEN 1.0 AND 5.0) IS NOT TRUE) AS rating_out_of_range,
+                 count(*) FILTER (WHERE (lead_time_days > 0) IS NOT TRUE) AS lead_time_not_positive,
+                 count(*) FILTER (WHERE region IS NULL) AS region_missing
           FROM suppliers) UNPIVOT (v FOR c IN (rating_out_of_range, lead_time_not_positive, region_missing))
         UNION ALL
         SELECT 'inventory_snapshots', c, CAST(v AS BIGINT) FROM (
-          SELECT count(CASE WHEN warehouse NOT IN {_WH_IN} THEN 1 END) AS warehouse_not_allowed,
-                 count(CASE WHEN quantity_on_hand < 0 THEN 1 END) AS on_hand_negative,
-                 count(CASE WHEN quantity_on_order > 0 AND quantity_on_hand >= reorder_point THEN 1 END)
+          SELECT count(*) FILTER (WHERE (warehouse IN {_WH_IN}) IS NOT TRUE) AS warehouse_not_allowed,
+                 count(*) FILTER (WHERE (quantity_on_hand >= 0) IS NOT TRUE) AS on_hand_negative,
+                 count(*) FILTER (WHERE (quantity_on_order <= 0 OR quantity_on_hand < reorder_point) IS NOT TRUE)
                    AS on_order_while_not_low
           FROM inventory_snapshots) UNPIVOT (v FOR c IN (warehouse_not_allowed, on_hand_negative,
                  on_order_while_not_low))"""),
@@ -346,3 +440,69 @@ FROM v JOIN r ON v.measure = r.measure"""
 
 
 EXTRA_ORACLE["e_alerts"] = _alerts_sql()
+
+
+def _grain_sql(unit: str) -> str:
+    return O.with_star(f"""
+        SELECT CAST(date_trunc('{unit}', order_date) AS DATE) AS period, count(*) AS order_count,
+               {O.money(f"sum(CASE WHEN status != 'cancelled' THEN {O.VALUE} END)")} AS total_spend
+        FROM purchase_orders GROUP BY 1""")
+
+
+def _margin_sql(by: str) -> str:
+    """V1 by one dimension; base one month, compare two: delta is (compare - 2 base) / 2 a month."""
+    cents = lambda cond: f"CAST(coalesce(sum(CASE WHEN {cond} THEN {O.VALUE} END), 0) * 100 AS HUGEINT)"
+    base = f"order_date >= {O._month(O.BASE_MONTH)} AND order_date < {O._next_month(O.BASE_MONTH)}"
+    comp = f"order_date >= {O._month(O.COMPARE_FIRST)} AND order_date < {O._next_month(O.COMPARE_LAST)}"
+    return f"""
+        SELECT '{by}' AS dimension, member, CAST(b AS DOUBLE) / 100 AS base_spend, CAST(c AS DOUBLE) / 100 AS compare_spend,
+               {O.rdiv('(c - 2 * b)', '2', 2, 2)} AS delta_spend,
+               {O.rdiv('(c - 2 * b)', '(SELECT sum(c - 2 * b) FROM m_' + by + ')', 4)} AS share_of_change
+        FROM m_{by}""", f"""
+        m_{by} AS (SELECT {by} AS member, {cents(base)} AS b, {cents(comp)} AS c
+                   FROM (SELECT pos.*, p.category FROM pos JOIN products p ON pos.product_id = p.product_id)
+                   WHERE status != 'cancelled' AND (({base}) OR ({comp})) GROUP BY 1)"""
+
+
+def _margins_sql() -> str:
+    (a, cte_a), (b, cte_b) = _margin_sql("region"), _margin_sql("category")
+    return O.with_star(f"{a} UNION ALL {b}", ctes=f"{cte_a},{cte_b}")
+
+
+def _totals_sql(where: str, orders_where: str = "true") -> str:
+    """The eight datasets' rows and totals under a filter on their output or on the order rows."""
+    value = {"kpi_total_orders": "total_orders", "kpi_on_time_rate": "on_time_pct", "kpi_total_spend": "total_spend",
+             "kpi_low_stock": "low_stock_count", "spend_by_region": "total_spend", "orders_over_time": "order_count",
+             "delivery_by_supplier": "avg_days_variance", "top_products_by_spend": "total_spend"}
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, count(*) AS rows, CAST(sum(CAST({v} AS DECIMAL(20,3))) AS DOUBLE) AS total
+            FROM ({_filtered(O.ORACLE[name], orders_where)}) WHERE {where}"""
+        for name, v in value.items())
+
+
+def _filtered(sql: str, orders_where: str) -> str:
+    """The same text over the kept order rows."""
+    return sql.replace("  FROM po_1),", f"  FROM po_1 WHERE {orders_where}),")
+
+
+EXTRA_ORACLE.update({
+    "e_review_queue": B.review_queue_sql(),
+    "x_orders_by_quarter": _grain_sql("quarter"),
+    "x_orders_by_week": _grain_sql("week"),
+    "x_spend_driver_margins": _margins_sql(),
+    "h_global_filter_all": _totals_sql(f"region IN {_in(GLOBAL_PICK)}"),
+    "h_date_filter_all": _totals_sql("true", f"order_date >= DATE '{DATE_PICK[0]}-01' "
+                                             f"AND order_date < {O._next_month(DATE_PICK[1])}"),
+    "h_format_rates": O.with_star(f"""
+        SELECT region, on_time_pct, format('{{:.1f}}%', on_time_pct * 100) AS on_time_pct_display FROM (
+          SELECT region, {O.rdiv(O.ON_TIME, O.RECEIVED, 3)} AS on_time_pct FROM pos
+          WHERE actual_delivery_date IS NOT NULL GROUP BY region)
+        UNION ALL SELECT supplier_name, on_time_pct, format('{{:.1f}}%', on_time_pct) FROM (
+          SELECT supplier_name, reliability_rating, {O.rdiv(f'{O.ON_TIME} * 100', O.RECEIVED, 1)} AS on_time_pct
+          FROM pos WHERE actual_delivery_date IS NOT NULL GROUP BY supplier_name, reliability_rating)"""),
+    "n_synonyms": O.with_star(f"""
+        SELECT region, {O.money(f'sum({O.VALUE})')} AS order_value, CAST(max(unit_cost) AS DOUBLE) AS highest_price,
+               max(expected_delivery_date) AS last_eta, max(actual_delivery_date) AS last_received,
+               {O.rdiv(f'{O.ON_TIME} * 100', O.RECEIVED, 1)} AS otd_rate
+        FROM pos GROUP BY region"""),
+})
