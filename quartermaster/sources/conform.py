@@ -350,23 +350,17 @@ def materialize_star(star: Star, path: str) -> Star:
          .write.mode("overwrite").partitionBy("snapshot_date").parquet(folder))
 
     def inventory() -> DataFrame:
-        # read from the stored products: the panel is a narrow function of them
-        star.inventory_snapshots = inventory_panel(out.products)
-        df = stored("inventory_snapshots", by_snapshot)
-        return df.select(*star.inventory_snapshots.columns)
+        return stored("inventory_snapshots", by_snapshot).select(*star.inventory_snapshots.columns)
 
     orders = Deferred(lambda: stored("purchase_orders", by_month))
-    columns = ("order_id", "line_number", "product_id", "supplier_id", "order_date", "expected_delivery_date",
-               "actual_delivery_date", "quantity", "unit_cost", "status")
-    out = Star(spark=spark,
-               suppliers=Deferred(lambda: stored("suppliers", plain)),
-               products=Deferred(lambda: stored("products", plain)),
-               purchase_orders=Deferred(lambda: orders.get().select(*columns)),
-               inventory_snapshots=Deferred(inventory),
-               months=lambda first, last: (orders.get().where(F.col(ORDER_MONTH).between(first, last))
-                                           .select(*columns)),
-               source=star.source, path=path)
-    return out
+    return Star(spark=spark,
+                suppliers=Deferred(lambda: stored("suppliers", plain)),
+                products=Deferred(lambda: stored("products", plain)),
+                purchase_orders=Deferred(lambda: orders.get().drop(ORDER_MONTH)),
+                inventory_snapshots=Deferred(inventory),
+                months=lambda first, last: (orders.get().where(F.col(ORDER_MONTH).between(first, last))
+                                            .drop(ORDER_MONTH)),
+                source=star.source, path=path)
 
 
 def _spread(df: DataFrame) -> DataFrame:

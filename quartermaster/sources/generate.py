@@ -66,8 +66,13 @@ SEED = 42
 
 # ---- G5-G8: counter-based draws ------------------------------------------------------
 def u(seed: int, salt: str, *cols) -> Column:
-    """Uniform [0, 1) from a hash of (seed, salt, cols) - independent of partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), *cols), F.lit(2 ** 31)).cast("double") / float(2 ** 31)
+    """Uniform [0, 1) from a hash of (seed, salt, cols) - independent of partitioning.
+
+    The first 13 hex digits of an MD5: 2^52 steps, so ``floor(u * n)`` reaches every
+    one of n rows at any scale, and any SQL engine can repeat the draw.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), F.lit(salt), *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(2 ** 52)
 
 
 def randint(lo, hi, draw: Column) -> Column:
@@ -86,7 +91,7 @@ def uniform(lo, hi, draw: Column, digits: int) -> Column:
 
 def key(prefix: str, width: int, idx: Column) -> Column:
     """Zero-padded key ``PFX-000n`` (1-based)."""
-    return F.format_string(f"{prefix}-%0{width}d", (idx + 1).cast("int"))
+    return F.format_string(f"{prefix}-%0{width}d", (idx + 1).cast("bigint"))
 
 
 # ---- G1 -------------------------------------------------------------------------------
@@ -257,9 +262,9 @@ def gen_inventory(spark: SparkSession, products: DataFrame, start=SNAPSHOT_START
 
 
 def build_all(spark: SparkSession, scale: float = 1.0, seed: int = SEED) -> dict[str, DataFrame]:
-    """G1-G4 at ``scale`` x the reference sizes (15 / 30 / 800 / 17 weeks)."""
+    """G1-G4 at ``scale`` x the reference sizes (15 / 30 / 800 / 17 weeks; 5 low products)."""
     s = gen_suppliers(spark, max(1, round(15 * scale)), seed)
     p = gen_products(spark, s, max(1, round(30 * scale)), seed)
     o = gen_purchase_orders(spark, p, s, max(1, round(800 * scale)), seed)
-    i = gen_inventory(spark, p, seed=seed)
+    i = gen_inventory(spark, p, n_low=max(1, round(N_LOW * scale)), seed=seed)
     return {"suppliers": s, "products": p, "purchase_orders": o, "inventory_snapshots": i}
