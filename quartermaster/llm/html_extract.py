@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from .url_filter import host, path
 
 COPY_SHARE = 0.9          # a partner that shares more of the page's characters is a copy of it
+PAGES_PER_TASK = 4000     # pages that a task streams through, about
 RANGES_PER_PARTITION = 4
 
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th caption figcaption".split())
@@ -304,7 +305,8 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     """(id, url, text): the main text of every page."""
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the number of tasks follows the pages, so that a task's share stays the same at any size
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // PAGES_PER_TASK))
     bounds = ranges(base, n * RANGES_PER_PARTITION)
     kind = base.schema["id"].dataType.simpleString()
     if not bounds:
