@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_bounded
 from .common import materialise
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
@@ -259,8 +260,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     Of rows that repeat that id one stays. Rows without an id can't be named and stay.
     """
     found = materialise(spark, dedup(spark, docs, id_col, text_col, shingle, max_bits), "simhash-found")
-    gone = found.where(F.col(id_col) != F.col("component")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
+    gone = materialise(spark, found.where(F.col(id_col) != F.col("component")).select(id_col).distinct(), "simhash-gone")
+    # ids within the checked broadcast bound leave the texts where they are; more ids shuffle them
+    kept = docs.join(F.broadcast(gone) if is_bounded(gone) else gone, id_col, "left_anti")
     repeated = found.groupBy(id_col).count().where(f"count > 1 and `{id_col}` is not null").select(id_col)
     repeated = materialise(spark, repeated, "simhash-repeated")
     if repeated.isEmpty():
