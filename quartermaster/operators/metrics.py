@@ -294,7 +294,7 @@ def late_orders(name="late_orders") -> Measure:
 
 def avg_days_late(name="avg_days_late", digits=1) -> Measure:
     """M8: mean days late over late deliveries."""
-    return measure(name, {"d": ("sum", X.variance_days()), "n": ("count", F.lit(1))},
+    return measure(name, {"d": ("sum", X.days_late()), "n": ("count", X.days_late())},
                    lambda p: X.avg_exact(p("d"), p("n"), digits), where=LATE(), where_key="late")
 
 
@@ -306,7 +306,7 @@ def avg_actual_lead_days(name="avg_actual_lead_days", digits=1) -> Measure:
 
 
 def avg_contracted_lead_days(name="avg_contracted_lead_days", digits=1) -> Measure:
-    """M10 (order-weighted form): mean supplier lead_time_days over orders."""
+    """Mean lead_time_days over the rows given (suppliers, or their orders)."""
     return measure(name, {"d": ("sum", F.col("lead_time_days")), "n": ("count", F.col("lead_time_days"))},
                    lambda p: X.avg_exact(p("d"), p("n"), digits), needs=("lead_time_days",))
 

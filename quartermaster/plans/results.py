@@ -187,13 +187,7 @@ def q_below_reorder_now(star, per_item: bool = False) -> DataFrame:
 
 def q_region_lead_vs_delivery(star) -> DataFrame:
     """Contracted lead time at supplier grain; delivery measures per order."""
-    contracted = M.metrics(
-        star.suppliers,
-        [M.measure("avg_contracted_lead_days",
-                   {"d": ("sum", F.col("lead_time_days").cast("bigint")),
-                    "n": ("count", F.col("lead_time_days"))},
-                   lambda p: X.avg_exact(p("d"), p("n"), 1))],
-        ["region"])
+    contracted = M.metrics(star.suppliers, [M.avg_contracted_lead_days()], ["region"])
     delivery = _orders(star, [M.avg_actual_lead_days(), M.on_time_rate("on_time_pct"),
                               M.avg_variance_days()], ["region"])
     return contracted.join(delivery, "region", "left").orderBy("region")
