@@ -53,7 +53,9 @@ MORE = (
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[sr]k_live_[0-9A-Za-z]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    # the whole key: through the END line, or to the end of a text that has none
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+                        r"(?:[\s\S]*?-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----|[\s\S]*)"),
 )
 RULES = BASE + MORE
 

@@ -74,6 +74,19 @@ def test_trigram_queries(pattern, query):
     assert (got and [set(c) for c in got]) == query
 
 
+@pytest.mark.parametrize("label", ["", "RSA ", "EC ", "ENCRYPTED ", "OPENSSH "])
+def test_no_key_body_survives(spark, label):
+    body = "MIIEpAIBAAKCAQEA7bq+/x\nQyZ0k3w==\n"
+    pem = f"-----BEGIN {label}PRIVATE KEY-----\n{body}-----END {label}PRIVATE KEY-----"
+    pgp = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\n\n{body}-----END PGP PRIVATE KEY BLOCK-----"
+    public = "-----BEGIN PUBLIC KEY-----\nMIIB\n-----END PUBLIC KEY-----"
+    texts = {f"a\n{pem}\nb": "a\n[SECRET]\nb", f"a {pgp} b {pem}\n": "a [SECRET] b [SECRET]\n",
+             f"a\n{pem[:60]}\n": "a\n[SECRET]", public: public, pem.replace("\n", "\\n") + "z": "[SECRET]z"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in secrets.redacted(spark, df).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 # --- licences ---------------------------------------------------------------------------------
 
 def test_licenses(spark):
