@@ -6,8 +6,11 @@ are dropped at once. Within each host, every page is paired with the page whose
 URL path is nearest; the two line sequences are aligned by their longest common
 subsequence, and shared lines are deleted: a template repeats, an article does
 not. What the page itself marks as prose of its article (a paragraph, heading,
-list item or table cell inside ``article`` or ``main``) is content by
-declaration; there a repeated sentence is a quotation, and stays.
+list item or table cell inside ``article`` or ``main``) goes only if many pages
+of the host have that line too: an advert does, a quotation doesn't. The numbers
+of pages by host and line are counted over all pages. Where the nearest page is a
+copy, the one on the other side is taken; where both are, the lines go that pages
+with another main line have.
 
 The nearest path, by the length of the common prefix, is always next to a page's
 own in the order of (host, path, id). So the pages are range-partitioned in that
@@ -19,8 +22,7 @@ ranges.
 
 Defined cases: null or empty html gives an empty text; a null URL, or one without
 ``://``, belongs to the empty host and path; a page without a partner keeps all
-its lines; a partner that shares nearly all of a page is a copy and deletes
-nothing; pages with equal host, path and id are no partners of each other;
+its lines; a page whose lines nearly all are shared keeps them; pages with equal host, path and id are no partners of each other;
 broken, unclosed or cut-off markup never fails; extra columns are ignored.
 """
 
@@ -28,16 +30,19 @@ from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise
 from .url_filter import host, path
 
 COPY_SHARE = 0.9          # a partner that shares more of the page's characters is a copy of it
+MANY, MANY_SHARE = 3, 0.1  # different pages of a host, and their share, that make a line of prose a template's
 PAGES_PER_TASK = 4000     # pages that a task streams through, about
 RANGES_PER_PARTITION = 4
 
@@ -97,14 +102,38 @@ class Page:
         self.lines = [t for t, _ in rows]
         self.fixed = [f for _, f in rows]
 
-    def text(self, partner: Page | None) -> str:
-        """The page's text without the lines that it shares with its partner."""
-        if partner is None or all(self.fixed):
-            return "\n".join(self.lines)
-        shared = common(self.lines, partner.lines)
-        if sum(len(self.lines[i]) for i in shared) > COPY_SHARE * sum(map(len, self.lines)):
-            return "\n".join(self.lines)
-        return "\n".join(t for i, (t, f) in enumerate(zip(self.lines, self.fixed)) if f or i not in shared)
+    def text(self, partner: Page | None, other: Page | None = None, known: dict | None = None) -> str:
+        """The page's text without the lines that it shares with its partner, or the other page if that is a copy.
+
+        ``known``: of lines that the host repeats, by key, (whether pages with another main line
+        have it, whether as many have it as make it no prose).
+        """
+        known = known or {}
+        keys = [line_key(t) for t in self.lines] if known else []
+        shared = None
+        for page in (partner, other):
+            if page is not None and shared is None:
+                shared = self._unless_copy(common(self.lines, page.lines))
+        if shared is None:
+            shared = self._unless_copy({i for i, k in enumerate(keys) if known.get(k, (False, False))[0]}) or set()
+        return "\n".join(t for i, (t, f) in enumerate(zip(self.lines, self.fixed))
+                         if i not in shared or f and not (keys and known.get(keys[i], (False, False))[1]))
+
+    def _unless_copy(self, shared: set[int]) -> set[int] | None:
+        most = COPY_SHARE * sum(map(len, self.lines))
+        return None if sum(len(self.lines[i]) for i in shared) > most else shared
+
+    def evidence(self) -> list[tuple[int, int, int]]:
+        """(line, the page's lines, its longest other line) of each different line, as keys."""
+        longest = sorted(dict.fromkeys(self.lines), key=lambda t: (-len(t), t))
+        keys = [line_key(t) for t in longest]
+        whole = line_key("\n".join(self.lines))
+        return [(k, whole, keys[0] if i else keys[1] if len(keys) > 1 else 0) for i, k in enumerate(keys)]
+
+
+def line_key(text: str) -> int:
+    x = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return x - (1 << 64) if x >> 63 else x
 
 
 def _lines(markup: str) -> list[tuple[int, bool, str]]:
@@ -251,6 +280,18 @@ def _destinations(bounds: list[tuple[tuple, tuple]]):
     return where
 
 
+def _covering(bounds: list[tuple[tuple, tuple]]):
+    """Column function: every range that has pages of the host."""
+    firsts, lasts = [a[0] for a, _ in bounds], [b[0] for _, b in bounds]
+
+    @F.arrow_udf("array<int>")
+    def where(hosts: pa.Array) -> pa.Array:
+        return pa.array([list(range(bisect_left(lasts, h), bisect_right(firsts, h))) for h in hosts.to_pylist()],
+                        pa.list_(pa.int32()))
+
+    return where
+
+
 def _prefix(a: str, b: str) -> int:
     n = 0
     for x, y in zip(a, b):
@@ -260,10 +301,37 @@ def _prefix(a: str, b: str) -> int:
     return n
 
 
-def _nearest(row: dict, around: list[dict | None]) -> Page | None:
-    """Of the pages around, the one of the same range and host with the nearest path; of two, the first."""
+def _nearest(row: dict, around: list[dict | None]) -> list[Page]:
+    """The pages around of the same range and host, the one with the nearest path first; of two, the one before."""
     near = [x for x in around if x and (x["range"], x["host"]) == (row["range"], row["host"])]
-    return max(near, key=lambda x: _prefix(x["path"], row["path"]))["page"] if near else None
+    return [x["page"] for x in sorted(near, key=lambda x: -_prefix(x["path"], row["path"]))]
+
+
+def repeated(pages: DataFrame) -> DataFrame:
+    """(host, known): the lines that different pages of a host repeat, as keys with what ``Page.text`` asks of them.
+
+    A line that ``MANY_SHARE`` of the host's different pages have; so a host has at most
+    1 / ``MANY_SHARE`` times as many as a page has lines.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, rows = [], []
+            for host_, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                found = Page(html).evidence()
+                rows += found
+                hosts += [host_] * len(found)
+            cols = [pa.array(x, pa.int64()) for x in zip(*rows)] if rows else [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *cols], ["host", "line", "page", "main"])
+
+    lines = pages.select("host", "html").mapInArrow(run, "host string, line bigint, page bigint, main bigint")
+    lines = materialise(pages.sparkSession, lines.groupBy("host", "line", "page").agg(F.min("main").alias("main")),
+                        "html-lines")
+    found = (lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"), (F.min("main") != F.max("main")).alias("foreign"))
+             .where("n > 1"))
+    size = lines.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    return (found.join(size, "host").where(F.col("n") >= MANY_SHARE * F.col("pages")).groupBy("host")
+            .agg(F.collect_list(F.struct("line", "foreign", (F.col("n") >= MANY).alias("many"))).alias("known")))
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,12 +349,20 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not row["context"]:
                 out["id"].append(row["id"])
                 out["url"].append(row["url"])
-                out["text"].append(row["page"].text(_nearest(row, [before, after])))
+                near = [*_nearest(row, [before, after]), None, None][:2]
+                out["text"].append(row["page"].text(*near, known[1] if known[0] == row["key"][:2] else None))
 
     before, same = None, []                                   # same: the rows with the current page's key
+    known = None, {}                                          # the repeated lines of one range's host
     for batch in batches:
         kinds["id"] = batch.schema.field("id").type
         for row in batch.to_pylist():
+            if row["known"] is not None:                      # ahead of its host's pages
+                if same:
+                    finish(same, before, None)
+                before, same = None, []
+                known = (row["range"], row["host"]), {x["line"]: (x["foreign"], x["many"]) for x in row["known"]}
+                continue
             row["page"] = Page(row.pop("html"))
             row["key"] = row["range"], row["host"], row["path"], row["id"]
             if same and row["key"] != same[0]["key"]:
@@ -315,6 +391,10 @@ def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     dealt = base.withColumn("to", F.explode(to))
     dealt = dealt.select("id", "url", "host", "path", "html", (F.col("to") < 0).alias("context"),
                          F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).alias("range"))
-    streamed = dealt.repartition(n, "range").sortWithinPartitions("range", "host", "path", "id", "html")
+    lines = repeated(base).withColumn("range", F.explode(_covering(bounds)("host")))
+    dealt = dealt.withColumn("known", F.lit(None).cast(lines.schema["known"].dataType))
+    dealt = dealt.unionByName(lines.withColumn("context", F.lit(False)), allowMissingColumns=True)
+    streamed = dealt.repartition(n, "range").sortWithinPartitions(
+        "range", "host", F.col("known").isNull(), "path", "id", "html")
     return (streamed.mapInArrow(_difference, f"id {kind}, url string, text string")
             .withColumnRenamed("id", id_col).withColumnRenamed("url", url_col))

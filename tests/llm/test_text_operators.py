@@ -274,6 +274,26 @@ def test_differencing_without_markup_hints(spark):
     assert got == {i: f"Story {i} begins.\nIt has a line {i}." for i in range(60)}
 
 
+def test_declared_prose_that_the_host_repeats(spark):
+    """An advert inside every article goes, a sentence that two articles share stays."""
+    advert = "<p>Subscribe to our newsletter, it is the best there is.</p><p>Only today.</p>"
+    rows = [(i, f"https://h.org/{i:03d}", f"<article><h1>Story {i}</h1><p>Line {i}.</p>{advert}"
+             + ("<p>A quotation.</p>" if i in (7, 8) else "") + "</article>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html_extract.extract(spark, df).collect()}
+    assert got == {i: f"Story {i}\nLine {i}." + ("\nA quotation." if i in (7, 8) else "") for i in range(30)}
+
+
+def test_copies_lose_the_template(spark):
+    """Groups of copies, whose neighbours are copies: other pages of the host tell the template."""
+    rows = [(i, f"https://h.org/{i // 10}/{i:03d}", template(
+        f"<p>{f'Story {i // 10} is told here at some length. ' * 9}</p><p>End {i // 10}.</p>")) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in html_extract.extract(spark, df).collect()}
+    assert got == {i: " ".join([f"Story {i // 10} is told here at some length."] * 9) + f"\nEnd {i // 10}."
+                   for i in range(30)}
+
+
 def test_result_does_not_depend_on_the_ranges(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn(
         "html", F.regexp_replace("html", "</?article>", ""))            # no declared article: differencing decides
