@@ -1,14 +1,18 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page is cut into text lines, one per block element. Lines in elements that are
-no content by their markup (menus, footers, adverts, forms, scripts, comments)
-are dropped at once. Within each host, every page is paired with the page whose
+no content by their markup (menus, footers, forms, scripts, comments, hidden
+ones) are dropped at once. Names of elements (class, id, role) and the declared
+main part are weighed: a name all of such words (``cookie-notice``) drops an
+element unless it holds the whole page, one with such a word (``nav-open``) unless
+it holds most of its text, and what is outside ``article`` or ``main`` goes if at least half of
+the text is inside. Within each host, every page is paired with the page whose
 URL path is nearest; the two line sequences are aligned by their longest common
 subsequence, and shared lines are deleted: a template repeats, an article does
 not. What the page itself marks as prose of its article (a paragraph, heading,
-list item or table cell inside ``article`` or ``main``) goes only if many pages
-of the host have that line too: an advert does, a quotation doesn't. The numbers
-of pages by host and line are counted over all pages. Where the nearest page is a
+list item or table cell inside ``article`` or ``main``) goes only if at least
+half of the host's pages have that line too: an advert does, a quotation doesn't.
+The numbers of pages by host and line are counted over all pages. Where the nearest page is a
 copy, the one on the other side is taken; where both are, the lines go that pages
 with another main line have.
 
@@ -42,7 +46,8 @@ from .common import materialise
 from .url_filter import host, path
 
 COPY_SHARE = 0.9          # a partner that shares more of the page's characters is a copy of it
-MANY, MANY_SHARE = 3, 0.1  # different pages of a host, and their share, that make a line of prose a template's
+SHARE = 0.1               # share of a host's different pages that make a line a repeated one
+MANY, MANY_SHARE = 3, 0.5 # as many of them, and such a share, make a line of declared prose no prose
 PAGES_PER_TASK = 4000     # pages that a task streams through, about
 RANGES_PER_PARTITION = 4
 
@@ -70,18 +75,19 @@ _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
-def _marks(attributes: str) -> tuple[bool, int]:
-    """(whether the attributes mark no content, 2 for an article's body and 1 for the main part)."""
-    words, rank, hidden = set(), 0, False
+def _marks(attributes: str) -> tuple[bool, int, int]:
+    """(whether the element is hidden, 2 where a name is all of words for no content and 1 where it has one,
+    2 for an article's body and 1 for the main part)."""
+    named, rank, hidden = 0, 0, False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
             for word in value.split():
                 parts = [x.lower() for x in _NAME.findall(word)]
                 if parts and parts[0] not in ("has", "no", "with", "without"):
-                    words.update(parts)
+                    named = max(named, 2 * NO_CONTENT.issuperset(parts), not NO_CONTENT.isdisjoint(parts))
         elif name == "role":
-            words.update(value.lower().split())
+            named = max(named, 2 * (not NO_CONTENT.isdisjoint(value.lower().split())))
             rank = max(rank, value.lower() == "main")
         elif name == "itemprop":
             rank = max(rank, 2 * (value.lower() == "articlebody"))
@@ -89,7 +95,7 @@ def _marks(attributes: str) -> tuple[bool, int]:
             hidden = True
         elif name == "style":
             hidden = hidden or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) is not None
-    return hidden or not words.isdisjoint(NO_CONTENT), rank
+    return hidden, named, rank
 
 
 class Page:
@@ -97,8 +103,17 @@ class Page:
 
     def __init__(self, markup: str | None):
         found = _lines(markup or "")
-        rank = max((r for r, _, _ in found), default=0)
-        rows = [(text, rank > 0 and prose) for r, prose, text in found if r == rank]
+        half, inside = sum(len(text) for _, _, text, _ in found) / 2, {}
+        for _, _, text, marked in found:
+            for k in marked:
+                inside[k] = inside.get(k, 0) + len(text)
+        # a name that only has such a word says nothing about most of the page's text, and none about all of it
+        found = [(r, prose, text) for r, prose, text, marked in found
+                 if all(inside[k] > half * (1 if k < 0 else 1.999) for k in marked)]
+        # the innermost declared part that holds at least half of what is left is the page
+        half = sum(len(text) for _, _, text in found) / 2
+        rank = next(k for k in (2, 1, 0) if sum(len(text) for r, _, text in found if r >= k) >= half)
+        rows = [(text, r > 0 and prose) for r, prose, text in found if r >= rank]
         self.lines = [t for t, _ in rows]
         self.fixed = [f for _, f in rows]
 
@@ -136,23 +151,34 @@ def line_key(text: str) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _lines(markup: str) -> list[tuple[int, bool, str]]:
-    """(rank, prose, text) of each block with text: rank 2 in an article, 1 in the main part, else 0."""
-    out, buffer, stack, at, prose = [], [], [], 0, False      # stack: (tag, rank, no content)
-    marks: dict[str, tuple[bool, int]] = {}
+def _lines(markup: str) -> list[tuple[int, bool, str, tuple[int, ...]]]:
+    """(rank, prose, text, numbers of the elements around it whose names mark no content) of each block with text.
+
+    Rank is 2 in an article, 1 in the main part, else 0.
+    """
+    out, buffer, stack, at, prose = [], [], [], 0, False      # stack: (tag, rank, no content, marked)
+    marks: dict[str, tuple[bool, int, int]] = {}
+    n_marked = 0
 
     def flush():
         if buffer:
-            text = " ".join(entities.unescape("".join(buffer)).split())
+            parts: dict[tuple[int, ...], list[str]] = {}
+            for marked, piece in buffer:
+                parts.setdefault(marked, []).append(piece)
             buffer.clear()
-            if text:
-                out.append((stack[-1][1] if stack else 0, prose, text))
+            for marked, pieces in parts.items():
+                text = " ".join(entities.unescape("".join(pieces)).split())
+                if text:
+                    out.append((stack[-1][1] if stack else 0, prose, text, marked))
+
+    def top() -> tuple[int, bool, tuple[int, ...]]:
+        return stack[-1][1:] if stack else (0, False, ())
 
     while True:
         m = _TOKEN.search(markup, at)
         end = m.start() if m else len(markup)
         if end > at and not (stack and stack[-1][2]):
-            buffer.append(markup[at:end])
+            buffer.append((stack[-1][3] if stack else (), markup[at:end]))
         if not m:
             break
         at = m.end()
@@ -174,28 +200,31 @@ def _lines(markup: str) -> list[tuple[int, bool, str]]:
             at = close.end() if close else len(markup)
             continue
         if tag == "br":
-            buffer.append(" ")
+            buffer.append((stack[-1][3] if stack else (), " "))
             continue
-        rank, dropped = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        rank, dropped, marked = top()
         if tag in BLOCK:
             flush()
             prose = tag in PROSE
             while stack and stack[-1][0] == "p":              # a block ends an open paragraph
                 stack.pop()
-                rank, dropped = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+                rank, dropped, marked = top()
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
         if attributes not in marks:
-            marks[attributes] = _marks(attributes) if attributes.strip() else (False, 0)
-        no_content, declared = marks[attributes]
+            marks[attributes] = _marks(attributes) if attributes.strip() else (False, 0, 0)
+        no_content, named, declared = marks[attributes]
         if tag in ("html", "body"):
-            no_content = False
+            no_content, named = False, 0
         no_content = no_content or tag in DROPPED or tag == "header" and rank == 0
         if rank and tag == "header":
-            no_content = False                                # an article's own header has its title
+            no_content, named = False, 0                        # an article's own header has its title
         rank = max(rank, declared, 2 if tag == "article" else 1 if tag == "main" else 0)
-        if tag in BLOCK and tag != "p" or no_content or declared:
-            stack.append((tag, rank, dropped or no_content))
+        if named:
+            n_marked += 1
+            marked = (*marked, n_marked if named == 2 else -n_marked)
+        if tag in BLOCK and tag != "p" or no_content or named or declared:
+            stack.append((tag, rank, dropped or no_content, marked))
     flush()
     return out
 
@@ -310,8 +339,8 @@ def _nearest(row: dict, around: list[dict | None]) -> list[Page]:
 def repeated(pages: DataFrame) -> DataFrame:
     """(host, known): the lines that different pages of a host repeat, as keys with what ``Page.text`` asks of them.
 
-    A line that ``MANY_SHARE`` of the host's different pages have; so a host has at most
-    1 / ``MANY_SHARE`` times as many as a page has lines.
+    A line that ``SHARE`` of the host's different pages have; so a host has at most
+    1 / ``SHARE`` times as many as a page has lines.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,8 +359,9 @@ def repeated(pages: DataFrame) -> DataFrame:
     found = (lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"), (F.min("main") != F.max("main")).alias("foreign"))
              .where("n > 1"))
     size = lines.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return (found.join(size, "host").where(F.col("n") >= MANY_SHARE * F.col("pages")).groupBy("host")
-            .agg(F.collect_list(F.struct("line", "foreign", (F.col("n") >= MANY).alias("many"))).alias("known")))
+    return (found.join(size, "host").where(F.col("n") >= SHARE * F.col("pages"))
+            .withColumn("many", F.col("n") >= F.greatest(F.lit(MANY), MANY_SHARE * F.col("pages")))
+            .groupBy("host").agg(F.collect_list(F.struct("line", "foreign", "many")).alias("known")))
 
 
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

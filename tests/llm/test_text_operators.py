@@ -320,6 +320,22 @@ def test_markup(html, text):
     assert html_extract.Page(html).text(None) == text
 
 
+LONG = "A long story that holds most of what the page says."
+
+
+@pytest.mark.parametrize("html, text", [
+    *[(f"<div class='{name}'><p>{LONG}</p><div class='ad'>x</div></div>", LONG) for name in
+      ("page-with-sidebar", "layout-sidebar-right", "content nav-open", "social-studies")],
+    (f"<my-page class='social-page'><p>{LONG}</p></my-page><p>b</p>", f"{LONG}\nb"),
+    (f"<div class='social'><p>{LONG}</p><div class='ad'>x</div></div>", LONG),
+    (f"<div class='ad'>{LONG}</div><article><p>Short.</p></article>", "Short."),
+    (f"<div><p>{LONG}</p></div><article><p>A teaser.</p></article>", f"{LONG}\nA teaser."),
+    (f"<main><p>{LONG}</p><article><p>A teaser.</p></article></main><p>out</p>", f"{LONG}\nA teaser."),
+    (f"<article><p>{LONG} <span class='ad'>x</span>b</p></article><div class='related'><p>c</p></div><p>d</p>", f"{LONG} b")])
+def test_names_and_declared_parts_are_weighed(html, text):
+    assert html_extract.Page(html).text(None) == text
+
+
 def test_article_from_the_given_pages(spark):
     def article(html):
         body = re.search(r"<article>(.*?)(?:</article>|$)", html, re.S)[1]
