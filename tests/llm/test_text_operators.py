@@ -232,6 +232,25 @@ def test_rejection(spark):
     assert got[0].out == "en" and got[1].out == "de" and got[900].out == "und" and got[900].lang in ("en", "de")
 
 
+def test_a_model_too_large_for_the_tasks_is_whole(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").limit(120)
+    extra = [(9001, None, "en"), (9002, "12 34", "en"), (9003, "Ωμέγα qqq zzzxv", None), (9003, "a", None)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    few = spark.createDataFrame([(9100 + i, t, "once") for i, t in enumerate(["abcdefgh", "ijklmnop"])], docs.schema)
+    docs = docs.unionByName(few).cache()
+
+    def judged():
+        found = langid.identify(docs, langid.train(spark, docs)).collect()
+        return sorted(((r.doc_id, r.lang, r.accepted, round(r.score, 3), round(r.cross_entropy or 0, 3)) for r in found),
+                      key=repr)
+    want = judged()
+    monkeypatch.setattr(langid, "MAX_GRAMS", 50)
+    monkeypatch.setattr(langid, "HOT_ROWS", 20, raising=False)
+    got = judged()
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert np.allclose([x[3:] for x in got], [x[3:] for x in want], atol=0.002)
+
+
 def test_ranker_threshold_is_the_share_of_bad_texts():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 3))
