@@ -5,7 +5,9 @@ hashes the tokens under its 1s and ignores those under its 0s, so a changed word
 under a 0 leaves the hash as it is. Equal hashes of a document and an item are
 hits; a hit's diagonal is then verified token by token: the best ungapped stretch
 (+1 for an equal token, ``MISMATCH`` for another) has to hold ``NEEDED`` equal
-tokens, or three quarters of a shorter item.
+tokens, or three quarters of a shorter item. The masks go by the item's length, and
+are chosen so that no such stretch escapes them: each sequence of equal and changed
+tokens that the verification accepts holds one whole mask (the tests enumerate them).
 
 The items are the stated query set: they are taken in blocks of bounded size, and
 each block's sorted hash arrays go to the tasks that scan the documents. Nothing
@@ -15,8 +17,7 @@ Tokens are runs of letters and digits of the lower-cased text; anything beyond
 ASCII counts as a letter but for the common punctuation ranges.
 
 Defined cases: a null or empty text, or one without tokens, is clean; an item
-with fewer than ``LEAST`` tokens is too short to be searched for; an item shorter
-than a mask is searched with the mask cut to its length; an empty benchmark or
+with fewer than ``LEAST`` tokens is too short to be searched for; an empty benchmark or
 table gives an empty result; repeated items report under each of their ids and
 repeated documents row by row; extra columns are ignored, or kept by ``clean``.
 """
@@ -32,11 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MASKS = ("11111111", "11101100111", "110110101011", "1110010110111")
+# By the least length of the items that they are for. A stretch that is accepted has no start
+# of a sum below 0, so its first twelve equal tokens lie among twenty: no longer one adds a case.
+MASKS = (
+    (1, ("1",)),
+    (5, ("1111", "11101", "11011")),
+    (6, ("11111", "111101", "111011", "110111", "1101011", "1111001", "11011001", "11100101")),
+    (12, ("111011", "1101011", "1101101", "1110011", "11101001", "11110001", "110110001", "111000101")),
+)
 LEAST = 5                     # tokens that an item needs to be searched for
 NEEDED = 12                   # equal tokens that make a leak
 MISMATCH = -1.5
-BLOCK_CHARS = 8_000_000       # text of the items that one pass holds
+BLOCK_CHARS = 4_000_000       # text of the items that one pass holds
 CHUNK_CHARS = 2_000_000       # documents are searched together up to this size
 SLICE_BYTES = 1 << 21         # bytes that are hashed at once
 
@@ -101,18 +109,19 @@ class Index:
         self.ids, self.needed = ids, needed
         h, bounds = token_hashes(texts)
         self.items = [h[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-        self.seeds: list[tuple[str, int]] = []          # (mask, seed); a cut mask has a seed of its own
+        self.seeds: list[tuple[str, int]] = []          # (mask, seed)
         hashes, items, at = [], [], []
         number = {}
         for k, item in enumerate(self.items):
-            if len(item) < least:
+            if len(item) < max(least, 1):
                 continue
-            for m, mask in enumerate(masks):
-                cut = mask[:len(item)]
-                seed = number.setdefault((m, len(cut)), len(number) + 1)
+            for mask in max((n, group) for n, group in masks if n <= len(item))[1]:
+                if len(mask) > len(item):
+                    continue
+                seed = number.setdefault(mask, len(number) + 1)
                 if seed > len(self.seeds):
-                    self.seeds.append((cut, seed))
-                w = _mix(_windows(item, cut, seed))
+                    self.seeds.append((mask, seed))
+                w = _mix(_windows(item, mask, seed))
                 hashes.append(w)
                 items.append(np.full(len(w), k))
                 at.append(np.arange(len(w)))

@@ -154,6 +154,24 @@ def test_passages_with_substitutions(spark):
     assert {r.doc_id for r in decontaminate.clean(spark, d, b).collect()} == set(range(200)) - {i for i, _ in want}
 
 
+@pytest.mark.parametrize("length", [*range(5, 20), 24, 40])
+def test_every_change_that_is_accepted_is_hit(length):
+    """All patterns of changed tokens of short items, and many of long ones, against the verification alone."""
+    rng, item = random.Random(length), [f"w{i}" for i in range(length)]
+    if length <= 11:
+        patterns = [[p >> i & 1 for i in range(length)] for p in range(1 << length)]
+    else:
+        patterns = [[rng.random() < share for _ in item] for share in (0.15, 0.25, 0.35, 0.4) for _ in range(700)]
+        patterns += [[(i + k) % n in gaps for i in range(length)] for n, gaps in ((3, {2}), (5, {2, 4}), (8, {2, 4, 7}))
+                     for k in range(n)]
+    docs = [" ".join(["before", *("changed" if c else w for c, w in zip(p, item)), "after"]) for p in patterns]
+    index = decontaminate.Index([1], [" ".join(item)])
+    h, bounds = decontaminate.token_hashes(docs)
+    want = {i for i in range(len(docs)) if any(
+        index._verify(h, bounds[i], bounds[i + 1], index.items[0], bounds[i] + k) for k in range(-length + 1, length + 2))}
+    assert {x[0] for x in index.search(docs)} == want and 0 < len(want) < len(docs)
+
+
 def test_spans_and_long_documents():
     index = decontaminate.Index([7], ["Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"])
     filler = "lorem ipsum dolor " * 400_000
