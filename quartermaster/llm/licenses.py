@@ -4,7 +4,11 @@ A text is brought to a canonical form: lower case, copyright lines dropped,
 equivalent spellings mapped to one, punctuation and white space folded. Its
 SHA-256 is hash-joined to the digests of the known licences. Every whole text is
 looked up, and so is every line of it, because a licence notice usually stands
-as a line or file header inside a longer document.
+as a line or file header inside a longer document. For texts of several lines,
+every stretch of whole lines that starts like a known one and has its length is
+looked up too; there title lines and "All rights reserved" are dropped as well.
+The long licences are known by the digests of their published texts (``PUBLISHED``);
+more come with ``known``.
 
 Defined cases: a null or empty text has no digest and no match; a text or line
 that is empty after canonicalisation is never looked up; repeated rows are
@@ -80,6 +84,64 @@ AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
 WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
 NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the
+distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER
+IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the
+distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
+or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER
+IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in
+source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the
+benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to
+this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT
+NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
+NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>"""),
+]
+
+# Fixed values: (licence, first words, characters and SHA-256 of the canonical body) of published texts.
+PUBLISHED = [
+    ("Apache-2.0", "terms and conditions", 9632, "8bc274b78ed86c607ba1cda8907d306bdcd748d87218adf3dcc786d7f5be76c9"),
+    ("CC0-1.0", "creative commons legal", 6692, "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GPL-2.0", "51 franklin street", 16979, "437ab80c9b89b40ceb1fc89db0aabae11b8a190d75a27530ee4c24d2db94f731"),
+    ("GPL-3.0", "everyone is permitted", 33224, "be6cf54fefdf7da1142be7b1618883afb88c7df4b5e6b39786326b10aed10940"),
+    ("LGPL-2.1", "51 franklin street", 24992, "82c32324b402165df33af29345155484e3c95cda1600b9e42c1cad0a0df73819"),
+    ("LGPL-3.0", "everyone is permitted", 7047, "13980739d6423be0921994d8ce3ce547437735b0e6733161f70b19c962f194b7"),
+    ("MPL-2.0", "1 definitions 1", 14236, "e07dcdcc3b2c19db7e604dfb1498cc5dafa0e9cecf6ffc44f7c2b093fe9bafc2"),
 ]
 
 # Spellings that licence-matching guidelines treat as equal.
@@ -92,6 +154,12 @@ SPELLINGS = [
 ]
 
 COPYRIGHT_LINE = r"(?m)^[^\S\n]*(?:[/*#;-]+[^\S\n]*)?(?:copyright|\(c\)|©)(?:[^\S\n]|\(|©)[^\n]*$"
+# Canonical lines that are a title or the like, around the body of a licence.
+TITLE = (r"^(?:(?:the )?(?:mit|x11|isc|0bsd|zero clause bsd|(?:[0234] clause )?bsd(?: [0234] clause| zero clause)?"
+         r"|(?:new|revised|simplified|modified) bsd|unlicense|apache|mozilla public"
+         r"|gnu (?:lesser |library |affero )?general public)(?: license)?(?: mit| isc| expat| x11| 0bsd)?"
+         r"(?: version [0-9]+(?: [0-9]+)?)?(?: [a-z]+ [0-9]{4})?"
+         r"|version [0-9]+(?: [0-9]+){0,2} [a-z]+ [0-9]{4}|all rights reserved|http www apache org licenses)$")
 PUNCTUATION = r"[^\p{L}\p{N}\n]+"
 # A line that is a known notice has one of these in it; other lines are not digested.
 NOTICE_HINT = r"(?i)licen[sc]|permission"
@@ -125,24 +193,71 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = Non
             .where("digest is not null").groupBy("digest").agg(F.min("license").alias("license")))
 
 
+def body(text: Column) -> Column:
+    """The canonical lines of a text, without empty ones, titles and the like."""
+    return F.filter(F.transform(F.split(text, "\n"), canonical), lambda x: (x != "") & ~x.rlike(TITLE))
+
+
+def known_bodies(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> list[tuple[str, str, int, str]]:
+    """(licence, first three words, characters, digest) of each known text of several lines."""
+    rows = spark.createDataFrame(known or KNOWN, "license string, text string").where(F.contains("text", F.lit("\n")))
+    rows = rows.select("license", F.concat_ws(" ", body(F.col("text"))).alias("c")).where("c <> ''")
+    return sorted({*PUBLISHED, *(tuple(r) for r in rows.select(
+        "license", F.substring_index("c", " ", 3), F.length("c"), F.sha2("c", 256)).collect())})
+
+
+def _licence_of(bodies: list[tuple[str, str, int, str]]) -> Column:
+    """A literal map from the digest to the licence, of two the least."""
+    least = {d: min(k for k, *_, e in bodies if e == d) for *_, d in bodies}
+    return F.create_map(*[F.lit(v) for pair in sorted(least.items()) for v in pair])
+
+
+def spans(lines: Column, bodies: list[tuple[str, str, int, str]]) -> Column:
+    """The licences whose body is a stretch of whole lines, by start; ``lines`` are those of ``body``."""
+    heads = sorted({h for _, h, _, _ in bodies})
+    most = max(n for _, _, n, _ in bodies) // 2 + 1                # lines of a stretch: each has a word and a space
+    lookup = _licence_of(bodies)
+    sizes = F.array(*[F.lit(n) for n in sorted({n for _, _, n, _ in bodies})])
+    firsts = sorted({h.split(" ")[0] for h in heads})
+    starts = F.filter(F.transform(lines, lambda x, i: F.when(F.substring_index(x, " ", 1).isin(firsts), i + 1)),
+                      lambda i: i.isNotNull())
+    rest = F.transform(starts, lambda i: F.concat_ws("\n", F.slice(lines, i, F.lit(most))))
+    rest = F.filter(rest, lambda u: F.substring_index(F.translate(F.substring(u, 1, 400), "\n", " "), " ", 3).isin(heads))
+
+    def at(u: Column) -> Column:
+        ends = F.filter(sizes, lambda n: (F.length(u) >= n) & u.substr(n + 1, F.lit(1)).isin("", "\n"))
+        return F.transform(ends, lambda n: lookup[F.sha2(F.translate(u.substr(F.lit(1), n), "\n", " "), 256)])
+
+    return F.filter(F.flatten(F.transform(rest, at)), lambda x: x.isNotNull())
+
+
 def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(id, text_digest, license, notices, n_copyright_lines) of every row.
 
-    ``license`` is the licence whose digest the entire text has (hash join).
+    ``license`` is the licence whose digest the entire text has (hash join), or its body.
     ``notices`` is the sorted, distinct list of licences whose digest a single
-    line has. The known licences are a fixed parameter of some dozens of rows:
+    line or a stretch of lines has. The known licences are a fixed parameter of some dozens of rows:
     that bounds the broadcast, and the line lookup is a literal map of them.
     """
     digests = known_digests(spark, known)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(NOTICE_HINT))
+    bodies = known_bodies(spark, known)
+    # the first words of any body, however they are wrapped, must be there
+    gap = r"[^\p{L}\p{N}]+"
+    heads = "|".join(sorted({gap.join(h.split(" ")).replace("license", "licen[sc]e") for _, h, _, _ in bodies}))
+    base = base.withColumn("lines", F.when(F.col("text").rlike(rf"(?i)(?:{heads})"), body(F.col("text"))))
+    joined = F.concat_ws(" ", "lines")
+    none = F.array().cast("array<string>")
     whole = base.select(
-        "id", digest(F.col("text")).alias("text_digest"),
+        "id", F.when(F.col("lines").isNotNull(), _licence_of(bodies)[F.sha2(joined, 256)]).alias("of_body"),
+        F.when(F.col("lines").isNotNull(), spans(F.col("lines"), bodies)).otherwise(none).alias("in_lines"), digest(F.col("text")).alias("text_digest"),
         F.transform(lines, digest).alias("line_digests"),
         F.regexp_count(F.lower("text"), F.lit(COPYRIGHT_LINE)).cast("long").alias("n_copyright_lines"))
     lookup = F.create_map(*[F.lit(v) for row in digests.collect() for v in row])   # len(known) rows
     found = F.filter(F.transform("line_digests", lambda d: lookup[d]), lambda x: x.isNotNull())
+    found = F.array_sort(F.array_distinct(F.concat(found, "in_lines")))
     return (whole.join(F.broadcast(digests), whole.text_digest == digests.digest, "left")
-            .select(F.col("id").alias(id_col), "text_digest", "license",
-                    F.array_sort(F.array_distinct(found)).alias("notices"), "n_copyright_lines"))
+            .select(F.col("id").alias(id_col), "text_digest", F.coalesce("license", "of_body").alias("license"),
+                    found.alias("notices"), "n_copyright_lines"))

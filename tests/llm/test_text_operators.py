@@ -102,6 +102,29 @@ def test_licenses(spark):
     assert got[5].text_digest == hashlib.sha256(b"mit").hexdigest()
 
 
+def test_published_license_files(spark):
+    known = {k: t for k, t in licenses.KNOWN if len(t) > 500}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "Unlicense"} <= set(known)
+    holder = "\n\nCopyright (c) 2031 Someone\nAll rights reserved.\n\n"
+    titles = {"MIT": "The MIT License (MIT)", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License",
+              "BSD-3-Clause": "BSD 3-Clause License", "0BSD": "Zero-Clause BSD"}
+    files = [(k, titles[k] + holder + known[k] + "\n") for k in sorted(titles)]
+    rows = [(i, t) for i, (_, t) in enumerate(files)]
+    rows += [(100 + i, "A program.\n\n" + t + "\nAnd more.") for i, (_, t) in enumerate(files)]
+    rows += [(200 + i, "/*\n" + "".join(f" * {x}\n" for x in t.split("\n")) + " */\nint x;") for i, (_, t) in enumerate(files)]
+    rows += [(300, known["MIT"] + " and more"), (301, known["MIT"][:300])]
+    long = "Some Public License\nthis is the first of the lines\n" + "".join(f"clause {i} says so\n" for i in range(2000))
+    rows += [(400, "x\n" + long + "y"), (401, long)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan(spark, df, known=[*licenses.KNOWN, ("Some", long)]).collect()}
+    for i, (k, _) in enumerate(files):
+        assert got[i].license == k and got[i].notices == [k]
+        assert got[100 + i].license is None and got[100 + i].notices == [k]
+        assert got[200 + i].notices == [k]
+    assert got[300].notices == got[301].notices == [] and got[300].license is None
+    assert got[400].notices == ["Some"] and got[401].license == "Some"
+
+
 # --- quality rules ----------------------------------------------------------------------------
 
 def test_cascade_order_never_changes_the_verdict():
