@@ -240,6 +240,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """(id, fp, component): every row with the least id reachable over links, its own included."""
+    return _labelled(spark, docs, id_col, text_col, shingle, max_bits, hot_bucket).drop("root")
+
+
+def _labelled(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int,
+              hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """As ``dedup``, with ``root``, the component's least fingerprint: components of repeated ids share an id."""
     fps = materialise(spark, fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     nodes = materialise(spark, fps.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     edges = links(spark, nodes, max_bits, hot_bucket)
@@ -249,23 +255,36 @@ def dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         "fp", F.coalesce("root", "fp").alias("root"), "least")
     named = materialise(spark, named, "simhash-named")
     least = named.groupBy("root").agg(F.min("least").alias("component"))
-    label = named.join(least, "root").select(F.col("fp").alias("node"), "component")
-    return fps.join(label, fps.fp == label.node).select(F.col("id").alias(id_col), "fp", "component")
+    label = named.join(least, "root").select(F.col("fp").alias("node"), "root", "component")
+    return fps.join(label, fps.fp == label.node).select(F.col("id").alias(id_col), "fp", "root", "component")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows, with all their columns, of each component's least id.
 
-    Of rows that repeat that id one stays. Rows without an id can't be named and stay.
+    Where several rows of a component have that id, the one of the least fingerprint and text
+    hash stays; rows of one id in different components are judged apart. Rows without an id
+    can't be named and stay.
     """
-    found = materialise(spark, dedup(spark, docs, id_col, text_col, shingle, max_bits), "simhash-found")
-    gone = materialise(spark, found.where(F.col(id_col) != F.col("component")).select(id_col).distinct(), "simhash-gone")
-    # ids within the checked broadcast bound leave the texts where they are; more ids shuffle them
-    kept = docs.join(F.broadcast(gone) if is_bounded(gone) else gone, id_col, "left_anti")
+    found = materialise(spark, _labelled(spark, docs, id_col, text_col, shingle, max_bits), "simhash-found")
     repeated = found.groupBy(id_col).count().where(f"count > 1 and `{id_col}` is not null").select(id_col)
     repeated = materialise(spark, repeated, "simhash-repeated")
+    gone = found.where(F.col(id_col) != F.col("component")).select(id_col)
+    gone = materialise(spark, gone.unionByName(repeated).distinct(), "simhash-gone")
+    # ids within the checked broadcast bound leave the texts where they are; more ids shuffle them
+    kept = docs.join(F.broadcast(gone) if is_bounded(gone) else gone, id_col, "left_anti")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").unionByName(once)
+
+    @F.arrow_udf("bigint")
+    def fp(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], "<u8").view("<i8"))
+
+    least = (found.where(F.col(id_col) == F.col("component")).join(repeated, id_col, "left_semi")
+             .select(F.col(id_col).alias("__id"), F.col("fp").alias("__of"), F.col("root").alias("__root")).distinct())
+    rows = docs.join(repeated, id_col, "left_semi").withColumn("__fp", fp(F.col(text_col)))
+    rows = rows.join(least, (F.col(id_col) == F.col("__id")) & (F.col("__fp") == F.col("__of")))
+    order = F.struct("__fp", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256), F.to_json(F.struct(*docs.columns)))
+    one = rows.groupBy("__id", "__root").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    return kept.unionByName(one.select("row.*"))

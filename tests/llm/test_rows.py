@@ -85,3 +85,13 @@ def test_one_of_repeated_rows_stays(spark):
     # 1 and 2 have no word and one fingerprint; 3 stands twice; the row without an id can't be named
     assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "4", "5", "6", "None"]
     assert len(kept[0]) == 4 + len(EXTRA)
+
+
+def test_rows_of_one_id_are_judged_by_their_text(spark):
+    texts = {x: " ".join(f"{x}{(k * k) % 97}" for k in range(60)) for x in "abcdefg"}
+    rows = [(3, "a"), (5, "a"), (5, "b"), (8, "c"), (8, "d"), (9, "e"), (9, "e"), (10, "d"), (11, "f"), (12, "f"), (12, "f"),
+            (None, "g"), (None, "g")]
+    df = spark.createDataFrame([(i, texts[x], x) for i, x in rows], "doc_id bigint, text string, name string")
+    for n in (1, 7):
+        kept = sorted(((r.doc_id or 0, r.name) for r in simhash.keep_one(spark, df.repartition(n)).collect()))
+        assert kept == [(0, "g"), (0, "g"), (3, "a"), (5, "b"), (8, "c"), (8, "d"), (9, "e"), (11, "f")]
