@@ -7,8 +7,8 @@ threshold is the score quantile at the share of bad texts among all labelled
 ones, and the returned score is the logistic of the distance to it.
 
 The fit takes a bounded sample, ``SAMPLE_PER_CLASS`` labelled texts of the lowest
-id hashes in each class, and ``PAIRS_PER_TEXT`` partners for each; scoring covers
-every whole text.
+id hashes in each class, and ``PAIRS_PER_TEXT`` partners for each; the threshold is
+taken over all labelled texts, and scoring covers every whole text.
 
 Defined cases: a null text is an empty text and is scored as one; ids with
 contradicting or null labels teach nothing; without texts of both classes every
@@ -20,17 +20,19 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
 from .quality_rules import Text
 
 SAMPLE_PER_CLASS = 5000
 PAIRS_PER_TEXT = 8
+QUANTILE_ACCURACY = 1_000_000     # the threshold's rank is off by one in so many at most
 RIDGE = 1e-3
 STEPS = 30
 SEED = 42
@@ -64,9 +66,11 @@ class Ranker:
     threshold: float
     scale: float
 
+    def strength(self, x: np.ndarray) -> np.ndarray:
+        return (x - np.array(self.mean)) / np.array(self.spread) @ np.array(self.weights)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        strength = (x - np.array(self.mean)) / np.array(self.spread) @ np.array(self.weights)
-        return 1.0 / (1.0 + np.exp(-np.clip((strength - self.threshold) / self.scale, -50, 50)))
+        return 1.0 / (1.0 + np.exp(-np.clip((self.strength(x) - self.threshold) / self.scale, -50, 50)))
 
 
 def fit(x: np.ndarray, good: np.ndarray, bad_share: float, pairs: int = PAIRS_PER_TEXT, seed: int = SEED) -> Ranker:
@@ -120,7 +124,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .dropDuplicates(["id"]).orderBy("id").select("good", "x").collect())       # 2 * per_class rows at most
     x = np.array([r.x for r in rows], float).reshape(len(rows), len(FEATURES))
     share = counts.get(False, 0) / max(sum(counts.values()), 1)
-    return fit(x, np.array([r.good for r in rows], bool), share)
+    model = fit(x, np.array([r.good for r in rows], bool), share)
+    if not any(model.weights):
+        return model
+    return replace(model, threshold=_threshold(docs, known, model, share, id_col, text_col))
+
+
+def _threshold(docs: DataFrame, known: DataFrame, model: Ranker, share: float, id_col: str, text_col: str) -> float:
+    """The middle of the gap at the quantile ``share`` of the strengths of all labelled texts, one for each id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array([features(t.as_py()) for t in batch.column("text")], float).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(model.strength(x))], ["id", "strength"])
+
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = base.schema["id"].dataType.simpleString()
+    # strengths first: the join moves a number for each text
+    all_ = base.mapInArrow(run, f"id {kind}, strength double").join(known.select("id"), "id")
+    all_ = materialise(docs.sparkSession, all_.groupBy("id").agg(F.min("strength").alias("strength")), "ranker-strengths")
+    low = all_.agg(F.percentile_approx("strength", share, QUANTILE_ACCURACY)).first()[0]
+    high = all_.where(F.col("strength") > low).agg(F.min("strength")).first()[0]
+    return float(low if high is None else (low + high) / 2)
 
 
 def score(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

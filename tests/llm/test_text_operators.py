@@ -301,6 +301,16 @@ def test_ranker_threshold_is_the_share_of_bad_texts():
     assert ranker.fit(x, np.ones(400, bool), 0.0).score(x).tolist() == [0.5] * 400
 
 
+def test_ranker_threshold_is_of_all_labelled_texts(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["word", "and", "LOUD", "#", "x|y", "longer", "7"], weights=[9, 9, w, w, w, 4, 2],
+                                     k=rng.randint(20, 90)))) for i in range(300) for w in [1 + 5 * (i % 3 == 0) * rng.random()]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id bigint, quality int")
+    model = ranker.train(docs, labels, per_class=15)
+    assert ranker.score(docs, model).where("score < 0.5").count() == 100
+
+
 # --- pages ------------------------------------------------------------------------------------
 
 def plain_lcs(a, b):
