@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, secrets, url_filter
+from . import hard_negatives, licenses, phrases, secrets, url_filter
 
 
 def _sql(s: str) -> str:
@@ -128,4 +128,66 @@ SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(
 FROM rows LEFT JOIN lists USING (r)"""
 
 
-LLM_ORACLE = {f.__name__: f() for f in (op3_url_filter, op5_license_scan, op7_quality_rules, op10_secret_scan)}
+def op12_hard_negatives() -> str:
+    m = hard_negatives
+    return f"""
+WITH rows AS (
+  SELECT vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         [CAST(floor({m.SCALE} * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+  SELECT a.id AS anchor, a.label = r.label AS same, r.id, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.id % {m.ANCHOR_EVERY} = 0 AND a.id <> r.id AND len(a.v) = len(r.v)),
+positives AS (
+  SELECT anchor, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= {m.POSITIVES}),
+found AS (
+  SELECT anchor, positive_id, positive_score, id, score,
+         row_number() OVER (PARTITION BY anchor, positive_id ORDER BY score DESC, id) AS rank
+  FROM positives JOIN pairs USING (anchor)
+  WHERE NOT same AND {m.LOW} * positive_score <= 100 * score AND 100 * score <= {m.HIGH} * positive_score)
+SELECT anchor AS anchor_id, positive_id, CAST(rank AS INT) AS rank, id AS negative_id, positive_score,
+       score AS negative_score
+FROM found WHERE rank <= {m.NEGATIVES}"""
+
+
+def op13_phrases() -> str:
+    m = phrases
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {size} AS size, unnest([array_to_string(w[i:i + {size - 1}], ' ') FOR i IN range(1, len(w) - {size - 2})]) AS phrase "
+        f"FROM pieces WHERE len(w) >= {size}" for size in range(1, m.MAX_WORDS + 1))
+    cuts = " UNION ALL ".join(
+        f"SELECT lang, phrase, a, {k} AS k, array_to_string(w[1:{k}], ' ') AS lhs, array_to_string(w[{k + 1}:], ' ') AS rhs "
+        f"FROM candidates WHERE size > {k}" for k in range(1, m.MAX_WORDS))
+    return f"""
+WITH split AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS w FROM split),
+counted AS (SELECT lang, size, phrase, count(*) AS f FROM ({grams}) g GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= {m.MIN_COUNT}),
+longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:size - 1], ' '), array_to_string(w[2:], ' ')]) AS phrase
+    FROM candidates WHERE size > 2) x GROUP BY ALL),
+scored AS (
+  SELECT c.lang, c.phrase, a, l.f AS l, r.f AS r, CAST(n AS BIGINT) AS n, k,
+         1000 * CAST(a AS HUGEINT) * CAST(n AS HUGEINT) // (CAST(l.f AS HUGEINT) * CAST(r.f AS HUGEINT)) AS score
+  FROM ({cuts}) c JOIN totals t ON t.lang = c.lang
+  JOIN counted l ON l.lang = c.lang AND l.phrase = c.lhs JOIN counted r ON r.lang = c.lang AND r.phrase = c.rhs),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase
+  WHERE g.most IS NULL OR 100 * g.most < {m.COVERED} * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= {m.PER_LANG}"""
+
+
+LLM_ORACLE = {f.__name__: f() for f in (
+    op3_url_filter, op5_license_scan, op7_quality_rules, op10_secret_scan, op12_hard_negatives, op13_phrases)}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, html_extract, langid, licenses, mixing, quality_rules, ranker, secrets,
-               simhash, url_filter)
+from . import (decontaminate, hard_negatives, html_extract, langid, licenses, mixing, phrases, quality_rules, ranker,
+               secrets, simhash, toxicity, url_filter)
 from .common import table
 
 
@@ -83,6 +83,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(spark, docs, table(spark, sf_dir, "labels").where(_fold(5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "score",
+                                              (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every anchor's positives and the hard negatives of each."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's best phrases."""
+    return phrases.mine(spark, table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_source_mixing, op3_url_filter, op4_quality_ranker, op5_license_scan,
-    op6_language_id, op7_quality_rules, op8_decontamination, op9_simhash_dedup, op10_secret_scan)}
+    op6_language_id, op7_quality_rules, op8_decontamination, op9_simhash_dedup, op10_secret_scan,
+    op11_toxicity, op12_hard_negatives, op13_phrases)}
