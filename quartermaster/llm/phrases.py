@@ -2,7 +2,7 @@
 
 Texts are split into pieces and words. A piece is cut into chunks at trigger
 windows, runs of ``max_words - 1`` words whose checksum is divisible by
-``TRIGGER``; a chunk ends with the window that the next one begins with. Equal
+``TRIGGER`` (one of ``WHOLE`` words or fewer is one chunk); a chunk ends with the window that the next one begins with. Equal
 content is cut alike wherever it stands, so copies and shared passages become one
 row of the dictionary with a count. Phrases are counted inside the distinct
 chunks, weighted by those counts. A phrase belongs to the chunk in which it begins
@@ -38,22 +38,23 @@ from .common import materialise
 
 PIECE = re.compile(rb"[.,;:!?\n-\r]")
 TRIGGER = 8                   # one window in so many ends a chunk
+WHOLE = 16                    # a piece of so many words is a chunk
 MIN_COUNT, MAX_WORDS, PER_LANG = 100, 5, 2000
 COVERED = 100                 # percent of its occurrences that a longer phrase must hold to replace a phrase
-HELD = 100_000                # distinct keys that a task gathers before it hands them on
+HELD = 200_000                # distinct keys that a task gathers before it hands them on
 FILTER_BITS, MOST_BITS = 16, 1 << 29
 BUCKET = 32_768               # bits of one bitmap of Spark's bitmap_construct_agg
 
 
-def chunks(words: list[bytes], w: int, trigger: int = TRIGGER) -> Iterator[tuple[bytes, bool]]:
-    """The chunks of one piece and whether each is the piece's last."""
+def chunks(words: list[bytes], w: int, trigger: int = TRIGGER) -> Iterator[tuple[bytes, int]]:
+    """The chunks of one piece, and of how many words the phrases that begin there are the chunk's own."""
     start = 0
-    for i in range(1, len(words) - w + 1):
+    for i in range(1, len(words) - w + 1) if len(words) > WHOLE else ():
         if zlib.crc32(b" ".join(words[i:i + w])) % trigger == 0:
-            yield b" ".join(words[start:i + w]), False
+            yield b" ".join(words[start:i + w]), i - start
             start = i
     if words:
-        yield b" ".join(words[start:]), True
+        yield b" ".join(words[start:]), len(words) - start
 
 
 class Gathered:
@@ -85,9 +86,9 @@ def _gathering(each: Callable[[pa.RecordBatch, dict[tuple[str, int], Counter]],
     """A mapInArrow function: ``each`` adds a batch's rows to the counts and yields now and then."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Gathered()
+        held, known = Gathered(), Hashes()
         for batch in batches:
-            for _ in each(batch, held.counts):
+            for _ in each(batch, held.counts, known):
                 if held.full():
                     yield held.taken()
         yield held.taken()
@@ -96,15 +97,14 @@ def _gathering(each: Callable[[pa.RecordBatch, dict[tuple[str, int], Counter]],
 
 
 def _parse(w: int, trigger: int):
-    """Texts to chunks; ``number`` is 1 for the last chunk of a piece, else 0."""
+    """Texts to chunks; ``number`` is how many phrases of a length begin in a chunk and are its own."""
 
-    def each(batch, counts):
-        texts = pc.ascii_lower(batch.column("text")).cast(pa.binary())
+    def each(batch, counts, known):
+        texts = _bytes(pc.ascii_lower(batch.column("text")))
         for lang, text in zip(batch.column("lang").to_pylist(), texts):
-            into = counts[lang, 0], counts[lang, 1]
-            for i, piece in enumerate(PIECE.split(text.as_py())):
-                for chunk, last in chunks(piece.split(), w, trigger):
-                    into[last][chunk] += 1
+            for i, piece in enumerate(PIECE.split(text)):
+                for chunk, own in chunks(piece.split(), w, trigger):
+                    counts[lang, own][chunk] += 1
                 if i % 4096 == 0:
                     yield
             yield
@@ -112,23 +112,59 @@ def _parse(w: int, trigger: int):
     return _gathering(each)
 
 
+class Hashes(dict):
+    """64-bit hashes of words, kept for the words met most recently."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > HELD:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, 42)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def _places(hashes: np.ndarray, size: int, lang: bytes, bits: int) -> np.ndarray:
+    """The bit of the phrase of ``size`` words at each position, from its words' hashes."""
+    at = np.full(max(len(hashes) - size + 1, 0), xxhash.xxh64_intdigest(lang, size), np.uint64)
+    for i in range(size):
+        at = at * np.uint64(0x9E3779B97F4A7C15) + hashes[i:len(hashes) - size + 1 + i]
+    at ^= at >> np.uint64(31)
+    at *= np.uint64(0xBF58476D1CE4E5B9)
+    return (at >> np.uint64(20)) % np.uint64(bits)
+
+
 class Frequent:
-    """The bit array of a level's phrases, asked by language and phrase."""
+    """The bit array of a level's phrases, asked for all positions of a text at once."""
 
     def __init__(self, bits: int, array: bytes) -> None:
-        self.bits, self.array = bits, array
+        self.bits, self.array = bits, np.frombuffer(array, np.uint8)
+
+    def __call__(self, hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
+        at = _places(hashes, size, lang, self.bits)
+        return (self.array[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _bits(size: int, bits: int):
+    """Phrases to the bits that they set."""
 
-    def __call__(self, lang: bytes, phrase: bytes) -> bool:
-        at = xxhash.xxh64_intdigest(lang + b"\0" + phrase, 42)
-        at = (at - (1 << 64) if at >> 63 else at) % self.bits
-        return bool(self.array[at >> 3] >> (at & 7) & 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for batch in batches:
+            at = [_places(known.of(p.split(b" ")), size, lang.encode(), bits)[0] for lang, p in
+                  zip(batch.column("lang").to_pylist(), _bytes(batch.column("phrase")))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(at, np.int64))], ["at"])
+
+    return run
 
 
-def frequent(spark: SparkSession, phrases: DataFrame) -> Frequent:
+def frequent(spark: SparkSession, phrases: DataFrame, size: int) -> Frequent:
     """The bit array of (lang, phrase); a driver value of MOST_BITS / 8 bytes at most."""
     bits = min(max(1, -(-phrases.count() * FILTER_BITS // BUCKET)) * BUCKET, MOST_BITS)
-    at = F.pmod(F.xxhash64(F.concat("lang", F.lit("\0"), "phrase")), F.lit(bits))
-    rows = (phrases.select((at / BUCKET).cast("int").alias("bucket"), (at % BUCKET).alias("bit"))
+    at = F.col("at")
+    rows = (phrases.select("lang", "phrase").mapInArrow(_bits(size, bits), "at long")
+            .select((at / BUCKET).cast("int").alias("bucket"), (at % BUCKET).alias("bit"))
             .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
     array = bytearray(bits // 8)
     for r in rows:
@@ -136,92 +172,99 @@ def frequent(spark: SparkSession, phrases: DataFrame) -> Frequent:
     return Frequent(bits, bytes(array))
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], int, int]]:
-    """(lang, words, number, n) of a dictionary's rows."""
-    for lang, phrase, number, n in zip(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()),
-                                       batch.column("number").to_pylist(), batch.column("n").to_pylist()):
-        yield lang, phrase.as_py().split(b" "), number, n
+BREAK = b"\n"                 # between texts; no word holds it
 
 
-def _starts(words: list[bytes], last: int, w: int) -> int:
-    """So many of a chunk's words begin phrases that are the chunk's own."""
-    return len(words) if last else len(words) - w
+def _bytes(column: pa.Array) -> np.ndarray:
+    return column.cast(pa.binary()).to_numpy(zero_copy_only=False)
 
 
-def _count_words(w: int):
-    def each(batch, counts):
-        for i, (lang, words, last, n) in enumerate(_rows(batch)):
-            into = counts[lang, 1]
-            for word in words[:_starts(words, last, w)]:
-                into[word] += n
-            if i % 256 == 0:
-                yield
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes, int, int]]:
+    """(lang, phrase, number, n) of gathered rows."""
+    return zip(batch.column("lang").to_numpy(zero_copy_only=False), _bytes(batch.column("phrase")),
+               batch.column("number").to_numpy().tolist(), batch.column("n").to_numpy().tolist())
 
-    return _gathering(each)
-
-
-class _Seen(dict):
-    """Answers of a filter for single words, kept for the words met most recently."""
-
-    def __init__(self, lang: str, held) -> None:
-        self.lang, self.held = lang.encode(), held
-
-    def __missing__(self, word: bytes) -> bool:
-        if len(self) > HELD:
-            self.clear()
-        self[word] = found = self.held.value(self.lang, word)
-        return found
 
+def _texts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+    """For each language the words of all rows, cut to what their own phrases of ``size`` words reach.
 
-def _count_pairs(w: int, words_held):
-    def each(batch, counts):
-        seen: dict[str, _Seen] = {}
-        for i, (lang, words, last, n) in enumerate(_rows(batch)):
-            known = seen.get(lang) or seen.setdefault(lang, _Seen(lang, words_held))
-            good, into = [known[x] for x in words], counts[lang, 2]
-            for j in range(min(_starts(words, last, w), len(words) - 1)):
-                if good[j] and good[j + 1]:
-                    into[words[j] + b" " + words[j + 1]] += n
-            if i % 256 == 0:
-                yield
-
-    return _gathering(each)
-
-
-def _runs(w: int, words_held, pairs_held):
-    """Chunks to their longest runs of frequent pairs; ``number`` is the count of starts that are the chunk's own."""
-
-    def each(batch, counts):
-        seen: dict[str, _Seen] = {}
-        for i, (lang, words, last, n) in enumerate(_rows(batch)):
-            known = seen.get(lang) or seen.setdefault(lang, _Seen(lang, words_held))
-            good, own, code = [known[x] for x in words], _starts(words, last, w), lang.encode()
-            start = 0
-            for j in range(1, len(words) + 1):
-                if j < len(words) and good[j - 1] and good[j] and pairs_held.value(code, words[j - 1] + b" " + words[j]):
-                    continue
-                if j - start > 2 and start < own:
-                    counts[lang, min(own, j) - start][b" ".join(words[start:j])] += n
-                start = j
-            if i % 256 == 0:
-                yield
+    (language, words with a BREAK after each row, how often each position counts,
+    whether it is a word)
+    """
+    by_lang: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
+    for lang, text, own, n in _rows(batch):
+        length = text.count(b" ") + 1
+        reach = min(length, own + size - 1)
+        if reach >= size:
+            texts, lengths, ns = by_lang[lang]
+            texts.append(text if reach == length else text.rsplit(b" ", length - reach)[0])
+            lengths.append(reach)
+            ns.append(n)
+    for lang, (texts, lengths, ns) in by_lang.items():
+        words = (b" " + BREAK + b" ").join(texts).split(b" ")
+        words.append(BREAK)
+        room = np.array(lengths) + 1
+        word = np.ones(len(words), bool)
+        word[np.cumsum(room) - 1] = False
+        yield lang, words, np.repeat(np.array(ns), room), word
+
+
+def _add(into: Counter, phrases: list[bytes], ns: np.ndarray) -> None:
+    """Count phrases, each so many times; most count once."""
+    into.update([p for p, n in zip(phrases, ns.tolist()) if n == 1])
+    for i in np.flatnonzero(ns != 1).tolist():
+        into[phrases[i]] += int(ns[i])
+
+
+def _phrases_at(words: list[bytes], at: np.ndarray, size: int) -> list[bytes]:
+    if size == 1:
+        return [words[i] for i in at.tolist()]
+    return [b" ".join(words[i:i + size]) for i in at.tolist()]
+
+
+def _count(size: int, below):
+    """Phrases of ``size`` words; ``below`` holds the filter of one word fewer (None: all that are there may count)."""
+
+    def each(batch, counts, known):
+        for lang, words, n, word in _texts(batch, size):
+            fits = word[:max(len(word) - size + 1, 0)].copy()
+            for i in range(1, size):
+                fits &= word[i:len(word) - size + 1 + i]
+            if below is not None:
+                good = below.value(known.of(words), size - 1, lang.encode())
+                fits &= good[:len(fits)] & good[1:len(fits) + 1]
+            at = np.flatnonzero(fits)
+            _add(counts[lang, size], _phrases_at(words, at, size), n[at])
+            yield
 
     return _gathering(each)
 
 
-def _count_longer(size: int, below):
-    """Phrases of ``size`` words in runs; ``below`` holds the level before (None: every pair is known to be frequent)."""
-
-    def each(batch, counts):
-        for i, (lang, words, own, n) in enumerate(_rows(batch)):
-            into, code, part = counts[lang, size], lang.encode(), size - 1
-            good = [below is None or below.value(code, b" ".join(words[j:j + part]))
-                    for j in range(len(words) - part + 1)]
-            for j in range(min(own, len(words) - size + 1)):
-                if good[j] and good[j + 1]:
-                    into[b" ".join(words[j:j + size])] += n
-            if i % 256 == 0:
-                yield
+def _runs(words_held, pairs_held):
+    """Chunks to their longest runs of frequent pairs, three words or more; ``number`` as in the chunks."""
+
+    def each(batch, counts, known):
+        by_lang = defaultdict(list)
+        for lang, phrase, own, n in _rows(batch):
+            by_lang[lang].append((phrase.split(b" "), own, n))
+        for lang, chunks_ in by_lang.items():
+            words = [x for c, *_ in chunks_ for x in (*c, BREAK)]
+            room = np.array([len(c) + 1 for c, *_ in chunks_])
+            ends = np.cumsum(room)
+            word = np.ones(len(words), bool)
+            word[ends - 1] = False
+            hashes, code = known.of(words), lang.encode()
+            good = words_held.value(hashes, 1, code) & word
+            pair = good[:-1] & good[1:] & pairs_held.value(hashes, 2, code)
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], pair, [0]]))).reshape(-1, 2)
+            edge = edge[edge[:, 1] - edge[:, 0] >= 2]                    # pairs [start, end), words [start, end]
+            of = np.searchsorted(ends, edge[:, 0], side="right")
+            limit = (ends - room + np.array([own for _, own, _ in chunks_]))[of]
+            for (start, end), last, row in zip(edge.tolist(), limit.tolist(), of.tolist()):
+                starts = min(last, end + 1) - start
+                if starts > 0:
+                    counts[lang, starts][b" ".join(words[start:end + 1])] += chunks_[row][2]
+            yield
 
     return _gathering(each)
 
@@ -237,21 +280,21 @@ def counts(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, max
         return of.mapInArrow(by, GATHERED).groupBy("lang", "phrase", "number").agg(F.sum("n").alias("n"))
 
     parsed = materialise(spark, summed(texts, _parse(w, trigger)), "phrases-dictionary")
-    words = materialise(spark, summed(parsed, _count_words(w)), "phrases-words")
+    words = materialise(spark, summed(parsed, _count(1, None)), "phrases-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     levels = [words.where(F.col("n") >= min_count)]
-    held: list = [spark.sparkContext.broadcast(frequent(spark, levels[0]))]
+    held: list = [spark.sparkContext.broadcast(frequent(spark, levels[0], 1))]
     runs = None
     for size in range(2, max_words + 1):
         if size == 2:
-            found = summed(parsed, _count_pairs(w, held[0]))
+            found = summed(parsed, _count(2, held[0]))
         else:
             if runs is None:
-                runs = materialise(spark, summed(parsed, _runs(w, held[0], held[1])), "phrases-runs")
-            found = summed(runs, _count_longer(size, held[-1] if size > 3 else None))
+                runs = materialise(spark, summed(parsed, _runs(held[0], held[1])), "phrases-runs")
+            found = summed(runs, _count(size, held[-1] if size > 3 else None))
         levels.append(materialise(spark, found.where(F.col("n") >= min_count), f"phrases-{size}"))
         if size < max_words:
-            held.append(spark.sparkContext.broadcast(frequent(spark, levels[-1])))
+            held.append(spark.sparkContext.broadcast(frequent(spark, levels[-1], size)))
     for x in held:
         x.unpersist()
     return reduce(DataFrame.unionByName, levels), totals
