@@ -12,7 +12,8 @@ Longer phrases are counted level by level: a phrase of n words can reach the
 least count only if both of its parts of n - 1 words do. What passed the level
 below is a bit array (of 16 bits a phrase, 2**29 at most) that goes to the tasks: it lets
 through every frequent part and a few others, whose exact count then fails.
-Once the pairs are known, chunks are reduced to the runs of frequent pairs in them.
+Pairs are first counted by a 64-bit hash, which can only count too many; chunks are
+then reduced to the runs of such pairs in them, in which all phrases are counted as texts.
 
 Defined cases: a null text is empty and a null language is ``und``; repeated rows
 and ids count each time; texts without a word and empty tables give no rows;
@@ -43,6 +44,8 @@ MIN_COUNT, MAX_WORDS, PER_LANG = 100, 5, 2000
 COVERED = 100                 # percent of its occurrences that a longer phrase must hold to replace a phrase
 HELD = 200_000                # distinct keys that a task gathers before it hands them on
 FILTER_BITS, MOST_BITS = 16, 1 << 29
+PAIRS_HELD = 1_000_000        # pairs that a task gathers before it sums and hands them on
+SPARE = 20                    # bits of a hash that choose no bit
 BUCKET = 32_768               # bits of one bitmap of Spark's bitmap_construct_agg
 
 
@@ -125,14 +128,17 @@ class Hashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def _places(hashes: np.ndarray, size: int, lang: bytes, bits: int) -> np.ndarray:
-    """The bit of the phrase of ``size`` words at each position, from its words' hashes."""
+def _codes(hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
+    """A 64-bit hash of the phrase of ``size`` words at each position, from its words' hashes."""
     at = np.full(max(len(hashes) - size + 1, 0), xxhash.xxh64_intdigest(lang, size), np.uint64)
     for i in range(size):
         at = at * np.uint64(0x9E3779B97F4A7C15) + hashes[i:len(hashes) - size + 1 + i]
     at ^= at >> np.uint64(31)
-    at *= np.uint64(0xBF58476D1CE4E5B9)
-    return (at >> np.uint64(20)) % np.uint64(bits)
+    return at * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _bit(codes: np.ndarray, bits: int) -> np.ndarray:
+    return (codes >> np.uint64(SPARE)) % np.uint64(bits)
 
 
 class Frequent:
@@ -142,29 +148,33 @@ class Frequent:
         self.bits, self.array = bits, np.frombuffer(array, np.uint8)
 
     def __call__(self, hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
-        at = _places(hashes, size, lang, self.bits)
+        at = _bit(_codes(hashes, size, lang), self.bits)
         return (self.array[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _bits(size: int, bits: int):
-    """Phrases to the bits that they set."""
+def _hashed(size: int):
+    """Phrases to their codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hashes()
         for batch in batches:
-            at = [_places(known.of(p.split(b" ")), size, lang.encode(), bits)[0] for lang, p in
-                  zip(batch.column("lang").to_pylist(), _bytes(batch.column("phrase")))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(at, np.int64))], ["at"])
+            codes = [_codes(known.of(p.split(b" ")), size, lang.encode())[0] for lang, p in
+                     zip(batch.column("lang").to_pylist(), _bytes(batch.column("phrase")))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(codes, np.uint64).view(np.int64))], ["code"])
 
     return run
 
 
-def frequent(spark: SparkSession, phrases: DataFrame, size: int) -> Frequent:
-    """The bit array of (lang, phrase); a driver value of MOST_BITS / 8 bytes at most."""
-    bits = min(max(1, -(-phrases.count() * FILTER_BITS // BUCKET)) * BUCKET, MOST_BITS)
-    at = F.col("at")
-    rows = (phrases.select("lang", "phrase").mapInArrow(_bits(size, bits), "at long")
-            .select((at / BUCKET).cast("int").alias("bucket"), (at % BUCKET).alias("bit"))
+def frequent(phrases: DataFrame, size: int) -> Frequent:
+    """The bit array of (lang, phrase)."""
+    return _filter(phrases.select("lang", "phrase").mapInArrow(_hashed(size), "code long"), phrases.count())
+
+
+def _filter(codes: DataFrame, n: int) -> Frequent:
+    """The bit array of ``n`` codes; a driver value of MOST_BITS / 8 bytes at most."""
+    bits = min(max(1, -(-n * FILTER_BITS // BUCKET)) * BUCKET, MOST_BITS)
+    at = F.shiftrightunsigned("code", SPARE) % bits
+    rows = (codes.select((at / BUCKET).cast("int").alias("bucket"), (at % BUCKET).alias("bit"))
             .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
     array = bytearray(bits // 8)
     for r in rows:
@@ -185,28 +195,30 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes, int, int]]:
                batch.column("number").to_numpy().tolist(), batch.column("n").to_numpy().tolist())
 
 
-def _texts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+def _texts(batch: pa.RecordBatch, size: int, least: int | None = None):
     """For each language the words of all rows, cut to what their own phrases of ``size`` words reach.
 
-    (language, words with a BREAK after each row, how often each position counts,
-    whether it is a word)
+    (language, words with a BREAK after each row, how often each position counts, whether it is a
+    word, each row's end, and of how many words its own phrases begin); rows of fewer than ``least``
+    words (``size``) are left out.
     """
-    by_lang: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
+    by_lang: dict[str, tuple[list, list, list, list]] = defaultdict(lambda: ([], [], [], []))
     for lang, text, own, n in _rows(batch):
         length = text.count(b" ") + 1
         reach = min(length, own + size - 1)
-        if reach >= size:
-            texts, lengths, ns = by_lang[lang]
+        if reach >= (least or size):
+            texts, lengths, ns, owns = by_lang[lang]
+            owns.append(own)
             texts.append(text if reach == length else text.rsplit(b" ", length - reach)[0])
             lengths.append(reach)
             ns.append(n)
-    for lang, (texts, lengths, ns) in by_lang.items():
+    for lang, (texts, lengths, ns, owns) in by_lang.items():
         words = (b" " + BREAK + b" ").join(texts).split(b" ")
         words.append(BREAK)
         room = np.array(lengths) + 1
-        word = np.ones(len(words), bool)
-        word[np.cumsum(room) - 1] = False
-        yield lang, words, np.repeat(np.array(ns), room), word
+        word, ends = np.ones(len(words), bool), np.cumsum(room)
+        word[ends - 1] = False
+        yield lang, words, np.repeat(np.array(ns), room), word, ends, np.array(owns)
 
 
 def _add(into: Counter, phrases: list[bytes], ns: np.ndarray) -> None:
@@ -226,7 +238,7 @@ def _count(size: int, below):
     """Phrases of ``size`` words; ``below`` holds the filter of one word fewer (None: all that are there may count)."""
 
     def each(batch, counts, known):
-        for lang, words, n, word in _texts(batch, size):
+        for lang, words, n, word, *_ in _texts(batch, size):
             fits = word[:max(len(word) - size + 1, 0)].copy()
             for i in range(1, size):
                 fits &= word[i:len(word) - size + 1 + i]
@@ -240,30 +252,52 @@ def _count(size: int, below):
     return _gathering(each)
 
 
-def _runs(words_held, pairs_held):
-    """Chunks to their longest runs of frequent pairs, three words or more; ``number`` as in the chunks."""
+def _pairs(words_held):
+    """Codes of the pairs of frequent words with partial counts: numbers alone, as most pairs are rare."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, codes, ns, held = Hashes(), [], [], 0
+        for batch in batches:
+            for lang, words, n, word, *_ in _texts(batch, 2):
+                hashes = known.of(words)
+                good = words_held.value(hashes, 1, lang.encode()) & word
+                at = np.flatnonzero(good[:-1] & good[1:])
+                codes.append(_codes(hashes, 2, lang.encode())[at])
+                ns.append(n[at])
+                held += len(at)
+            if held > PAIRS_HELD:
+                yield _summed(codes, ns)
+                codes, ns, held = [], [], 0
+        if held:
+            yield _summed(codes, ns)
+
+    return run
+
+
+def _summed(codes: list[np.ndarray], ns: list[np.ndarray]) -> pa.RecordBatch:
+    code, n = np.concatenate(codes), np.concatenate(ns)
+    order = np.argsort(code)
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return pa.RecordBatch.from_arrays([pa.array(code[first].view(np.int64)), pa.array(np.add.reduceat(n, first))], ["code", "n"])
+
+
+def _runs(w: int, words_held, pairs_held):
+    """Chunks to their longest runs of frequent pairs; ``number`` as in the chunks."""
 
     def each(batch, counts, known):
-        by_lang = defaultdict(list)
-        for lang, phrase, own, n in _rows(batch):
-            by_lang[lang].append((phrase.split(b" "), own, n))
-        for lang, chunks_ in by_lang.items():
-            words = [x for c, *_ in chunks_ for x in (*c, BREAK)]
-            room = np.array([len(c) + 1 for c, *_ in chunks_])
-            ends = np.cumsum(room)
-            word = np.ones(len(words), bool)
-            word[ends - 1] = False
+        for lang, words, n, word, ends, owns in _texts(batch, w + 1, least=2):
             hashes, code = known.of(words), lang.encode()
             good = words_held.value(hashes, 1, code) & word
             pair = good[:-1] & good[1:] & pairs_held.value(hashes, 2, code)
             edge = np.flatnonzero(np.diff(np.concatenate([[0], pair, [0]]))).reshape(-1, 2)
-            edge = edge[edge[:, 1] - edge[:, 0] >= 2]                    # pairs [start, end), words [start, end]
+            # pairs [start, end), words [start, end]
             of = np.searchsorted(ends, edge[:, 0], side="right")
-            limit = (ends - room + np.array([own for _, own, _ in chunks_]))[of]
-            for (start, end), last, row in zip(edge.tolist(), limit.tolist(), of.tolist()):
-                starts = min(last, end + 1) - start
-                if starts > 0:
-                    counts[lang, starts][b" ".join(words[start:end + 1])] += chunks_[row][2]
+            limit = (np.concatenate([[0], ends[:-1]]) + owns)[of]
+            starts = np.minimum(limit, edge[:, 1] + 1) - edge[:, 0]
+            at = np.flatnonzero(starts > 0)
+            for (start, end), own, k in zip(edge[at].tolist(), starts[at].tolist(), n[edge[at, 0]].tolist()):
+                counts[lang, own][b" ".join(words[start:end + 1])] += k
             yield
 
     return _gathering(each)
@@ -283,20 +317,20 @@ def counts(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, max
     words = materialise(spark, summed(parsed, _count(1, None)), "phrases-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     levels = [words.where(F.col("n") >= min_count)]
-    held: list = [spark.sparkContext.broadcast(frequent(spark, levels[0], 1))]
-    runs = None
-    for size in range(2, max_words + 1):
-        if size == 2:
-            found = summed(parsed, _count(2, held[0]))
-        else:
-            if runs is None:
-                runs = materialise(spark, summed(parsed, _runs(held[0], held[1])), "phrases-runs")
-            found = summed(runs, _count(size, held[-1] if size > 3 else None))
-        levels.append(materialise(spark, found.where(F.col("n") >= min_count), f"phrases-{size}"))
-        if size < max_words:
-            held.append(spark.sparkContext.broadcast(frequent(spark, levels[-1], size)))
-    for x in held:
-        x.unpersist()
+    if max_words > 1:
+        held = [spark.sparkContext.broadcast(frequent(levels[0], 1))]
+        pairs = (parsed.mapInArrow(_pairs(held[0]), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+                 .where(F.col("n") >= min_count).select("code"))
+        pairs = materialise(spark, pairs, "phrases-pairs")
+        held.append(spark.sparkContext.broadcast(_filter(pairs, pairs.count())))
+        runs = materialise(spark, summed(parsed, _runs(w, *held)), "phrases-runs")
+        for size in range(2, max_words + 1):
+            if size > 2:
+                held.append(spark.sparkContext.broadcast(frequent(levels[-1], size - 1)))
+            found = summed(runs, _count(size, held[-1] if size > 2 else None))
+            levels.append(materialise(spark, found.where(F.col("n") >= min_count), f"phrases-{size}"))
+        for x in held:
+            x.unpersist()
     return reduce(DataFrame.unionByName, levels), totals
 
 
