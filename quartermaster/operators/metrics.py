@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
+from .joins import is_bounded
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
@@ -159,6 +160,21 @@ def rollup_parts(parts: Parts) -> DataFrame:
     return agg.select(*parts.by, "is_total", *_finals(parts.measures))
 
 
+def grouping_sets(parts: Parts, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """B15 over several keys: the measures of every grouping set, from parts merged once.
+
+    ``grouped_by`` names the keys of a row's set (comma-separated, empty for the
+    total); the other keys are null. The expansion sees one row per group of the
+    parts, never order lines, and the facts are scanned once.
+    """
+    agg = parts.df.groupingSets([list(s) for s in sets], *parts.by).agg(
+        *_merges(parts.measures, parts.fold), *[F.grouping(c).alias(f"__g_{c}") for c in parts.by])
+    if parts.fold:
+        agg = _keep_nonempty(agg, parts.measures)
+    grouped = F.concat_ws(",", *[F.when(F.col(f"__g_{c}") == 0, F.lit(c)) for c in parts.by])
+    return agg.select(*parts.by, grouped.alias("grouped_by"), *_finals(parts.measures))
+
+
 # ---- eager aggregation over a star ------------------------------------------------
 @dataclass
 class DimSpec:
@@ -213,6 +229,9 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
     # eager: partial aggregation at (fact keys + foreign keys), then join, then merge.
     rows_where, ms, fold = _plan_filters(measures, where, keep_empty)
     rows = fact.where(rows_where) if rows_where is not None else fact
+    for d in needed:
+        if d.name in dim_where:
+            rows = reduced(rows, d.key, d.frame(star).select(d.key), dim_frame(d).select(d.key))
     fks = [d.key for d in needed]
     pre = rows.groupBy(*(fact_by + [k for k in fks if k not in fact_by])).agg(*_partials(ms, fold))
     for d in needed:       # one row per key now; a dimension that passes the check is broadcast
@@ -226,6 +245,33 @@ def star_metrics(star, fact: DataFrame, dims: Sequence[DimSpec], measures: Seque
     return agg.select(*by, *_finals(ms))
 
 
+# A filter that keeps more than this share of a dimension's keys isn't worth a pass over them.
+REDUCE_BELOW = 0.5
+FILTER_BITS, MOST_BITS = 16, 1 << 27
+
+
+def reduced(fact: DataFrame, key: str, all_keys: DataFrame, kept: DataFrame) -> DataFrame:
+    """The fact rows that may join the ``kept`` keys, before they are aggregated.
+
+    Kept keys that pass the size check are broadcast for a semi-join. More of them
+    become a bit array of 16 bits a key (2**27 bits at most, stored in rows of 64), which is
+    what is broadcast: a few rows of other keys pass and go in the join that
+    follows. A filter that keeps most keys leaves the fact as it is.
+    """
+    n = kept.count()
+    if n > REDUCE_BELOW * all_keys.count():
+        return fact
+    if is_bounded(kept):
+        return fact.join(F.broadcast(kept.distinct()), key, "left_semi")
+    bits = min(-(-n * FILTER_BITS // 64) * 64, MOST_BITS)
+    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = (kept.select((at / 64).cast("int").alias("__word"), (at % 64).cast("int").alias("__bit")).distinct()
+             .groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits")))
+    probe = fact.withColumns({"__word": (at / 64).cast("int"), "__bit": (at % 64).cast("int")})
+    hit = probe.join(F.broadcast(words), "__word")
+    return hit.where(F.expr("shiftrightunsigned(__bits, __bit) & 1 = 1")).select(*fact.columns)
+
+
 # ---- the measure catalogue (M1-M15) ---------------------------------------------
 def NOT_CANCELLED() -> Column:
     return F.col("status") != "cancelled"

@@ -17,11 +17,12 @@ from ..operators import evaluate as E
 from ..operators import metrics as M
 from ..operators import quality as Q
 from ..operators.enrich import ORDER_DIMS, enrich_orders
+from ..operators.summary import Summary, filtered_datasets
 from ..sources.conform import STATUSES, WAREHOUSES, load_star
 from ..sources.raw import Raw
 from . import benchmark as B
 from . import oracle as O
-from .results import RESULTS
+from .results import RESULTS, spend_driver_cube
 
 # fixed values: dashboard selections used by the registered filter queries.
 GLOBAL_PICK = ("ASIA", "EUROPE")
@@ -232,11 +233,9 @@ def n_synonyms(spark, sf_dir) -> DataFrame:
 
 def x_spend_driver_margins(spark, sf_dir) -> DataFrame:
     """V1: the change in spend by region alone and by category alone."""
-    star = _star(spark, sf_dir)
-    one = lambda by: RESULTS["q_spend_drivers"](star, by=(by,)).select(
-        F.lit(by).alias("dimension"), F.col(by).alias("member"), "base_spend", "compare_spend", "delta_spend",
-        "share_of_change")
-    return one("region").unionByName(one("category"))
+    cube = spend_driver_cube(_star(spark, sf_dir), (("region",), ("category",)))
+    return cube.select(F.col("grouped_by").alias("dimension"), F.coalesce("region", "category").alias("member"),
+                       "base_spend", "compare_spend", "delta_spend", "share_of_change")
 
 
 def _dataset_totals(ds: dict) -> DataFrame:
@@ -251,8 +250,9 @@ def _dataset_totals(ds: dict) -> DataFrame:
 
 
 def h_global_filter_all(spark, sf_dir) -> DataFrame:
-    """H2: all eight datasets under the region filter, as rows and totals."""
-    return _dataset_totals(D.apply_global_filter(D.datasets(_star(spark, sf_dir)), "region", GLOBAL_PICK))
+    """H2: all eight datasets under the region filter, as rows and totals, from the stored summary."""
+    summary = Summary(_star(spark, sf_dir)).build()
+    return _dataset_totals(filtered_datasets(summary, "region", GLOBAL_PICK))
 
 
 def h_date_filter_all(spark, sf_dir) -> DataFrame:

@@ -21,6 +21,7 @@ def _on_star(builder) -> Callable[[SparkSession, str], DataFrame]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _on_star(fn) for name, fn in RESULTS.items()}
     from .extras import EXTRA_QUERIES
+    from .operations import OPERATION_QUERIES
     from .streams import STREAM_QUERIES
     from .sqlfunc_queries import SQLFUNC_QUERIES
     from .setup_queries import SETUP_QUERIES
@@ -28,12 +29,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update(SETUP_QUERIES)
     out.update(EXTRA_QUERIES)
     out.update(STREAM_QUERIES)
+    out.update(OPERATION_QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
     from .extras import EXTRA_ORACLE
+    from .operations import OPERATION_ORACLE
     from .streams import STREAM_ORACLE
     from .sqlfunc_queries import SQLFUNC_ORACLE
     from .setup_queries import SETUP_ORACLE
@@ -42,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(SQLFUNC_ORACLE)
     out.update(EXTRA_ORACLE)
     out.update(STREAM_ORACLE)
+    out.update(OPERATION_ORACLE)
     return out

@@ -200,18 +200,45 @@ def q_spend_drivers(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST)
     The two window totals are two filtered measures of one aggregation, so the
     star is scanned once and, with large dimensions, pre-aggregated per key.
     """
-    def window_sum(name, cond, key):
-        return M.measure(name, {"v": ("sum", X.order_value())}, lambda p: p("v"),
-                         where=M.NOT_CANCELLED() & cond, where_key=key)
-    agg = _orders(star, [window_sum("__base", X.in_month("order_date", base), "base"),
-                         window_sum("__cmp", X.in_months("order_date", *compare), "cmp")],
-                  list(by), where=X.in_months("order_date", base, compare[1]),
-                  fact=star.orders_of(base, compare[1]))
+    agg = _spend_windows(star, list(by), base, compare)
     n_cmp = _months_between(compare[0], compare[1])
     return (drivers(agg, list(by), "__base", "__cmp", 1, n_cmp, normalise)
             .orderBy(F.col("delta_spend").desc(), *by))
 
 
+def spend_driver_cube(star, sets=(("region", "category"), ("region",), ("category",), ()), base=BASE_MONTH,
+                      compare=(COMPARE_FIRST, COMPARE_LAST)) -> DataFrame:
+    """V1 over several keys: the spend change of every grouping set, from one scan of the order lines.
+
+    The parts per (region, category) are merged per set; the total change, of which each
+    row is a share, is merged from the same parts.
+    """
+    parts = _spend_windows(star, ["region", "category"], base, compare, parts_only=True)
+    names = {"__base": "b", "__cmp": "c"}
+    rows = M.grouping_sets(parts, sets).withColumnsRenamed(names)
+    n = _months_between(compare[0], compare[1])
+    change = lambda b, c: F.coalesce(c, F.lit(0)) - F.coalesce(b, F.lit(0)) * n
+    b, c = (F.sum(m.col("v")) for m in parts.measures)
+    total = parts.df.agg(change(b, c).alias("t")).scalar()
+    d = change(F.col("b"), F.col("c"))
+    out = lambda x: X.money_out(F.coalesce(x, F.lit(0)))
+    return rows.select(
+        "grouped_by", "region", "category", out(F.col("b")).alias("base_spend"), out(F.col("c")).alias("compare_spend"),
+        F.round(F.try_divide(d.cast("decimal(38,18)"), F.lit(n).cast("decimal(38,0)")), 2).cast("double").alias("delta_spend"),
+        F.round(F.try_divide(d.cast("decimal(38,18)"), total.cast("decimal(38,2)")), 4).cast("double").alias("share_of_change"))
+
+
+def _spend_windows(star, by, base, compare, parts_only=False):
+    """Spend of the base month and of the compare months, two filtered measures of one aggregation."""
+    def window_sum(name, cond, key):
+        return M.measure(name, {"v": ("sum", X.order_value())}, lambda p: p("v"),
+                         where=M.NOT_CANCELLED() & cond, where_key=key)
+    return M.star_metrics(star, star.orders_of(base, compare[1]), ORDER_DIMS,
+                          [window_sum("__base", X.in_month("order_date", base), "base"),
+                           window_sum("__cmp", X.in_months("order_date", *compare), "cmp")],
+                          by, where=X.in_months("order_date", base, compare[1]), parts_only=parts_only)
+
+
 def x_spend_volume_price(star, base=BASE_MONTH, compare=(COMPARE_FIRST, COMPARE_LAST)) -> DataFrame:
     """V1 extra split: per product, spend change = volume effect + price effect.
 

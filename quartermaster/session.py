@@ -79,6 +79,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Give a finished folder its name: readers see all of its files or none.
+
+    One rename, which is atomic on HDFS and POSIX file systems. A folder that is already
+    there is a finished one of an earlier try and stays.
+    """
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst):
+        return
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst) and not fs.exists(dst):
+        raise OSError(f"{staged} could not be renamed to {path}")
+
+
 def input_state(spark: SparkSession, path: str) -> str:
     """Size, file count and modification time of a table's path, as one text.
 

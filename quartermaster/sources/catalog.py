@@ -8,6 +8,7 @@ an overwrite replaces the table and drops column comments.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
@@ -106,6 +107,60 @@ def save_table(df: DataFrame, ns: Namespace, table: str, comment: str | None = N
     describe_table(df.sparkSession, ns, table, comment, cols)
 
 
+def replace_table(df: DataFrame, ns: Namespace, table: str, comment: str | None = None,
+                  column_comments: Mapping[str, str] | None = None, partition_by: Sequence[str] = ()) -> str:
+    """Replace rows, schema and descriptions in one step; the version's folder.
+
+    The new version is written whole into a folder of its own. Then one catalog
+    operation, CREATE OR REPLACE VIEW, points the name at it, with the new schema
+    and the descriptions. A write that dies leaves the old version in place, and
+    readers who have planned on an older version keep reading its files until
+    ``drop_versions`` removes them.
+    """
+    spark = df.sparkSession
+    ensure_schema(spark, ns)
+    if _kind(spark, ns, table) not in (None, "VIEW"):
+        raise ValueError(f"{ns.fq(table)} is a stored table; a replaceable one is a view of its current version")
+    folder = f"{versions_path(spark, ns, table)}/v={uuid.uuid4().hex}"
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(folder)
+    described = ", ".join(f"`{c}`" + (f" COMMENT '{_q(column_comments[c])}'" if c in (column_comments or {}) else "")
+                          for c in df.columns)
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {ns.fq(table)} ({described}) "
+              + (f"COMMENT '{_q(comment)}' " if comment else "") + f"AS SELECT {columns} FROM parquet.`{folder}`")
+    return folder
+
+
+def versions_path(spark: SparkSession, ns: Namespace, table: str) -> str:
+    return scratch_path(spark, f"versions/{ns.schema}/{table}")
+
+
+def _kind(spark: SparkSession, ns: Namespace, table: str) -> str | None:
+    name = f"{ns.schema}.{table}"
+    return spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
+
+
+def current_version(spark: SparkSession, ns: Namespace, table: str) -> str:
+    """The folder that the table's name points at."""
+    text = spark.sql(f"SHOW CREATE TABLE {ns.fq(table)}").first()[0]
+    return text.rsplit("FROM parquet.`", 1)[1].split("`", 1)[0]
+
+
+def drop_versions(spark: SparkSession, ns: Namespace, table: str, keep: Sequence[str] = ()) -> list[str]:
+    """Remove the folders of versions that are neither current nor in ``keep``; what was removed."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(versions_path(spark, ns, table))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = {x.rsplit("/", 1)[1] for x in (current_version(spark, ns, table), *keep)}
+    gone = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName() not in held]
+    for p in gone:
+        fs.delete(p, True)
+    return [p.toString() for p in gone]
+
+
 def save_star(star, ns: Namespace) -> None:
     """Write the four star tables with their descriptions.
 

@@ -118,7 +118,12 @@ def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFra
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                          "l_extendedprice", "l_returnflag", "l_linestatus")
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
-    j = join_orders(li, o).withColumn("__n_supp", n_suppliers_value(n_supp))
+    return order_lines(join_orders(li, o), n_supp)
+
+
+def order_lines(joined: DataFrame, n_supp: DataFrame) -> DataFrame:
+    """Order lines of the star from lineitem rows with their ``order_date``."""
+    j = joined.withColumn("__n_supp", n_suppliers_value(n_supp))
     supplier_id = product_supplier(F.col("l_partkey"), F.col("__n_supp"))
     expected = F.date_add(F.col("order_date"),
                           lead_time_of(supplier_id)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,10 +23,15 @@ ORDER_KEYS = ("order_id", "line_number", "product_id", "occurrence")
 
 
 def latest_versions(rows: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """One row per key: the one with the highest ``version`` (of equal ones, any)."""
-    newest = rows.groupBy(*keys).agg(F.max(version).alias("__newest"))
-    return (rows.join(newest, list(keys)).where(F.col(version) == F.col("__newest")).drop("__newest")
-            .dropDuplicates(list(keys)))
+    """One row per key: the one with the highest ``version``; of equal ones that of the highest hash."""
+    cols = rows.columns
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), newness(rows, version)).alias("__row"))
+            .select(*[F.col("__row")[c].alias(c) for c in cols]))
+
+
+def newness(rows: DataFrame, version: str) -> Column:
+    """What versions of a key are ordered by: the version, then a hash of the row."""
+    return F.struct(F.col(version).alias("version"), F.xxhash64(*sorted(rows.columns)).alias("hash"))
 
 
 def upsert_refresh(stream: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
