@@ -17,7 +17,9 @@ Tokens are runs of letters and digits of the lower-cased text; anything beyond
 ASCII counts as a letter but for the common punctuation ranges.
 
 Defined cases: a null or empty text, or one without tokens, is clean; an item
-with fewer than ``LEAST`` tokens is too short to be searched for; an empty benchmark or
+of fewer than ``SEEDED`` tokens is found where all of its tokens stand as they are, and
+``clean`` drops a document for such an item only if it is the whole document, for
+a few words alone are no leak; an empty benchmark or
 table gives an empty result; repeated items report under each of their ids and
 repeated documents row by row; extra columns are ignored, or kept by ``clean``.
 """
@@ -36,12 +38,11 @@ from pyspark.sql import functions as F
 # By the least length of the items that they are for. A stretch that is accepted has no start
 # of a sum below 0, so its first twelve equal tokens lie among twenty: no longer one adds a case.
 MASKS = (
-    (1, ("1",)),
     (5, ("1111", "11101", "11011")),
     (6, ("11111", "111101", "111011", "110111", "1101011", "1111001", "11011001", "11100101")),
     (12, ("111011", "1101011", "1101101", "1110011", "11101001", "11110001", "110110001", "111000101")),
 )
-LEAST = 5                     # tokens that an item needs to be searched for
+SEEDED = 5                    # tokens from which changes are tolerated; shorter items are searched for as they are
 NEEDED = 12                   # equal tokens that make a leak
 MISMATCH = -1.5
 BLOCK_CHARS = 4_000_000       # text of the items that one pass holds
@@ -105,17 +106,19 @@ def _windows(h: np.ndarray, mask: str, seed: int) -> np.ndarray:
 class Index:
     """Sorted hashes of the items' windows, with the item and position of each."""
 
-    def __init__(self, ids: list, texts: list[str], masks=MASKS, least: int = LEAST, needed: int = NEEDED):
-        self.ids, self.needed = ids, needed
+    def __init__(self, ids: list, texts: list[str], masks=MASKS, seeded: int = SEEDED, needed: int = NEEDED):
+        self.ids, self.needed, self.seeded = ids, needed, seeded
         h, bounds = token_hashes(texts)
         self.items = [h[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
         self.seeds: list[tuple[str, int]] = []          # (mask, seed)
+        self.sizes = np.array([len(x) for x in self.items], np.int64)
         hashes, items, at = [], [], []
         number = {}
         for k, item in enumerate(self.items):
-            if len(item) < max(least, 1):
+            if not len(item):
                 continue
-            for mask in max((n, group) for n, group in masks if n <= len(item))[1]:
+            short = len(item) < seeded
+            for mask in ("1" * len(item),) if short else max((n, group) for n, group in masks if n <= len(item))[1]:
                 if len(mask) > len(item):
                     continue
                 seed = number.setdefault(mask, len(number) + 1)
@@ -154,6 +157,18 @@ class Index:
         if chunk:
             yield from self._search(chunk, first, powers)
 
+    def leaky(self, texts: list[str | None]) -> set[int]:
+        """The texts that hold an item; of the short items, those that are nothing else."""
+        found, lengths = set(), {}
+        for text, item, start, end, _ in self.search(texts):
+            if self.sizes[item] < self.seeded:
+                if text not in lengths:
+                    lengths[text] = len(token_hashes([texts[text]])[0])
+                if end - start != lengths[text]:
+                    continue
+            found.add(text)
+        return found
+
     def _search(self, texts, first, powers):
         h, bounds = token_hashes(texts, powers)
         found = set()
@@ -169,7 +184,14 @@ class Index:
             if len(hits):
                 entry = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
                 diagonal = np.repeat(hits, count) - self.at[entry]
-                found.update(zip(np.repeat(text, count).tolist(), self.item[entry].tolist(), diagonal.tolist()))
+                text, item = np.repeat(text, count), self.item[entry]
+                if "0" not in mask and len(mask) < self.seeded:
+                    # a short item as it is: its first place in a text tells all
+                    whole = self.sizes[item] == len(mask)
+                    _, one = np.unique(text[whole] * len(self.items) + item[whole], return_index=True)
+                    keep = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)[one]])
+                    text, item, diagonal = text[keep], item[keep], diagonal[keep]
+                found.update(zip(text.tolist(), item.tolist(), diagonal.tolist()))
         best = {}
         for text, k, diagonal in found:
             hit = self._verify(h, bounds[text], bounds[text + 1], self.items[k], diagonal)
@@ -187,7 +209,8 @@ class Index:
         end = int(gain.argmax())
         start = int(total[:end + 1].argmin())
         equal = int(same[start:end].sum())
-        return (equal, -(a + start), a + end) if equal >= min(self.needed, -(-3 * len(item) // 4)) else None
+        least = len(item) if len(item) < self.seeded else min(self.needed, -(-3 * len(item) // 4))
+        return (equal, -(a + start), a + end) if equal >= least else None
 
 
 def blocks(spark: SparkSession, items: DataFrame, id_col: str = "item_id", text_col: str = "text",
@@ -237,7 +260,7 @@ def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str
             index = Index.of(arrays.value)
             for texts in batches:
                 out = np.zeros(len(texts), bool)
-                out[list({found[0] for found in index.search(texts.tolist())})] = True
+                out[list(index.leaky(texts.tolist()))] = True
                 yield pd.Series(out)
         return leaky
 

@@ -17,9 +17,11 @@ matched row by row; extra input columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 # Licence notices and short licence texts, as published.
 KNOWN = [
     ("MIT", "Released under the MIT License."),
@@ -199,11 +201,11 @@ def body(text: Column) -> Column:
 
 
 def known_bodies(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> list[tuple[str, str, int, str]]:
-    """(licence, first three words, characters, digest) of each known text of several lines."""
+    """(licence, first three words, bytes, digest) of each known text of several lines."""
     rows = spark.createDataFrame(known or KNOWN, "license string, text string").where(F.contains("text", F.lit("\n")))
     rows = rows.select("license", F.concat_ws(" ", body(F.col("text"))).alias("c")).where("c <> ''")
     return sorted({*PUBLISHED, *(tuple(r) for r in rows.select(
-        "license", F.substring_index("c", " ", 3), F.length("c"), F.sha2("c", 256)).collect())})
+        "license", F.substring_index("c", " ", 3), F.octet_length("c"), F.sha2("c", 256)).collect())})
 
 
 def _licence_of(bodies: list[tuple[str, str, int, str]]) -> Column:
@@ -212,23 +214,45 @@ def _licence_of(bodies: list[tuple[str, str, int, str]]) -> Column:
     return F.create_map(*[F.lit(v) for pair in sorted(least.items()) for v in pair])
 
 
-def spans(lines: Column, bodies: list[tuple[str, str, int, str]]) -> Column:
-    """The licences whose body is a stretch of whole lines, by start; ``lines`` are those of ``body``."""
+def _head(lines: Column, i: Column) -> Column:
+    """The first three words from line ``i`` (from 1) on, wherever the lines break."""
+    return F.substring_index(F.concat_ws(" ", F.slice(lines, i, F.lit(3))), " ", 3)
+
+
+def has_head(lines: Column, bodies: list[tuple[str, str, int, str]]) -> Column:
+    """Does any line begin like a known body?"""
     heads = sorted({h for _, h, _, _ in bodies})
-    most = max(n for _, _, n, _ in bodies) // 2 + 1                # lines of a stretch: each has a word and a space
-    lookup = _licence_of(bodies)
-    sizes = F.array(*[F.lit(n) for n in sorted({n for _, _, n, _ in bodies})])
     firsts = sorted({h.split(" ")[0] for h in heads})
-    starts = F.filter(F.transform(lines, lambda x, i: F.when(F.substring_index(x, " ", 1).isin(firsts), i + 1)),
-                      lambda i: i.isNotNull())
-    rest = F.transform(starts, lambda i: F.concat_ws("\n", F.slice(lines, i, F.lit(most))))
-    rest = F.filter(rest, lambda u: F.substring_index(F.translate(F.substring(u, 1, 400), "\n", " "), " ", 3).isin(heads))
+    at = F.transform(lines, lambda x, i: F.when(F.substring_index(x, " ", 1).isin(firsts), _head(lines, i + 1)))
+    return F.exists(at, lambda h: F.coalesce(h.isin(heads), F.lit(False)))
 
-    def at(u: Column) -> Column:
-        ends = F.filter(sizes, lambda n: (F.length(u) >= n) & u.substr(n + 1, F.lit(1)).isin("", "\n"))
-        return F.transform(ends, lambda n: lookup[F.sha2(F.translate(u.substr(F.lit(1), n), "\n", " "), 256)])
 
-    return F.filter(F.flatten(F.transform(rest, at)), lambda x: x.isNotNull())
+def stretches(texts: DataFrame, bodies: list[tuple[str, str, int, str]]) -> DataFrame:
+    """(key, in_lines): the licences whose body is a stretch of whole lines of ``texts`` (key, lines).
+
+    Running sums of the lines' bytes give where each line starts and ends in the joined text. A
+    start of a known body is matched with the line end that lies a known body's length further on, an
+    equi-join, and only those stretches are cut out and digested: work and memory
+    follow the text, however many of its lines begin like a licence.
+    """
+    sizes: dict[str, set[int]] = {}
+    for _, head, n, _ in bodies:
+        sizes.setdefault(head, set()).add(n)
+    of = F.create_map(*[x for h, ns in sorted(sizes.items()) for x in (F.lit(h), F.array(*[F.lit(n) for n in sorted(ns)]))])
+    order = Window.partitionBy("key").orderBy("pos")
+    first = F.substring_index("line", " ", 3)
+    each = texts.select("key", F.posexplode("lines").alias("pos", "line")).withColumns({
+        "end": F.sum(F.octet_length("line") + 1).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        "head": F.substring_index(F.concat_ws(" ", first, F.lead(first, 1).over(order), F.lead(first, 2).over(order)), " ", 3)})
+    each = each.select("key", "end", "head", (F.col("end") - F.octet_length("line") - 1).alias("start"))
+    starts = each.where(F.col("head").isin(sorted(sizes))).select("key", "start", F.explode(of[F.col("head")]).alias("n"))
+    found = (starts.withColumn("end", F.col("start") + F.col("n") + 1).join(each.select("key", "end"), ["key", "end"])
+             .groupBy("key").agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), "n")).alias("at")))
+    # joined once, below the join, and not for every stretch
+    joined, lookup = texts.select("key", F.concat_ws(" ", "lines").cast("binary").alias("joined")), _licence_of(bodies)
+    cut = F.transform("at", lambda x: lookup[F.sha2(F.substring("joined", x["start"] + 1, x["n"]), 256)])
+    return (found.join(joined, "key").select("key", F.array_distinct(F.filter(cut, lambda x: x.isNotNull())).alias("in_lines"))
+            .where(F.size("in_lines") > 0))
 
 
 def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -247,17 +271,24 @@ def scan(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     # the first words of any body, however they are wrapped, must be there
     gap = r"[^\p{L}\p{N}]+"
     heads = "|".join(sorted({gap.join(h.split(" ")).replace("license", "licen[sc]e") for _, h, _, _ in bodies}))
-    base = base.withColumn("lines", F.when(F.col("text").rlike(rf"(?i)(?:{heads})"), body(F.col("text"))))
-    joined = F.concat_ws(" ", "lines")
-    none = F.array().cast("array<string>")
+    # texts that may hold a body, once each, with their lines as stored rows: an expression would be
+    # made anew for every line that is looked at
+    key = F.when(F.col("text").rlike(rf"(?i)(?:{heads})"), F.sha2("text", 256))
+    near = (base.select(key.alias("key"), "text").where("key is not null").groupBy("key").agg(F.first("text").alias("text"))
+            .select("key", body(F.col("text")).alias("lines")))
+    near = materialise(spark, near, "licenses-near")
+    long = stretches(near.where(has_head(F.col("lines"), bodies)), bodies)
+    of_body = _licence_of(bodies)[F.sha2(F.concat_ws(" ", "lines"), 256)]
+    long = near.select("key", of_body.alias("of_body")).join(long, "key", "left").where("of_body is not null or in_lines is not null")
     whole = base.select(
-        "id", F.when(F.col("lines").isNotNull(), _licence_of(bodies)[F.sha2(joined, 256)]).alias("of_body"),
-        F.when(F.col("lines").isNotNull(), spans(F.col("lines"), bodies)).otherwise(none).alias("in_lines"), digest(F.col("text")).alias("text_digest"),
+        # texts without a body get keys that are all different and match nothing
+        F.coalesce(key, F.concat(F.lit("-"), F.xxhash64("id", "text").cast("string"))).alias("key"), "id",
+        digest(F.col("text")).alias("text_digest"),
         F.transform(lines, digest).alias("line_digests"),
         F.regexp_count(F.lower("text"), F.lit(COPYRIGHT_LINE)).cast("long").alias("n_copyright_lines"))
     lookup = F.create_map(*[F.lit(v) for row in digests.collect() for v in row])   # len(known) rows
     found = F.filter(F.transform("line_digests", lambda d: lookup[d]), lambda x: x.isNotNull())
-    found = F.array_sort(F.array_distinct(F.concat(found, "in_lines")))
-    return (whole.join(F.broadcast(digests), whole.text_digest == digests.digest, "left")
+    found = F.array_sort(F.array_distinct(F.concat(found, F.coalesce("in_lines", F.array().cast("array<string>")))))
+    return (whole.join(long, "key", "left").join(F.broadcast(digests), whole.text_digest == digests.digest, "left")
             .select(F.col("id").alias(id_col), "text_digest", F.coalesce("license", "of_body").alias("license"),
                     found.alias("notices"), "n_copyright_lines"))

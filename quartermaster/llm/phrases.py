@@ -49,10 +49,10 @@ SPARE = 20                    # bits of a hash that choose no bit
 BUCKET = 32_768               # bits of one bitmap of Spark's bitmap_construct_agg
 
 
-def chunks(words: list[bytes], w: int, trigger: int = TRIGGER) -> Iterator[tuple[bytes, int]]:
+def chunks(words: list[bytes], w: int, trigger: int = TRIGGER, whole: int = WHOLE) -> Iterator[tuple[bytes, int]]:
     """The chunks of one piece, and of how many words the phrases that begin there are the chunk's own."""
     start = 0
-    for i in range(1, len(words) - w + 1) if len(words) > WHOLE else ():
+    for i in range(1, len(words) - w + 1) if len(words) > whole else ():
         if zlib.crc32(b" ".join(words[i:i + w])) % trigger == 0:
             yield b" ".join(words[start:i + w]), i - start
             start = i
