@@ -43,7 +43,7 @@ def corpus(seed, n=60):
     return rows + [("en", "one of the Big cats sat on the mat again and again and never left it there at all today " * 3)] * 5
 
 
-@pytest.mark.parametrize("seed,trigger,whole", [(0, 8, 16), (1, 1, 0), (2, 3, 4)])
+@pytest.mark.parametrize("seed,trigger,whole", [(0, 3, 4), (1, 1, 0)])
 def test_equals_a_plain_count(spark, monkeypatch, seed, trigger, whole):
     chunks = P.chunks
     monkeypatch.setattr(P, "chunks", lambda words, w, t: chunks(words, w, t, whole))
