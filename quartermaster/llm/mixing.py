@@ -14,7 +14,9 @@ words it gains or gives up are landed on the root block's other documents,
 largest first, wherever one fits whole: a source's taken words miss its target
 by less than one small document.
 
-Draws are hashes of the ids, level and position, so reruns agree.
+Equal rows are numbered, and a document of the rounding is an (id, number): they are
+dealt into different blocks, and as any of them stands for any other, the numbers come
+from a count. Draws are hashes of these, level and position, so reruns agree.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null
 source is a source of its own, last in the order; a source without words has
@@ -33,6 +35,7 @@ from .common import WORD, materialise
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCK = 256
+RUN = 4096                # numbers of equal rows that are made at once
 SEED = 42
 
 
@@ -132,6 +135,16 @@ def _land(f: Column, id_type: str, seed: int) -> Column:
     return F.concat(F.aggregate(largest_first, empty, step)["done"], F.array(residual))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows, ``id`` as struct(id, nth): equal ones are counted, and made again with their number from 0."""
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("equal"))
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(equal - 1) div {RUN}"))))
+    first = F.col("run") * RUN
+    nth = F.explode(F.sequence(first, F.least(first + RUN, F.col("equal")) - 1))
+    return (runs.withColumn("nth", nth).withColumn("id", F.struct("id", "nth"))
+            .select(*rows.columns))
+
+
 def round_copies(spark: SparkSession, docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """(source, id, size, copies) from (source, id, size, copies_expected, n).
 
@@ -145,7 +158,8 @@ def round_copies(spark: SparkSession, docs: DataFrame, block: int = BLOCK, seed:
     is_open = (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
     done = [base.where(~F.coalesce(is_open, F.lit(False))).select(
         "source", "id", "size", F.col("whole").alias("copies"))]
-    level, rows, id_type = 0, base.where(is_open), dict(docs.dtypes)["id"]
+    level, rows = 0, _numbered(base.where(is_open))
+    id_type = dict(rows.dtypes)["id"]
     while True:
         salt = F.xxhash64("id", "size", F.lit(seed), F.lit(level))
         dealt = rows.withColumn("block", F.pmod(salt, F.greatest("blocks", F.lit(1))))
@@ -155,7 +169,7 @@ def round_copies(spark: SparkSession, docs: DataFrame, block: int = BLOCK, seed:
         folded = materialise(spark, grouped.select("source", "blocks", fold.alias("f")), f"mix-{level}")
         decided = F.when(F.col("blocks") <= 1, _land(F.col("f"), id_type, seed)).otherwise(F.col("f.done"))
         done.append(folded.select("source", F.explode(decided).alias("d")).select(
-            "source", "d.id", "d.size", (F.col("d.whole") + F.col("d.extra")).alias("copies")))
+            "source", "d.id.id", "d.size", (F.col("d.whole") + F.col("d.extra")).alias("copies")))
         last = folded.agg(F.max("blocks")).first()[0] or 1
         rest = folded.select("source", "f.id", "f.size", "f.whole", "f.mass",
                              F.ceil(F.col("blocks") / F.lit(float(block))).cast("long").alias("next"), "blocks")

@@ -102,3 +102,18 @@ def test_fold_equals_a_plain_loop(spark):
     done, carry = plain_fold(docs, 2, 42)
     assert {x.id: x.extra for x in got.done} == done
     assert [got.id, got.size] == carry[:2] and abs(got.mass - carry[2]) < 1e-9
+
+
+def test_repeated_rows_are_dealt_into_blocks(spark):
+    """100,000 rows of one null id: each has a number of its own, and the sums are those of different documents."""
+    df = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"),
+                                     F.lit("s").alias("source"))
+    df = df.unionByName(spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"),
+                                                 F.lit("t").alias("source")))
+    rows = mixing._numbered(df.select("source", F.col("doc_id").alias("id")))
+    assert rows.distinct().count() == df.count()
+    got = mixing.mix(spark, df).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target"),
+        F.max(F.col("taken") / F.col("size")).alias("most")).collect()
+    assert sorted(r.n for r in got) == [1000, 100_000]
+    assert all(abs(r.taken - r.target) <= 3 and r.most <= 3 for r in got)
