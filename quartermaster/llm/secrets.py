@@ -17,6 +17,7 @@ candidates, as each row's own text is verified; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -26,9 +27,10 @@ from re import _parser as rp
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_bounded
 from .common import materialise
 
-BROADCAST_IDS = 1_000_000       # candidate ids up to this number are broadcast, more are shuffled
+BROADCAST_IDS = 1_000_000       # candidate ids up to this number (and the library's bytes) are broadcast, more are shuffled
 MAX_STRINGS, MAX_CONJUNCTS, SMALL_CLASS = 64, 64, 6
 
 
@@ -133,12 +135,20 @@ def index(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str =
     """The postings (trigram, id) of every trigram that a rule's query has, over whole texts."""
     grams = sorted({g for r in rules for c in trigram_query(r.pattern) or [] for g in c})
     low = _id(docs, id_col, text_col).select("id", F.lower("text").alias("low"))
-    there = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]))
     if not grams:
-        there = F.array().cast("array<string>")
+        return low.select("id", F.lit("").alias("trigram")).limit(0)
+    there = F.array_distinct(F.regexp_extract_all("low", F.lit(_any_of(grams)), F.lit(1)))
     return low.select("id", F.explode(there).alias("trigram"))
 
 
+def _any_of(grams: list[str]) -> str:
+    """A regex that finds each of the trigrams at every position, overlapping ones too, in one pass."""
+    firsts = sorted({g[0] for g in grams})
+    tails = {c: "|".join(re.escape(g[1:]) for g in grams if g[0] == c) for c in firsts}
+    return (f"(?=[{''.join(map(re.escape, firsts))}])"
+            f"(?=({'|'.join(f'{re.escape(c)}(?:{tails[c]})' for c in firsts)}))")
+
+
 def candidates(postings: DataFrame, rules=RULES) -> DataFrame:
     """(id, one Boolean column per indexed rule): the ids in the intersections, by rule."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
@@ -151,6 +161,37 @@ def candidates(postings: DataFrame, rules=RULES) -> DataFrame:
     return out.where(reduce(lambda a, b: a | b, [F.col(f"may_{k}") for k in each]))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _chunks(values: Column, body) -> Column:
+    """``body`` of each of about sqrt(n) runs of an array of n, in order."""
+    step = F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), step)
+    return F.transform(starts, lambda at: body(F.slice(values, at + 1, step)))
+
+
+def _running(values: Column, merge) -> Column:
+    """By value of an int array, what ``merge`` makes of 0 and all values before it.
+
+    An array that grows by one is copied each time. So it is made in runs, and their
+    totals go on; a text with n matches costs n * sqrt(n) short steps at most.
+    """
+
+    def along(run: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("all"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(run, empty, lambda acc, v: F.struct(
+            merge(acc["all"], v).alias("all"), F.concat(acc["before"], F.array(acc["all"])).alias("before")))
+
+    def whole(runs: Column) -> Column:
+        before = along(F.transform(runs, lambda r: r["all"]))["before"]
+        return F.flatten(F.zip_with(runs, before, lambda r, b: F.transform(r["before"], lambda v: merge(b, v))))
+
+    return _let(values, lambda v: _let(_chunks(v, along), whole))
+
+
 SPAN = "array<struct<start:int,end:int,rank:int,kind:string>>"
 
 
@@ -162,18 +203,19 @@ def spans_of(text: Column, rule: Rule, rank: int) -> Column:
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     groups = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), matches.alias("hit"), groups.alias("group"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    parts = F.transform(
+        F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), matches.alias("hit"), groups.alias("group")),
+        lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.coalesce(F.length(x["hit"]), F.lit(0)).alias("hit"),
+                           (x["hit"].isNotNull() & (F.length(x["group"]) >= rule.least)).alias("good")))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["hit"]), F.lit(0))
-        good = x["hit"].isNotNull() & (F.length(x["group"]) >= rule.least)
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"),
-                        F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def spans(p: Column) -> Column:
+        before = _running(F.transform(p, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b)
+        every = F.zip_with(p, before, lambda x, at: F.struct(
+            (at + x["gap"]).alias("start"), (at + x["gap"] + x["hit"]).alias("end"), x["good"].alias("good")))
+        return F.transform(F.filter(every, lambda x: x["good"]), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind")))
 
-    return F.aggregate(parts, start, step)["spans"]
+    return _let(parts, spans)
 
 
 def scan(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
@@ -183,7 +225,7 @@ def scan(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_i
     With ``keep_rows`` the input's columns stay and ``spans_col`` is added.
     """
     found = materialise(spark, candidates(index(docs, rules, id_col, text_col), rules), "secret-candidates")
-    small = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    small = is_bounded(found, BROADCAST_IDS) and is_bounded(found)      # rows, and bytes
     found = found.withColumnRenamed("id", "__id")
     rows = docs.join(F.broadcast(found) if small else found, docs[id_col].eqNullSafe(found["__id"]), "left")
     text = F.coalesce(docs[text_col], F.lit(""))
@@ -205,17 +247,23 @@ def joined(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each stretch covered by spans replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        kept = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.concat(acc["out"], kept, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate(spans, start, step)
-    rest = F.substring(text, done["at"] + 1, F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(done["out"], rest)).otherwise(text)
+    def pieces(found: Column) -> Column:
+        ends = F.transform(found, lambda s: s["end"])
+        every = F.zip_with(found, _running(ends, F.greatest), lambda s, at: F.struct(at.alias("from"), s["start"].alias("to")))
+        kept = F.filter(every, lambda x: x["to"] >= x["from"])        # others begin inside an earlier span
+        return F.concat(F.array_join(_let(kept, lambda k: _chunks(k, run)), ""),
+                        F.substring(text, F.array_max(ends) + 1, F.length(text)))
+
+    def cut(whole: Column, at: Column, run_: Column) -> Column:
+        return F.array_join(F.transform(run_, lambda x: F.concat(
+            F.substring(whole, x["from"] - at + 1, x["to"] - x["from"]), F.lit(mark))), "")
+
+    def run(items: Column) -> Column:
+        """A run of pieces is cut from its own stretch of the text, as a cut walks from the beginning."""
+        return _let(items, lambda r: _let(F.get(r, F.lit(0))["from"], lambda at: _let(
+            F.substring(text, at + 1, F.get(r, F.size(r) - 1)["to"] - at), lambda whole: cut(whole, at, r))))
+
+    return F.when(F.size(spans) > 0, _let(spans, pieces)).otherwise(text)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
