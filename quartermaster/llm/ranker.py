@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_bounded
 from .common import materialise
 from .quality_rules import Text
 
@@ -121,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
     kind = sample.schema["id"].dataType.simpleString()
     rows = (sample.select("id", "good", "text").mapInArrow(_featured, f"id {kind}, good boolean, x array<double>")
-            .dropDuplicates(["id"]).orderBy("id").select("good", "x").collect())       # 2 * per_class rows at most
+            .groupBy("id").agg(F.min("good").alias("good"), F.min("x").alias("x"))       # of several texts, the least
+            .orderBy("id").select("good", "x").collect())                                # 2 * per_class rows at most
     x = np.array([r.x for r in rows], float).reshape(len(rows), len(FEATURES))
     share = counts.get(False, 0) / max(sum(counts.values()), 1)
     model = fit(x, np.array([r.good for r in rows], bool), share)
@@ -140,8 +142,11 @@ def _threshold(docs: DataFrame, known: DataFrame, model: Ranker, share: float, i
 
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    # strengths first: the join moves a number for each text
-    all_ = base.mapInArrow(run, f"id {kind}, strength double").join(known.select("id"), "id")
+    ids = materialise(docs.sparkSession, known.select("id"), "ranker-labelled")
+    if is_bounded(ids):                                # only labelled texts get features
+        all_ = base.join(F.broadcast(ids), "id", "left_semi").mapInArrow(run, f"id {kind}, strength double")
+    else:                                              # strengths first: the join moves a number for each text
+        all_ = base.mapInArrow(run, f"id {kind}, strength double").join(ids, "id")
     all_ = materialise(docs.sparkSession, all_.groupBy("id").agg(F.min("strength").alias("strength")), "ranker-strengths")
     low = all_.agg(F.percentile_approx("strength", share, QUANTILE_ACCURACY)).first()[0]
     high = all_.where(F.col("strength") > low).agg(F.min("strength")).first()[0]
