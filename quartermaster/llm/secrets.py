@@ -145,7 +145,8 @@ def _any_of(grams: list[str]) -> str:
     """A regex that finds each of the trigrams at every position, overlapping ones too, in one pass."""
     firsts = sorted({g[0] for g in grams})
     tails = {c: "|".join(re.escape(g[1:]) for g in grams if g[0] == c) for c in firsts}
-    return (f"(?=[{''.join(map(re.escape, firsts))}])"
+    some = ["".join(map(re.escape, sorted({g[k] for g in grams}))) for k in range(3)]       # most positions end here
+    return (f"(?=[{some[0]}][{some[1]}][{some[2]}])"
             f"(?=({'|'.join(f'{re.escape(c)}(?:{tails[c]})' for c in firsts)}))")
 
 
