@@ -8,8 +8,8 @@ and interpolated with the next lower one. Grams are 64-bit keys, four 16-bit
 characters, kept in sorted arrays that a binary search looks up; the probability
 of every gram that any language has is precomputed for all languages. A text gets
 the language of the lowest cross-entropy per character. It is rejected where that
-exceeds what the language's own training texts show (calibrated on a bounded
-sample of them).
+exceeds what the language's own training texts show (calibrated on all of
+them).
 
 The counts grow with the corpus, and no gram is left out. Up to ``MAX_GRAMS`` grams
 over all languages and ``MAX_CELLS`` probabilities the tasks receive the model; a
@@ -41,7 +41,6 @@ CHUNK_CHARS = 1_000_000       # text that is handled at once; a longer one in pi
 CHUNK_CELLS = 4_000_000       # log-probabilities (grams times languages) that are gathered at once
 HOT_ROWS = 20_000             # probes of one key that a task of the join takes
 FLUSH_GRAMS = 2_000_000       # grams that a counting task holds before it passes them on
-CALIBRATION_ROWS = 2000       # training texts, of the lowest id hashes, that the rejection is fitted on
 REJECT_QUANTILE, REJECT_MARGIN = 0.995, 0.5
 CONFIDENT_CHARS = 20          # characters after which more text no longer sharpens the score
 
@@ -299,8 +298,11 @@ class Tables:
             entries = each if entries is None else entries.unionByName(each)
         self.entries = materialise(spark, entries, "langid-entries")
 
-    def entropies(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """((row, id, size) of every row of (id, text), (row, size, lang, entropy) of those with letters)."""
+    def entropies(self, docs: DataFrame, own: bool = False) -> tuple[DataFrame, DataFrame]:
+        """((row, id, size) of every row of (id, text), (row, size, lang, entropy) of those with letters).
+
+        ``own``: the id is a language, and only the entropy under that one is computed.
+        """
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             letters, row = _letters(), TaskContext.get().partitionId() << 40
@@ -329,7 +331,9 @@ class Tables:
         kind = docs.schema["id"].dataType.simpleString()
         rows = materialise(self.spark, docs.mapInArrow(
             run, f"row bigint, id {kind}, size bigint, probes array<struct<kind:int,key:bigint,n:bigint>>"), "langid-rows")
-        probes = rows.select("row", "size", F.explode("probes").alias("p")).select("row", "size", "p.*")
+        lang = [F.col("id").alias("lang")] if own else []
+        probes = rows.select("row", "size", *lang, F.explode("probes").alias("p")).select(
+            "row", "size", *["lang"] * own, "p.*")
         # a key of many rows is spread over several tasks, its entries go to each of them
         hot = materialise(self.spark, probes.groupBy("kind", "key").count().where(F.col("count") > HOT_ROWS).select(
             "kind", "key", F.ceil(F.col("count") / HOT_ROWS).cast("int").alias("spread")), "langid-hot")
@@ -339,14 +343,13 @@ class Tables:
                 .withColumn("part", F.pmod(F.xxhash64("row"), spread).cast("int")).drop("spread"))
         right = (self.entries.join(F.broadcast(hot), on, "left")
                  .withColumn("part", F.explode(F.sequence(F.lit(0), spread - 1))).drop("spread"))
-        sums = (left.join(right, [*on, "part"]).groupBy("row", "lang")
+        sums = (left.join(right, [*on, "part", *["lang"] * own]).groupBy("row", "lang")
                 .agg(F.first("size").alias("size"), F.sum(F.col("n") * F.col("value")).alias("sum")))
         return rows.select("row", "id", "size"), sums.select(
             "row", "size", "lang", (-self.log_floor - F.col("sum") / F.col("size")).alias("entropy"))
 
-    def calibrate(self, rows: DataFrame, n: int) -> None:
-        sample, each = self.entropies(_sample(rows, n).select(F.col("lang").alias("id"), "text"))
-        own = sample.select("row", F.col("id").alias("lang")).join(each, ["row", "lang"])
+    def calibrate(self, rows: DataFrame) -> None:
+        _, own = self.entropies(rows.select(F.col("lang").alias("id"), "text"), own=True)
         self.limits = {r.lang: r.q + REJECT_MARGIN for r in own.where(F.col("size") >= CONFIDENT_CHARS).groupBy("lang")
                        .agg(F.percentile_approx("entropy", REJECT_QUANTILE, 10000).alias("q")).collect()}
 
@@ -367,34 +370,27 @@ class Tables:
 
 
 def train(spark: SparkSession, docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
-          id_col: str = "doc_id", calibration_rows: int = CALIBRATION_ROWS) -> Model | Tables:
+          id_col: str = "doc_id") -> Model | Tables:
     """A model of every language in the frame, from all its texts that have one."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).alias("text")).where("lang is not null and text is not null")
     counts = materialise(spark, count_grams(rows), "langid-grams")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     size = counts.agg(F.count(F.lit(1)).alias("grams"), F.count_distinct("key").alias("keys")).first()
     if size.grams > MAX_GRAMS or size["keys"] * len(langs) > MAX_CELLS:
         model = Tables(spark, counts, langs)
-        model.calibrate(rows, calibration_rows)
+        model.calibrate(rows)
         return model
     top = counts.toPandas()                             # MAX_GRAMS at most
     top = top.sort_values(["lang", "key"])
     each = [top[top.lang == x] for x in langs]
     model = Model(langs, [(x.key.to_numpy(np.int64).view(np.uint64), x.n.to_numpy(np.int64)) for x in each])
-    _calibrate(rows, model, calibration_rows)
+    _calibrate(rows, model)
     return model
 
 
-def _sample(rows: DataFrame, n: int) -> DataFrame:
-    """(lang, text) of the ``n`` lowest id hashes."""
-    ids = rows.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(n)
-    return rows.join(F.broadcast(ids), "id").select("lang", "text")
-
-
-def _calibrate(rows: DataFrame, model: Model, n: int) -> None:
-    """Sets each language's rejection limit from its own training texts in a bounded sample."""
-    sample = _sample(rows, n)
+def _calibrate(rows: DataFrame, model: Model) -> None:
+    """Sets each language's rejection limit from all of its own training texts."""
     arrays = rows.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,7 +401,7 @@ def _calibrate(rows: DataFrame, model: Model, n: int) -> None:
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(size),
                                               pa.array(entropy[np.arange(len(own)), own])], ["lang", "size", "entropy"])
 
-    found = (sample.mapInArrow(run, "lang string, size bigint, entropy double").where(F.col("size") >= CONFIDENT_CHARS)
+    found = (rows.mapInArrow(run, "lang string, size bigint, entropy double").where(F.col("size") >= CONFIDENT_CHARS)
              .groupBy("lang").agg(F.percentile_approx("entropy", REJECT_QUANTILE, 10000).alias("q")).collect())
     for r in found:
         model.limits[model.langs.index(r.lang)] = r.q + REJECT_MARGIN
