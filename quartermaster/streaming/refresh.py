@@ -97,7 +97,8 @@ def run_daily_counts(stream: DataFrame, sink: str, checkpoint: str) -> Streaming
         F.count(F.lit(1)).alias("order_count"))
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(sink)        # days x statuses rows
+        # days x statuses rows; a coalesce would hold the state of all partitions in one task
+        batch.repartition(1).write.mode("overwrite").parquet(sink)
 
     return (counts.writeStream.outputMode("complete").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
