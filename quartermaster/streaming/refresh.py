@@ -30,6 +30,8 @@ from ..sources.raw import Raw
 
 # Micro-batches that a feed is read in, at least.
 BATCHES = 4
+# Rows of a landed file, at most.
+FEED_ROWS = 1_000_000
 
 
 def new_run_dir(spark: SparkSession, kind: str) -> str:
@@ -40,7 +42,8 @@ def order_stream(spark: SparkSession, sf_dir: str, run: str, batches: int = BATC
     """Order lines of the ``lineitem`` files, arriving in ``batches`` micro-batches.
 
     A table of enough files is read where it is, an equal number of files at a
-    time. One of fewer files is first landed as ``batches`` files in ``run``.
+    time. One of fewer files is first landed in ``run``, in equal files of at
+    most ``FEED_ROWS`` rows, so that no task takes a whole batch.
     """
     raw = Raw(spark, sf_dir)
     files = len(raw.lineitem.inputFiles())
@@ -48,8 +51,8 @@ def order_stream(spark: SparkSession, sf_dir: str, run: str, batches: int = BATC
         # a file stream watches a folder or a glob; the glob is of the table alone
         folder, per_trigger = f"{sf_dir.rstrip('/')}/lineitem.parque[t]", -(-files // batches)
     else:
-        folder, per_trigger = f"{run}/feed", 1
-        raw.lineitem.repartition(batches).write.mode("overwrite").parquet(folder)
+        folder, per_trigger = f"{run}/feed", max(1, -(-raw.lineitem.count() // (batches * FEED_ROWS)))
+        raw.lineitem.repartition(batches * per_trigger).write.mode("overwrite").parquet(folder)
     stream = (spark.readStream.schema(raw.lineitem.schema).option("maxFilesPerTrigger", per_trigger)
               .parquet(folder))
     return purchase_orders_from(stream, raw.orders, n_suppliers(raw))

@@ -38,3 +38,13 @@ def test_daily_counts_leave_the_state_in_its_partitions(spark, monkeypatch):
     got = spark.read.parquet(f"{out}/daily")
     assert sorted((r.status, r.order_count) for r in got.collect()) == [("a", 2), ("b", 1)]
     assert len(got.inputFiles()) == 1
+
+
+def test_a_landed_feed_has_files_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(R, "FEED_ROWS", 300, raising=False)
+    run = new(spark, "feed")
+    R.order_stream(spark, SF_SMALL, run)
+    feed, lines = spark.read.parquet(f"{run}/feed"), Raw(spark, SF_SMALL).lineitem
+    assert same(feed, lines)
+    sizes = [r["count"] for r in feed.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 300 * 1.1 and len(sizes) % R.BATCHES == 0
