@@ -113,27 +113,43 @@ def conform_purchase_orders(raw: Raw) -> DataFrame:
     return purchase_orders_from(raw.lineitem, raw.orders, n_suppliers(raw))
 
 
-def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFrame) -> DataFrame:
-    """Order lines of the star from lineitem rows (batch or streaming)."""
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                         "l_extendedprice", "l_returnflag", "l_linestatus")
+def purchase_orders_from(lineitem: DataFrame, orders: DataFrame, n_supp: DataFrame,
+                         lay: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Order lines of the star from lineitem rows (batch or streaming).
+
+    ``lay`` deals out the joined rows before the columns that follow from others
+    are added, so that an exchange moves what is given alone; it may add ``ORDER_MONTH``.
+    """
     o = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
-    return order_lines(join_orders(li, o), n_supp)
+    joined = join_orders(line_values(lineitem), o).drop("o_orderkey")
+    return _dated(lay(joined) if lay else joined, n_supp)
+
+
+def line_values(lineitem: DataFrame) -> DataFrame:
+    """What an order line takes from its own lineitem row: keys, quantity, unit price and status."""
+    unit = F.round(F.try_divide(F.col("l_extendedprice").cast("decimal(15,2)"),
+                                F.col("l_quantity").cast("decimal(10,0)")), 2).cast(MONEY)
+    return lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("quantity"),
+                           unit.alias("unit_cost"),
+                           status_of(F.col("l_linestatus"), F.col("l_returnflag")).alias("status"),
+                           *[c for c in ("order_date",) if c in lineitem.columns])
 
 
 def order_lines(joined: DataFrame, n_supp: DataFrame) -> DataFrame:
     """Order lines of the star from lineitem rows with their ``order_date``."""
-    j = joined.withColumn("__n_supp", n_suppliers_value(n_supp))
+    return _dated(line_values(joined), n_supp)
+
+
+def _dated(lines: DataFrame, n_supp: DataFrame) -> DataFrame:
+    """Supplier and dates of order lines, which follow from their keys, order date and status."""
+    j = lines.withColumn("__n_supp", n_suppliers_value(n_supp))
     supplier_id = product_supplier(F.col("l_partkey"), F.col("__n_supp"))
     expected = F.date_add(F.col("order_date"),
                           lead_time_of(supplier_id)
                           + F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(8)).cast("int") - 2)
-    status = status_of(F.col("l_linestatus"), F.col("l_returnflag"))
     actual_off = (F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17 + F.col("l_partkey") * 7,
                          F.lit(14)).cast("int") - 3)
-    unit = F.round(F.try_divide(F.col("l_extendedprice").cast("decimal(15,2)"),
-                                F.col("l_quantity").cast("decimal(10,0)")), 2).cast(MONEY)
-    j = j.withColumns({"expected_delivery_date": expected, "status": status})
+    j = j.withColumn("expected_delivery_date", expected)
     actual = F.when(F.col("status") == "delivered",
                     F.date_add(F.col("expected_delivery_date"), actual_off))
     return j.select(F.col("l_orderkey").alias("order_id"),
@@ -142,17 +158,16 @@ def order_lines(joined: DataFrame, n_supp: DataFrame) -> DataFrame:
                     supplier_id.alias("supplier_id"),
                     "order_date", "expected_delivery_date",
                     actual.alias("actual_delivery_date"),
-                    F.col("l_quantity").cast("int").alias("quantity"),
-                    unit.alias("unit_cost"),
-                    "status")
+                    "quantity", "unit_cost", "status", *[c for c in (ORDER_MONTH,) if c in j.columns])
 
 
 def join_orders(li: DataFrame, o: DataFrame) -> DataFrame:
     """lineitem ⋈ orders on the order key: the one large-large join of the star.
 
     With AQE skew-join splitting on (the default) this is a plain equi-join:
-    Spark broadcasts ``o`` when its size estimate is small and otherwise splits
-    a hot order key's partition at run time. Without it, a hot key is split by
+    Spark builds a hash table of each partition of ``o``, the smaller side, so that
+    neither side is sorted (nor spilled), and splits a hot order key's partition
+    at run time. Without it, a hot key is split by
     salting: each line gets a hash salt in [0, S) and the two-column order side
     is replicated once per salt value (S = ``quartermaster.join.salts``, 8), so
     one order key's lines spread over S tasks.
@@ -161,10 +176,10 @@ def join_orders(li: DataFrame, o: DataFrame) -> DataFrame:
     aqe_skew = (spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
                 and spark.conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
     if aqe_skew or li.isStreaming:
-        return li.join(o, li["l_orderkey"] == o["o_orderkey"])
+        return li.join(o.hint("shuffle_hash"), li["l_orderkey"] == o["o_orderkey"])
     salts = int(spark.conf.get("quartermaster.join.salts", "8"))
     ls = li.withColumn("__salt", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey",
-                                                   "l_extendedprice"), F.lit(salts)))
+                                                   "unit_cost"), F.lit(salts)))
     os_ = o.withColumn("__osalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return (ls.join(os_, (ls["l_orderkey"] == os_["o_orderkey"]) & (ls["__salt"] == os_["__osalt"]))
               .drop("__salt", "__osalt"))
@@ -224,6 +239,7 @@ class Star:
     source: str = ""
     path: str | None = None           # folder of the written star (None: lazy views)
     months: Callable[[str, str], DataFrame] | None = None     # order lines of whole months, where stored by month
+    laid: Callable[[Callable], DataFrame] | None = None       # order lines whose rows a function deals out early
     _bounded: dict = field(default_factory=dict)
 
     def __getattribute__(self, name: str):
@@ -307,7 +323,8 @@ def lazy_star(spark: SparkSession, sf_dir: str, spread: bool = False) -> Star:
     return Star(spark=spark, suppliers=Deferred(lambda: conform_suppliers(raw)),
                 products=Deferred(lambda: conform_products(src)),
                 purchase_orders=Deferred(lambda: purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw))),
-                inventory_snapshots=Deferred(lambda: inventory_panel(conform_products(src))), source=sf_dir)
+                inventory_snapshots=Deferred(lambda: inventory_panel(conform_products(src))), source=sf_dir,
+                laid=lambda lay: purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw), lay))
 
 
 def dense_suppliers(spark: SparkSession, sf_dir: str) -> None:
@@ -345,9 +362,12 @@ def materialize_star(star: Star, path: str) -> Star:
     def plain(df: DataFrame, folder: str) -> None:
         df.write.mode("overwrite").parquet(folder)
 
+    def months_met(df: DataFrame) -> DataFrame:
+        return (df.withColumn(ORDER_MONTH, F.date_format("order_date", "yyyy-MM")).hint("rebalance", F.col(ORDER_MONTH))
+                .sortWithinPartitions(ORDER_MONTH, "order_date"))
+
     def by_month(df: DataFrame, folder: str) -> None:
-        (df.withColumn(ORDER_MONTH, F.date_format("order_date", "yyyy-MM")).hint("rebalance", F.col(ORDER_MONTH))
-         .sortWithinPartitions(ORDER_MONTH, "order_date")
+        ((star.laid(months_met) if star.laid else months_met(df))
          .write.mode("overwrite").partitionBy(ORDER_MONTH).parquet(folder))
 
     def by_snapshot(df: DataFrame, folder: str) -> None:

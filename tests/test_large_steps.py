@@ -48,3 +48,14 @@ def test_a_landed_feed_has_files_of_bounded_size(spark, monkeypatch):
     assert same(feed, lines)
     sizes = [r["count"] for r in feed.groupBy(F.input_file_name()).count().collect()]
     assert max(sizes) <= 300 * 1.1 and len(sizes) % R.BATCHES == 0
+
+
+def test_order_lines_are_joined_unsorted_and_moved_narrow(spark):
+    star = C.lazy_star(spark, SF_SMALL)
+    text = plan(star.purchase_orders)
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    laid = star.laid(lambda df: df.withColumn(C.ORDER_MONTH, F.date_format("order_date", "yyyy-MM")).hint(
+        "rebalance", F.col(C.ORDER_MONTH)))
+    below = plan(laid).split("REBALANCE")[1]
+    assert "expected_delivery_date" not in below
+    assert same(laid.drop(C.ORDER_MONTH), star.purchase_orders)
