@@ -193,10 +193,10 @@ def inventory_panel(products: DataFrame, start: _dt.date = SNAPSHOT_START,
     is a narrow transformation of ``products`` (no join, no shuffle).
     """
     wh = F.array(*[F.lit(w) for w in warehouses])
-    p = products.select("product_id")
-    x = (p.select("product_id", F.posexplode(wh).alias("wi", "warehouse"))
-          .select("product_id", "wi", "warehouse",
-                  F.explode(F.sequence(F.lit(0), F.lit(weeks - 1))).alias("w")))
+    p = products
+    if "w" not in p.columns:          # else a row per product and week is given
+        p = p.withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(weeks - 1))))
+    x = p.select("product_id", "w", F.posexplode(wh).alias("wi", "warehouse"))
     on_hand = F.pmod(F.col("product_id") * 7919 + F.col("wi") * 104729 + F.col("w") * 1299709,
                      F.lit(501)).cast("int")
     reorder = (F.lit(50) + F.lit(50) * F.pmod(F.col("product_id"), F.lit(3))).cast("int")
@@ -240,6 +240,7 @@ class Star:
     path: str | None = None           # folder of the written star (None: lazy views)
     months: Callable[[str, str], DataFrame] | None = None     # order lines of whole months, where stored by month
     laid: Callable[[Callable], DataFrame] | None = None       # order lines whose rows a function deals out early
+    panel: Callable[[], DataFrame] | None = None              # the inventory, a snapshot date a partition
     _bounded: dict = field(default_factory=dict)
 
     def __getattribute__(self, name: str):
@@ -324,7 +325,25 @@ def lazy_star(spark: SparkSession, sf_dir: str, spread: bool = False) -> Star:
                 products=Deferred(lambda: conform_products(src)),
                 purchase_orders=Deferred(lambda: purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw))),
                 inventory_snapshots=Deferred(lambda: inventory_panel(conform_products(src))), source=sf_dir,
-                laid=lambda lay: purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw), lay))
+                laid=lambda lay: purchase_orders_from(src.lineitem, raw.orders, n_suppliers(raw), lay),
+                panel=lambda: _dealt_panel(src))
+
+
+# Products of a task that writes their stock of one snapshot date.
+PANEL_PRODUCTS = 250_000
+
+
+def _dealt_panel(raw) -> DataFrame:
+    """The inventory in partitions of one snapshot date and a bounded number of products each.
+
+    Product and week are dealt out, whatever the files of ``part``; the warehouses
+    and quantities that follow from them are generated where they are written.
+    """
+    products = raw.part.select(F.col("p_partkey").alias("product_id"))
+    shares = -(-products.count() // PANEL_PRODUCTS) or 1
+    weeks = products.withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_WEEKS - 1))))
+    place = F.col("w") * shares + F.pmod(F.xxhash64("product_id"), F.lit(shares)).cast("int")
+    return inventory_panel(weeks.repartitionById(SNAPSHOT_WEEKS * shares, place))
 
 
 def dense_suppliers(spark: SparkSession, sf_dir: str) -> None:
@@ -348,8 +367,9 @@ def materialize_star(star: Star, path: str) -> Star:
     a lost executor costs a re-read of files instead of a recompute of the
     lineitem x orders join. Order lines are stored by order month and inventory
     by snapshot date, so a month window or the latest snapshot opens only its
-    own folders. Rows of a folder meet through an adaptive rebalance: small
-    folders are few files, and a folder with a third of all rows is split.
+    own folders. Order lines of a folder meet through an adaptive rebalance: small
+    folders are few files, and a folder with a third of all rows is split. Of
+    the inventory only products and weeks are dealt out, its rows are moved nowhere.
     """
     spark = star.spark
 
@@ -371,7 +391,8 @@ def materialize_star(star: Star, path: str) -> Star:
          .write.mode("overwrite").partitionBy(ORDER_MONTH).parquet(folder))
 
     def by_snapshot(df: DataFrame, folder: str) -> None:
-        (df.hint("rebalance", F.col("snapshot_date")).sortWithinPartitions("snapshot_date")
+        panel = star.panel() if star.panel else df.hint("rebalance", F.col("snapshot_date"))
+        (panel.sortWithinPartitions("snapshot_date")
          .write.mode("overwrite").partitionBy("snapshot_date").parquet(folder))
 
     def inventory() -> DataFrame:

@@ -59,3 +59,16 @@ def test_order_lines_are_joined_unsorted_and_moved_narrow(spark):
     below = plan(laid).split("REBALANCE")[1]
     assert "expected_delivery_date" not in below
     assert same(laid.drop(C.ORDER_MONTH), star.purchase_orders)
+
+
+def test_a_stored_inventory_comes_in_partitions_of_one_date(spark, monkeypatch):
+    monkeypatch.setattr(C, "PANEL_PRODUCTS", 60, raising=False)
+    star = C.lazy_star(spark, SF_SMALL)
+    panel = star.panel()
+    each = panel.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count_distinct("snapshot_date").alias("dates"), F.count(F.lit(1)).alias("n")).collect()
+    assert {r.dates for r in each} == {1} and max(r.n for r in each) < 2 * 60 * len(C.WAREHOUSES)
+    assert same(panel, star.inventory_snapshots)
+    stored = C.materialize_star(star, new(spark, "star"))
+    assert same(stored.inventory_snapshots, star.inventory_snapshots)
+    assert same(stored.purchase_orders, star.purchase_orders)
