@@ -68,13 +68,27 @@ def orphan_report(star) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# Rows of a task that counts keys, and the most such tasks (more than 200 partitions are sorted as they are written).
+KEY_ROWS, KEY_TASKS = 500_000, 200
+
+
+def _dealt(keys: DataFrame) -> DataFrame:
+    """The rows dealt out by all their columns, as one aggregation of nearly unique keys needs them.
+
+    Counted where they are read, such keys fill a task's memory: a split of a
+    compressed file may hold tens of millions of them, and none goes before the exchange.
+    """
+    n = -(-keys.count() // KEY_ROWS)
+    return keys.repartition(max(1, min(n, KEY_TASKS)), *keys.columns)
+
+
 def uniqueness_report(star) -> DataFrame:
     """Duplicate-key counts of every dimension, the snapshot grain and the declared order key."""
     keys = [("suppliers", star.suppliers, ["supplier_id"]), ("products", star.products, ["product_id"]),
             ("inventory_snapshots", star.inventory_snapshots,
              ["snapshot_date", "product_id", "warehouse"]),
             ("purchase_orders", star.purchase_orders, ["order_id", "line_number"])]
-    parts = [assert_unique(df.select(*key), key)
+    parts = [assert_unique(_dealt(df.select(*key)), key)
              .agg(F.count(F.lit(1)).alias("duplicate_keys"),
                   F.coalesce(F.sum("occurrences"), F.lit(0)).alias("rows_of_duplicates"))
              .select(F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key"),

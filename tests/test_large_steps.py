@@ -72,3 +72,11 @@ def test_a_stored_inventory_comes_in_partitions_of_one_date(spark, monkeypatch):
     stored = C.materialize_star(star, new(spark, "star"))
     assert same(stored.inventory_snapshots, star.inventory_snapshots)
     assert same(stored.purchase_orders, star.purchase_orders)
+
+
+def test_keys_are_dealt_out_before_they_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(Q, "KEY_ROWS", 100, raising=False)
+    star = C.lazy_star(spark, SF_SMALL)
+    report = Q.uniqueness_report(star)
+    assert plan(report).count("REPARTITION_BY_NUM") >= 4
+    assert {r.table_name for r in report.collect()} == {"suppliers", "products", "inventory_snapshots", "purchase_orders"}
