@@ -148,7 +148,9 @@ def r_two_feeds(spark, sf_dir) -> DataFrame:
 
 def run_retraction(spark, star, run: str, measures=None, triggers: int = 3, buckets: int = 32) -> Refresh:
     """Versions before delivery in one trigger, then the final ones in ``triggers`` more."""
-    v1, v2 = U.order_versions(U.with_occurrence(star.purchase_orders))
+    # numbered once: each feed below is a scan of what is stored
+    U.with_occurrence(star.purchase_orders).write.mode("overwrite").parquet(f"{run}/numbered")
+    v1, v2 = U.order_versions(spark.read.parquet(f"{run}/numbered"))
     dim = supplier_dim(star)
     dim = F.broadcast(dim) if star.small_frame("suppliers", dim) else dim
     refresh = Refresh(spark, f"{run}/kpi", v1.schema, U.ORDER_KEYS, "version", measures or R.kpi_measures(), ("region",),

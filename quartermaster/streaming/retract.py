@@ -33,6 +33,10 @@ from ..operators.metrics import Measure
 from ..session import path_exists
 from .upsert import latest_versions, newness
 
+# Versions of a task that seeks the newest of each key, and the most such tasks
+# (more than 200 partitions are sorted as they are written).
+PART_ROWS, MOST_PARTS = 500_000, 200
+
 
 @dataclass
 class Refresh:
@@ -71,15 +75,21 @@ class Refresh:
 
     def state(self, epoch: int | None = None, at: list[int] | None = None) -> DataFrame | None:
         """The newest versions before ``epoch`` (all), in buckets ``at`` (all)."""
-        rows = self._versions(epoch, at)
-        return None if rows is None else latest_versions(rows, self.keys, self.version)
+        rows, base, since = self._versions(epoch, at), *self._stored(epoch)
+        # a base alone, or one epoch's log, holds a key once
+        alone = rows is None or len(since) + (base >= 0) == 1
+        return rows if alone else latest_versions(rows, self.keys, self.version)
 
-    def _versions(self, epoch: int | None, at: list[int] | None) -> DataFrame | None:
+    def _stored(self, epoch: int | None) -> tuple[int, list[int]]:
+        """The base before ``epoch`` (all; -1: none), and the epochs of the log since."""
         before = [e for e in self._epochs("log") if epoch is None or e < epoch]
         base = max((e for e in self._epochs("base") if epoch is None or e < epoch), default=-1)
+        return base, [e for e in before if e > base]
+
+    def _versions(self, epoch: int | None, at: list[int] | None) -> DataFrame | None:
+        base, since = self._stored(epoch)
         names = [f.name for f in self.schema.fields]
         parts = [self._read("base", [base], at).select(*names)] if base >= 0 else []
-        since = [e for e in before if e > base]
         if since:
             parts.append(self._read("log", since, at).select(*[F.col("new")[c].alias(c) for c in names]))
         return reduce(DataFrame.unionByName, parts) if parts else None
@@ -100,22 +110,32 @@ class Refresh:
     def _log(self, batch: DataFrame, epoch: int, seen: dict) -> None:
         """The versions that are newer than the state's, each with the one it replaces."""
         names = [f.name for f in self.schema.fields]
+        if self._stored(epoch) == (-1, []):
+            return self._first(batch.select(*names), epoch)
         new = latest_versions(batch.select(*names), self.keys, self.version)
         fresh = new.select(*self.keys, F.struct(*names).alias("new"), newness(new, self.version).alias("n"),
                            self.bucket().alias("bucket"))
         at = [r.bucket for r in batch.select(self.bucket().alias("bucket")).distinct().collect()]      # ``buckets`` at most
         old = self._versions(epoch, at)
-        if old is None:
-            rows = fresh.withColumn("old", F.lit(None).cast(fresh.schema["new"].dataType))
-        else:
-            seen["state_rows"] = old.count()           # from the files' footers
-            # before the newest is sought, what isn't asked for goes
-            old = latest_versions(old.join(new.select(*self.keys), list(self.keys), "left_semi"), self.keys, self.version)
-            old = old.select(*self.keys, F.struct(*names).alias("old"), newness(old, self.version).alias("o"))
-            rows = fresh.join(old, list(self.keys), "left").where(F.col("o").isNull() | (F.col("n") > F.col("o")))
+        seen["state_rows"] = old.count()           # from the files' footers
+        # before the newest is sought, what isn't asked for goes
+        old = latest_versions(old.join(new.select(*self.keys), list(self.keys), "left_semi"), self.keys, self.version)
+        old = old.select(*self.keys, F.struct(*names).alias("old"), newness(old, self.version).alias("o"))
+        rows = fresh.join(old, list(self.keys), "left").where(F.col("o").isNull() | (F.col("n") > F.col("o")))
         (rows.select("new", "old", "bucket").repartition("bucket").write.mode("overwrite")
          .partitionBy("bucket").parquet(f"{self.folder}/log/epoch={epoch}"))
 
+    def _first(self, batch: DataFrame, epoch: int) -> None:
+        """The log where no state is: one exchange serves the newest versions and the folders alike."""
+        names = [f.name for f in self.schema.fields]
+        parts = max(self.buckets, min(-(-batch.count() // PART_ROWS), MOST_PARTS))
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets * -(-parts // self.buckets)))
+        rows = batch.withColumns({"bucket": self.bucket(), "__part": part}).repartition(parts, "bucket", "__part")
+        new = rows.groupBy("bucket", "__part", *self.keys).agg(
+            F.max_by(F.struct(*names), newness(rows.select(*names), self.version)).alias("new"))
+        (new.select("new", F.lit(None).cast(new.schema["new"].dataType).alias("old"), "bucket")
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/log/epoch={epoch}"))
+
     def _changes(self, log: DataFrame) -> DataFrame:
         """Versions with ``sign`` +1 for what came and -1 for what went, and the columns of ``by``."""
         names = [f.name for f in self.schema.fields]
@@ -187,8 +207,10 @@ class Refresh:
         size = self._read("base", [base]).count() if base >= 0 else 0
         logged = self._read("log", [e for e in self._epochs("log") if base < e <= epoch]).count()
         if logged >= max(size, 1):
-            (self.state(epoch + 1).withColumn("bucket", self.bucket()).repartition("bucket").write.mode("overwrite")
-             .partitionBy("bucket").parquet(f"{self.folder}/base/epoch={epoch}"))
+            state = self.state(epoch + 1).withColumn("bucket", self.bucket())
+            if base >= 0 or len(self._stored(epoch + 1)[1]) > 1:       # one epoch's log lies by bucket already
+                state = state.repartition("bucket")
+            state.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/base/epoch={epoch}")
 
     # ---- what is read -----------------------------------------------------------
     def kpis(self) -> DataFrame:

@@ -80,3 +80,18 @@ def test_keys_are_dealt_out_before_they_are_counted(spark, monkeypatch):
     report = Q.uniqueness_report(star)
     assert plan(report).count("REPARTITION_BY_NUM") >= 4
     assert {r.table_name for r in report.collect()} == {"suppliers", "products", "inventory_snapshots", "purchase_orders"}
+
+
+def test_the_first_trigger_seeks_the_newest_versions_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(T, "latest_versions", lambda *a: calls.append(1) or U.latest_versions(*a))
+    schema = spark.createDataFrame([], "k long, g string, v decimal(12,2), version int").schema
+    total = M.measure("total", {"v": ("sum", F.col("v"))}, lambda p: p("v").cast("double"))
+    r = T.Refresh(spark, new(spark, "first"), schema, ("k",), "version", [M.count_rows(), total], ("g",), lambda x: x, 4)
+    of = lambda rows: spark.createDataFrame(rows, "k long, g string, v double, version int").select(
+        "k", "g", F.col("v").cast("decimal(12,2)").alias("v"), "version").to(schema)
+    r.apply(of([(1, "a", 5.0, 1), (1, "a", 7.0, 2), (2, "b", 1.0, 1), (None, "b", 3.0, 1)]), 0)
+    assert not calls
+    assert r.state().count() == 3
+    r.apply(of([(2, "a", 2.0, 2), (2, "a", 9.0, 1), (3, "b", 4.0, 1)]), 1)
+    assert sorted(map(tuple, r.kpis().collect()), key=repr) == [("a", 2, 9.0), ("b", 2, 7.0)]
