@@ -1,7 +1,7 @@
 """Phrase collocation mining by prefix-free parsing.
 
 Texts are split into pieces and words. A piece is cut into chunks at trigger
-windows, runs of ``max_words - 1`` words whose checksum is divisible by
+windows, runs of ``max_words - 1`` words whose checksums add up to a multiple of
 ``TRIGGER`` (one of ``WHOLE`` words or fewer is one chunk); a chunk ends with the window that the next one begins with. Equal
 content is cut alike wherever it stands, so copies and shared passages become one
 row of the dictionary with a count. Phrases are counted inside the distinct
@@ -22,11 +22,12 @@ equal scores go by count, then by phrase; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import cached_property, reduce
+from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-PIECE = re.compile(rb"[.,;:!?\n-\r]")
+ENDS, UPPER = b".,;:!?\x0b\x0c\r", bytes(range(65, 91))
+PLAIN = bytes.maketrans(ENDS + UPPER, b"\n" * len(ENDS) + UPPER.lower())      # a piece is a line of the plain text
 TRIGGER = 8                   # one window in so many ends a chunk
 WHOLE = 16                    # a piece of so many words is a chunk
 MIN_COUNT, MAX_WORDS, PER_LANG = 100, 5, 2000
@@ -45,19 +47,22 @@ COVERED = 100                 # percent of its occurrences that a longer phrase
 HELD = 200_000                # distinct keys that a task gathers before it hands them on
 FILTER_BITS, MOST_BITS = 16, 1 << 29
 PAIRS_HELD = 1_000_000        # pairs that a task gathers before it sums and hands them on
+LONG = 64                     # bytes of a word hashed along with the others
 SPARE = 20                    # bits of a hash that choose no bit
 BUCKET = 32_768               # bits of one bitmap of Spark's bitmap_construct_agg
 
 
-def chunks(words: list[bytes], w: int, trigger: int = TRIGGER, whole: int = WHOLE) -> Iterator[tuple[bytes, int]]:
+def chunks(words: list[bytes], w: int, trigger: int = TRIGGER, whole: int = WHOLE) -> list[tuple[bytes, int]]:
     """The chunks of one piece, and of how many words the phrases that begin there are the chunk's own."""
-    start = 0
-    for i in range(1, len(words) - w + 1) if len(words) > whole else ():
-        if zlib.crc32(b" ".join(words[i:i + w])) % trigger == 0:
-            yield b" ".join(words[start:i + w]), i - start
+    n, start, found = len(words), 0, []
+    if n > whole:
+        upto = [0, *accumulate(map(zlib.crc32, words))]
+        for i in [i for i, x in enumerate(map(sub, upto[w + 1:], upto[1:]), 1) if not x % trigger]:
+            found.append((b" ".join(words[start:i + w]), i - start))
             start = i
-    if words:
-        yield b" ".join(words[start:]), len(words) - start
+    if n:
+        found.append((b" ".join(words[start:]), n - start))
+    return found
 
 
 class Gathered:
@@ -74,7 +79,7 @@ class Gathered:
         rows = [(lang, number, c) for (lang, number), c in self.counts.items()]
         sizes = [len(c) for *_, c in rows]
         out = pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(np.array([x[0] for x in rows], object), sizes), pa.string()),
+            pa.array([x[0] for x in rows], pa.string()).take(pa.array(np.repeat(np.arange(len(rows)), sizes))),
             pa.array([p for *_, c in rows for p in c], pa.binary()).cast(pa.string()),
             pa.array(np.repeat(np.array([x[1] for x in rows], np.int32), sizes), pa.int32()),
             pa.array([n for *_, c in rows for n in c.values()], pa.int64())], ["lang", "phrase", "number", "n"])
@@ -89,9 +94,9 @@ def _gathering(each: Callable[[pa.RecordBatch, dict[tuple[str, int], Counter]],
     """A mapInArrow function: ``each`` adds a batch's rows to the counts and yields now and then."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known = Gathered(), Hashes()
+        held = Gathered()
         for batch in batches:
-            for _ in each(batch, held.counts, known):
+            for _ in each(batch, held.counts):
                 if held.full():
                     yield held.taken()
         yield held.taken()
@@ -102,12 +107,12 @@ def _gathering(each: Callable[[pa.RecordBatch, dict[tuple[str, int], Counter]],
 def _parse(w: int, trigger: int):
     """Texts to chunks; ``number`` is how many phrases of a length begin in a chunk and are its own."""
 
-    def each(batch, counts, known):
-        texts = _bytes(pc.ascii_lower(batch.column("text")))
-        for lang, text in zip(batch.column("lang").to_pylist(), texts):
-            for i, piece in enumerate(PIECE.split(text)):
+    def each(batch, counts):
+        for lang, text in zip(batch.column("lang").to_pylist(), _bytes(batch.column("text"))):
+            for i, piece in enumerate(text.translate(PLAIN).split(b"\n")):
                 for chunk, own in chunks(piece.split(), w, trigger):
-                    counts[lang, own][chunk] += 1
+                    held = counts[lang, own]
+                    held[chunk] = held.get(chunk, 0) + 1
                 if i % 4096 == 0:
                     yield
             yield
@@ -115,17 +120,19 @@ def _parse(w: int, trigger: int):
     return _gathering(each)
 
 
-class Hashes(dict):
-    """64-bit hashes of words, kept for the words met most recently."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > HELD:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 42)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def _hashes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words of a text, eight bytes at a time; of the rare long ones, one by one."""
+    blocks = np.ndarray(len(text) + 1, "<u8", text + bytes(8), strides=(1,))
+    sizes = ends - starts
+    out = sizes.astype(np.uint64)
+    for done in range(0, min(int(sizes.max(initial=0)), LONG), 8):
+        at = np.flatnonzero(sizes > done)
+        left = np.minimum(sizes[at] - done, 8).astype(np.uint64)
+        part = (out[at] ^ (blocks[starts[at] + done] << (np.uint64(64) - np.uint64(8) * left))) * np.uint64(0x9E3779B97F4A7C15)
+        out[at] = part ^ (part >> np.uint64(32))
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(text[starts[i]:ends[i]], 42)
+    return out
 
 
 def _codes(hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
@@ -156,18 +163,17 @@ def _hashed(size: int):
     """Phrases to their codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for batch in batches:
-            codes = [_codes(known.of(p.split(b" ")), size, lang.encode())[0] for lang, p in
-                     zip(batch.column("lang").to_pylist(), _bytes(batch.column("phrase")))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(codes, np.uint64).view(np.int64))], ["code"])
+            for lang, t in _texts(batch):
+                codes = _codes(t.hashes, size, lang.encode())[::size]
+                yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64))], ["code"])
 
     return run
 
 
 def frequent(phrases: DataFrame, size: int) -> Frequent:
-    """The bit array of (lang, phrase)."""
-    return _filter(phrases.select("lang", "phrase").mapInArrow(_hashed(size), "code long"), phrases.count())
+    """The bit array of (lang, phrase, number, n)."""
+    return _filter(phrases.mapInArrow(_hashed(size), "code long"), phrases.count())
 
 
 def _filter(codes: DataFrame, n: int) -> Frequent:
@@ -182,43 +188,44 @@ def _filter(codes: DataFrame, n: int) -> Frequent:
     return Frequent(bits, bytes(array))
 
 
-BREAK = b"\n"                 # between texts; no word holds it
-
-
 def _bytes(column: pa.Array) -> np.ndarray:
     return column.cast(pa.binary()).to_numpy(zero_copy_only=False)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes, int, int]]:
-    """(lang, phrase, number, n) of gathered rows."""
-    return zip(batch.column("lang").to_numpy(zero_copy_only=False), _bytes(batch.column("phrase")),
-               batch.column("number").to_numpy().tolist(), batch.column("n").to_numpy().tolist())
+class Texts:
+    """The words of all rows of one language, one row after the other."""
 
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        own, length = batch.column("number").to_numpy(), pc.count_substring(batch.column("phrase"), " ").to_numpy() + 1
+        self.text = b" ".join(_bytes(batch.column("phrase")))
+        self.ends = np.append(np.flatnonzero(np.frombuffer(self.text, np.uint8) == 32), len(self.text))
+        self.starts = np.append(0, self.ends[:-1] + 1)
+        self.n = np.repeat(batch.column("n").to_numpy(), length)
+        first, at = np.cumsum(length) - length, np.arange(len(self.n))
+        self.left = np.repeat(first + length, length) - at       # words from here to the end of the row
+        self.own = np.repeat(first + own, length) - at           # of them, how many begin the row's own phrases; below 1 none
 
-def _texts(batch: pa.RecordBatch, size: int, least: int | None = None):
-    """For each language the words of all rows, cut to what their own phrases of ``size`` words reach.
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return _hashes(self.text, self.starts, self.ends)
 
-    (language, words with a BREAK after each row, how often each position counts, whether it is a
-    word, each row's end, and of how many words its own phrases begin); rows of fewer than ``least``
-    words (``size``) are left out.
-    """
-    by_lang: dict[str, tuple[list, list, list, list]] = defaultdict(lambda: ([], [], [], []))
-    for lang, text, own, n in _rows(batch):
-        length = text.count(b" ") + 1
-        reach = min(length, own + size - 1)
-        if reach >= (least or size):
-            texts, lengths, ns, owns = by_lang[lang]
-            owns.append(own)
-            texts.append(text if reach == length else text.rsplit(b" ", length - reach)[0])
-            lengths.append(reach)
-            ns.append(n)
-    for lang, (texts, lengths, ns, owns) in by_lang.items():
-        words = (b" " + BREAK + b" ").join(texts).split(b" ")
-        words.append(BREAK)
-        room = np.array(lengths) + 1
-        word, ends = np.ones(len(words), bool), np.cumsum(room)
-        word[ends - 1] = False
-        yield lang, words, np.repeat(np.array(ns), room), word, ends, np.array(owns)
+    def begin(self, size: int) -> np.ndarray:
+        """Whether one of its row's own phrases of ``size`` words begins at a position."""
+        return (self.left >= size) & (self.own > 0)
+
+    def phrases(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The phrases from one word to another."""
+        return list(map(self.text.__getitem__, map(slice, self.starts[first].tolist(), self.ends[last].tolist())))
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, Texts]]:
+    """The rows of a batch by language."""
+    langs = batch.column("lang").dictionary_encode()
+    order = np.argsort(langs.indices.to_numpy(), kind="stable")
+    batch, at = batch.take(pa.array(order)), 0
+    for lang, size in zip(langs.dictionary.to_pylist(), np.bincount(langs.indices.to_numpy()).tolist()):
+        yield lang, Texts(batch.slice(at, size))
+        at += size
 
 
 def _add(into: Counter, phrases: list[bytes], ns: np.ndarray) -> None:
@@ -228,42 +235,48 @@ def _add(into: Counter, phrases: list[bytes], ns: np.ndarray) -> None:
         into[phrases[i]] += int(ns[i])
 
 
-def _phrases_at(words: list[bytes], at: np.ndarray, size: int) -> list[bytes]:
-    if size == 1:
-        return [words[i] for i in at.tolist()]
-    return [b" ".join(words[i:i + size]) for i in at.tolist()]
+def _words(batch, counts):
+    """Every word, summed for the batch before it is added."""
+    for lang, t in _texts(batch):
+        words = pc.split_pattern(pa.array([t.text], pa.binary()), " ").values.filter(pa.array(t.begin(1))).dictionary_encode()
+        ns = np.zeros(len(words.dictionary), np.int64)
+        np.add.at(ns, words.indices.to_numpy(), t.n[t.begin(1)])
+        _add(counts[lang, 1], words.dictionary.to_numpy(zero_copy_only=False).tolist(), ns)
+        yield
 
 
 def _count(size: int, below):
     """Phrases of ``size`` words; ``below`` holds the filter of one word fewer (None: all that are there may count)."""
 
-    def each(batch, counts, known):
-        for lang, words, n, word, *_ in _texts(batch, size):
-            fits = word[:max(len(word) - size + 1, 0)].copy()
-            for i in range(1, size):
-                fits &= word[i:len(word) - size + 1 + i]
+    def each(batch, counts):
+        for lang, t in _texts(batch):
+            fits = t.begin(size)[:max(len(t.left) - size + 1, 0)]
             if below is not None:
-                good = below.value(known.of(words), size - 1, lang.encode())
+                good = below.value(t.hashes, size - 1, lang.encode())
                 fits &= good[:len(fits)] & good[1:len(fits) + 1]
             at = np.flatnonzero(fits)
-            _add(counts[lang, size], _phrases_at(words, at, size), n[at])
+            _add(counts[lang, size], t.phrases(at, at + size - 1), t.n[at])
             yield
 
     return _gathering(each)
 
 
+def _both(t: Texts, words_held, lang: bytes) -> np.ndarray:
+    """Whether a position's word and the next one are frequent; the last position has no next one."""
+    good = words_held.value(t.hashes, 1, lang)
+    return good[:-1] & good[1:]
+
+
 def _pairs(words_held):
     """Codes of the pairs of frequent words with partial counts: numbers alone, as most pairs are rare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, codes, ns, held = Hashes(), [], [], 0
+        codes, ns, held = [], [], 0
         for batch in batches:
-            for lang, words, n, word, *_ in _texts(batch, 2):
-                hashes = known.of(words)
-                good = words_held.value(hashes, 1, lang.encode()) & word
-                at = np.flatnonzero(good[:-1] & good[1:])
-                codes.append(_codes(hashes, 2, lang.encode())[at])
-                ns.append(n[at])
+            for lang, t in _texts(batch):
+                at = np.flatnonzero(t.begin(2)[:-1] & _both(t, words_held, lang.encode()))
+                codes.append(_codes(t.hashes, 2, lang.encode())[at])
+                ns.append(t.n[at])
                 held += len(at)
             if held > PAIRS_HELD:
                 yield _summed(codes, ns)
@@ -285,19 +298,18 @@ def _summed(codes: list[np.ndarray], ns: list[np.ndarray]) -> pa.RecordBatch:
 def _runs(w: int, words_held, pairs_held):
     """Chunks to their longest runs of frequent pairs; ``number`` as in the chunks."""
 
-    def each(batch, counts, known):
-        for lang, words, n, word, ends, owns in _texts(batch, w + 1, least=2):
-            hashes, code = known.of(words), lang.encode()
-            good = words_held.value(hashes, 1, code) & word
-            pair = good[:-1] & good[1:] & pairs_held.value(hashes, 2, code)
+    def each(batch, counts):
+        for lang, t in _texts(batch):
+            code = lang.encode()
+            pair = _both(t, words_held, code) & pairs_held.value(t.hashes, 2, code)
+            pair &= (t.left >= 2)[:-1] & (t.own + w >= 2)[:-1]
             edge = np.flatnonzero(np.diff(np.concatenate([[0], pair, [0]]))).reshape(-1, 2)
             # pairs [start, end), words [start, end]
-            of = np.searchsorted(ends, edge[:, 0], side="right")
-            limit = (np.concatenate([[0], ends[:-1]]) + owns)[of]
-            starts = np.minimum(limit, edge[:, 1] + 1) - edge[:, 0]
+            starts = np.minimum(t.own[edge[:, 0]], edge[:, 1] + 1 - edge[:, 0])
             at = np.flatnonzero(starts > 0)
-            for (start, end), own, k in zip(edge[at].tolist(), starts[at].tolist(), n[edge[at, 0]].tolist()):
-                counts[lang, own][b" ".join(words[start:end + 1])] += k
+            start, end = edge[at].T
+            for run, own, k in zip(t.phrases(start, end), starts[at].tolist(), t.n[start].tolist()):
+                counts[lang, own][run] += k
             yield
 
     return _gathering(each)
@@ -314,7 +326,7 @@ def counts(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, max
         return of.mapInArrow(by, GATHERED).groupBy("lang", "phrase", "number").agg(F.sum("n").alias("n"))
 
     parsed = materialise(spark, summed(texts, _parse(w, trigger)), "phrases-dictionary")
-    words = materialise(spark, summed(parsed, _count(1, None)), "phrases-words")
+    words = materialise(spark, summed(parsed, _gathering(_words)), "phrases-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     levels = [words.where(F.col("n") >= min_count)]
     if max_words > 1:

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quartermaster.llm import phrases as P
@@ -84,3 +86,44 @@ def test_empty_tables_and_extra_columns(spark):
     assert P.mine(spark, df).collect() == []
     one = spark.createDataFrame([("en", "a b a b a b", "x", 1, 2)] * 3, "lang string, text string, phrase string, n int, a int")
     assert [tuple(r) for r in P.mine(spark, one, min_count=3).collect()] == plain([("en", "a b a b a b")] * 3, 3, 2000)
+
+
+def chunk_rows(rows):
+    return pa.RecordBatch.from_pylist([dict(zip(("lang", "phrase", "number", "n"), r)) for r in rows], pa.schema(
+        [("lang", pa.string()), ("phrase", pa.string()), ("number", pa.int32()), ("n", pa.int64())]))
+
+
+def test_words_are_hashed_together_and_summed_once(monkeypatch):
+    batch = chunk_rows([("en", " ".join(f"word{i}x{k}" for k in range(20)), 16, 1) for i in range(200)])
+    single, summed = [], []
+    digest, crc32 = P.xxhash.xxh64_intdigest, P.zlib.crc32
+    monkeypatch.setattr(P.xxhash, "xxh64_intdigest", lambda *a: single.append(a) or digest(*a))
+    monkeypatch.setattr(P.zlib, "crc32", lambda x: summed.append(len(x)) or crc32(x))
+    [codes] = P._hashed(20)(iter([batch]))
+    assert len(set(codes.column("code").to_pylist())) == 200
+    assert len(single) < 10                                  # 4,000 different words
+    words = [b"word%d" % i for i in range(1000)]
+    assert len(P.chunks(words, 4, 8)) > 50
+    assert sum(summed) == sum(map(len, words))               # not once for each window a word is in
+
+
+def test_a_hash_is_the_words_alone():
+    rng = random.Random(5)
+    words = [bytes(rng.choice(b"ab\xc3\xa9") for _ in range(n)) for n in [*range(1, 140), 5000] for _ in range(3)] * 2
+    rng.shuffle(words)
+    ends = np.cumsum([len(x) + 1 for x in words]) - 1
+    found = P._hashes(b" ".join(words), ends - np.array([len(x) for x in words]), ends).tolist()
+    assert len(set(zip(words, found))) == len(set(words)) == len(set(found))
+
+
+def test_rows_of_several_languages_count_what_they_own():
+    # the second row's last two words are the next chunk's to count
+    batch = chunk_rows([("de", "a b c", 3, 2), ("en", "a b c d", 2, 1), ("de", "a b", 2, 5), ("en", "x", 1, 3)])
+
+    def found(each):
+        return sorted((r["lang"], r["phrase"], r["n"]) for out in each(iter([batch])) for r in out.to_pylist())
+
+    assert found(P._gathering(P._words)) == [
+        ("de", "a", 7), ("de", "b", 7), ("de", "c", 2), ("en", "a", 1), ("en", "b", 1), ("en", "x", 3)]
+    assert found(P._count(2, None)) == [("de", "a b", 7), ("de", "b c", 2), ("en", "a b", 1), ("en", "b c", 1)]
+    assert found(P._count(3, None)) == [("de", "a b c", 2), ("en", "a b c", 1), ("en", "b c d", 1)]
