@@ -483,7 +483,7 @@ def test_terms_and_rules(spark):
 @pytest.mark.parametrize("name", LLM_ORACLE)
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = LLM_QUERIES[name](spark, SF)
     rel = con.execute(LLM_ORACLE[name])
