@@ -82,7 +82,7 @@ def run_event_time(spark, orders: DataFrame, run: str, months: int = 12, days: i
     schema = orders.schema
     counted = T.replay(
         spark, periods,
-        lambda p: fed.where(F.col("period") == p).drop("period").write.parquet(f"{run}/feed/period={p}"),
+        lambda p: T.land(spark, fed.where(F.col("period") == p).drop("period"), f"{run}/feed", p),
         [lambda: T.split_late(spark.readStream.schema(schema).parquet(f"{run}/feed/period=*"), "order_date",
                               f"{days} days", f"{run}/routed", f"{run}/ckpt-route"),
          lambda: T.closed_days(T.on_time_stream(spark, schema, f"{run}/routed"), "order_date", f"{days} days",
@@ -123,7 +123,7 @@ def run_two_streams(spark, sf_dir: str, run: str, order=sorted, hours: int = FEE
                 f = spark.range(1).select(*[F.lit(fixed.get(c.name)).cast(c.dataType).alias(c.name) for c in schemas[k].fields])
             else:
                 f = f.where(F.col("period") == p).drop("period")
-            f.write.parquet(f"{run}/{k}/period={p}")
+            T.land(spark, f, f"{run}/{k}", p)
 
     feed = lambda k: spark.readStream.schema(schemas[k]).parquet(f"{run}/{k}/period=*")
     T.replay(spark, [*periods, *beats], land, [

@@ -113,6 +113,13 @@ def event_counts(spark: SparkSession, schema, time_col: str, out: str, sink: str
         F.max("is_open").alias("is_open"))
 
 
+def land(spark: SparkSession, rows: DataFrame, feed: str, period) -> None:
+    """Write a period aside and give it to the feed at once: a stream that runs sees all of its files or none."""
+    staged = f"{feed}-staged/{period}-{uuid.uuid4().hex[:8]}"
+    rows.write.parquet(staged)
+    publish(spark, staged, f"{feed}/period={period}")
+
+
 def replay(spark: SparkSession, periods: list, land: Callable[[object], None],
            queries: list[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
     """Land one period after the other; each query works off what the one before it has written.

@@ -84,6 +84,17 @@ def test_lines_on_time_and_late_equal_the_batch_counts(spark):
     assert got.agg(F.sum("late_count")).first()[0] > 0
 
 
+def test_a_feed_never_shows_half_a_period(spark):
+    feed = f"{new(spark, 'landing')}/lines"
+    rows = spark.range(0, 40, 1, 4)
+
+    with pytest.raises(Exception):                 # the other three parts may be written by then
+        T.land(spark, rows.where(F.expr("if(id = 39, raise_error('cut') is null, true)")), feed, 7)
+    assert not path_exists(spark, f"{feed}/period=7")
+    T.land(spark, rows, feed, 7)
+    assert spark.read.parquet(f"{feed}/period=*").count() == 40
+
+
 @pytest.mark.parametrize("backwards", [False, True])
 def test_two_feeds_in_any_order_lose_no_line(spark, backwards):
     star = load_star(spark, SF_SMALL)
