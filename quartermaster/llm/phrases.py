@@ -1,19 +1,21 @@
 """Phrase collocation mining by prefix-free parsing.
 
-Texts are split into pieces and words. A piece is cut into chunks at trigger
-windows, runs of ``max_words - 1`` words whose checksums add up to a multiple of
-``TRIGGER`` (one of ``WHOLE`` words or fewer is one chunk); a chunk ends with the window that the next one begins with. Equal
-content is cut alike wherever it stands, so copies and shared passages become one
-row of the dictionary with a count. Phrases are counted inside the distinct
-chunks, weighted by those counts. A phrase belongs to the chunk in which it begins
-before the closing window, so that one inside an overlap counts once.
-
-Longer phrases are counted level by level: a phrase of n words can reach the
-least count only if both of its parts of n - 1 words do. What passed the level
-below is a bit array (of 16 bits a phrase, 2**29 at most) that goes to the tasks: it lets
-through every frequent part and a few others, whose exact count then fails.
-Pairs are first counted by a 64-bit hash, which can only count too many; chunks are
-then reduced to the runs of such pairs in them, in which all phrases are counted as texts.
+Texts are split into pieces and words. A phrase can reach the least count only if
+its words and pairs do, so words, then pairs of frequent words, are counted by a
+64-bit hash, which can only count too many. The runs of frequent pairs in a piece are cut
+into chunks at trigger windows, runs of ``max_words - 1`` words whose checksums add
+up to a multiple of ``TRIGGER`` (a run of ``WHOLE`` words or fewer is one chunk); a
+chunk ends with the window that the next one begins with. Equal content is cut
+alike wherever it stands, so copies and shared passages become one row of the
+dictionary with a count. Phrases are counted inside the distinct chunks, weighted
+by those counts. A phrase belongs to the chunk in which it begins before the
+closing window, so that one inside an overlap counts once.
+
+Longer phrases are first counted by hash, level by level: a phrase of n words can
+reach the least count only if both of its parts of n - 1 words do. What passed a level
+is a Bloom filter (of 32 bits a phrase, 2**29 at most) that goes to the tasks: it lets
+through every frequent phrase and a few others. What it lets through is counted as
+text, so that the others fail; words are so counted where the dictionary is made.
 
 Defined cases: a null text is empty and a null language is ``und``; repeated rows
 and ids count each time; texts without a word and empty tables give no rows;
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property, reduce
 from itertools import accumulate
 from operator import sub
@@ -33,27 +35,32 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import materialise
 
 ENDS, UPPER = b".,;:!?\x0b\x0c\r", bytes(range(65, 91))
-PLAIN = bytes.maketrans(ENDS + UPPER, b"\n" * len(ENDS) + UPPER.lower())      # a piece is a line of the plain text
+PLAIN = bytes.maketrans(ENDS + UPPER + b"\t", b"\n" * len(ENDS) + UPPER.lower() + b" ")      # a piece is a line of the plain text
 TRIGGER = 8                   # one window in so many ends a chunk
-WHOLE = 16                    # a piece of so many words is a chunk
+WHOLE = 16                    # a run of so many words is a chunk
+SLICE = 1 << 21               # bytes of text that a task looks at together
 MIN_COUNT, MAX_WORDS, PER_LANG = 100, 5, 2000
 COVERED = 100                 # percent of its occurrences that a longer phrase must hold to replace a phrase
 HELD = 200_000                # distinct keys that a task gathers before it hands them on
-FILTER_BITS, MOST_BITS = 16, 1 << 29
-PAIRS_HELD = 1_000_000        # pairs that a task gathers before it sums and hands them on
+FILTER_BITS, MOST_BITS = 32, 1 << 29
+CODES_HELD = 2_000_000        # codes that a task gathers before it sums and hands them on
+PART_BITS = 10                # counts are summed a part at a time: of a hash, the first bits
 LONG = 64                     # bytes of a word hashed along with the others
-SPARE = 20                    # bits of a hash that choose no bit
+PROBES = 20, 0                # a code's bits in a filter are chosen by so many ..
+CHOOSE = 44                   # .. bits of the code from these on
 BUCKET = 32_768               # bits of one bitmap of Spark's bitmap_construct_agg
 
 
 def chunks(words: list[bytes], w: int, trigger: int = TRIGGER, whole: int = WHOLE) -> list[tuple[bytes, int]]:
-    """The chunks of one piece, and of how many words the phrases that begin there are the chunk's own."""
+    """The chunks of one run, and of how many words the phrases that begin there are the chunk's own."""
     n, start, found = len(words), 0, []
     if n > whole:
         upto = [0, *accumulate(map(zlib.crc32, words))]
@@ -87,7 +94,8 @@ class Gathered:
         return out
 
 
-GATHERED = "lang string, phrase string, number int, n long"
+GATHERED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("number", pa.int32()), ("n", pa.int64())])
+CODES = pa.schema([("code", pa.int64()), ("n", pa.int64())])
 
 
 def _gathering(each: Callable[[pa.RecordBatch, dict[tuple[str, int], Counter]], Iterator[None]]):
@@ -104,22 +112,6 @@ def _gathering(each: Callable[[pa.RecordBatch, dict[tuple[str, int], Counter]],
     return run
 
 
-def _parse(w: int, trigger: int):
-    """Texts to chunks; ``number`` is how many phrases of a length begin in a chunk and are its own."""
-
-    def each(batch, counts):
-        for lang, text in zip(batch.column("lang").to_pylist(), _bytes(batch.column("text"))):
-            for i, piece in enumerate(text.translate(PLAIN).split(b"\n")):
-                for chunk, own in chunks(piece.split(), w, trigger):
-                    held = counts[lang, own]
-                    held[chunk] = held.get(chunk, 0) + 1
-                if i % 4096 == 0:
-                    yield
-            yield
-
-    return _gathering(each)
-
-
 def _hashes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of words of a text, eight bytes at a time; of the rare long ones, one by one."""
     blocks = np.ndarray(len(text) + 1, "<u8", text + bytes(8), strides=(1,))
@@ -144,43 +136,33 @@ def _codes(hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
     return at * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _bit(codes: np.ndarray, bits: int) -> np.ndarray:
-    return (codes >> np.uint64(SPARE)) % np.uint64(bits)
-
-
 class Frequent:
-    """The bit array of a level's phrases, asked for all positions of a text at once."""
+    """The Bloom filter of a level's phrases, asked for all positions of a text at once."""
 
     def __init__(self, bits: int, array: bytes) -> None:
         self.bits, self.array = bits, np.frombuffer(array, np.uint8)
 
-    def __call__(self, hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
-        at = _bit(_codes(hashes, size, lang), self.bits)
+    def _has(self, codes: np.ndarray, probe: int) -> np.ndarray:
+        at = (codes >> np.uint64(probe) & np.uint64((1 << CHOOSE) - 1)) % np.uint64(self.bits)
         return (self.array[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        found = self._has(codes, PROBES[0])
+        for probe in PROBES[1:]:
+            at = np.flatnonzero(found)
+            found[at] = self._has(codes[at], probe)
+        return found
 
-def _hashed(size: int):
-    """Phrases to their codes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, t in _texts(batch):
-                codes = _codes(t.hashes, size, lang.encode())[::size]
-                yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64))], ["code"])
-
-    return run
-
-
-def frequent(phrases: DataFrame, size: int) -> Frequent:
-    """The bit array of (lang, phrase, number, n)."""
-    return _filter(phrases.mapInArrow(_hashed(size), "code long"), phrases.count())
+    def __call__(self, hashes: np.ndarray, size: int, lang: bytes) -> np.ndarray:
+        return self.has(_codes(hashes, size, lang))
 
 
 def _filter(codes: DataFrame, n: int) -> Frequent:
-    """The bit array of ``n`` codes; a driver value of MOST_BITS / 8 bytes at most."""
+    """The filter of ``n`` codes; a driver value of MOST_BITS / 8 bytes at most."""
     bits = min(max(1, -(-n * FILTER_BITS // BUCKET)) * BUCKET, MOST_BITS)
-    at = F.shiftrightunsigned("code", SPARE) % bits
-    rows = (codes.select((at / BUCKET).cast("int").alias("bucket"), (at % BUCKET).alias("bit"))
+    at = F.explode(F.array([F.shiftrightunsigned("code", x).bitwiseAND(F.lit((1 << CHOOSE) - 1)) % bits for x in PROBES]))
+    rows = (codes.select(at.alias("at"))
+            .select((F.col("at") / BUCKET).cast("int").alias("bucket"), (F.col("at") % BUCKET).alias("bit"))
             .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
     array = bytearray(bits // 8)
     for r in rows:
@@ -188,43 +170,128 @@ def _filter(codes: DataFrame, n: int) -> Frequent:
     return Frequent(bits, bytes(array))
 
 
+def _packed(counted: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """Partial counts as one row for each part: few rows are moved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in counted(batches):
+            if "code" in batch.schema.names:
+                code = batch.column("code").to_numpy().view(np.uint64)
+            else:
+                ends = np.cumsum(pc.binary_length(batch.column("phrase")).to_numpy())
+                starts = np.append(0, ends[:-1])
+                code = _codes(_hashes(b"".join(_bytes(batch.column("phrase"))), starts, ends), 1, b"")
+            part = (code >> np.uint64(64 - PART_BITS)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            batch, part = batch.take(pa.array(order)), part[order]
+            cut = np.flatnonzero(np.diff(part, prepend=-1, append=1 << PART_BITS))
+            rows = [batch.slice(a, b - a).serialize().to_pybytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]]), pa.array(rows, pa.binary())], ["part", "rows"])
+
+    return run
+
+
+def _merged(schema: pa.Schema, least: int):
+    """What one part's partial counts add up to, from ``least`` on."""
+
+    def run(packed: pa.Table) -> pa.Table:
+        rows = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(x), schema) for x in packed.column("rows").to_pylist()])
+        out = rows.group_by(schema.names[:-1], use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+        return out.filter(pc.greater_equal(out.column("n"), least)).select(schema.names)
+
+    return run
+
+
+def _totals(of: DataFrame, counted, schema: pa.Schema, least: int = 1) -> DataFrame:
+    return (of.mapInArrow(_packed(counted), "part int, rows binary").groupBy("part")
+            .applyInArrow(_merged(schema, least), from_arrow_schema(schema)))
+
+
 def _bytes(column: pa.Array) -> np.ndarray:
     return column.cast(pa.binary()).to_numpy(zero_copy_only=False)
 
 
 class Texts:
-    """The words of all rows of one language, one row after the other."""
+    """The words of all rows of one language, one row after the other; a row is a chunk, or a piece of a text."""
+
+    def __init__(self, text: bytes, ends: np.ndarray, left: np.ndarray, own: np.ndarray, n: np.ndarray | None) -> None:
+        self.text, self.ends, self.n = text, ends, n         # of each word, how often its row is there (None: once)
+        self.starts = np.append(0, ends[:-1] + 1)
+        self.left = left                                     # words from here to the end of the row
+        self.own = own                                       # of them, how many begin the row's own phrases; below 1 none
 
-    def __init__(self, batch: pa.RecordBatch) -> None:
+    @classmethod
+    def of_chunks(cls, batch: pa.RecordBatch) -> Texts:
         own, length = batch.column("number").to_numpy(), pc.count_substring(batch.column("phrase"), " ").to_numpy() + 1
-        self.text = b" ".join(_bytes(batch.column("phrase")))
-        self.ends = np.append(np.flatnonzero(np.frombuffer(self.text, np.uint8) == 32), len(self.text))
-        self.starts = np.append(0, self.ends[:-1] + 1)
-        self.n = np.repeat(batch.column("n").to_numpy(), length)
-        first, at = np.cumsum(length) - length, np.arange(len(self.n))
-        self.left = np.repeat(first + length, length) - at       # words from here to the end of the row
-        self.own = np.repeat(first + own, length) - at           # of them, how many begin the row's own phrases; below 1 none
+        text = b" ".join(_bytes(batch.column("phrase")))
+        ends = np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 32), len(text))
+        first, at = np.cumsum(length) - length, np.arange(len(ends))
+        return cls(text, ends, np.repeat(first + length, length) - at, np.repeat(first + own, length) - at,
+                   np.repeat(batch.column("n").to_numpy(), length))
+
+    @classmethod
+    def of_pieces(cls, plain: bytes) -> Texts | None:
+        """The words of the lines of a plain text that ends with a line's end; None where there is no word."""
+        chars = np.frombuffer(plain, np.uint8)
+        line = chars == 10
+        gap = line | (chars == 32)
+        kept = ~gap
+        kept[1:] |= kept[:-1] & gap[1:]                      # each word and one gap behind it
+        ended = np.flatnonzero(kept & gap)
+        if not len(ended):
+            return None
+        chars, ends = chars[kept], np.flatnonzero(gap[kept])
+        chars[ends] = 32
+        lines = np.searchsorted(ended, np.flatnonzero(line), side="right")
+        length = np.diff(lines, prepend=0)
+        left = np.repeat(lines, length) - np.arange(len(ends))
+        return cls(chars[:-1].tobytes(), ends, left, left, None)
 
     @cached_property
     def hashes(self) -> np.ndarray:
         return _hashes(self.text, self.starts, self.ends)
 
     def begin(self, size: int) -> np.ndarray:
-        """Whether one of its row's own phrases of ``size`` words begins at a position."""
-        return (self.left >= size) & (self.own > 0)
+        """Whether one of its row's own phrases of ``size`` words begins at a position; of as many as can have one."""
+        return ((self.left >= size) & (self.own > 0))[:max(len(self.left) - size + 1, 0)]
 
     def phrases(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
         """The phrases from one word to another."""
         return list(map(self.text.__getitem__, map(slice, self.starts[first].tolist(), self.ends[last].tolist())))
 
+    def times(self, at: np.ndarray) -> np.ndarray:
+        return np.ones(len(at), np.int64) if self.n is None else self.n[at]
+
+
+def _slices(texts: Iterable[bytes]) -> Iterator[bytes]:
+    """Plain texts as lines, about SLICE bytes at a time; a piece stays whole."""
+    held, size = [], 0
+    for text in texts:
+        plain, at = text.translate(PLAIN), 0
+        while at < len(plain):
+            to = len(plain)
+            if to - at > SLICE:
+                to = plain.rfind(b"\n", at, at + SLICE) + 1 or plain.find(b"\n", at + SLICE) + 1 or to
+            held.append(plain[at:to])
+            size, at = size + to - at, to
+            if size >= SLICE:
+                yield b"\n".join([*held, b""])
+                held, size = [], 0
+    if held:
+        yield b"\n".join([*held, b""])
+
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, Texts]]:
-    """The rows of a batch by language."""
+    """The rows of a batch by language: chunks, or texts (a column ``text``) by slices."""
     langs = batch.column("lang").dictionary_encode()
     order = np.argsort(langs.indices.to_numpy(), kind="stable")
     batch, at = batch.take(pa.array(order)), 0
     for lang, size in zip(langs.dictionary.to_pylist(), np.bincount(langs.indices.to_numpy()).tolist()):
-        yield lang, Texts(batch.slice(at, size))
+        rows = batch.slice(at, size)
+        if "text" in batch.schema.names:
+            yield from ((lang, t) for t in map(Texts.of_pieces, _slices(_bytes(rows.column("text")))) if t)
+        else:
+            yield lang, Texts.of_chunks(rows)
         at += size
 
 
@@ -236,80 +303,102 @@ def _add(into: Counter, phrases: list[bytes], ns: np.ndarray) -> None:
 
 
 def _words(batch, counts):
-    """Every word, summed for the batch before it is added."""
+    """Every word."""
     for lang, t in _texts(batch):
-        words = pc.split_pattern(pa.array([t.text], pa.binary()), " ").values.filter(pa.array(t.begin(1))).dictionary_encode()
-        ns = np.zeros(len(words.dictionary), np.int64)
-        np.add.at(ns, words.indices.to_numpy(), t.n[t.begin(1)])
-        _add(counts[lang, 1], words.dictionary.to_numpy(zero_copy_only=False).tolist(), ns)
+        _add_words(counts[lang, 1], t, t.begin(1))
         yield
 
 
-def _count(size: int, below):
-    """Phrases of ``size`` words; ``below`` holds the filter of one word fewer (None: all that are there may count)."""
+def _add_words(into: Counter, t: Texts, where: np.ndarray) -> None:
+    """Count the words at some positions, summed before they are added."""
+    words = pc.split_pattern(pa.array([t.text], pa.binary()), " ").values.filter(pa.array(where)).dictionary_encode()
+    ns = np.zeros(len(words.dictionary), np.int64)
+    if t.n is None:
+        ns += np.bincount(words.indices.to_numpy(), minlength=len(ns))
+    else:
+        np.add.at(ns, words.indices.to_numpy(), t.n[where])
+    _add(into, words.dictionary.to_numpy(zero_copy_only=False).tolist(), ns)
+
+
+def _count(size: int, held, most: int = 0):
+    """Phrases of ``size`` to ``most`` words that ``held`` lets through, filters by size (None: all that are there)."""
 
     def each(batch, counts):
         for lang, t in _texts(batch):
-            fits = t.begin(size)[:max(len(t.left) - size + 1, 0)]
-            if below is not None:
-                good = below.value(t.hashes, size - 1, lang.encode())
-                fits &= good[:len(fits)] & good[1:len(fits) + 1]
-            at = np.flatnonzero(fits)
-            _add(counts[lang, size], t.phrases(at, at + size - 1), t.n[at])
+            for k in range(size, max(size, most) + 1):
+                fits = t.begin(k)
+                if held is not None:
+                    fits &= held[k].value(t.hashes, k, lang.encode())
+                at = np.flatnonzero(fits)
+                _add(counts[lang, k], t.phrases(at, at + k - 1), t.times(at))
             yield
 
     return _gathering(each)
 
 
-def _both(t: Texts, words_held, lang: bytes) -> np.ndarray:
-    """Whether a position's word and the next one are frequent; the last position has no next one."""
-    good = words_held.value(t.hashes, 1, lang)
-    return good[:-1] & good[1:]
-
-
-def _pairs(words_held):
-    """Codes of the pairs of frequent words with partial counts: numbers alone, as most pairs are rare."""
+def _hashed(size: int, below=None):
+    """Codes of the phrases of ``size`` words whose two parts ``below`` lets through (None: of all) with partial counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ns, held = [], [], 0
         for batch in batches:
             for lang, t in _texts(batch):
-                at = np.flatnonzero(t.begin(2)[:-1] & _both(t, words_held, lang.encode()))
-                codes.append(_codes(t.hashes, 2, lang.encode())[at])
-                ns.append(t.n[at])
+                fits = t.begin(size)
+                if below is not None and len(fits):
+                    good = below.value(t.hashes, size - 1, lang.encode())
+                    fits &= good[:-1] & good[1:]
+                at = np.flatnonzero(fits)
+                codes.append(_codes(t.hashes, size, lang.encode())[at])
+                ns.append(None if t.n is None else t.n[at])
                 held += len(at)
-            if held > PAIRS_HELD:
-                yield _summed(codes, ns)
-                codes, ns, held = [], [], 0
+                if held > CODES_HELD:
+                    yield _summed(codes, ns)
+                    codes, ns, held = [], [], 0
         if held:
             yield _summed(codes, ns)
 
     return run
 
 
-def _summed(codes: list[np.ndarray], ns: list[np.ndarray]) -> pa.RecordBatch:
-    code, n = np.concatenate(codes), np.concatenate(ns)
-    order = np.argsort(code)
-    code, n = code[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-    return pa.RecordBatch.from_arrays([pa.array(code[first].view(np.int64)), pa.array(np.add.reduceat(n, first))], ["code", "n"])
+def _summed(codes: list[np.ndarray], ns: list[np.ndarray | None]) -> pa.RecordBatch:
+    """Codes in order, each once, and their counts (None: one each)."""
+    code, once = np.concatenate(codes), all(x is None for x in ns)
+    if once:
+        code.sort()
+    else:
+        n = np.concatenate([np.ones(len(c), np.int64) if x is None else x for c, x in zip(codes, ns)])
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+    first = np.flatnonzero(np.concatenate([[len(code) > 0], code[1:] != code[:-1]]))
+    n = np.diff(first, append=len(code)) if once else np.add.reduceat(n, first) if len(code) else n
+    return pa.RecordBatch.from_arrays([pa.array(code[first].view(np.int64)), pa.array(n)], ["code", "n"])
 
 
-def _runs(w: int, words_held, pairs_held):
-    """Chunks to their longest runs of frequent pairs; ``number`` as in the chunks."""
+def _dictionary(w: int, trigger: int, held: dict[int, Broadcast]):
+    """Texts to the chunks of their runs of frequent pairs; ``number`` is how many phrases of a length begin in a chunk and
+    are its own. Rows of number 0 are the words that ``held`` lets through, and all words as an empty phrase."""
 
     def each(batch, counts):
         for lang, t in _texts(batch):
             code = lang.encode()
-            pair = _both(t, words_held, code) & pairs_held.value(t.hashes, 2, code)
-            pair &= (t.left >= 2)[:-1] & (t.own + w >= 2)[:-1]
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], pair, [0]]))).reshape(-1, 2)
-            # pairs [start, end), words [start, end]
-            starts = np.minimum(t.own[edge[:, 0]], edge[:, 1] + 1 - edge[:, 0])
-            at = np.flatnonzero(starts > 0)
-            start, end = edge[at].T
-            for run, own, k in zip(t.phrases(start, end), starts[at].tolist(), t.n[start].tolist()):
-                counts[lang, own][run] += k
+            good = held[1].value(t.hashes, 1, code)
+            _add_words(counts[lang, 0], t, good)
+            counts[lang, 0][b""] += len(good)
+            if 2 in held:
+                pair = t.begin(2) & good[:-1] & good[1:]
+                at = np.flatnonzero(pair)
+                pair[at] = held[2].value.has(_codes(t.hashes, 2, code)[at])
+                # pairs [start, end), words [start, end]
+                start, end = np.flatnonzero(np.diff(np.concatenate([[0], pair, [0]]))).reshape(-1, 2).T
+                length = end + 1 - start
+                for size in np.unique(length).tolist():
+                    at = np.flatnonzero(length == size)
+                    runs = t.phrases(start[at], end[at])
+                    if size <= WHOLE:
+                        counts[lang, size].update(runs)
+                    else:
+                        for chunk, own in [c for run in runs for c in chunks(run.split(b" "), w, trigger)]:
+                            counts[lang, own][chunk] += 1
             yield
 
     return _gathering(each)
@@ -322,27 +411,24 @@ def counts(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, max
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    def summed(of: DataFrame, by) -> DataFrame:
-        return of.mapInArrow(by, GATHERED).groupBy("lang", "phrase", "number").agg(F.sum("n").alias("n"))
+    def frequent(of: DataFrame, size: int, below=None) -> Broadcast:
+        """The filter of the phrases of ``size`` words that occur ``min_count`` times, by their hashes."""
+        codes = materialise(spark, _totals(of, _hashed(size, below), CODES, min_count), f"phrases-codes-{size}")
+        return spark.sparkContext.broadcast(_filter(codes, codes.count()))
 
-    parsed = materialise(spark, summed(texts, _parse(w, trigger)), "phrases-dictionary")
-    words = materialise(spark, summed(parsed, _gathering(_words)), "phrases-words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    levels = [words.where(F.col("n") >= min_count)]
+    held = {1: frequent(texts, 1)}
+    if max_words > 1:
+        held[2] = frequent(texts, 2, held[1])
+    parsed = materialise(spark, _totals(texts, _dictionary(w, trigger, held), GATHERED), "phrases-dictionary")
+    totals = parsed.where("number = 0 and phrase = ''").groupBy("lang").agg(F.sum("n").alias("total"))
+    levels = [parsed.where("number = 0 and phrase <> ''").withColumn("number", F.lit(1)).where(F.col("n") >= min_count)]
     if max_words > 1:
-        held = [spark.sparkContext.broadcast(frequent(levels[0], 1))]
-        pairs = (parsed.mapInArrow(_pairs(held[0]), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-                 .where(F.col("n") >= min_count).select("code"))
-        pairs = materialise(spark, pairs, "phrases-pairs")
-        held.append(spark.sparkContext.broadcast(_filter(pairs, pairs.count())))
-        runs = materialise(spark, summed(parsed, _runs(w, *held)), "phrases-runs")
-        for size in range(2, max_words + 1):
-            if size > 2:
-                held.append(spark.sparkContext.broadcast(frequent(levels[-1], size - 1)))
-            found = summed(runs, _count(size, held[-1] if size > 2 else None))
-            levels.append(materialise(spark, found.where(F.col("n") >= min_count), f"phrases-{size}"))
-        for x in held:
-            x.unpersist()
+        parsed = parsed.where("number > 0")
+        for size in range(3, max_words + 1):
+            held[size] = frequent(parsed, size, held[size - 1])
+        levels.append(materialise(spark, _totals(parsed, _count(2, held, max_words), GATHERED, min_count), "phrases-found"))
+    for x in held.values():
+        x.unpersist()
     return reduce(DataFrame.unionByName, levels), totals
 
 

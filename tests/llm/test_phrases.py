@@ -127,3 +127,50 @@ def test_rows_of_several_languages_count_what_they_own():
         ("de", "a", 7), ("de", "b", 7), ("de", "c", 2), ("en", "a", 1), ("en", "b", 1), ("en", "x", 3)]
     assert found(P._count(2, None)) == [("de", "a b", 7), ("de", "b c", 2), ("en", "a b", 1), ("en", "b c", 1)]
     assert found(P._count(3, None)) == [("de", "a b c", 2), ("en", "a b c", 1), ("en", "b c d", 1)]
+
+
+def test_a_dictionary_holds_no_rare_words(spark, monkeypatch):
+    kept, materialise = {}, P.materialise
+
+    def recorded(spark, df, name):
+        kept[name] = materialise(spark, df, name)
+        return kept[name]
+
+    monkeypatch.setattr(P, "materialise", recorded)
+    rows = [("en", f"all of us said r{i}x r{i}y r{i}z and r{i}v went home") for i in range(300)]
+    got = P.mine(spark, spark.createDataFrame(rows, "lang string, text string"), min_count=20, per_lang=40)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, 20, 40)
+    held = kept["phrases-dictionary"].collect()
+    assert {r.phrase for r in held if r.number} == {"all of us said", "went home"}            # not a row for each text
+    assert {(r.phrase, r.n) for r in held if not r.number} == {("", 300 * 11), *[(x, 300) for x in "all of us said and went home".split()]}
+
+
+def test_a_filter_lets_all_of_its_own_and_few_others_through(spark):
+    codes = np.random.default_rng(7).integers(-2**63, 2**63 - 1, 60_000)
+    held = P._filter(spark.createDataFrame(pa.table({"code": codes[:10_000]})), 10_000)
+    assert held.has(codes[:10_000].view(np.uint64)).all()
+    assert held.has(codes[10_000:].view(np.uint64)).mean() < 0.01
+
+
+def test_codes_are_moved_as_few_rows_and_summed_exactly():
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 2000, "text": [f"w{i % 977} w{i % 13} w{i}" for i in range(2000)]})
+    out = list(P._packed(P._hashed(1))(iter([batch])))
+    assert sum(x.num_rows for x in out) <= 1 << P.PART_BITS
+    found = P._merged(P.CODES, 2)(pa.Table.from_batches(out)).column("code").to_pylist()
+    seen = Counter(w for t in batch.column("text").to_pylist() for w in t.split())
+    want = {w: P._codes(P._hashes(w.encode(), np.array([0]), np.array([len(w)])), 1, b"en").view(np.int64)[0] for w in seen}
+    assert set(found) == {c for w, c in want.items() if seen[w] >= 2} and len(found) == len(set(found))
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 21])
+def test_texts_are_cut_between_pieces_only(monkeypatch, size):
+    monkeypatch.setattr(P, "SLICE", size)
+    texts = ["", " ", "A b\tc  d,e f.\n\n g", "one two three four five six seven eight nine ten eleven; x", "été\x1cb \x0b\x0c\r  漢字\xa0z", "!!!", "end"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    got = []
+    for _, t in P._texts(batch):
+        words, at = t.text.split(b" "), 0
+        while at < len(words):
+            got.append(words[at:at + int(t.left[at])])
+            at += int(t.left[at])
+    assert got == [p.split() for x in texts for p in x.encode().translate(P.PLAIN).split(b"\n") if p.split()]
