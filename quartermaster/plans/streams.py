@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import metrics as M
 from ..operators.enrich import ORDER_DIMS, supplier_dim
+from ..session import path_exists, publish
 from ..sources.conform import load_star, n_suppliers, order_lines
 from ..sources.raw import Raw
 from ..streaming import event_time as T
@@ -148,18 +149,26 @@ def r_two_feeds(spark, sf_dir) -> DataFrame:
 
 def run_retraction(spark, star, run: str, measures=None, triggers: int = 3, buckets: int = 32) -> Refresh:
     """Versions before delivery in one trigger, then the final ones in ``triggers`` more."""
-    # numbered once: each feed below is a scan of what is stored
-    U.with_occurrence(star.purchase_orders).write.mode("overwrite").parquet(f"{run}/numbered")
-    v1, v2 = U.order_versions(spark.read.parquet(f"{run}/numbered"))
+    numbered = U.with_occurrence(star.purchase_orders)
+    schema = U.order_versions(numbered)[0].schema
+    # numbered once, all feeds in one write: each lands when its turn comes
+    turn = F.pmod(F.col("order_id"), F.lit(triggers)) + 1
+    first = F.lit(0).cast(numbered.select(turn.alias("turn")).schema["turn"].dataType)
+    rows = numbered.withColumn("turn", F.explode(F.when(U.delivered(), F.array(first, turn)).otherwise(F.array(first))))
+    before = U.before_delivery(numbered)
+    (rows.select(*[F.when(F.col("turn") == 0, before[c]).otherwise(F.col(c)).alias(c) for c in numbered.columns],
+                 F.when(F.col("turn") == 0, 1).otherwise(2).alias("version"), "turn")
+     .write.mode("overwrite").option("compression", "zstd").partitionBy("turn").parquet(f"{run}/feeds"))
     dim = supplier_dim(star)
     dim = F.broadcast(dim) if star.small_frame("suppliers", dim) else dim
-    refresh = Refresh(spark, f"{run}/kpi", v1.schema, U.ORDER_KEYS, "version", measures or R.kpi_measures(), ("region",),
+    refresh = Refresh(spark, f"{run}/kpi", schema, U.ORDER_KEYS, "version", measures or R.kpi_measures(), ("region",),
                       lambda rows: rows.join(dim, "supplier_id"), buckets)
-    turn = F.pmod(F.col("order_id"), F.lit(triggers))
     for i in range(triggers + 1):
-        feed = v1 if i == 0 else v2.where(turn == i - 1)
-        feed.write.mode("overwrite").parquet(f"{run}/feed/v{i}")
-        stream = spark.readStream.schema(v1.schema).parquet(f"{run}/feed/v*")
+        if path_exists(spark, f"{run}/feeds/turn={i}"):
+            publish(spark, f"{run}/feeds/turn={i}", f"{run}/feed/v{i}")
+        else:
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{run}/feed/v{i}")
+        stream = spark.readStream.schema(schema).parquet(f"{run}/feed/v*")
         refresh.run(stream, f"{run}/ckpt").awaitTermination()
     return refresh
 

@@ -1,8 +1,10 @@
 """KPIs of changing orders by retraction: a trigger's cost follows its own rows.
 
 The state is the newest version of every key, stored in ``buckets`` folders by a
-hash of the key: a compacted base and a log of the changes since. A trigger
-reads only the buckets of its own keys. Each change it logs holds the
+hash of the key: a compacted base and a log of the changes since; the first epoch's
+versions are a base. A trigger reads only the buckets of its own keys, and moves
+only state rows whose key's bit is set by its own keys (all of its own, few others):
+they meet in one exchange, which also deals them to their buckets. Each change it logs holds the
 version it replaces, and what a change does to a measure is a signed delta of the
 measure's parts: the old version counts -1, the new one +1. The KPI table is the
 last epoch's parts plus these deltas; it has a row for each group.
@@ -36,6 +38,9 @@ from .upsert import latest_versions, newness
 # Versions of a task that seeks the newest of each key, and the most such tasks
 # (more than 200 partitions are sorted as they are written).
 PART_ROWS, MOST_PARTS = 500_000, 200
+# Bits for each of a trigger's rows to pick state rows by, and the most (broadcast: 32 MB);
+# those of one bitmap_construct_agg, and of a key's hash those that choose no bit.
+KEY_BITS, MOST_BITS, BITMAP, SPARE = 16, 1 << 28, 32_768, 20
 
 
 @dataclass
@@ -99,9 +104,9 @@ class Refresh:
         if path_exists(self.spark, f"{self.folder}/parts/epoch={epoch}/_SUCCESS"):
             return
         seen = {"epoch": epoch, "state_rows": 0}
-        if not path_exists(self.spark, f"{self.folder}/log/epoch={epoch}/_SUCCESS"):
+        if not any(path_exists(self.spark, f"{self.folder}/{k}/epoch={epoch}/_SUCCESS") for k in ("log", "base")):
             self._log(batch, epoch, seen)
-        log = self._read("log", [epoch])
+        log = self._logged(epoch)
         seen["changed"] = log.count()
         self._parts(log, epoch)
         self._compact(epoch)
@@ -112,29 +117,55 @@ class Refresh:
         names = [f.name for f in self.schema.fields]
         if self._stored(epoch) == (-1, []):
             return self._first(batch.select(*names), epoch)
-        new = latest_versions(batch.select(*names), self.keys, self.version)
-        fresh = new.select(*self.keys, F.struct(*names).alias("new"), newness(new, self.version).alias("n"),
-                           self.bucket().alias("bucket"))
+        batch = batch.select(*names)
+        n = batch.count()
         at = [r.bucket for r in batch.select(self.bucket().alias("bucket")).distinct().collect()]      # ``buckets`` at most
         old = self._versions(epoch, at)
         seen["state_rows"] = old.count()           # from the files' footers
-        # before the newest is sought, what isn't asked for goes
-        old = latest_versions(old.join(new.select(*self.keys), list(self.keys), "left_semi"), self.keys, self.version)
-        old = old.select(*self.keys, F.struct(*names).alias("old"), newness(old, self.version).alias("o"))
-        rows = fresh.join(old, list(self.keys), "left").where(F.col("o").isNull() | (F.col("n") > F.col("o")))
-        (rows.select("new", "old", "bucket").repartition("bucket").write.mode("overwrite")
-         .partitionBy("bucket").parquet(f"{self.folder}/log/epoch={epoch}"))
+        # before the newest is sought, what isn't asked for goes; a key with a null equals none
+        old = self._sieved(old.dropna(subset=list(self.keys)), batch, n)
+        both = batch.withColumn("__came", F.lit(True)).unionByName(old.withColumn("__came", F.lit(False)))
+        age = newness(both.select(*names), self.version)
+        newest = [c for side, when in (("new", F.col("__came")), ("old", ~F.col("__came"))) for c in (
+            F.max_by(F.struct(*names), F.when(when, age)).alias(side), F.max(F.when(when, age)).alias(f"__{side}"))]
+        rows = self._dealt(both, 2 * n, newest).where(
+            F.col("__new").isNotNull() & (F.col("__old").isNull() | (F.col("__new") > F.col("__old"))))
+        self._write(rows.select("new", "old", "bucket"), "log", epoch)
 
     def _first(self, batch: DataFrame, epoch: int) -> None:
-        """The log where no state is: one exchange serves the newest versions and the folders alike."""
-        names = [f.name for f in self.schema.fields]
-        parts = max(self.buckets, min(-(-batch.count() // PART_ROWS), MOST_PARTS))
+        """The newest versions where no state is: they are the base."""
+        age = newness(batch, self.version)
+        new = self._dealt(batch, batch.count(), [F.max_by(F.struct(*batch.columns), age).alias("new")])
+        self._write(new.select("new.*", "bucket"), "base", epoch)
+
+    def _dealt(self, rows: DataFrame, n: int, found: list[Column]) -> DataFrame:
+        """``found`` of every key of about ``n`` rows: one exchange serves the keys and the folders alike."""
+        parts = max(self.buckets, min(-(-n // PART_ROWS), MOST_PARTS))
         part = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets * -(-parts // self.buckets)))
-        rows = batch.withColumns({"bucket": self.bucket(), "__part": part}).repartition(parts, "bucket", "__part")
-        new = rows.groupBy("bucket", "__part", *self.keys).agg(
-            F.max_by(F.struct(*names), newness(rows.select(*names), self.version)).alias("new"))
-        (new.select("new", F.lit(None).cast(new.schema["new"].dataType).alias("old"), "bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/log/epoch={epoch}"))
+        rows = rows.withColumns({"bucket": self.bucket(), "__part": part}).repartition(parts, "bucket", "__part")
+        return rows.groupBy("bucket", "__part", *self.keys).agg(*found)
+
+    def _sieved(self, rows: DataFrame, batch: DataFrame, n: int) -> DataFrame:
+        """The rows with a key whose bit a key of ``batch`` sets: those of its keys, and few others."""
+        bits = min(max(1, -(-n * KEY_BITS // BITMAP)) * BITMAP, MOST_BITS)
+        at = F.shiftrightunsigned(F.xxhash64(*self.keys), SPARE) % bits
+        place = {"__slot": F.expr(f"__at div {BITMAP}"), "__bit": (F.col("__at") % BITMAP).cast("int")}
+        held = (batch.select(at.alias("__at")).withColumns(place).groupBy("__slot")
+                .agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+        byte = F.conv(F.hex(F.substring("__bits", (F.col("__bit") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+        return (rows.withColumn("__at", at).withColumns(place).join(F.broadcast(held), "__slot")
+                .where(F.getbit(byte, F.col("__bit") % 8) == 1).select(*rows.columns))
+
+    def _write(self, rows: DataFrame, kind: str, epoch: int) -> None:
+        (rows.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket")
+         .parquet(f"{self.folder}/{kind}/epoch={epoch}"))
+
+    def _logged(self, epoch: int) -> DataFrame:
+        """The changes of an epoch; the first one's are its base."""
+        if path_exists(self.spark, f"{self.folder}/log/epoch={epoch}/_SUCCESS"):
+            return self._read("log", [epoch])
+        row = F.struct(*[f.name for f in self.schema.fields])
+        return self._read("base", [epoch]).select(row.alias("new"), F.lit(None).cast(self.schema).alias("old"))
 
     def _changes(self, log: DataFrame) -> DataFrame:
         """Versions with ``sign`` +1 for what came and -1 for what went, and the columns of ``by``."""
@@ -203,14 +234,12 @@ class Refresh:
             *again.columns)
 
     def _compact(self, epoch: int) -> None:
-        base = max(self._epochs("base"), default=-1)
-        size = self._read("base", [base]).count() if base >= 0 else 0
-        logged = self._read("log", [e for e in self._epochs("log") if base < e <= epoch]).count()
-        if logged >= max(size, 1):
+        base, since = self._stored(epoch + 1)
+        if since and self._read("log", since).count() >= max(self._read("base", [base]).count() if base >= 0 else 0, 1):
             state = self.state(epoch + 1).withColumn("bucket", self.bucket())
-            if base >= 0 or len(self._stored(epoch + 1)[1]) > 1:       # one epoch's log lies by bucket already
+            if base >= 0 or len(since) > 1:       # one epoch's log lies by bucket already
                 state = state.repartition("bucket")
-            state.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/base/epoch={epoch}")
+            self._write(state, "base", epoch)
 
     # ---- what is read -----------------------------------------------------------
     def kpis(self) -> DataFrame:

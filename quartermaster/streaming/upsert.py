@@ -59,6 +59,17 @@ def with_occurrence(orders: DataFrame) -> DataFrame:
     return orders.withColumn("occurrence", F.row_number().over(same))
 
 
+def before_delivery(orders: DataFrame) -> dict[str, Column]:
+    """The columns of order lines as they stood before delivery."""
+    before = {"status": F.lit("in_transit"), "actual_delivery_date": F.lit(None).cast("date"),
+              "unit_cost": (F.col("unit_cost") + 1).cast(orders.schema["unit_cost"].dataType)}
+    return {c: F.when(delivered(), before[c]).otherwise(F.col(c)) if c in before else F.col(c) for c in orders.columns}
+
+
+def delivered() -> Column:
+    return F.col("status") == "delivered"
+
+
 def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two feeds of order-line versions derived from final order lines.
 
@@ -66,12 +77,8 @@ def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     in transit, no receipt date, at a first price); version 2 carries the
     delivered lines' final state. Applying both must give back the final lines.
     """
-    delivered = F.col("status") == "delivered"
-    before = {"status": F.lit("in_transit"), "actual_delivery_date": F.lit(None).cast("date"),
-              "unit_cost": (F.col("unit_cost") + 1).cast(orders.schema["unit_cost"].dataType)}
-    v1 = orders.select(*[F.when(delivered, before[c]).otherwise(F.col(c)).alias(c) if c in before else F.col(c)
-                         for c in orders.columns]).withColumn("version", F.lit(1))
-    v2 = orders.where(delivered).withColumn("version", F.lit(2))
+    v1 = orders.select(*[x.alias(c) for c, x in before_delivery(orders).items()]).withColumn("version", F.lit(1))
+    v2 = orders.where(delivered()).withColumn("version", F.lit(2))
     return v1, v2
 
 

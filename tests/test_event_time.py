@@ -156,6 +156,19 @@ def test_a_triggers_cost_follows_its_rows_and_replays_are_harmless(spark):
     assert path_exists(spark, f"{r.folder}/base/epoch=0") and not path_exists(spark, f"{r.folder}/base/epoch=1")
 
 
+def test_a_version_is_stored_once_and_only_rows_that_are_asked_for_move(spark, monkeypatch):
+    r = refresh_of(spark, new(spark, "moved"), buckets=4)
+    r.apply(versions(spark, r, [(k, f"g{k % 3}", float(k), 1) for k in range(4000)]), 0)
+    stored = [spark.read.parquet(f"{r.folder}/{k}/epoch=0").count() for k in ("log", "base") if path_exists(spark, f"{r.folder}/{k}/epoch=0")]
+    assert stored == [4000]
+    dealt, moved = Refresh._dealt, []
+    monkeypatch.setattr(Refresh, "_dealt", lambda self, rows, *a: moved.append(rows.count()) or dealt(self, rows, *a))
+    r.apply(versions(spark, r, [(k, "g7", 1.0, 2) for k in range(0, 4000, 100)]), 1)
+    assert r.stats[-1]["state_rows"] == 4000 and 80 <= moved[0] <= 80 + 4000 // 8        # all buckets are read, few rows move
+    assert {x.g: x.n for x in r.kpis().collect()}["g7"] == 40
+    assert r.state().count() == 4000
+
+
 def test_ties_of_a_version_are_broken_alike_in_any_order(spark):
     data = [(1, "a", 1.0, 1), (1, "b", 2.0, 1), (1, "c", 3.0, 1)]
     got = set()
