@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import metrics as M
 from ..operators.enrich import ORDER_DIMS, supplier_dim
-from ..session import path_exists, publish
+from ..session import open_files, path_exists, publish
 from ..sources.conform import load_star, n_suppliers, order_lines
 from ..sources.raw import Raw
 from ..streaming import event_time as T
@@ -156,9 +156,10 @@ def run_retraction(spark, star, run: str, measures=None, triggers: int = 3, buck
     first = F.lit(0).cast(numbered.select(turn.alias("turn")).schema["turn"].dataType)
     rows = numbered.withColumn("turn", F.explode(F.when(U.delivered(), F.array(first, turn)).otherwise(F.array(first))))
     before = U.before_delivery(numbered)
-    (rows.select(*[F.when(F.col("turn") == 0, before[c]).otherwise(F.col(c)).alias(c) for c in numbered.columns],
-                 F.when(F.col("turn") == 0, 1).otherwise(2).alias("version"), "turn")
-     .write.mode("overwrite").option("compression", "zstd").partitionBy("turn").parquet(f"{run}/feeds"))
+    feeds = rows.select(*[F.when(F.col("turn") == 0, before[c]).otherwise(F.col(c)).alias(c) for c in numbered.columns],
+                        F.when(F.col("turn") == 0, 1).otherwise(2).alias("version"), "turn")
+    with open_files(spark, triggers + 2):
+        feeds.write.mode("overwrite").option("compression", "zstd").partitionBy("turn").parquet(f"{run}/feeds")
     dim = supplier_dim(star)
     dim = F.broadcast(dim) if star.small_frame("suppliers", dim) else dim
     refresh = Refresh(spark, f"{run}/kpi", schema, U.ORDER_KEYS, "version", measures or R.kpi_measures(), ("region",),

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -95,6 +97,18 @@ def publish(spark: SparkSession, staged: str, path: str) -> None:
         raise OSError(f"{staged} could not be renamed to {path}")
 
 
+@contextmanager
+def open_files(spark: SparkSession, n: int) -> Iterator[None]:
+    """Writes by partition keep a file open for each of ``n`` folders, and need no sort by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def input_state(spark: SparkSession, path: str) -> str:
     """Size, file count and modification time of a table's path, as one text.
 

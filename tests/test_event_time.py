@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quartermaster.operators import metrics as M
 from quartermaster.plans import streams
-from quartermaster.session import path_exists, scratch_path
+from quartermaster.session import open_files, path_exists, scratch_path
 from quartermaster.sources.conform import load_star
 from quartermaster.sources.raw import Raw
 from quartermaster.streaming import event_time as T
@@ -169,6 +169,16 @@ def test_a_version_is_stored_once_and_only_rows_that_are_asked_for_move(spark, m
     assert r.state().count() == 4000
 
 
+def test_feeds_are_written_without_a_sort_and_the_setting_goes_again(spark):
+    name, out = "spark.sql.maxConcurrentOutputFileWriters", new(spark, "open")
+    before = spark.conf.get(name, None)
+    with open_files(spark, 5):
+        spark.range(100).selectExpr("id", "id % 4 as turn").write.partitionBy("turn").parquet(out)
+        assert spark.conf.get(name) == "5"
+    assert spark.conf.get(name, None) == before
+    assert spark.read.parquet(out).count() == 100
+
+
 def test_ties_of_a_version_are_broken_alike_in_any_order(spark):
     data = [(1, "a", 1.0, 1), (1, "b", 2.0, 1), (1, "c", 3.0, 1)]
     got = set()
